@@ -18,8 +18,12 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle_queries  # noqa: E402
-from sensorlake.plans import adapters, gold, silver  # noqa: E402
-from sensorlake.plans.registry import build_registry  # noqa: E402
+from sensorlake import config, schemas  # noqa: E402
+from sensorlake.operators.joins import upsert  # noqa: E402
+from sensorlake.operators.messages import parse_events, to_messages  # noqa: E402
+from sensorlake.operators.reshape import unpivot_metrics  # noqa: E402
+from sensorlake.plans import adapters, dashboard, gold, manifest, ops, silver  # noqa: E402
+from sensorlake.plans.registry import build_registry, live_events  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -81,6 +85,104 @@ def q_union_live_archive(spark, sf_dir):
     return silver.long_readings(adapters.live_raw(events), adapters.archive_raw(events))
 
 
+def q_unpivot_metrics(spark, sf_dir):
+    li = adapters.load(spark, sf_dir, "lineitem")
+    # `l_weight` is not a column: only metrics present are unpivoted.
+    return unpivot_metrics(li, ["l_orderkey", "l_linenumber"],
+                           ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_weight"])
+
+
+def q_dedup_readings(spark, sf_dir):
+    return silver.dedup_readings(adapters.lineitem_readings(adapters.load(spark, sf_dir, "lineitem")))
+
+
+def q_upsert_devices(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    recs = adapters.supplier_records(adapters.load(spark, sf_dir, "supplier"),
+                                     adapters.load(spark, sf_dir, "nation"))
+    reg = build_registry(recs, position="api_pos",
+                         ingested_at=F.lit(adapters.REGISTRY_INGESTED_AT).cast("timestamp"))
+    updates = silver.resolve_devices(reg, s["live_raw"])
+    return upsert(s["devices"], updates, ["sensor_id"])
+
+
+def q_normalize_records(spark, sf_dir):
+    return live_events(adapters.event_records(adapters.load(spark, sf_dir, "events")))
+
+
+def q_publish_events(spark, sf_dir):
+    return to_messages(q_normalize_records(spark, sf_dir))
+
+
+def q_parse_events(spark, sf_dir):
+    env = adapters.bus_envelope(adapters.load(spark, sf_dir, "events"))
+    return parse_events(env, schemas.active_schema("SDS011")).drop("_ingested_at")
+
+
+def _manifest(spark, sf_dir, cap):
+    events = adapters.load(spark, sf_dir, "events")
+    registry = adapters.registry_raw(adapters.load(spark, sf_dir, "customer"),
+                                     adapters.load(spark, sf_dir, "nation"))
+    return manifest.select_files(adapters.archive_listings(events), registry,
+                                 adapters.landed_files(events), "2024-01-01", "2024-01-31",
+                                 cap=cap)
+
+
+def q_file_manifest(spark, sf_dir):
+    return _manifest(spark, sf_dir, None)
+
+
+def q_file_manifest_capped(spark, sf_dir):
+    return _manifest(spark, sf_dir, 25)
+
+
+def q_top10_locations(spark, sf_dir):
+    return _round(dashboard.top_polluted(_silver(spark, sf_dir)["readings"], 10),
+                  "avg_pm10", "avg_pm25")
+
+
+def q_active_by_region(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    health = gold.sensor_network_health(s["readings"], s["devices"])
+    return dashboard.active_by_region(health, adapters.load(spark, sf_dir, "nation"),
+                                      adapters.load(spark, sf_dir, "region"))
+
+
+def q_pm_hourly(spark, sf_dir):
+    s = _silver(spark, sf_dir)
+    return _round(dashboard.pm_hourly(gold.air_quality_hourly(s["readings"], s["devices"])),
+                  "avg_value")
+
+
+def q_metric_first_seen(spark, sf_dir):
+    live = adapters.live_raw(adapters.load(spark, sf_dir, "events"))
+    live_long = unpivot_metrics(live, config.READING_ID_COLUMNS, config.METRICS)
+    return dashboard.metric_first_seen(silver.clean_readings(live_long))
+
+
+def q_live_active_sensors(spark, sf_dir):
+    return dashboard.active_sensors(_silver(spark, sf_dir)["readings"], "1 hour")
+
+
+def q_live_pm_trend(spark, sf_dir):
+    return _round(dashboard.pm_trend(_silver(spark, sf_dir)["readings"], "1 hour"), "avg_value")
+
+
+def q_latest_by_sensor(spark, sf_dir):
+    return dashboard.latest_by_sensor(_silver(spark, sf_dir)["readings"])
+
+
+def q_stage_counts(spark, sf_dir):
+    events = adapters.load(spark, sf_dir, "events")
+    b = adapters.bronze(spark, sf_dir)
+    long = silver.long_readings(b["live_raw"], b["archive_raw"])
+    clean = silver.clean_readings(long)
+    return ops.stage_counts({
+        "live_raw": b["live_raw"], "archive_raw": b["archive_raw"], "long_readings": long,
+        "clean_readings": clean, "readings": silver.dedup_readings(clean),
+        "devices": silver.silver_devices(b["registry_raw"], adapters.live_raw(events))})
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "air_quality_daily": q_air_quality_daily,
     "air_quality_hourly": q_air_quality_hourly,
@@ -92,6 +194,22 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_live_per_sensor": q_latest_live_per_sensor,
     "registry_first_wins": q_registry_first_wins,
     "union_live_archive": q_union_live_archive,
+    "unpivot_metrics": q_unpivot_metrics,
+    "dedup_readings": q_dedup_readings,
+    "upsert_devices": q_upsert_devices,
+    "normalize_records": q_normalize_records,
+    "publish_events": q_publish_events,
+    "parse_events": q_parse_events,
+    "file_manifest": q_file_manifest,
+    "file_manifest_capped": q_file_manifest_capped,
+    "top10_locations": q_top10_locations,
+    "active_by_region": q_active_by_region,
+    "pm_hourly": q_pm_hourly,
+    "metric_first_seen": q_metric_first_seen,
+    "live_active_sensors": q_live_active_sensors,
+    "live_pm_trend": q_live_pm_trend,
+    "latest_by_sensor": q_latest_by_sensor,
+    "stage_counts": q_stage_counts,
 }
 
 

@@ -233,6 +233,285 @@ REGISTRY = SILVER + "SELECT * FROM registry_raw"
 UNION_LIVE_ARCHIVE = SILVER + "SELECT * FROM long_readings"
 
 
+# --- reshaping and dedup on lineitem ------------------------------------------------------------
+
+UNPIVOT_METRICS = """
+SELECT * FROM (
+  SELECT l_orderkey, l_linenumber, 'l_quantity' AS value_type, l_quantity AS value FROM lineitem
+  UNION ALL SELECT l_orderkey, l_linenumber, 'l_extendedprice', l_extendedprice FROM lineitem
+  UNION ALL SELECT l_orderkey, l_linenumber, 'l_discount', l_discount FROM lineitem
+  UNION ALL SELECT l_orderkey, l_linenumber, 'l_tax', l_tax FROM lineitem)
+WHERE value IS NOT NULL
+"""
+
+DEDUP_READINGS = """
+WITH li AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS sensor_id,
+         CAST(date_trunc('year', l_shipdate) AS TIMESTAMP) AS event_ts_utc,
+         'line-' || CAST(l_linenumber AS VARCHAR) AS value_type,
+         l_extendedprice AS value, CAST(l_partkey AS VARCHAR) AS location_id,
+         l_discount AS latitude, l_tax AS longitude, l_returnflag AS country,
+         l_linestatus AS _source, l_shipdate AS _ingested_at
+  FROM lineitem)
+SELECT sensor_id, event_ts_utc, value_type, value, location_id, latitude, longitude, country,
+       _source, _ingested_at
+FROM (SELECT *, ROW_NUMBER() OVER (
+                  PARTITION BY sensor_id, event_ts_utc, value_type
+                  ORDER BY _ingested_at DESC NULLS LAST, _source DESC NULLS LAST,
+                           value DESC NULLS LAST, location_id DESC NULLS LAST,
+                           latitude DESC NULLS LAST, longitude DESC NULLS LAST,
+                           country DESC NULLS LAST) AS rn
+      FROM li)
+WHERE rn = 1
+"""
+
+# --- registry updates and upsert --------------------------------------------------------------
+
+UPSERT_DEVICES = SILVER.rstrip() + """,
+sup_registry AS (
+  SELECT CAST(s.s_suppkey * 10 AS VARCHAR) AS sensor_id, 'SDS011' AS sensor_type,
+         CAST(s.s_suppkey AS VARCHAR) AS location_id,
+         CAST(CAST(s.s_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS lat,
+         CAST(CAST(s.s_acctbal * 2 AS DECIMAL(18,2)) AS VARCHAR) AS lon,
+         lower(n.n_name) AS country,
+         CASE WHEN s.s_acctbal < 0 THEN '1' ELSE '0' END AS indoor,
+         'registry_api' AS _source, TIMESTAMP '2024-02-01 00:00:00' AS _ingested_at
+  FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+),
+sup_devices AS (
+  SELECT r.sensor_id, r.sensor_type, r.location_id,
+         upper(coalesce(l.live_country, r.country)) AS country,
+         TRY_CAST(coalesce(l.live_lat, r.lat) AS DOUBLE) AS lat,
+         TRY_CAST(coalesce(l.live_lon, r.lon) AS DOUBLE) AS lon,
+         TRY_CAST(r.indoor AS BOOLEAN) AS indoor, r._source, r._ingested_at
+  FROM sup_registry r LEFT JOIN latest_live l ON r.sensor_id = l.live_sensor_id
+)
+SELECT * FROM devices d WHERE NOT EXISTS (SELECT 1 FROM sup_devices u WHERE u.sensor_id = d.sensor_id)
+UNION ALL
+SELECT * FROM sup_devices
+"""
+
+# --- nested records, messages -----------------------------------------------------------------
+
+_EV_TEXT = _EV.rstrip() + """,
+evt AS (
+  SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text,
+         CASE WHEN k = 13 THEN 'unknown' WHEN k = 29 THEN 'NaN'
+              WHEN k = 31 AND event_type = 'error' THEN 'Infinity'
+              ELSE CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) END AS value_text
+  FROM ev
+),
+flat AS (
+  SELECT CAST(event_id AS VARCHAR) AS id, ts_text AS "timestamp",
+         CASE WHEN k = 53 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS sensor_id,
+         CASE WHEN k = 53 THEN NULL WHEN event_type IN ('view', 'click') THEN 'SDS011'
+              ELSE 'BME280' END AS sensor_type,
+         CAST(user_id // 2 AS VARCHAR) AS location_id,
+         CAST(CAST(CAST(user_id AS DOUBLE) / 1000 + 50 AS DECIMAL(18,3)) AS VARCHAR) AS latitude,
+         CAST(CAST(CAST(user_id AS DOUBLE) / 500 + 10 AS DECIMAL(18,3)) AS VARCHAR) AS longitude,
+         CASE WHEN k = 23 THEN 'ua' END AS country,
+         metric,
+         CASE WHEN k = 37 THEN CAST(CAST(value * 3 AS DECIMAL(18,2)) AS VARCHAR)
+              ELSE value_text END AS mval
+  FROM evt
+),
+normalized AS (
+  SELECT id, "timestamp", sensor_id, sensor_type, location_id, latitude, longitude, country,
+         CASE WHEN metric = 'P1' THEN mval END AS "P1",
+         CASE WHEN metric = 'P2' THEN mval END AS "P2",
+         CASE WHEN metric = 'temperature' THEN mval END AS temperature,
+         CASE WHEN metric = 'humidity' THEN mval END AS humidity,
+         CASE WHEN metric = 'pressure' THEN mval END AS pressure
+  FROM flat
+)"""
+
+NORMALIZE_RECORDS = "WITH " + _EV_TEXT + "\nSELECT * FROM normalized"
+
+PUBLISH_EVENTS = "WITH " + _EV_TEXT + """
+SELECT sensor_id AS key,
+       to_json({'id': id, 'timestamp': "timestamp", 'sensor_id': sensor_id,
+                'sensor_type': sensor_type, 'location_id': location_id, 'latitude': latitude,
+                'longitude': longitude, 'country': country, 'P1': "P1", 'P2': "P2",
+                'temperature': temperature, 'humidity': humidity, 'pressure': pressure}) AS value
+FROM normalized
+"""
+
+PARSE_EVENTS = "WITH " + _EV.strip() + """,
+env AS (
+  SELECT event_id, k, metric,
+         strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text,
+         CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS cents,
+         CAST(user_id AS VARCHAR) AS uid
+  FROM ev
+)
+SELECT '0' AS _source_partition, CAST(event_id AS VARCHAR) AS _source_offset,
+       CASE WHEN k = 59 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS id,
+       CASE WHEN k = 59 THEN NULL ELSE ts_text END AS "timestamp",
+       CASE WHEN k = 59 THEN NULL ELSE uid END AS sensor_id,
+       CASE WHEN k = 59 THEN NULL ELSE 'SDS011' END AS sensor_type,
+       CAST(NULL AS VARCHAR) AS location_id, CAST(NULL AS VARCHAR) AS latitude,
+       CAST(NULL AS VARCHAR) AS longitude, CAST(NULL AS VARCHAR) AS country,
+       CASE WHEN k <> 59 AND metric = 'P1' THEN cents END AS "P1",
+       CASE WHEN k <> 59 AND metric = 'P2' THEN cents END AS "P2",
+       CASE WHEN k = 59 THEN NULL
+            WHEN metric IN ('P1', 'P2') THEN '{"k":"' || CAST(k AS VARCHAR) || '"}'
+            ELSE '{"' || metric || '":"' || cents || '","k":"' || CAST(k AS VARCHAR) || '"}'
+       END AS _rescued_data,
+       CASE WHEN k = 59 THEN 'not json {' END AS _corrupt_record,
+       'sensor_live' AS _source
+FROM env
+"""
+
+# --- archive file manifest --------------------------------------------------------------------
+
+_LISTING = _EV.rstrip() + """,
+lev AS (
+  SELECT *, CAST(ts AS DATE) AS day, strftime(ts, '%Y-%m-%d') AS ymd,
+         CASE WHEN event_type IN ('view', 'click') THEN 'SDS011'
+              WHEN event_type IN ('purchase', 'signup') THEN 'BME280' ELSE 'DHT22' END AS stype
+  FROM ev
+),
+lfiles AS (
+  SELECT *, CASE WHEN k = 61 THEN ymd || '_' || stype || '_index.csv'
+                 ELSE ymd || '_' || stype || '_sensor_' || CAST(user_id AS VARCHAR) || '.csv' END AS f1,
+            ymd || '_' || stype || '_sensor_' || CAST(user_id AS VARCHAR) || '.txt' AS f2
+  FROM lev
+),
+listings AS (
+  SELECT day, event_id AS pos,
+         '<tr><td><a href="' || f1 || '">' || f1 || '</a></td><td><a href="' || f2
+           || '">notes</a></td></tr>' AS html
+  FROM lfiles
+),
+landed AS (
+  SELECT day, f1 AS file_name, max(CASE WHEN k = 67 THEN 0 ELSE 2048 END) AS length
+  FROM lfiles WHERE k IN (67, 71) GROUP BY day, f1
+),
+links AS (
+  SELECT day, pos, unnest(regexp_extract_all(html, 'href="([^"]+\\.csv)"', 1)) AS file_name,
+         generate_subscripts(regexp_extract_all(html, 'href="([^"]+\\.csv)"', 1), 1) - 1 AS link_idx
+  FROM listings
+  WHERE day BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
+),
+typed AS (
+  SELECT *, regexp_extract(file_name, '_sensor_(\\d+)\\.csv', 1) AS sensor_id
+  FROM links
+  WHERE contains(lower(file_name), '_sds011_') OR contains(lower(file_name), '_bme280_')
+),
+known_links AS (
+  SELECT * FROM typed t
+  WHERE t.sensor_id <> ''
+    AND EXISTS (SELECT 1 FROM registry_raw r WHERE r.sensor_id = t.sensor_id)
+),
+first_links AS (
+  SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY day, file_name
+                                              ORDER BY pos, link_idx) AS rn FROM known_links)
+  WHERE rn = 1
+)"""
+
+
+def _manifest(cap):
+    capped = "first_links" if cap is None else (
+        "(SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY day ORDER BY pos, link_idx, "
+        f"file_name) AS n FROM first_links) WHERE n <= {cap})")
+    return ("WITH " + ",".join([_API_RECORDS, _REGISTRY_RAW]) + "," + _LISTING + f"""
+SELECT f.day, f.file_name, f.sensor_id,
+       'archive/date=' || CAST(f.day AS VARCHAR) || '/' || f.file_name AS dest_path,
+       CASE WHEN EXISTS (SELECT 1 FROM landed l WHERE l.day = f.day AND l.file_name = f.file_name
+                         AND l.length > 0) THEN 'skip' ELSE 'download' END AS status
+FROM {capped} f
+""")
+
+
+FILE_MANIFEST = _manifest(None)
+FILE_MANIFEST_CAPPED = _manifest(25)
+
+# --- dashboards ---------------------------------------------------------------------------------
+
+TOP10_LOCATIONS = SILVER + """
+SELECT location_id,
+       round(avg(CASE WHEN value_type = 'P1' THEN value END), 6) AS avg_pm10,
+       round(avg(CASE WHEN value_type = 'P2' THEN value END), 6) AS avg_pm25,
+       count(*) AS n_readings
+FROM readings WHERE value_type IN ('P1', 'P2')
+GROUP BY location_id
+ORDER BY avg(CASE WHEN value_type = 'P1' THEN value END) DESC NULLS LAST, location_id
+LIMIT 10
+"""
+
+ACTIVE_BY_REGION = SILVER.rstrip() + """,
+health AS (
+  SELECT d.country, count(DISTINCT r.sensor_id) AS active_sensors, max(r.event_ts_utc) AS last_seen
+  FROM readings r JOIN devices d ON r.sensor_id = d.sensor_id GROUP BY d.country
+)
+SELECT g.r_name AS region, sum(h.active_sensors) AS active_sensors, max(h.last_seen) AS last_seen,
+       count(*) AS n_countries
+FROM health h LEFT JOIN (SELECT n.n_name, r.r_name FROM nation n
+                         LEFT JOIN region r ON n.n_regionkey = r.r_regionkey) g
+       ON h.country = g.n_name
+GROUP BY g.r_name
+"""
+
+PM_HOURLY = SILVER + """
+SELECT d.country, date_trunc('hour', r.event_ts_utc) AS hour, r.value_type,
+       round(avg(r.value), 6) AS avg_value, count(*) AS n_readings
+FROM readings r JOIN devices d ON r.sensor_id = d.sensor_id
+WHERE (d.indoor = FALSE OR d.indoor IS NULL) AND r.value_type IN ('P1', 'P2')
+GROUP BY d.country, date_trunc('hour', r.event_ts_utc), r.value_type
+"""
+
+METRIC_FIRST_SEEN = SILVER + """
+SELECT value_type, min(event_ts_utc) AS first_event_ts, min(_ingested_at) AS first_ingested_at,
+       count(*) AS n_readings
+FROM (SELECT TRY_CAST(replace(replace("timestamp", '''', ''), '"', '') AS TIMESTAMP) AS event_ts_utc,
+             value_type, value, TRY_CAST(latitude AS DOUBLE) AS lat,
+             TRY_CAST(longitude AS DOUBLE) AS lon, _ingested_at
+      FROM live_long)
+WHERE NOT isnan(value) AND (lat IS NULL OR NOT isnan(lat)) AND (lon IS NULL OR NOT isnan(lon))
+GROUP BY value_type
+"""
+
+LIVE_ACTIVE_SENSORS = SILVER + """
+SELECT date_trunc('hour', event_ts_utc) AS window_start,
+       date_trunc('hour', event_ts_utc) + INTERVAL 1 HOUR AS window_end,
+       count(DISTINCT sensor_id) AS active_sensors
+FROM readings WHERE event_ts_utc IS NOT NULL
+GROUP BY date_trunc('hour', event_ts_utc)
+"""
+
+LIVE_PM_TREND = SILVER + """
+SELECT date_trunc('hour', event_ts_utc) AS window_start,
+       date_trunc('hour', event_ts_utc) + INTERVAL 1 HOUR AS window_end,
+       value_type, round(avg(value), 6) AS avg_value, count(*) AS n_readings
+FROM readings WHERE value_type IN ('P1', 'P2') AND event_ts_utc IS NOT NULL
+GROUP BY date_trunc('hour', event_ts_utc), value_type
+"""
+
+LATEST_BY_SENSOR = SILVER + """
+SELECT sensor_id, value_type, event_ts_utc, value, latitude, longitude,
+       CASE WHEN value IS NULL THEN NULL
+            WHEN value_type = 'P1' THEN CASE WHEN value <= 20 THEN 'good' WHEN value <= 50 THEN 'moderate'
+                                             WHEN value <= 100 THEN 'poor' ELSE 'very_poor' END
+            WHEN value_type = 'P2' THEN CASE WHEN value <= 10 THEN 'good' WHEN value <= 25 THEN 'moderate'
+                                             WHEN value <= 50 THEN 'poor' ELSE 'very_poor' END
+       END AS level
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sensor_id, value_type
+                                   ORDER BY event_ts_utc DESC NULLS LAST, value DESC NULLS LAST,
+                                            latitude DESC NULLS LAST, longitude DESC NULLS LAST) AS rn
+      FROM readings WHERE value_type IN ('P1', 'P2'))
+WHERE rn = 1
+"""
+
+STAGE_COUNTS = SILVER + """
+SELECT 'live_raw' AS stage, count(*) AS n_rows FROM live_raw
+UNION ALL SELECT 'archive_raw', count(*) FROM archive_raw
+UNION ALL SELECT 'long_readings', count(*) FROM long_readings
+UNION ALL SELECT 'clean_readings', count(*) FROM clean_readings
+UNION ALL SELECT 'readings', count(*) FROM readings
+UNION ALL SELECT 'devices', count(*) FROM devices
+"""
+
+
 def all_sql() -> dict[str, str]:
     return {
         "air_quality_daily": AIR_QUALITY_DAILY,
@@ -245,4 +524,20 @@ def all_sql() -> dict[str, str]:
         "latest_live_per_sensor": LATEST_LIVE,
         "registry_first_wins": REGISTRY,
         "union_live_archive": UNION_LIVE_ARCHIVE,
+        "unpivot_metrics": UNPIVOT_METRICS,
+        "dedup_readings": DEDUP_READINGS,
+        "upsert_devices": UPSERT_DEVICES,
+        "normalize_records": NORMALIZE_RECORDS,
+        "publish_events": PUBLISH_EVENTS,
+        "parse_events": PARSE_EVENTS,
+        "file_manifest": FILE_MANIFEST,
+        "file_manifest_capped": FILE_MANIFEST_CAPPED,
+        "top10_locations": TOP10_LOCATIONS,
+        "active_by_region": ACTIVE_BY_REGION,
+        "pm_hourly": PM_HOURLY,
+        "metric_first_seen": METRIC_FIRST_SEEN,
+        "live_active_sensors": LIVE_ACTIVE_SENSORS,
+        "live_pm_trend": LIVE_PM_TREND,
+        "latest_by_sensor": LATEST_BY_SENSOR,
+        "stage_counts": STAGE_COUNTS,
     }

@@ -168,3 +168,133 @@ def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     b = bronze(spark, sf_dir)
     return {"readings": silver_readings(b["live_raw"], b["archive_raw"]),
             "devices": silver_devices(b["registry_raw"], b["live_raw"]), **b}
+
+
+def _ts_text(fmt: str = "yyyy-MM-dd HH:mm:ss.SSSSSS") -> Column:
+    return F.date_format("ts", fmt)
+
+
+def _value_text() -> Column:
+    k = _k()
+    return (F.when(k == 13, "unknown")
+             .when(k == 29, "NaN")
+             .when((k == 31) & (F.col("event_type") == "error"), "Infinity")
+             .otherwise(_num_text(F.col("value"), 2)))
+
+
+def lineitem_readings(lineitem: DataFrame) -> DataFrame:
+    """Readings-shaped rows with real key duplicates: order = sensor, line = metric,
+    ship year = event time, ship date = ingestion time."""
+    return lineitem.select(
+        F.col("l_orderkey").cast("string").alias("sensor_id"),
+        F.date_trunc("year", "l_shipdate").cast("timestamp").alias("event_ts_utc"),
+        F.concat(F.lit("line-"), F.col("l_linenumber").cast("string")).alias("value_type"),
+        F.col("l_extendedprice").alias("value"),
+        F.col("l_partkey").cast("string").alias("location_id"),
+        F.col("l_discount").alias("latitude"),
+        F.col("l_tax").alias("longitude"),
+        F.col("l_returnflag").alias("country"),
+        F.col("l_linestatus").alias("_source"),
+        F.col("l_shipdate").cast("timestamp").alias("_ingested_at"),
+    )
+
+
+def supplier_records(supplier: DataFrame, nation: DataFrame) -> DataFrame:
+    """A second API response (one record per supplier) used as registry updates: sensor id
+    ``s_suppkey * 10`` overlaps part of the customer-built registry and adds new sensors."""
+    nat = F.broadcast(nation.select("n_nationkey", "n_name"))  # 25 rows
+    return (supplier.join(nat, supplier.s_nationkey == nat.n_nationkey, "left")
+            .select(
+                F.col("s_suppkey").alias("api_pos"),
+                F.col("s_suppkey").cast("string").alias("id"),
+                F.lit(REGISTRY_INGESTED_AT).alias("timestamp"),
+                F.struct((F.col("s_suppkey") * 10).cast("string").alias("id"),
+                         F.struct(F.lit("SDS011").alias("name")).alias("sensor_type")).alias("sensor"),
+                F.struct(F.col("s_suppkey").cast("string").alias("id"),
+                         _num_text(F.col("s_acctbal"), 2).alias("latitude"),
+                         _num_text(F.col("s_acctbal") * 2, 2).alias("longitude"),
+                         F.lower("n_name").alias("country"),
+                         F.when(F.col("s_acctbal") < 0, "1").otherwise("0").alias("indoor"))
+                 .alias("location"),
+                F.array().cast("array<struct<value_type:string,value:string>>")
+                 .alias("sensordatavalues")))
+
+
+def event_records(events: DataFrame) -> DataFrame:
+    """Nested API records, one per event, with the awkward cases of a live feed: an empty and a
+    NULL ``value_type``, a repeated metric (the later entry wins), a metric outside the
+    configured list and a record without its ``sensor`` object."""
+    k = _k()
+    metric = _metric_of(F.col("event_type"))
+    uid = F.col("user_id").cast("double")
+    entry = lambda t, v: F.struct(t.alias("value_type"), v.alias("value"))
+    values = F.array(
+        entry(metric, _value_text()),
+        entry(F.lit(""), F.lit("junk")),
+        entry(F.lit(None).cast("string"), F.lit("x")),
+        F.when(k == 37, entry(metric, _num_text(F.col("value") * 3, 2))),
+        entry(F.lit("noise"), k.cast("string")),
+    )
+    sensor = F.when(k != 53, F.struct(
+        F.col("user_id").cast("string").alias("id"),
+        F.struct(F.when(F.col("event_type").isin("view", "click"), "SDS011")
+                  .otherwise("BME280").alias("name")).alias("sensor_type")))
+    return events.select(
+        F.col("event_id").alias("api_pos"),
+        F.col("event_id").cast("string").alias("id"),
+        _ts_text().alias("timestamp"),
+        sensor.alias("sensor"),
+        F.struct(F.expr("user_id div 2").cast("string").alias("id"),
+                 _num_text(uid / 1000 + 50, 3).alias("latitude"),
+                 _num_text(uid / 500 + 10, 3).alias("longitude"),
+                 F.when(k == 23, "ua").alias("country")).alias("location"),
+        values.alias("sensordatavalues"))
+
+
+def bus_envelope(events: DataFrame) -> DataFrame:
+    """Message-bus records (partition, offset, value): the JSON body of each event with the
+    metric as a JSON number (in hundredths), an extra field ``k`` and some malformed bodies."""
+    k = _k()
+    metric = _metric_of(F.col("event_type"))
+    cents = F.round(F.col("value") * 100).cast("bigint").cast("string")
+    body = F.concat(
+        F.lit('{"id": "'), F.col("event_id").cast("string"),
+        F.lit('", "timestamp": "'), _ts_text(),
+        F.lit('", "sensor_id": "'), F.col("user_id").cast("string"),
+        F.lit('", "sensor_type": "SDS011", "'), metric, F.lit('": '), cents,
+        F.lit(', "k": '), k.cast("string"), F.lit("}"))
+    return events.select(
+        F.lit(0).alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.when(k == 59, F.lit("not json {")).otherwise(body).alias("value"))
+
+
+def _listing_file(csv: bool = True) -> Column:
+    k = _k()
+    stype = (F.when(F.col("event_type").isin("view", "click"), "SDS011")
+              .when(F.col("event_type").isin("purchase", "signup"), "BME280")
+              .otherwise("DHT22"))
+    day = F.date_format("ts", "yyyy-MM-dd")
+    named = F.concat(day, F.lit("_"), stype, F.lit("_sensor_"), F.col("user_id").cast("string"))
+    if not csv:
+        return F.concat(named, F.lit(".txt"))
+    return F.when(k == 61, F.concat(day, F.lit("_"), stype, F.lit("_index.csv"))) \
+            .otherwise(F.concat(named, F.lit(".csv")))
+
+
+def archive_listings(events: DataFrame) -> DataFrame:
+    """Listing-page fragments (day, pos, html), one per event, each with a CSV and a TXT link."""
+    f1, f2 = _listing_file(True), _listing_file(False)
+    html = F.concat(F.lit('<tr><td><a href="'), f1, F.lit('">'), f1,
+                    F.lit('</a></td><td><a href="'), f2, F.lit('">notes</a></td></tr>'))
+    return events.select(F.to_date("ts").alias("day"), F.col("event_id").alias("pos"),
+                         html.alias("html"))
+
+
+def landed_files(events: DataFrame) -> DataFrame:
+    """Files already in the landing zone: some empty (to be fetched again), some complete."""
+    k = _k()
+    return (events.where(k.isin(67, 71))
+                  .select(F.to_date("ts").alias("day"), _listing_file(True).alias("file_name"),
+                          F.when(k == 67, 0).otherwise(2048).cast("bigint").alias("length"))
+                  .groupBy("day", "file_name").agg(F.max("length").alias("length")))

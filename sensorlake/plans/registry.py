@@ -49,10 +49,3 @@ def live_events(records: DataFrame, metrics: Sequence[str] = config.METRICS) ->
     """API records -> flat live events, one text column per configured metric (PIP-4)."""
     return normalize_records(records, metrics)
 
-
-def to_messages(events: DataFrame, key: str | None = "sensor_id") -> DataFrame:
-    """Each event as one JSON message (JSN-3); NULL fields are left out of the text."""
-    cols = [F.to_json(F.struct(*[F.col(c) for c in events.columns])).alias("value")]
-    if key:
-        cols.insert(0, F.col(key).cast("string").alias("key"))
-    return events.select(*cols)
