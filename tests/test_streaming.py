@@ -1,0 +1,149 @@
+"""Bronze streams and live queries on file sources in fresh scratch folders."""
+
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from sensorlake import config
+from sensorlake.plans import bronze, dashboard
+from sensorlake.sources.archive import discover_columns, read_archive
+from sensorlake.streaming import live
+
+PARTICLE = "sensor_id;sensor_type;location;lat;lon;timestamp;P1;durP1;P2\r\n"
+CLIMATE = "sensor_id;sensor_type;location;lat;lon;timestamp;pressure;altitude;temperature;humidity\n"
+
+
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", newline="") as f:
+        f.write(text)
+
+
+def _landing(root):
+    day = os.path.join(root, "date=2024-01-02")
+    _write(os.path.join(day, "2024-01-02_sds011_sensor_11.csv"),
+           PARTICLE + "11;SDS011;5;50.1;30.2;2024-01-02T00:01:00;7.5;;3.25\r\n"
+                      "11;SDS011;5;50.1;30.2;'2024-01-02T00:03:00';unknown;;\r\n")
+    _write(os.path.join(day, "2024-01-02_bme280_sensor_12.csv"),
+           CLIMATE + "12;BME280;6;48.0;;2024-01-02T00:02:00;1013.5;;21.0;40\n")
+    return day
+
+
+def test_archive_headers_are_matched_per_file(spark, scratch):
+    landing = os.path.join(scratch, "archive")
+    _landing(landing)
+    cols = ["sensor_id", "timestamp", "location", "lat", "lon", "P1", "P2", "temperature",
+            "humidity", "pressure"]
+    df = read_archive(spark, landing, cols)
+    rows = {(r["sensor_id"], r["timestamp"]): r for r in df.collect()}
+    assert len(rows) == 3
+    r11 = rows[("11", "2024-01-02T00:01:00")]
+    assert (r11["P1"], r11["P2"], r11["temperature"]) == ("7.5", "3.25", None)
+    r12 = rows[("12", "2024-01-02T00:02:00")]
+    assert (r12["pressure"], r12["temperature"], r12["humidity"], r12["lon"]) == \
+        ("1013.5", "21.0", "40", None)
+    assert str(next(iter(rows.values()))["date"]) == "2024-01-02"
+    assert all(r["_source_file_name"].endswith(".csv") for r in rows.values())
+    assert "altitude" in discover_columns(spark, landing)
+
+
+def test_archive_stream_exactly_once_and_evolution(spark, scratch):
+    landing, target = os.path.join(scratch, "archive"), os.path.join(scratch, "bronze")
+    ckpt, schema_loc = os.path.join(scratch, "ckpt"), os.path.join(scratch, "schema")
+    _landing(landing)
+    bronze.load_archive(spark, landing, target, ckpt, schema_loc)
+    assert bronze.read_table(spark, target).count() == 3
+    bronze.load_archive(spark, landing, target, ckpt, schema_loc)        # rerun: nothing new
+    assert bronze.read_table(spark, target).count() == 3
+    _write(os.path.join(landing, "date=2024-01-03", "2024-01-03_sds011_sensor_11.csv"),
+           "sensor_id;timestamp;P1;P2;noise\n11;2024-01-03T00:00:00;1;2;77\n")
+    bronze.load_archive(spark, landing, target, ckpt, schema_loc)        # new file, new column
+    t = bronze.read_table(spark, target)
+    assert t.count() == 4 and "noise" in t.columns
+    assert t.where(F.col("noise").isNotNull()).count() == 1               # old rows: NULL
+
+
+def _bus_file(path, rows):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        for p, o, body in rows:
+            f.write(json.dumps({"partition": p, "offset": o, "value": body}) + "\n")
+
+
+def test_live_stream_phase_a_then_b(spark, scratch):
+    bus, target, ckpt = (os.path.join(scratch, x) for x in ("bus", "live", "ckpt"))
+    body = lambda i, extra: json.dumps({"id": str(i), "timestamp": f"2024-01-01 00:0{i}:00",
+                                        "sensor_id": "7", "P1": 10 + i, **extra})
+    _bus_file(os.path.join(bus, "a.json"), [(0, 1, body(1, {"temperature": 20})),
+                                            (0, 2, "{broken")])
+    a = config.Settings(sensor_filter="SDS011")
+    bronze.load_live(spark, "json", {}, target, ckpt, path=bus, settings=a, available_now=True)
+    t = bronze.read_table(spark, target)
+    assert t.count() == 2 and "temperature" not in t.columns
+    assert t.where(F.col("_rescued_data").contains("temperature")).count() == 1
+    assert t.where(F.col("_corrupt_record").isNotNull()).count() == 1
+    _bus_file(os.path.join(bus, "b.json"), [(0, 3, body(3, {"temperature": 21, "humidity": 50}))])
+    b = config.Settings(sensor_filter="SDS011,BME280")
+    bronze.load_live(spark, "json", {}, target, ckpt, path=bus, settings=b, available_now=True)
+    t = bronze.read_table(spark, target)
+    assert t.count() == 3 and "temperature" in t.columns
+    new = t.where(F.col("_source_offset") == "3").collect()[0]
+    assert new["temperature"] == "21" and new["P1"] == "13"
+    assert t.where(F.col("_source_offset") == "1").collect()[0]["temperature"] is None
+
+
+def _readings_stream(spark, scratch):
+    from sensorlake.plans import adapters
+    ev = adapters.load(spark, "/root/testdata/sf0.001", "events")
+    src = os.path.join(scratch, "events")
+    adapters.live_raw(ev).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    return live.live_readings(stream), live.live_readings(spark.read.parquet(src))
+
+
+def test_stream_pm_trend_matches_batch(spark, scratch):
+    stream, batch = _readings_stream(spark, scratch)
+    q = (live.stream_pm_trend(stream, "1 hour", "2 hours").writeStream.outputMode("complete")
+         .format("memory").queryName("pm_trend_t").start())
+    q.processAllAvailable()
+    q.stop()
+    got = {(r["window_start"], r["value_type"]): (round(r["avg_value"], 6), r["n_readings"])
+           for r in spark.table("pm_trend_t").collect()}
+    want = {(r["window_start"], r["value_type"]): (round(r["avg_value"], 6), r["n_readings"])
+            for r in dashboard.pm_trend(batch, "1 hour").collect()}
+    assert got == want
+
+
+def test_stream_active_sensors_and_latest(spark, scratch):
+    stream, batch = _readings_stream(spark, scratch)
+    q1 = (live.stream_active_sensors(stream, "1 hour", "2 hours").writeStream
+          .outputMode("complete").format("memory").queryName("active_t").start())
+    q2 = (live.stream_latest_by_sensor(stream).writeStream.outputMode("complete")
+          .format("memory").queryName("latest_t").start())
+    for q in (q1, q2):
+        q.processAllAvailable()
+        q.stop()
+    exact = {r["window_start"]: r["active_sensors"]
+             for r in dashboard.active_sensors(batch, "1 hour").collect()}
+    approx = {r["window_start"]: r["active_sensors"] for r in spark.table("active_t").collect()}
+    assert set(exact) == set(approx)
+    assert all(abs(approx[k] - v) <= max(1, 0.1 * v) for k, v in exact.items())
+    want = {(r["sensor_id"], r["value_type"]): r["event_ts_utc"]
+            for r in dashboard.latest_by_sensor(batch).collect()
+            if r["event_ts_utc"] is not None}
+    got = {(r["sensor_id"], r["value_type"]): r["event_ts_utc"]
+           for r in spark.table("latest_t").collect()}
+    assert got == want
+
+
+def test_dedup_stream_within_watermark(spark, scratch):
+    stream, batch = _readings_stream(spark, scratch)
+    q = (live.dedup_stream(stream.where(F.col("event_ts_utc").isNotNull()), "1 day")
+         .writeStream.format("memory").queryName("dedup_t").start())
+    q.processAllAvailable()
+    q.stop()
+    keys = batch.where(F.col("event_ts_utc").isNotNull()) \
+        .select("sensor_id", "event_ts_utc", "value_type").distinct().count()
+    assert spark.table("dedup_t").count() == keys
