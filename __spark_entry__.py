@@ -19,10 +19,11 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import oracle_queries  # noqa: E402
 from sensorlake import config, schemas  # noqa: E402
+from sensorlake.session import scratch_path  # noqa: E402
 from sensorlake.operators.joins import upsert  # noqa: E402
 from sensorlake.operators.messages import parse_events, to_messages  # noqa: E402
 from sensorlake.operators.reshape import unpivot_metrics  # noqa: E402
-from sensorlake.plans import adapters, dashboard, gold, manifest, ops, silver  # noqa: E402
+from sensorlake.plans import adapters, bronze, dashboard, gold, manifest, ops, silver  # noqa: E402
 from sensorlake.plans.registry import build_registry, live_events  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -183,6 +184,32 @@ def q_stage_counts(spark, sf_dir):
         "devices": silver.silver_devices(b["registry_raw"], adapters.live_raw(events))})
 
 
+def q_bronze_archive_stream(spark, sf_dir):
+    """Archive files (two header sets) -> incremental file stream -> bronze, then a rerun that
+    must add nothing. Runs the streams now; returns the bronze table (run-time columns dropped)."""
+    root = scratch_path(spark, "bronze-archive")
+    landing, target = f"{root}/landing", f"{root}/bronze"
+    adapters.write_archive_landing(adapters.load(spark, sf_dir, "events"), landing)
+    for _ in range(2):
+        bronze.load_archive(spark, landing, target, f"{root}/checkpoint", f"{root}/schema")
+    cols = list(dict.fromkeys(adapters.PARTICLE_COLUMNS + adapters.CLIMATE_COLUMNS))
+    return (bronze.read_table(spark, target)
+            .select(*cols, F.col("date").cast("string").alias("date"), "_source"))
+
+
+def q_bronze_live_stream(spark, sf_dir):
+    """Bus file double: phase A events loaded with the base schema, then phase B events with the
+    wider schema on the same checkpoint. Returns the bronze table (run-time column dropped)."""
+    root = scratch_path(spark, "bronze-live")
+    bus, target, ckpt = f"{root}/bus", f"{root}/bronze", f"{root}/checkpoint"
+    events = adapters.load(spark, sf_dir, "events")
+    for phase_b, flt in ((False, "SDS011"), (True, "SDS011,BME280")):
+        adapters.write_bus_files(events, bus, phase_b)
+        bronze.load_live(spark, "json", {}, target, ckpt, path=bus,
+                         settings=config.Settings(sensor_filter=flt), available_now=True)
+    return bronze.read_table(spark, target).drop("_ingested_at")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "air_quality_daily": q_air_quality_daily,
     "air_quality_hourly": q_air_quality_hourly,
@@ -210,6 +237,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "live_pm_trend": q_live_pm_trend,
     "latest_by_sensor": q_latest_by_sensor,
     "stage_counts": q_stage_counts,
+    "bronze_archive_stream": q_bronze_archive_stream,
+    "bronze_live_stream": q_bronze_live_stream,
 }
 
 

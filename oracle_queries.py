@@ -540,4 +540,42 @@ def all_sql() -> dict[str, str]:
         "live_pm_trend": LIVE_PM_TREND,
         "latest_by_sensor": LATEST_BY_SENSOR,
         "stage_counts": STAGE_COUNTS,
+        "bronze_archive_stream": BRONZE_ARCHIVE_STREAM,
+        "bronze_live_stream": BRONZE_LIVE_STREAM,
     }
+
+BRONZE_ARCHIVE_STREAM = "WITH " + _EV.strip() + "," + _ARCHIVE_RAW + """
+SELECT sensor_id, sensor_type, location, lat, lon, "timestamp", "P1", "P2", temperature,
+       CAST(CAST(ts_day AS DATE) AS VARCHAR) AS date, _source
+FROM (SELECT *, substr("timestamp", 1, 10) AS ts_day FROM archive_raw)
+"""
+
+BRONZE_LIVE_STREAM = "WITH " + _EV.strip() + """,
+env AS (
+  SELECT event_id, k, metric, ts >= TIMESTAMP '2024-01-15 00:00:00' AS phase_b,
+         strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts_text,
+         CAST(CAST(round(value * 100) AS BIGINT) AS VARCHAR) AS cents,
+         CAST(user_id AS VARCHAR) AS uid
+  FROM ev
+)
+SELECT '0' AS _source_partition, CAST(event_id AS VARCHAR) AS _source_offset,
+       CASE WHEN k = 59 THEN NULL ELSE CAST(event_id AS VARCHAR) END AS id,
+       CASE WHEN k = 59 THEN NULL ELSE ts_text END AS "timestamp",
+       CASE WHEN k = 59 THEN NULL ELSE uid END AS sensor_id,
+       CASE WHEN k = 59 THEN NULL ELSE 'SDS011' END AS sensor_type,
+       CAST(NULL AS VARCHAR) AS location_id, CAST(NULL AS VARCHAR) AS latitude,
+       CAST(NULL AS VARCHAR) AS longitude, CAST(NULL AS VARCHAR) AS country,
+       CASE WHEN k <> 59 AND metric = 'P1' THEN cents END AS "P1",
+       CASE WHEN k <> 59 AND metric = 'P2' THEN cents END AS "P2",
+       CASE WHEN k <> 59 AND phase_b AND metric = 'temperature' THEN cents END AS temperature,
+       CASE WHEN k <> 59 AND phase_b AND metric = 'humidity' THEN cents END AS humidity,
+       CASE WHEN k <> 59 AND phase_b AND metric = 'pressure' THEN cents END AS pressure,
+       CASE WHEN k = 59 THEN NULL
+            WHEN metric IN ('P1', 'P2') OR phase_b THEN '{"k":"' || CAST(k AS VARCHAR) || '"}'
+            ELSE '{"' || metric || '":"' || cents || '","k":"' || CAST(k AS VARCHAR) || '"}'
+       END AS _rescued_data,
+       CASE WHEN k = 59 THEN 'not json {' END AS _corrupt_record,
+       'sensor_live' AS _source
+FROM env
+"""
+

@@ -298,3 +298,28 @@ def landed_files(events: DataFrame) -> DataFrame:
                   .select(F.to_date("ts").alias("day"), _listing_file(True).alias("file_name"),
                           F.when(k == 67, 0).otherwise(2048).cast("bigint").alias("length"))
                   .groupBy("day", "file_name").agg(F.max("length").alias("length")))
+
+
+# Archive landing files: two sensor kinds with different header order and width.
+PARTICLE_COLUMNS = ("sensor_id", "sensor_type", "location", "lat", "lon", "timestamp", "P1", "P2")
+CLIMATE_COLUMNS = ("sensor_id", "sensor_type", "location", "timestamp", "lat", "lon",
+                   "temperature")
+LIVE_PHASE_B_FROM = "2024-01-15"
+
+
+def write_archive_landing(events: DataFrame, landing: str) -> None:
+    """Write the archive rows as ``;``-separated CSV files with a header, in ``date=`` folders;
+    particle and climate files have different headers and share the day folders."""
+    arch = archive_raw(events).withColumn("date", F.to_date(F.substring("timestamp", 1, 10)))
+    particle = arch.where(F.col("sensor_type") == "SDS011").select(*PARTICLE_COLUMNS, "date")
+    climate = arch.where(F.col("sensor_type") == "BME280").select(*CLIMATE_COLUMNS, "date")
+    for part in (particle, climate):
+        (part.write.mode("append").partitionBy("date")
+             .option("header", True).option("sep", config.ARCHIVE_SEPARATOR).csv(landing))
+
+
+def write_bus_files(events: DataFrame, bus: str, phase_b: bool) -> None:
+    """Write one arrival phase of bus envelopes as JSON-lines files (the bus file double)."""
+    cut = F.lit(LIVE_PHASE_B_FROM).cast("timestamp_ntz")
+    part = events.where(F.col("ts") >= cut) if phase_b else events.where(F.col("ts") < cut)
+    bus_envelope(part).write.mode("append").json(bus)
