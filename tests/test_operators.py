@@ -291,3 +291,12 @@ def test_scans_prune_columns(spark, name):
     col = df.columns[0]
     plan = df.select(col)._jdf.queryExecution().executedPlan().toString()
     assert f"ReadSchema: struct<{col}:" in plan and "," not in plan.split("ReadSchema: struct<")[1].split(">")[0]
+
+
+def test_publish_file_double_counts(spark, scratch):
+    import os
+    from sensorlake.operators.messages import publish
+    ev = spark.createDataFrame([("1", "7"), ("2", "8")], "id string, sensor_id string")
+    path = os.path.join(scratch, "bus")
+    assert publish(to_messages(ev), "json", {}, path) == 2
+    assert spark.read.json(path).count() == 2
