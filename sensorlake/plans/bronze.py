@@ -15,14 +15,16 @@ from sensorlake.streaming.sinks import run_available_now, start_append
 
 def load_archive(spark: SparkSession, landing: str, target: str, checkpoint: str,
                  schema_location: str, settings: config.Settings | None = None,
-                 max_files_per_trigger: int | None = 1000) -> StreamingQuery:
+                 max_files_per_trigger: int | None = 1000,
+                 new_days: list[str] | None = None) -> StreamingQuery:
     """Take every new archive file once into the bronze directory and stop.
 
-    The column list is the remembered one plus any header names new in the landing zone;
-    a rerun with no new file appends nothing (the checkpoint remembers the files taken).
+    The column list is the remembered one plus any header names new in ``new_days`` (the days
+    the fetch just landed; all days when None). A rerun with no new file appends nothing: the
+    checkpoint remembers the files taken.
     """
     s = settings or config.Settings()
-    columns = evolve_columns(spark, landing, schema_location, s.archive_separator)
+    columns = evolve_columns(spark, landing, schema_location, s.archive_separator, new_days)
     stream = read_archive(spark, landing, columns, s.archive_separator, streaming=True,
                           max_files_per_trigger=max_files_per_trigger)
     return run_available_now(stream, target, checkpoint, partition_by=["date"]

@@ -73,13 +73,18 @@ def read_archive(spark: SparkSession, path: str, columns: Sequence[str],
 
 
 def discover_columns(spark: SparkSession, path: str, sep: str = config.ARCHIVE_SEPARATOR,
-                     glob: str = "*.csv", known: Sequence[str] = ()) -> list[str]:
+                     glob: str = "*.csv", known: Sequence[str] = (),
+                     days: Sequence[str] | None = None) -> list[str]:
     """Column names found in the header lines of the landing zone, after ``known`` ones.
 
-    Only the distinct header names travel to the driver; their number is the schema width,
-    not the data size.
+    ``days`` restricts the scan to those ``date=`` folders (partition pruning), so a load of
+    newly fetched days reads only their files instead of the whole landing zone. Only the
+    distinct header names travel to the driver; their number is the schema width, not the
+    data size.
     """
     raw = _reader(spark, False, glob, None).load(path)
+    if days is not None and "date" in raw.columns:
+        raw = raw.where(F.col("date").cast("string").isin(*[str(d) for d in days]))
     names = (raw.select(F.explode(_header(sep)).alias("c"))
                 .where(F.length("c") > 0)
                 .distinct())
@@ -101,10 +106,15 @@ def save_schema_columns(spark: SparkSession, schema_location: str, columns: Sequ
 
 
 def evolve_columns(spark: SparkSession, landing: str, schema_location: str,
-                   sep: str = config.ARCHIVE_SEPARATOR) -> list[str]:
-    """Remembered columns plus any new header names, appended (``addNewColumns``)."""
+                   sep: str = config.ARCHIVE_SEPARATOR,
+                   days: Sequence[str] | None = None) -> list[str]:
+    """Remembered columns plus any new header names, appended (``addNewColumns``).
+
+    With ``days`` only the files of those days are inspected (the days a fetch just landed);
+    without, the whole landing zone is (first load, or a backfill).
+    """
     known = load_schema_columns(spark, schema_location)
-    cols = discover_columns(spark, landing, sep, known=known)
+    cols = discover_columns(spark, landing, sep, known=known, days=days)
     if cols != known:
         save_schema_columns(spark, schema_location, cols)
     return cols

@@ -78,3 +78,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize ``df`` in the shared checkpoint folder (reliable checkpoint): later stages
     re-read it instead of recomputing the whole lineage after an executor loss."""
     return df.checkpoint(eager=True)
+
+
+def compact(spark: SparkSession, path: str, partition_by: Sequence[str]) -> None:
+    """Rewrite a partitioned table into files of about the advisory partition size (many small
+    landed CSVs otherwise become many small bronze files).
+
+    The REBALANCE hint lets AQE split an oversized partition value (a hot day) into several
+    files written by several tasks and merge small ones; the rewrite goes through the staged
+    swap.
+    """
+    df = spark.read.option("mergeSchema", True).parquet(path)
+    replace_path(spark, df.hint("rebalance", *partition_by), path, partition_by)

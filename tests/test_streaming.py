@@ -147,3 +147,23 @@ def test_dedup_stream_within_watermark(spark, scratch):
     keys = batch.where(F.col("event_ts_utc").isNotNull()) \
         .select("sensor_id", "event_ts_utc", "value_type").distinct().count()
     assert spark.table("dedup_t").count() == keys
+
+
+def test_discovery_scoped_to_new_days(spark, scratch):
+    landing = os.path.join(scratch, "archive")
+    _landing(landing)
+    _write(os.path.join(landing, "date=2024-01-05", "x_sds011_sensor_3.csv"),
+           "sensor_id;timestamp;P1;brand_new\n3;2024-01-05T00:00:00;1;9\n")
+    assert "brand_new" not in discover_columns(spark, landing, days=["2024-01-02"])
+    assert "brand_new" in discover_columns(spark, landing, days=["2024-01-05"])
+
+
+def test_compact_keeps_rows(spark, scratch):
+    from sensorlake import tables
+    landing, target = os.path.join(scratch, "archive"), os.path.join(scratch, "bronze")
+    _landing(landing)
+    bronze.load_archive(spark, landing, target, os.path.join(scratch, "ck"), os.path.join(scratch, "sc"))
+    before = sorted(map(str, bronze.read_table(spark, target).drop("_ingested_at").collect()))
+    tables.compact(spark, target, ["date"])
+    after = sorted(map(str, bronze.read_table(spark, target).drop("_ingested_at").collect()))
+    assert before == after
