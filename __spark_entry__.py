@@ -23,7 +23,8 @@ from sensorlake.session import scratch_path  # noqa: E402
 from sensorlake.operators.joins import upsert  # noqa: E402
 from sensorlake.operators.messages import parse_events, to_messages  # noqa: E402
 from sensorlake.operators.reshape import unpivot_metrics  # noqa: E402
-from sensorlake.plans import adapters, bronze, dashboard, gold, manifest, ops, silver  # noqa: E402
+from sensorlake import tables  # noqa: E402
+from sensorlake.plans import adapters, bronze, dashboard, gold, incremental, manifest, ops, silver  # noqa: E402,E501
 from sensorlake.plans.registry import build_registry, live_events  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -210,6 +211,23 @@ def q_bronze_live_stream(spark, sf_dir):
     return bronze.read_table(spark, target).drop("_ingested_at")
 
 
+def q_readings_incremental(spark, sf_dir):
+    """Silver readings built in two arrival batches: the first fully, the second by rebuilding
+    only the event dates it touches (dynamic partition overwrite). Must equal a full rebuild."""
+    path = scratch_path(spark, "readings-incremental")
+    events = adapters.load(spark, sf_dir, "events")
+    cut = F.lit(adapters.LIVE_PHASE_B_FROM).cast("timestamp_ntz")
+    early, late = events.where(F.col("ts") < cut), events.where(F.col("ts") >= cut)
+    tables.replace_partitions(
+        incremental.full_readings(adapters.live_raw(early), adapters.archive_raw(early)),
+        path, [incremental.DATE_COL])
+    dates = incremental.touched_dates(adapters.live_raw(late), adapters.archive_raw(late))
+    rebuilt = incremental.readings_for_dates(adapters.live_raw(events), adapters.archive_raw(events),
+                                             dates)
+    tables.replace_partitions(rebuilt, path, [incremental.DATE_COL])
+    return spark.read.parquet(path)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "air_quality_daily": q_air_quality_daily,
     "air_quality_hourly": q_air_quality_hourly,
@@ -239,6 +257,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_counts": q_stage_counts,
     "bronze_archive_stream": q_bronze_archive_stream,
     "bronze_live_stream": q_bronze_live_stream,
+    "readings_incremental": q_readings_incremental,
 }
 
 

@@ -542,6 +542,7 @@ def all_sql() -> dict[str, str]:
         "stage_counts": STAGE_COUNTS,
         "bronze_archive_stream": BRONZE_ARCHIVE_STREAM,
         "bronze_live_stream": BRONZE_LIVE_STREAM,
+        "readings_incremental": READINGS_INCREMENTAL,
     }
 
 BRONZE_ARCHIVE_STREAM = "WITH " + _EV.strip() + "," + _ARCHIVE_RAW + """
@@ -579,3 +580,5 @@ SELECT '0' AS _source_partition, CAST(event_id AS VARCHAR) AS _source_offset,
 FROM env
 """
 
+
+READINGS_INCREMENTAL = SILVER + "SELECT *, CAST(event_ts_utc AS DATE) AS event_date FROM readings"

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake import config
+from sensorlake.operators.joins import dimension
 from sensorlake.plans.silver import clean_readings, dedup_readings, long_readings
 
 DATE_COL = "event_date"
@@ -35,7 +36,7 @@ def readings_for_dates(live_raw: DataFrame, archive_raw: DataFrame, dates: DataF
     """Silver readings of the given event dates only, with the ``event_date`` partition column."""
     s = settings or config.Settings()
     clean = _clean_long(live_raw, archive_raw, s).withColumn(DATE_COL, F.to_date("event_ts_utc"))
-    d = F.broadcast(dates.select(F.col(DATE_COL).alias("_d")))  # one row per day
+    d = dimension(dates.select(F.col(DATE_COL).alias("_d")))  # one row per day: checked, small
     scoped = (clean.join(d, clean[DATE_COL].eqNullSafe(d["_d"]), "left_semi"))
     return dedup_readings(scoped.drop(DATE_COL)).withColumn(DATE_COL, F.to_date("event_ts_utc"))
 
