@@ -40,13 +40,22 @@ def _header(sep: str) -> Column:
 
 def parse_archive_files(files: DataFrame, columns: Sequence[str], sep: str) -> DataFrame:
     """(value = whole file text, ...) -> one row per non-empty data line, one string column per
-    requested column (NULL when the file lacks it or the cell is empty)."""
-    lines = F.split(F.col("value"), r"\r?\n", -1)
+    requested column (NULL when the file lacks it or the cell is empty).
+
+    Header and body are computed per file in projections *below* the explode; an expression in
+    the same select as a generator is evaluated after it, i.e. once per line, which would re-split
+    the whole file for every line.
+    """
     extra = [c for c in files.columns if c != "value"]
-    rows = (files
-            .select(*extra, _header(sep).alias(HEADER),
-                    F.explode(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))))
-                     .alias("_line"))
+    per_file = (files
+                .select(*extra, F.split(F.col("value"), r"\r?\n", -1).alias("_lines"))
+                .select(*extra,
+                        F.transform(_split(F.element_at("_lines", 1), sep),
+                                    lambda h: F.trim(h)).alias(HEADER),
+                        F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(1)))
+                         .alias("_body")))
+    rows = (per_file
+            .select(*extra, HEADER, F.explode("_body").alias("_line"))
             .where(F.length("_line") > 0)
             .withColumn("_cells", _split(F.col("_line"), sep)))
     cells = []
