@@ -20,9 +20,16 @@ _W = "_winner"
 
 
 def _payload(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> list[Column]:
-    order_cols = [F.col(o).alias(f"_o{i}") if isinstance(o, str) else o.alias(f"_o{i}")
+    """Order fields first, then every other non-key column once.
+
+    A plain column name in ``order`` is carried under its own name; an expression gets an
+    ``_oN`` field. So the struct holds each column once and the buffers stay as narrow as the
+    row itself.
+    """
+    named = [o for o in order if isinstance(o, str)]
+    order_cols = [F.col(o) if isinstance(o, str) else o.alias(f"_o{i}")
                   for i, o in enumerate(order)]
-    rest = [F.col(c) for c in df.columns if c not in keys]
+    rest = [F.col(c) for c in df.columns if c not in keys and c not in named]
     return order_cols + rest
 
 

@@ -46,8 +46,15 @@ def replace_path(spark: SparkSession, df: DataFrame, path: str,
         fs.delete(old, True)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Overwrite only the partitions present in ``df`` (others stay untouched)."""
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
+                       rebalance: bool = True) -> None:
+    """Overwrite only the partitions present in ``df`` (others stay untouched).
+
+    ``rebalance`` groups rows of a partition value into few, advisory-sized files (AQE splits a
+    hot value over several tasks) instead of one small file per upstream task and value.
+    """
+    if rebalance:
+        df = df.hint("rebalance", *partition_by)
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).parquet(path))
 
