@@ -312,7 +312,8 @@ def write_archive_landing(events: DataFrame, landing: str) -> None:
     particle = arch.where(F.col("sensor_type") == "SDS011").select(*PARTICLE_COLUMNS, "date")
     climate = arch.where(F.col("sensor_type") == "BME280").select(*CLIMATE_COLUMNS, "date")
     for part in (particle, climate):
-        (part.write.mode("append").partitionBy("date")
+        # Files stay small (one whole file is one row when read back): at most 50,000 lines.
+        (part.write.mode("append").partitionBy("date").option("maxRecordsPerFile", 50_000)
              .option("header", True).option("sep", config.ARCHIVE_SEPARATOR).csv(landing))
 
 

@@ -18,9 +18,12 @@ from sensorlake import config
 from sensorlake.operators.dedup import keep_least
 
 
-def day_range(start: str, end: str) -> tuple[dt.date, dt.date]:
-    """Inclusive range of days; an end before the start is an error (FLT-8)."""
-    s, e = dt.date.fromisoformat(start), dt.date.fromisoformat(end)
+def day_range(start: str | None = None, end: str | None = None) -> tuple[dt.date, dt.date]:
+    """Inclusive range of days, both defaulting to yesterday (UTC); an end before the start is
+    an error (FLT-8, DT-5)."""
+    yesterday = (dt.datetime.now(dt.timezone.utc) - dt.timedelta(days=1)).date()
+    s = dt.date.fromisoformat(start) if start else yesterday
+    e = dt.date.fromisoformat(end) if end else yesterday
     if e < s:
         raise ValueError("end date cannot be before start date")
     return s, e
@@ -34,7 +37,7 @@ def archive_links(listings: DataFrame) -> DataFrame:
 
 
 def select_files(listings: DataFrame, registry: DataFrame, landed: DataFrame,
-                 start: str, end: str,
+                 start: str | None = None, end: str | None = None,
                  sensor_types: Sequence[str] = config.ALLOWED_SENSOR_TYPES,
                  cap: int | None = None) -> DataFrame:
     """Manifest of archive files to fetch: (day, file_name, sensor_id, dest_path, status).
@@ -43,6 +46,7 @@ def select_files(listings: DataFrame, registry: DataFrame, landed: DataFrame,
     * ``registry``: any frame with ``sensor_id``; ``landed``: (day, file_name, length).
     * ``cap``: at most this many files per day, in listing order, before landed files are
       skipped (the cap counts skipped files too).
+    * An empty registry is an error, raised before any selection (Q30).
 
     A file listed more than once on a day appears once, at its first position.
     """
@@ -59,6 +63,8 @@ def select_files(listings: DataFrame, registry: DataFrame, landed: DataFrame,
              .withColumn("sensor_id", F.regexp_extract("file_name", config.ARCHIVE_FILE_PATTERN, 1))
              .where(F.col("sensor_id") != ""))
     known = registry.select("sensor_id").where(F.col("sensor_id").isNotNull())
+    if known.isEmpty():  # reads at most one row
+        raise ValueError("the device registry holds no sensor; build it before selecting files")
     links = links.join(known, "sensor_id", "left_semi")
     files = keep_least(links.select("day", "file_name", "pos", "link_idx", "sensor_id"),
                        ["day", "file_name"], ["pos", "link_idx"])

@@ -167,3 +167,20 @@ def test_compact_keeps_rows(spark, scratch):
     tables.compact(spark, target, ["date"])
     after = sorted(map(str, bronze.read_table(spark, target).drop("_ingested_at").collect()))
     assert before == after
+
+
+def test_live_fixed_interval_trigger(spark, scratch):
+    import time
+    bus, target, ckpt = (os.path.join(scratch, x) for x in ("bus", "live", "ckpt"))
+    _bus_file(os.path.join(bus, "a.json"), [(0, 1, json.dumps({"id": "1", "sensor_id": "7", "P1": 3}))])
+    s = config.Settings(live_trigger_interval="1 second")
+    q = bronze.load_live(spark, "json", {}, target, ckpt, path=bus, settings=s)
+    try:
+        assert q.name == "sensor_live_raw"
+        deadline = time.time() + 60
+        while time.time() < deadline and not q.recentProgress:
+            time.sleep(0.5)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert bronze.read_table(spark, target).count() == 1

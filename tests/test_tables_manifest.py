@@ -102,3 +102,16 @@ def test_cut_lineage_uses_shared_checkpoint(spark):
     df = tables.cut_lineage(spark.range(3))
     assert df.count() == 3
     assert spark.conf.get("spark.checkpoint.dir")
+
+
+def test_day_range_defaults_to_yesterday():
+    s, e = manifest.day_range()
+    assert s == e == (dt.datetime.now(dt.timezone.utc) - dt.timedelta(days=1)).date()
+    assert manifest.day_range("2024-01-01", "2024-01-03") == (D1, dt.date(2024, 1, 3))
+
+
+def test_manifest_rejects_empty_registry(spark):
+    reg = spark.createDataFrame([], "sensor_id string")
+    landed = spark.createDataFrame([], "day date, file_name string, length long")
+    with pytest.raises(ValueError, match="registry"):
+        manifest.select_files(_listing(spark), reg, landed, "2024-01-01", "2024-01-02")
