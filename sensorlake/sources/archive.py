@@ -5,6 +5,9 @@ header lines (different order and width). A CSV reader with one schema maps ever
 position and silently misplaces columns, so each file is read whole and every data line is
 matched to *its own* header: the value of column ``c`` is the cell at the position of ``c`` in
 that file's first line. A file is one sensor-day, so a whole file per row stays small.
+
+For large files (a whole file must not become one row) ``read_archive_by_type`` uses Spark's
+splittable CSV reader once per header group (file-name glob), each with its own header.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorlake import config
 
@@ -127,3 +131,46 @@ def evolve_columns(spark: SparkSession, landing: str, schema_location: str,
     if cols != known:
         save_schema_columns(spark, schema_location, cols)
     return cols
+
+
+def group_header(spark: SparkSession, path: str, glob: str,
+                 sep: str = config.ARCHIVE_SEPARATOR) -> list[str]:
+    """Header of a file group: the first line of the first file matching ``glob``.
+
+    A file split always starts at a file's first byte, so the first line of the first split is
+    a header line. One row reaches the driver.
+    """
+    first = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", False)
+             .text(path).limit(1).collect())
+    if not first:
+        return []
+    return [h.strip() for h in first[0]["value"].rstrip("\r").split(sep)]
+
+
+def read_archive_by_type(spark: SparkSession, path: str, groups: dict[str, Sequence[str] | None],
+                         sep: str = config.ARCHIVE_SEPARATOR, *, streaming: bool = False,
+                         max_files_per_trigger: int | None = None,
+                         source: str = config.ARCHIVE_SOURCE) -> DataFrame:
+    """Large-file route: Spark's splittable CSV reader, one read per header group.
+
+    ``groups`` maps a file-name glob (e.g. ``"*_sds011_*.csv"``) to its header columns, or to
+    None to take them from the group's first file. ``enforceSchema=false`` checks every file's
+    header against the group's columns, so a file with another header fails the job instead
+    of being read by position. The groups are unioned by name (columns a group lacks are NULL).
+    """
+    out = None
+    for glob, cols in groups.items():
+        cols = list(cols) if cols else group_header(spark, path, glob, sep)
+        if not cols:
+            continue
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+        r = (spark.readStream if streaming else spark.read).format("csv").schema(schema)
+        r = (r.option("header", True).option("sep", sep).option("enforceSchema", False)
+              .option("pathGlobFilter", glob).option("mode", "PERMISSIVE"))
+        if streaming and max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+        df = r.load(path).withColumn("_source_file_name", F.col("_metadata.file_path"))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        raise ValueError("no archive file matches the given groups")
+    return out.withColumns({"_source": F.lit(source), "_ingested_at": F.current_timestamp()})

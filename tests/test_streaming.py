@@ -184,3 +184,28 @@ def test_live_fixed_interval_trigger(spark, scratch):
     finally:
         q.stop()
     assert bronze.read_table(spark, target).count() == 1
+
+
+def test_archive_by_type_matches_whole_file_route(spark, scratch):
+    from sensorlake.sources.archive import read_archive_by_type
+    landing = os.path.join(scratch, "archive")
+    _landing(landing)
+    groups = {"*_sds011_*.csv": None, "*_bme280_*.csv": None}
+    typed = read_archive_by_type(spark, landing, groups)
+    cols = ["sensor_id", "timestamp", "P1", "P2", "temperature", "humidity", "pressure", "lon"]
+    whole = read_archive(spark, landing, cols)
+    key = lambda df: sorted(tuple(r) for r in df.select(*cols, F.col("date").cast("string")).collect())
+    assert key(typed) == key(whole)
+    assert "altitude" in typed.columns and "durP1" in typed.columns
+
+
+def test_archive_by_type_rejects_other_header(spark, scratch):
+    import pytest
+    from sensorlake.sources.archive import read_archive_by_type
+    landing = os.path.join(scratch, "archive")
+    _landing(landing)
+    _write(os.path.join(landing, "date=2024-01-03", "z_sds011_sensor_4.csv"),
+           "timestamp;sensor_id;P1\n2024-01-03T00:00:00;4;1\n")
+    df = read_archive_by_type(spark, landing, {"*_sds011_*.csv": list(PARTICLE.strip().split(";"))})
+    with pytest.raises(Exception):
+        df.collect()
