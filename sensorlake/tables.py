@@ -93,7 +93,11 @@ def compact(spark: SparkSession, path: str, partition_by: Sequence[str]) -> None
 
     The REBALANCE hint lets AQE split an oversized partition value (a hot day) into several
     files written by several tasks and merge small ones; the rewrite goes through the staged
-    swap.
+    swap. Only for batch-written tables: a streaming sink directory is refused.
     """
+    if path_exists(spark, f"{path.rstrip('/')}/_spark_metadata"):
+        # A streaming file sink lists its files in this log; a rewrite would orphan it and the
+        # next micro-batch would start a new log that hides the rewritten files from readers.
+        raise ValueError("refusing to compact a streaming sink directory; compact a copy")
     df = spark.read.option("mergeSchema", True).parquet(path)
     replace_path(spark, df.hint("rebalance", *partition_by), path, partition_by)

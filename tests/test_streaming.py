@@ -158,14 +158,19 @@ def test_discovery_scoped_to_new_days(spark, scratch):
     assert "brand_new" in discover_columns(spark, landing, days=["2024-01-05"])
 
 
-def test_compact_keeps_rows(spark, scratch):
+def test_compact_keeps_rows_and_refuses_stream_sinks(spark, scratch):
+    import pytest
     from sensorlake import tables
     landing, target = os.path.join(scratch, "archive"), os.path.join(scratch, "bronze")
     _landing(landing)
     bronze.load_archive(spark, landing, target, os.path.join(scratch, "ck"), os.path.join(scratch, "sc"))
-    before = sorted(map(str, bronze.read_table(spark, target).drop("_ingested_at").collect()))
-    tables.compact(spark, target, ["date"])
-    after = sorted(map(str, bronze.read_table(spark, target).drop("_ingested_at").collect()))
+    with pytest.raises(ValueError):
+        tables.compact(spark, target, ["date"])
+    copy = os.path.join(scratch, "copy")
+    tables.replace_partitions(bronze.read_table(spark, target), copy, ["date"], rebalance=False)
+    before = sorted(map(str, spark.read.parquet(copy).collect()))
+    tables.compact(spark, copy, ["date"])
+    after = sorted(map(str, spark.read.parquet(copy).collect()))
     assert before == after
 
 
