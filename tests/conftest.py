@@ -14,10 +14,9 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    ckpt = tempfile.mkdtemp(prefix="sensorlake-test-ckpt-")
-    s = build_session("local[4]", app="sensorlake-tests", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt,
-                             "spark.sql.streaming.schemaInference": "false"})
+    # spark.checkpoint.dir comes from the environment when set; build_session picks a scratch
+    # folder of its own only when it is unset.
+    s = build_session("local[4]", app="sensorlake-tests", shuffle_partitions=4)
     yield s
     s.stop()
 
