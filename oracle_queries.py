@@ -332,7 +332,7 @@ SELECT sensor_id AS key,
        to_json({'id': id, 'timestamp': "timestamp", 'sensor_id': sensor_id,
                 'sensor_type': sensor_type, 'location_id': location_id, 'latitude': latitude,
                 'longitude': longitude, 'country': country, 'P1': "P1", 'P2': "P2",
-                'temperature': temperature, 'humidity': humidity, 'pressure': pressure}) AS value
+                'temperature': temperature, 'humidity': humidity, 'pressure': pressure})::VARCHAR AS value
 FROM normalized
 """
 
@@ -444,7 +444,8 @@ health AS (
   SELECT d.country, count(DISTINCT r.sensor_id) AS active_sensors, max(r.event_ts_utc) AS last_seen
   FROM readings r JOIN devices d ON r.sensor_id = d.sensor_id GROUP BY d.country
 )
-SELECT g.r_name AS region, sum(h.active_sensors) AS active_sensors, max(h.last_seen) AS last_seen,
+SELECT g.r_name AS region, CAST(sum(h.active_sensors) AS BIGINT) AS active_sensors,
+       max(h.last_seen) AS last_seen,
        count(*) AS n_countries
 FROM health h LEFT JOIN (SELECT n.n_name, r.r_name FROM nation n
                          LEFT JOIN region r ON n.n_regionkey = r.r_regionkey) g
