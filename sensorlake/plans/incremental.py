@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake import config
-from sensorlake.operators.joins import dimension
 from sensorlake.plans.silver import clean_readings, dedup_readings, long_readings
 
 DATE_COL = "event_date"
@@ -31,13 +30,29 @@ def touched_dates(new_live: DataFrame, new_archive: DataFrame,
             .select(F.to_date("event_ts_utc").alias(DATE_COL)).distinct())
 
 
+MAX_LISTED_DATES = 100_000  # ~270 years of days: beyond this the dates stay a distributed frame
+
+
 def readings_for_dates(live_raw: DataFrame, archive_raw: DataFrame, dates: DataFrame,
                        settings: config.Settings | None = None) -> DataFrame:
-    """Silver readings of the given event dates only, with the ``event_date`` partition column."""
+    """Silver readings of the given event dates only, with the ``event_date`` partition column.
+
+    The touched dates are one row per day, so up to ``MAX_LISTED_DATES`` of them are taken as a
+    literal list (one small job, read at most that many rows) and become a plain ``IN`` filter;
+    more than that falls back to a semi-join against the distributed frame.
+    """
     s = settings or config.Settings()
     clean = _clean_long(live_raw, archive_raw, s).withColumn(DATE_COL, F.to_date("event_ts_utc"))
-    d = dimension(dates.select(F.col(DATE_COL).alias("_d")))  # one row per day: checked, small
-    scoped = (clean.join(d, clean[DATE_COL].eqNullSafe(d["_d"]), "left_semi"))
+    listed = [r[0] for r in dates.select(DATE_COL).limit(MAX_LISTED_DATES + 1).collect()]
+    if len(listed) <= MAX_LISTED_DATES:
+        days = [d for d in listed if d is not None]
+        cond = F.col(DATE_COL).isin(*days) if days else F.lit(False)
+        if len(days) < len(listed):
+            cond = cond | F.col(DATE_COL).isNull()
+        scoped = clean.where(cond)
+    else:
+        d = dates.select(F.col(DATE_COL).alias("_d"))
+        scoped = clean.join(d, clean[DATE_COL].eqNullSafe(d["_d"]), "left_semi")
     return dedup_readings(scoped.drop(DATE_COL)).withColumn(DATE_COL, F.to_date("event_ts_utc"))
 
 
