@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import config
+from sensorlake.sources import ensure_parallelism
 from sensorlake.plans.registry import build_registry
 from sensorlake.plans.silver import silver_devices, silver_readings
 
@@ -41,7 +42,7 @@ REGISTRY_INGESTED_AT = "2024-02-01 00:00:00"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return ensure_parallelism(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _k() -> Column:
@@ -312,8 +313,10 @@ def write_archive_landing(events: DataFrame, landing: str) -> None:
     particle = arch.where(F.col("sensor_type") == "SDS011").select(*PARTICLE_COLUMNS, "date")
     climate = arch.where(F.col("sensor_type") == "BME280").select(*CLIMATE_COLUMNS, "date")
     for part in (particle, climate):
-        # Files stay small (one whole file is one row when read back): at most 50,000 lines.
-        (part.write.mode("append").partitionBy("date").option("maxRecordsPerFile", 50_000)
+        # Few files per day (AQE splits a large day over several writers), and each file stays
+        # small, at most 50,000 lines: one whole file is one row when read back.
+        (part.hint("rebalance", "date").write.mode("append").partitionBy("date")
+             .option("maxRecordsPerFile", 50_000)
              .option("header", True).option("sep", config.ARCHIVE_SEPARATOR).csv(landing))
 
 
