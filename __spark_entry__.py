@@ -192,7 +192,8 @@ def q_bronze_archive_stream(spark, sf_dir):
     landing, target = f"{root}/landing", f"{root}/bronze"
     adapters.write_archive_landing(adapters.load(spark, sf_dir, "events"), landing)
     for _ in range(2):
-        bronze.load_archive(spark, landing, target, f"{root}/checkpoint", f"{root}/schema")
+        bronze.load_archive_single_pass(spark, landing, target, f"{root}/checkpoint",
+                                        f"{root}/schema")
     cols = list(dict.fromkeys(adapters.PARTICLE_COLUMNS + adapters.CLIMATE_COLUMNS))
     return (bronze.read_table(spark, target)
             .select(*cols, F.col("date").cast("string").alias("date"), "_source"))

@@ -8,7 +8,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake import config, schemas
 from sensorlake.operators.messages import parse_events
-from sensorlake.sources.archive import evolve_columns, read_archive
+from sensorlake.sources.archive import (
+    HEADER,
+    archive_file_stream,
+    archive_lines,
+    cells_to_columns,
+    evolve_columns,
+    load_schema_columns,
+    read_archive,
+    save_schema_columns,
+)
 from sensorlake.sources.bus import read_bus
 from sensorlake.streaming.sinks import run_available_now, start_append
 
@@ -59,3 +68,44 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def add_provenance(df: DataFrame, source: str) -> DataFrame:
     return df.withColumns({"_source": F.lit(source), "_ingested_at": F.current_timestamp()})
+
+
+def load_archive_single_pass(spark: SparkSession, landing: str, target: str, checkpoint: str,
+                             schema_location: str, settings: config.Settings | None = None,
+                             max_files_per_trigger: int | None = 1000) -> StreamingQuery:
+    """Drain-and-stop archive load that reads every new file once.
+
+    Each micro-batch is cached, its distinct header names (bounded by the schema width) extend
+    the remembered column list, and the batch is written with every remembered column to
+    ``target/load_batch=<id>``. Rewriting that folder on a retried batch keeps the load
+    idempotent; the checkpoint keeps every file taken exactly once. New columns appear in the
+    same run that first sees them; readers merge schemas.
+    """
+    s = settings or config.Settings()
+    raw = archive_file_stream(spark, landing, max_files_per_trigger)
+    files = raw.select("*", F.col("_metadata.file_path").alias("_source_file_name"))
+    lines = archive_lines(files, s.archive_separator)
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            known = load_schema_columns(spark, schema_location)
+            names = [r[0] for r in batch.select(F.explode(HEADER).alias("c"))
+                                         .where(F.length("c") > 0).distinct().collect()]
+            new = sorted(set(names) - set(known))
+            cols = known + new
+            if new:
+                save_schema_columns(spark, schema_location, cols)
+            out = add_provenance(cells_to_columns(batch, cols), config.ARCHIVE_SOURCE)
+            dest = f"{target.rstrip('/')}/load_batch={batch_id}"
+            w = out.write.mode("overwrite")
+            if "date" in out.columns:
+                w = w.partitionBy("date")
+            w.parquet(dest)
+        finally:
+            batch.unpersist()
+
+    q = (lines.writeStream.foreachBatch(write_batch)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from sensorlake import config
 
 HEADER = "_header"
+CELLS = "_cells"
 
 
 def _reader(spark: SparkSession, streaming: bool, glob: str, max_files: int | None):
@@ -33,6 +34,12 @@ def _reader(spark: SparkSession, streaming: bool, glob: str, max_files: int | No
     return r
 
 
+def archive_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                        glob: str = "*.csv") -> DataFrame:
+    """New landing files as a stream of whole-file rows (each file taken once per checkpoint)."""
+    return _reader(spark, True, glob, max_files_per_trigger).load(path)
+
+
 def _split(c: Column, sep: str) -> Column:
     return F.split(c, re.escape(sep), -1)
 
@@ -42,9 +49,9 @@ def _header(sep: str) -> Column:
     return F.transform(_split(F.element_at(lines, 1), sep), lambda h: F.trim(h))
 
 
-def parse_archive_files(files: DataFrame, columns: Sequence[str], sep: str) -> DataFrame:
-    """(value = whole file text, ...) -> one row per non-empty data line, one string column per
-    requested column (NULL when the file lacks it or the cell is empty).
+def archive_lines(files: DataFrame, sep: str) -> DataFrame:
+    """(value = whole file text, ...) -> one row per non-empty data line with that file's header
+    (``_header``) and the line's cells (``_cells``).
 
     Header and body are computed per file in projections *below* the explode; an expression in
     the same select as a generator is evaluated after it, i.e. once per line, which would re-split
@@ -58,16 +65,26 @@ def parse_archive_files(files: DataFrame, columns: Sequence[str], sep: str) -> D
                                     lambda h: F.trim(h)).alias(HEADER),
                         F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(1)))
                          .alias("_body")))
-    rows = (per_file
+    return (per_file
             .select(*extra, HEADER, F.explode("_body").alias("_line"))
             .where(F.length("_line") > 0)
-            .withColumn("_cells", _split(F.col("_line"), sep)))
+            .select(*extra, HEADER, _split(F.col("_line"), sep).alias(CELLS)))
+
+
+def cells_to_columns(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Header-keyed cells -> one string column per requested name (NULL if absent or empty)."""
+    extra = [c for c in lines.columns if c not in (HEADER, CELLS)]
     cells = []
     for c in columns:
         pos = F.array_position(HEADER, F.lit(c)).cast("int")
-        cell = F.when(pos > 0, F.try_element_at("_cells", pos))
+        cell = F.when(pos > 0, F.try_element_at(CELLS, pos))
         cells.append(F.nullif(cell, F.lit("")).alias(c))
-    return rows.select(*cells, *extra)
+    return lines.select(*cells, *extra)
+
+
+def parse_archive_files(files: DataFrame, columns: Sequence[str], sep: str) -> DataFrame:
+    """(value = whole file text, ...) -> one row per data line, one column per requested name."""
+    return cells_to_columns(archive_lines(files, sep), columns)
 
 
 def read_archive(spark: SparkSession, path: str, columns: Sequence[str],

@@ -216,3 +216,22 @@ def test_archive_by_type_rejects_other_header(spark, scratch):
     df = read_archive_by_type(spark, landing, {"*_sds011_*.csv": list(PARTICLE.strip().split(";"))})
     with pytest.raises(Exception):
         df.collect()
+
+
+def test_single_pass_archive_load(spark, scratch):
+    landing, target = os.path.join(scratch, "archive"), os.path.join(scratch, "bronze")
+    ckpt, schema_loc = os.path.join(scratch, "ckpt"), os.path.join(scratch, "schema")
+    _landing(landing)
+    bronze.load_archive_single_pass(spark, landing, target, ckpt, schema_loc)
+    bronze.load_archive_single_pass(spark, landing, target, ckpt, schema_loc)   # nothing new
+    t = bronze.read_table(spark, target)
+    assert t.count() == 3 and "altitude" in t.columns
+    _write(os.path.join(landing, "date=2024-01-03", "2024-01-03_sds011_sensor_11.csv"),
+           "sensor_id;timestamp;P1;P2;noise\n11;2024-01-03T00:00:00;1;2;77\n")
+    bronze.load_archive_single_pass(spark, landing, target, ckpt, schema_loc)
+    t = bronze.read_table(spark, target)
+    assert t.count() == 4 and t.where(F.col("noise") == "77").count() == 1
+    cols = ["sensor_id", "timestamp", "P1", "P2", "temperature", "pressure"]
+    whole = read_archive(spark, landing, cols)
+    key = lambda df: sorted(tuple(r) for r in df.select(*cols, F.col("date").cast("string")).collect())
+    assert key(t) == key(whole)
