@@ -300,3 +300,41 @@ def test_publish_file_double_counts(spark, scratch):
     path = os.path.join(scratch, "bus")
     assert publish(to_messages(ev), "json", {}, path) == 2
     assert spark.read.json(path).count() == 2
+
+
+def test_api_records_fixture_cases(spark, scratch):
+    import json
+    import os
+    from sensorlake.plans.registry import live_events
+    from sensorlake.sources.bus import read_api_records
+    recs = [
+        {"id": 1, "timestamp": "2024-01-01 00:00:00",
+         "sensor": {"id": 10, "sensor_type": {"name": "DHT22"}},
+         "location": {"id": 5, "latitude": "50.1", "longitude": "30.2", "country": "ua"},
+         "sensordatavalues": [{"value_type": "P1", "value": "1"}]},
+        {"id": 2, "timestamp": "2024-01-01 00:01:00",
+         "sensor": {"id": 10, "sensor_type": {"name": "SDS011"}},
+         "location": {"id": 6, "latitude": 50.5, "longitude": 30.5, "country": "ua"},
+         "sensordatavalues": [{"value_type": "P1", "value": "1"}, {"value_type": "P1", "value": "2"},
+                              {"value_type": "", "value": "9"}, {"value": "8"},
+                              {"value_type": "noise", "value": "7"}]},
+        {"id": 3, "timestamp": "2024-01-01 00:02:00",
+         "sensor": {"id": 11, "sensor_type": {"name": "BME280"}},
+         "location": {"id": 7, "latitude": "1", "longitude": "2", "country": "PL", "indoor": None},
+         "sensordatavalues": []},
+        {"id": 4, "timestamp": "2024-01-01 00:03:00", "sensor": None,
+         "location": {"id": 8, "country": "DE", "indoor": 1}},
+    ]
+    path = os.path.join(scratch, "api")
+    os.makedirs(path)
+    with open(os.path.join(path, "r.json"), "w") as f:
+        json.dump(recs, f)
+    records = read_api_records(spark, path)
+    reg = {r["sensor_id"]: r for r in build_registry(records).collect()}
+    assert set(reg) == {"10", "11"}
+    assert reg["10"]["location_id"] == "6" and reg["10"]["indoor"] == "0"      # absent -> "0"
+    assert reg["10"]["lat"] == "50.5"                                           # number as text
+    assert reg["11"]["indoor"] is None                                          # null stays NULL
+    flat = {r["id"]: r for r in live_events(records).collect()}
+    assert flat["2"]["P1"] == "2" and flat["2"]["P2"] is None                  # last wins
+    assert flat["4"]["sensor_id"] is None and flat["4"]["country"] == "DE"    # no sensor object
