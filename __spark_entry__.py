@@ -20,6 +20,8 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle_queries  # noqa: E402
 from sensorlake import config, schemas  # noqa: E402
 from sensorlake.session import scratch_path  # noqa: E402
+from sensorlake.streaming import live as live_stream  # noqa: E402
+from sensorlake.streaming.sinks import start_upsert  # noqa: E402
 from sensorlake.operators.joins import upsert  # noqa: E402
 from sensorlake.operators.messages import parse_events, to_messages  # noqa: E402
 from sensorlake.operators.reshape import unpivot_metrics  # noqa: E402
@@ -229,6 +231,37 @@ def q_readings_incremental(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def _live_bronze_stream(spark, sf_dir, root):
+    """Live bronze rows of the test data landed as parquet files, read back as a file stream."""
+    src = f"{root}/bronze-live"
+    adapters.live_raw(adapters.load(spark, sf_dir, "events")).write.parquet(src)
+    return spark.readStream.schema(spark.read.parquet(src).schema) \
+        .option("maxFilesPerTrigger", 2).parquet(src)
+
+
+def q_live_pm_trend_stream(spark, sf_dir):
+    """DSH-2 on Structured Streaming: hourly PM averages over the live stream, kept current in
+    a result table by a keyed upsert sink. The watermark covers the replayed month."""
+    root = scratch_path(spark, "live-pm-trend")
+    readings = live_stream.live_readings(_live_bronze_stream(spark, sf_dir, root))
+    trend = live_stream.stream_pm_trend(readings, "1 hour", watermark="31 days")
+    q = start_upsert(trend, f"{root}/result", ["window_start", "value_type"],
+                     f"{root}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return _round(spark.read.parquet(f"{root}/result"), "avg_value")
+
+
+def q_latest_by_sensor_stream(spark, sf_dir):
+    """DSH-3 on Structured Streaming: latest PM reading per sensor and metric (max_by state)."""
+    root = scratch_path(spark, "latest-by-sensor")
+    readings = live_stream.live_readings(_live_bronze_stream(spark, sf_dir, root))
+    latest = live_stream.stream_latest_by_sensor(readings)
+    q = start_upsert(latest, f"{root}/result", ["sensor_id", "value_type"],
+                     f"{root}/checkpoint", available_now=True)
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/result")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "air_quality_daily": q_air_quality_daily,
     "air_quality_hourly": q_air_quality_hourly,
@@ -259,6 +292,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_archive_stream": q_bronze_archive_stream,
     "bronze_live_stream": q_bronze_live_stream,
     "readings_incremental": q_readings_incremental,
+    "live_pm_trend_stream": q_live_pm_trend_stream,
+    "latest_by_sensor_stream": q_latest_by_sensor_stream,
 }
 
 

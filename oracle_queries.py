@@ -544,6 +544,8 @@ def all_sql() -> dict[str, str]:
         "bronze_archive_stream": BRONZE_ARCHIVE_STREAM,
         "bronze_live_stream": BRONZE_LIVE_STREAM,
         "readings_incremental": READINGS_INCREMENTAL,
+        "live_pm_trend_stream": LIVE_PM_TREND_STREAM,
+        "latest_by_sensor_stream": LATEST_BY_SENSOR_STREAM,
     }
 
 BRONZE_ARCHIVE_STREAM = "WITH " + _EV.strip() + "," + _ARCHIVE_RAW + """
@@ -583,3 +585,38 @@ FROM env
 
 
 READINGS_INCREMENTAL = SILVER + "SELECT *, CAST(event_ts_utc AS DATE) AS event_date FROM readings"
+
+_LIVE_CLEAN = SILVER.rstrip() + """,
+live_clean AS (
+  SELECT * FROM (
+    SELECT sensor_id,
+           TRY_CAST(replace(replace("timestamp", '''', ''), '"', '') AS TIMESTAMP) AS event_ts_utc,
+           value_type, value, TRY_CAST(latitude AS DOUBLE) AS latitude,
+           TRY_CAST(longitude AS DOUBLE) AS longitude
+    FROM live_long)
+  WHERE NOT isnan(value) AND (latitude IS NULL OR NOT isnan(latitude))
+    AND (longitude IS NULL OR NOT isnan(longitude))
+)
+"""
+
+LIVE_PM_TREND_STREAM = _LIVE_CLEAN + """
+SELECT date_trunc('hour', event_ts_utc) AS window_start,
+       date_trunc('hour', event_ts_utc) + INTERVAL 1 HOUR AS window_end,
+       value_type, round(avg(value), 6) AS avg_value, count(*) AS n_readings
+FROM live_clean WHERE value_type IN ('P1', 'P2') AND event_ts_utc IS NOT NULL
+GROUP BY date_trunc('hour', event_ts_utc), value_type
+"""
+
+LATEST_BY_SENSOR_STREAM = _LIVE_CLEAN + """
+SELECT sensor_id, value_type, event_ts_utc, value, latitude, longitude,
+       CASE WHEN value IS NULL THEN NULL
+            WHEN value_type = 'P1' THEN CASE WHEN value <= 20 THEN 'good' WHEN value <= 50 THEN 'moderate'
+                                             WHEN value <= 100 THEN 'poor' ELSE 'very_poor' END
+            WHEN value_type = 'P2' THEN CASE WHEN value <= 10 THEN 'good' WHEN value <= 25 THEN 'moderate'
+                                             WHEN value <= 50 THEN 'poor' ELSE 'very_poor' END
+       END AS level
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sensor_id, value_type
+                                   ORDER BY event_ts_utc DESC) AS rn
+      FROM live_clean WHERE value_type IN ('P1', 'P2') AND event_ts_utc IS NOT NULL)
+WHERE rn = 1
+"""

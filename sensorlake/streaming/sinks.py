@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from sensorlake import tables
+
 
 def start_append(df: DataFrame, path: str, checkpoint: str, *, trigger: str | None = None,
                  available_now: bool = False, name: str | None = None,
@@ -34,3 +36,31 @@ def run_available_now(df: DataFrame, path: str, checkpoint: str, **kw) -> Stream
     q = start_append(df, path, checkpoint, available_now=True, **kw)
     q.awaitTermination()
     return q
+
+
+def start_upsert(df: DataFrame, path: str, keys: list[str], checkpoint: str, *,
+                 trigger: str | None = None, available_now: bool = False,
+                 name: str | None = None) -> StreamingQuery:
+    """Keep a small result table current from an ``update``-mode aggregation stream.
+
+    Each micro-batch carries the new values of the keys it changed; they are upserted into the
+    parquet table at ``path`` by ``keys`` (staged swap). Replaying a batch after a failure
+    upserts the same values again, so the table stays exact. Meant for dashboard-sized results
+    (windows x metrics, sensors x metrics), not for fact tables.
+    """
+    spark = df.sparkSession
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        tables.upsert_path(spark, batch, path, keys, batch.schema)
+
+    w = (df.writeStream.outputMode("update").foreachBatch(write_batch)
+           .option("checkpointLocation", checkpoint))
+    if name:
+        w = w.queryName(name)
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger:
+        w = w.trigger(processingTime=trigger)
+    return w.start()
