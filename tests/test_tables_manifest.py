@@ -115,3 +115,9 @@ def test_manifest_rejects_empty_registry(spark):
     landed = spark.createDataFrame([], "day date, file_name string, length long")
     with pytest.raises(ValueError, match="registry"):
         manifest.select_files(_listing(spark), reg, landed, "2024-01-01", "2024-01-02")
+
+
+def test_ensure_database_is_idempotent(spark):
+    tables.ensure_database(spark, "sensorlake_silver_t")
+    tables.ensure_database(spark, "sensorlake_silver_t")
+    assert spark.catalog.databaseExists("sensorlake_silver_t")
