@@ -78,3 +78,57 @@ class Settings:
     files_per_day_cap: int | None = None
     drop_infinite: bool = False
     max_broadcast_rows: int = MAX_BROADCAST_ROWS
+
+
+def settings_from_mapping(cfg: dict) -> Settings:
+    """Settings from a nested configuration mapping (e.g. a parsed YAML file).
+
+    Recognised keys (all optional): ``streaming.sensor_type_filter``,
+    ``streaming.max_offsets_per_trigger``, ``streaming.base_measurement_fields``,
+    ``streaming.phase_b_extra_fields``, ``streaming.trigger_interval``, ``batch.csv_delimiter``,
+    ``batch.file_limit``, ``batch.target_metrics``, ``batch.registry.allowed_sensors``,
+    ``gold.pm10_threshold``, ``gold.pm25_threshold``, ``gold.drop_infinite``,
+    ``max_broadcast_rows``.
+    """
+    def get(path: str, default=None):
+        node = cfg
+        for part in path.split("."):
+            if not isinstance(node, dict) or part not in node:
+                return default
+            node = node[part]
+        return node
+
+    d = Settings()
+    return Settings(
+        metrics=tuple(get("batch.target_metrics", d.metrics)),
+        base_fields=tuple(get("streaming.base_measurement_fields", d.base_fields)),
+        phase_b_fields=tuple(get("streaming.phase_b_extra_fields", d.phase_b_fields)),
+        allowed_sensor_types=tuple(get("batch.registry.allowed_sensors", d.allowed_sensor_types)),
+        sensor_filter=get("streaming.sensor_type_filter", d.sensor_filter),
+        thresholds=Thresholds(float(get("gold.pm10_threshold", d.thresholds.pm10)),
+                              float(get("gold.pm25_threshold", d.thresholds.pm25))),
+        archive_separator=get("batch.csv_delimiter", d.archive_separator),
+        max_offsets_per_trigger=int(get("streaming.max_offsets_per_trigger",
+                                        d.max_offsets_per_trigger)),
+        live_trigger_interval=get("streaming.trigger_interval", d.live_trigger_interval),
+        files_per_day_cap=get("batch.file_limit", d.files_per_day_cap),
+        drop_infinite=bool(get("gold.drop_infinite", d.drop_infinite)),
+        max_broadcast_rows=int(get("max_broadcast_rows", d.max_broadcast_rows)),
+    )
+
+
+def load_settings(path: str | None) -> Settings:
+    """Settings from a YAML or JSON file (a top-level environment key may be selected with
+    ``path#env``); defaults when ``path`` is None."""
+    if not path:
+        return Settings()
+    file, _, env = path.partition("#")
+    with open(file, encoding="utf-8") as f:
+        text = f.read()
+    try:
+        import yaml  # optional dependency
+        cfg = yaml.safe_load(text)
+    except ImportError:
+        import json
+        cfg = json.loads(text)
+    return settings_from_mapping(cfg[env] if env else cfg)

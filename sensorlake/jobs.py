@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sensorlake import config, schemas, tables
+from sensorlake.operators.joins import fits_broadcast
 from sensorlake.plans import bronze, gold, incremental, ops, silver
 from sensorlake.plans.registry import build_registry
 from sensorlake.sources.bus import read_api_records
@@ -97,14 +98,23 @@ def silver_devices_job(spark: SparkSession, registry_path: str, live_path: str,
 
 
 def gold_job(spark: SparkSession, readings_path: str, devices_path: str, gold_root: str,
-             thresholds: config.Thresholds | None = None, run_log: str | None = None) -> dict:
-    """Recompute every gold table from silver and replace it (staged swap)."""
+             settings: config.Settings | None = None, run_log: str | None = None) -> dict:
+    """Recompute every gold table from silver and replace it (staged swap).
+
+    The device dimension's size is checked once against ``settings.max_broadcast_rows`` and the
+    decision is shared by all four products.
+    """
+    s = settings or config.Settings()
     readings = spark.read.parquet(readings_path).drop(incremental.DATE_COL)
     devices = spark.read.parquet(devices_path)
+    small = fits_broadcast(devices, s.max_broadcast_rows)
     out = {}
     for name, fn in GOLD_PRODUCTS.items():
         def body(fn=fn, name=name):
-            df = fn(readings, devices, thresholds) if fn is gold.anomalies else fn(readings, devices)
+            if fn is gold.anomalies:
+                df = fn(readings, devices, s.thresholds, devices_small=small)
+            else:
+                df = fn(readings, devices, devices_small=small)
             df, n = ops.with_counters(df, name)
             tables.replace_path(spark, df, f"{gold_root}/{name}")
             return None, n.get["rows"]

@@ -68,3 +68,24 @@ def test_silver_readings_job_incremental_equals_full(spark, scratch):
     want = E.queries()["silver_readings"](spark, SF_SMALL)
     assert got.count() == want.count()
     assert got.drop("event_date").exceptAll(want).count() == 0
+
+
+def test_cli_and_settings_file(spark, scratch):
+    from sensorlake import config
+    from sensorlake.__main__ import main
+    cfg = os.path.join(scratch, "cfg.json")
+    with open(cfg, "w") as f:
+        json.dump({"dev": {"streaming": {"sensor_type_filter": "SDS011,BME280",
+                                         "max_offsets_per_trigger": 20000},
+                           "batch": {"csv_delimiter": ";", "file_limit": 7},
+                           "gold": {"pm10_threshold": 45}}}, f)
+    s = config.load_settings(cfg + "#dev")
+    assert (s.sensor_filter, s.max_offsets_per_trigger, s.files_per_day_cap) == ("SDS011,BME280", 20000, 7)
+    assert s.thresholds.pm10 == 45.0 and s.thresholds.pm25 == 25.0
+    events = adapters.load(spark, SF_SMALL, "events")
+    live, arch, out = (os.path.join(scratch, x) for x in ("live", "archive", "readings"))
+    adapters.live_raw(events).write.parquet(live)
+    adapters.archive_raw(events).write.parquet(arch)
+    main(["readings", "--live", live, "--archive", arch, "--readings", out,
+          "--config", cfg + "#dev"], spark=spark)
+    assert spark.read.parquet(out).count() == E.queries()["silver_readings"](spark, SF_SMALL).count()
