@@ -579,7 +579,8 @@ SELECT '0' AS _source_partition, CAST(event_id AS VARCHAR) AS _source_offset,
             ELSE '{"' || metric || '":"' || cents || '","k":"' || CAST(k AS VARCHAR) || '"}'
        END AS _rescued_data,
        CASE WHEN k = 59 THEN 'not json {' END AS _corrupt_record,
-       'sensor_live' AS _source
+       'sensor_live' AS _source,
+       CASE WHEN k = 59 THEN NULL ELSE CAST(TRY_CAST(ts_text AS TIMESTAMP) AS DATE) END AS _event_date
 FROM env
 """
 

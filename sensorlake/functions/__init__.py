@@ -2,6 +2,7 @@
 
 from sensorlake.functions.columns import (  # noqa: F401
     anomaly_flag,
+    event_date,
     is_finite_or_null,
     not_nan_or_null,
     outdoor,

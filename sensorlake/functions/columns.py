@@ -27,6 +27,12 @@ def parse_event_ts(col: str | Column) -> Column:
     return F.try_to_timestamp(strip_quotes(col))
 
 
+def event_date(col: str | Column = "timestamp") -> Column:
+    """Event date of a raw timestamp text, parsed exactly as silver parses it. Bronze tables are
+    partitioned by it so that a rebuild of some event dates reads only their partitions."""
+    return F.to_date(parse_event_ts(col))
+
+
 def try_double(col: str | Column) -> Column:
     return _c(col).try_cast("double")
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake import config, schemas
+from sensorlake.functions import event_date
 from sensorlake.operators.messages import parse_events
 from sensorlake.sources.archive import (
     HEADER,
@@ -22,6 +23,11 @@ from sensorlake.sources.bus import read_bus
 from sensorlake.streaming.sinks import run_available_now, start_append
 
 
+# Bronze partition column: the event date parsed from the raw timestamp text (NULL when it
+# does not parse), so that rebuilding some event dates prunes bronze to their partitions.
+EVENT_DATE = "_event_date"
+
+
 def load_archive(spark: SparkSession, landing: str, target: str, checkpoint: str,
                  schema_location: str, settings: config.Settings | None = None,
                  max_files_per_trigger: int | None = 1000,
@@ -36,8 +42,9 @@ def load_archive(spark: SparkSession, landing: str, target: str, checkpoint: str
     columns = evolve_columns(spark, landing, schema_location, s.archive_separator, new_days)
     stream = read_archive(spark, landing, columns, s.archive_separator, streaming=True,
                           max_files_per_trigger=max_files_per_trigger)
-    return run_available_now(stream, target, checkpoint, partition_by=["date"]
-                             if "date" in stream.columns else None)
+    stream = stream.withColumn(EVENT_DATE, event_date("timestamp") if "timestamp" in columns
+                               else F.lit(None).cast("date"))
+    return run_available_now(stream, target, checkpoint, partition_by=[EVENT_DATE])
 
 
 def live_stream(spark: SparkSession, fmt: str, options: dict[str, str], path: str | None = None,
@@ -54,11 +61,11 @@ def load_live(spark: SparkSession, fmt: str, options: dict[str, str], target: st
               available_now: bool = False) -> StreamingQuery:
     """Continuous (every ``live_trigger_interval``) or drain-and-stop append of live bronze."""
     s = settings or config.Settings()
-    df = live_stream(spark, fmt, options, path, s)
+    df = live_stream(spark, fmt, options, path, s).withColumn(EVENT_DATE, event_date("timestamp"))
     if available_now:
-        return run_available_now(df, target, checkpoint)
+        return run_available_now(df, target, checkpoint, partition_by=[EVENT_DATE])
     return start_append(df, target, checkpoint, trigger=s.live_trigger_interval,
-                        name="sensor_live_raw")
+                        name="sensor_live_raw", partition_by=[EVENT_DATE])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -97,11 +104,10 @@ def load_archive_single_pass(spark: SparkSession, landing: str, target: str, che
             if new:
                 save_schema_columns(spark, schema_location, cols)
             out = add_provenance(cells_to_columns(batch, cols), config.ARCHIVE_SOURCE)
+            out = out.withColumn(EVENT_DATE, event_date("timestamp") if "timestamp" in cols
+                                 else F.lit(None).cast("date"))
             dest = f"{target.rstrip('/')}/load_batch={batch_id}"
-            w = out.write.mode("overwrite")
-            if "date" in out.columns:
-                w = w.partitionBy("date")
-            w.parquet(dest)
+            out.write.mode("overwrite").partitionBy(EVENT_DATE).parquet(dest)
         finally:
             batch.unpersist()
 

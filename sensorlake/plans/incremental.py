@@ -8,13 +8,14 @@ rebuild. Rows without a parsable time form the NULL-date partition and are handl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake import config
 from sensorlake.plans.silver import clean_readings, dedup_readings, long_readings
 
 DATE_COL = "event_date"
+BRONZE_DATE = "_event_date"  # partition column of bronze tables written by plans.bronze
 
 
 def _clean_long(live_raw: DataFrame, archive_raw: DataFrame, s: config.Settings) -> DataFrame:
@@ -42,15 +43,21 @@ def readings_for_dates(live_raw: DataFrame, archive_raw: DataFrame, dates: DataF
     more than that falls back to a semi-join against the distributed frame.
     """
     s = settings or config.Settings()
-    clean = _clean_long(live_raw, archive_raw, s).withColumn(DATE_COL, F.to_date("event_ts_utc"))
     listed = [r[0] for r in dates.select(DATE_COL).limit(MAX_LISTED_DATES + 1).collect()]
     if len(listed) <= MAX_LISTED_DATES:
         days = [d for d in listed if d is not None]
-        cond = F.col(DATE_COL).isin(*days) if days else F.lit(False)
-        if len(days) < len(listed):
-            cond = cond | F.col(DATE_COL).isNull()
-        scoped = clean.where(cond)
+
+        def on(c: str) -> Column:
+            cond = F.col(c).isin(*days) if days else F.lit(False)
+            return cond | F.col(c).isNull() if len(days) < len(listed) else cond
+
+        # Bronze written by the loads is partitioned by the same event date: prune it first.
+        live_raw, archive_raw = (b.where(on(BRONZE_DATE)) if BRONZE_DATE in b.columns else b
+                                 for b in (live_raw, archive_raw))
+        clean = _clean_long(live_raw, archive_raw, s).withColumn(DATE_COL, F.to_date("event_ts_utc"))
+        scoped = clean.where(on(DATE_COL))
     else:
+        clean = _clean_long(live_raw, archive_raw, s).withColumn(DATE_COL, F.to_date("event_ts_utc"))
         d = dates.select(F.col(DATE_COL).alias("_d"))
         scoped = clean.join(d, clean[DATE_COL].eqNullSafe(d["_d"]), "left_semi")
     return dedup_readings(scoped.drop(DATE_COL)).withColumn(DATE_COL, F.to_date("event_ts_utc"))

@@ -56,3 +56,27 @@ def test_hot_sensor_shuffle_join_matches_broadcast(spark):
     an_a = gold.anomalies(readings, devices, devices_small=True).count()
     an_b = gold.anomalies(readings, devices, devices_small=False).count()
     assert an_a == an_b == n
+
+
+def test_incremental_rebuild_prunes_bronze_partitions(spark, tmp_path):
+    import json
+    from sensorlake import config
+    from sensorlake.plans import bronze, incremental
+    bus = tmp_path / "bus"
+    bus.mkdir()
+    with open(bus / "m.json", "w") as f:
+        for i in range(1, 5):
+            body = {"id": str(i), "timestamp": f"2024-01-0{i} 10:00:00", "sensor_id": "7", "P1": i}
+            f.write(json.dumps({"partition": 0, "offset": i, "value": json.dumps(body)}) + "\n")
+    target = str(tmp_path / "live")
+    bronze.load_live(spark, "json", {}, target, str(tmp_path / "ck"), path=str(bus),
+                     settings=config.Settings(), available_now=True)
+    live = bronze.read_table(spark, target)
+    empty_arch = spark.createDataFrame([], "sensor_id string, timestamp string, P1 string")
+    dates = spark.createDataFrame([(dt.date(2024, 1, 2),)], "event_date date")
+    out = incremental.readings_for_dates(live, empty_arch, dates)
+    p = _plan(out)
+    assert "PartitionFilters: [isnotnull(_event_date" in p and "2024-01-02" in p
+    assert [r["value"] for r in out.collect()] == [2.0]
+    unpruned = incremental.readings_for_dates(live.drop("_event_date"), empty_arch, dates)
+    assert sorted(map(tuple, unpruned.collect())) == sorted(map(tuple, out.collect()))
