@@ -30,6 +30,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--format", default="json")
     p.add_argument("--option", action="append", default=[])
     p.add_argument("--continuous", action="store_true")
+    p.add_argument("--dates", help="gold: comma-separated event dates to recompute (NULL for "
+                                   "readings without a time); all dates when omitted")
     return p
 
 
@@ -54,7 +56,12 @@ def main(argv: list[str] | None = None, spark=None):
         return jobs.silver_readings_job(spark, a.live, a.archive, a.readings, s, run_log=log)
     if a.job == "devices":
         return jobs.silver_devices_job(spark, a.registry, a.live, a.devices, log)
-    return jobs.gold_job(spark, a.readings, a.devices, a.gold, s, log)
+    dates = None
+    if a.dates:
+        import datetime as dt
+        dates = [None if d.upper() == "NULL" else dt.date.fromisoformat(d)
+                 for d in a.dates.split(",")]
+    return jobs.gold_job(spark, a.readings, a.devices, a.gold, s, log, dates=dates)
 
 
 if __name__ == "__main__":

@@ -51,6 +51,29 @@ def air_quality_daily(readings: DataFrame, devices: DataFrame,
                  F.sum("_n").alias("n_readings")))
 
 
+def sensor_metric_last_seen(readings: DataFrame) -> DataFrame:
+    """One row per (sensor, metric) with its latest event time: the bounded state behind the
+    network-health view (rows = sensors x metrics, however many readings there are)."""
+    return (readings.groupBy("sensor_id", "value_type")
+                    .agg(F.max("event_ts_utc").alias("last_seen")))
+
+
+def merge_last_seen(current: DataFrame, updates: DataFrame) -> DataFrame:
+    """Fold newer (sensor, metric) last-seen rows into the current table (latest wins)."""
+    both = current.unionByName(updates)
+    return both.groupBy("sensor_id", "value_type").agg(F.max("last_seen").alias("last_seen"))
+
+
+def health_from_last_seen(last_seen: DataFrame, devices: DataFrame,
+                          devices_small: bool | None = None) -> DataFrame:
+    dev = dimension(devices.select("sensor_id", "country"), devices_small)
+    return (last_seen.join(dev, "sensor_id")
+            .groupBy("country")
+            .agg(F.count_distinct("sensor_id").alias("active_sensors"),
+                 F.max("last_seen").alias("last_seen"),
+                 F.count_distinct("value_type").alias("distinct_metrics_seen")))
+
+
 def sensor_network_health(readings: DataFrame, devices: DataFrame,
                           devices_small: bool | None = None) -> DataFrame:
     """Distinct sensors, freshness and distinct metrics per device country (AGG-3).
@@ -58,14 +81,7 @@ def sensor_network_health(readings: DataFrame, devices: DataFrame,
     No indoor filter. Readings are first reduced to one row per (sensor, metric); the two
     distinct counts then run over that bounded set instead of expanding the fact twice.
     """
-    per_sensor = (readings.groupBy("sensor_id", "value_type")
-                          .agg(F.max("event_ts_utc").alias("_last")))
-    dev = dimension(devices.select("sensor_id", "country"), devices_small)
-    return (per_sensor.join(dev, "sensor_id")
-            .groupBy("country")
-            .agg(F.count_distinct("sensor_id").alias("active_sensors"),
-                 F.max("_last").alias("last_seen"),
-                 F.count_distinct("value_type").alias("distinct_metrics_seen")))
+    return health_from_last_seen(sensor_metric_last_seen(readings), devices, devices_small)
 
 
 def anomalies(readings: DataFrame, devices: DataFrame,
