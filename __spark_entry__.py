@@ -250,7 +250,8 @@ def q_live_pm_trend_stream(spark, sf_dir):
     readings = live_stream.live_readings(_live_bronze_stream(spark, sf_dir, root))
     trend = live_stream.stream_pm_trend(readings, "1 hour", watermark="31 days")
     q = start_upsert(trend, f"{root}/result", ["window_start", "value_type"],
-                     f"{root}/checkpoint", available_now=True)
+                     f"{root}/checkpoint", available_now=True,
+                     state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return _round(spark.read.parquet(f"{root}/result"), "avg_value")
 
@@ -261,7 +262,8 @@ def q_latest_by_sensor_stream(spark, sf_dir):
     readings = live_stream.live_readings(_live_bronze_stream(spark, sf_dir, root))
     latest = live_stream.stream_latest_by_sensor(readings)
     q = start_upsert(latest, f"{root}/result", ["sensor_id", "value_type"],
-                     f"{root}/checkpoint", available_now=True)
+                     f"{root}/checkpoint", available_now=True,
+                     state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/result")
 
@@ -273,7 +275,7 @@ def q_live_active_sensors_stream(spark, sf_dir):
     readings = live_stream.live_readings(_live_bronze_stream(spark, sf_dir, root))
     active = live_stream.stream_active_sensors(readings, "1 hour", watermark="31 days")
     q = start_upsert(active, f"{root}/result", ["window_start"], f"{root}/checkpoint",
-                     available_now=True)
+                     available_now=True, state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
     return spark.read.parquet(f"{root}/result")
 

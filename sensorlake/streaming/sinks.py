@@ -40,13 +40,18 @@ def run_available_now(df: DataFrame, path: str, checkpoint: str, **kw) -> Stream
 
 def start_upsert(df: DataFrame, path: str, keys: list[str], checkpoint: str, *,
                  trigger: str | None = None, available_now: bool = False,
-                 name: str | None = None) -> StreamingQuery:
+                 name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
     """Keep a small result table current from an ``update``-mode aggregation stream.
 
     Each micro-batch carries the new values of the keys it changed; they are upserted into the
     parquet table at ``path`` by ``keys`` (staged swap). Replaying a batch after a failure
     upserts the same values again, so the table stays exact. Meant for dashboard-sized results
     (windows x metrics, sensors x metrics), not for fact tables.
+
+    ``state_partitions`` sizes the aggregation state (one state store per shuffle partition) to
+    the state instead of the session-wide shuffle setting. A query copies the session settings
+    when it starts and keeps its state partitioning in the checkpoint, so the setting is applied
+    only around ``start()``.
     """
     spark = df.sparkSession
 
@@ -63,4 +68,12 @@ def start_upsert(df: DataFrame, path: str, keys: list[str], checkpoint: str, *,
         w = w.trigger(availableNow=True)
     elif trigger:
         w = w.trigger(processingTime=trigger)
-    return w.start()
+    if not state_partitions:
+        return w.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return w.start()
+    finally:
+        spark.conf.set(key, previous)
