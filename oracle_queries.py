@@ -546,6 +546,7 @@ def all_sql() -> dict[str, str]:
         "readings_incremental": READINGS_INCREMENTAL,
         "live_pm_trend_stream": LIVE_PM_TREND_STREAM,
         "latest_by_sensor_stream": LATEST_BY_SENSOR_STREAM,
+        "air_quality_daily_incremental": AIR_QUALITY_DAILY,
     }
 
 BRONZE_ARCHIVE_STREAM = "WITH " + _EV.strip() + "," + _ARCHIVE_RAW + """

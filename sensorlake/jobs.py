@@ -162,3 +162,24 @@ def gold_job(spark: SparkSession, readings_path: str, devices_path: str, gold_ro
         return None, n.get["rows"]
     out["sensor_network_health"] = _logged(spark, "gold.sensor_network_health", run_log, health)[1]
     return out
+
+
+def incremental_update(spark: SparkSession, live_path: str, archive_path: str,
+                       readings_path: str, devices_path: str, gold_root: str,
+                       new_live: DataFrame | None, new_archive: DataFrame | None,
+                       settings: config.Settings | None = None,
+                       run_log: str | None = None) -> list:
+    """After new bronze rows landed: rebuild the silver dates they touch, then those gold days.
+
+    Returns the touched event dates (one per day; a small list).
+    """
+    s = settings or config.Settings()
+    live = bronze.read_table(spark, live_path)
+    arch = bronze.read_table(spark, archive_path)
+    nl = new_live if new_live is not None else live.limit(0)
+    na = new_archive if new_archive is not None else arch.limit(0)
+    dates = [r[0] for r in incremental.touched_dates(nl, na, s).collect()]
+    silver_readings_job(spark, live_path, archive_path, readings_path, s,
+                        new_live=nl, new_archive=na, run_log=run_log)
+    gold_job(spark, readings_path, devices_path, gold_root, s, run_log, dates=dates)
+    return dates
