@@ -38,17 +38,26 @@ def build_session(master: str | None = None, app: str = "sensorlake",
     return spark
 
 
+SCRATCH_KEY = "spark.sensorlake.scratchDir"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    A cluster sets this to a shared file system every executor can reach. Only when it is unset
-    (local runs and tests) do we pick a fresh scratch folder of our own.
+    A cluster sets this to a shared file system every executor can reach; the context's
+    checkpoint folder is then taken as is. Only when it is unset (local runs and tests) do we
+    pick a fresh scratch folder of our own, once per session, and remember it under
+    ``spark.sensorlake.scratchDir`` (``spark.checkpoint.dir`` itself cannot be changed at run
+    time).
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    path = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.conf.get(SCRATCH_KEY, None))
     if not path:
         path = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        spark.conf.set(SCRATCH_KEY, path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 

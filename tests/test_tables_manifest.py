@@ -121,3 +121,23 @@ def test_ensure_database_is_idempotent(spark):
     tables.ensure_database(spark, "sensorlake_silver_t")
     tables.ensure_database(spark, "sensorlake_silver_t")
     assert spark.catalog.databaseExists("sensorlake_silver_t")
+
+
+def test_session_without_checkpoint_dir_gets_scratch_folder(tmp_path):
+    """A session whose configuration names no checkpoint folder (fresh JVM, empty conf dir)."""
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "from sensorlake.session import build_session, scratch_path\n"
+            "from sensorlake import tables\n"
+            "s = build_session('local[1]')\n"
+            "assert s.conf.get('spark.checkpoint.dir', None) is None\n"
+            "a, b = scratch_path(s, 'a'), scratch_path(s, 'b')\n"
+            "assert a.rsplit('/', 1)[0] == b.rsplit('/', 1)[0]\n"
+            "assert tables.cut_lineage(s.range(3)).count() == 3\n"
+            "print('OK')\n") % repo
+    env = {**os.environ, "SPARK_CONF_DIR": str(tmp_path)}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True,
+                         timeout=300)
+    assert "OK" in out.stdout, out.stderr[-2000:]
