@@ -21,13 +21,6 @@ from sensorlake.plans import bronze, gold, incremental, ops, silver
 from sensorlake.plans.registry import build_registry
 from sensorlake.sources.bus import read_api_records
 
-GOLD_PRODUCTS: dict[str, Callable[..., DataFrame]] = {
-    "air_quality_hourly": gold.air_quality_hourly,
-    "air_quality_daily_by_country": gold.air_quality_daily,
-    "sensor_network_health": gold.sensor_network_health,
-    "anomalies": gold.anomalies,
-}
-
 
 def _logged(spark: SparkSession, job: str, run_log: str | None, body: Callable[[], tuple]) -> tuple:
     started = dt.datetime.now(dt.timezone.utc)
@@ -98,11 +91,7 @@ def silver_devices_job(spark: SparkSession, registry_path: str, live_path: str,
     return _logged(spark, "silver_devices", run_log, body)
 
 
-GOLD_DAY = {  # source of the `day` partition column of each day-decomposable gold table
-    "air_quality_hourly": lambda: F.to_date("hour"),
-    "air_quality_daily_by_country": lambda: F.col("day"),
-    "anomalies": lambda: F.to_date("event_ts_utc"),
-}
+SENSOR_HOURLY = "_sensor_hourly"
 LAST_SEEN = "_sensor_metric_last_seen"
 
 
@@ -111,47 +100,62 @@ def gold_job(spark: SparkSession, readings_path: str, devices_path: str, gold_ro
              dates: list | None = None) -> dict:
     """Gold tables from silver (readings partitioned by ``event_date``).
 
-    Without ``dates`` every table is recomputed and replaced (staged swap). With ``dates`` (the
-    event dates a silver run touched; None inside the list stands for readings without a time)
-    only those ``day`` partitions of hourly, daily and anomalies are recomputed, reading only
-    those silver partitions; this assumes the devices did not change since the last full run
-    (run the job without ``dates`` after a device update). Network health is always exact: it
-    is derived from a per-(sensor, metric) last-seen table that each run merges with its new
-    readings, joined with the current devices. The dimension's size is checked once.
+    The readings are reduced once to per-(sensor, hour, metric) statistics, kept as a table
+    partitioned by ``day``; hourly, daily and the per-(sensor, metric) last-seen state are rolled
+    up from it, anomalies (row level) read the readings. Without ``dates`` everything is
+    recomputed and replaced (staged swap). With ``dates`` (the event dates a silver run touched;
+    None in the list stands for readings without a time) only those ``day`` partitions are
+    recomputed, reading only those silver partitions; this assumes the devices did not change
+    since the last full run (run without ``dates`` after a device update). Network health is
+    always exact: the last-seen state is merged with the new statistics and joined with the
+    current devices. The dimension's size is checked once.
     """
     s = settings or config.Settings()
     readings = spark.read.parquet(readings_path)
+    day_cond = None
     if dates is not None:
         days = [d for d in dates if d is not None]
-        cond = F.col(incremental.DATE_COL).isin(*days) if days else F.lit(False)
-        readings = readings.where(cond | F.col(incremental.DATE_COL).isNull()
-                                  if len(days) < len(dates) else cond)
+        day_cond = lambda c: ((F.col(c).isin(*days) if days else F.lit(False))
+                              | (F.col(c).isNull() if len(days) < len(dates) else F.lit(False)))
+        readings = readings.where(day_cond(incremental.DATE_COL))
     readings = readings.drop(incremental.DATE_COL)
     devices = spark.read.parquet(devices_path)
     small = fits_broadcast(devices, s.max_broadcast_rows)
-    out = {}
-    for name, fn in GOLD_PRODUCTS.items():
-        if fn is gold.sensor_network_health:
-            continue
-
-        def body(fn=fn, name=name):
-            if fn is gold.anomalies:
-                df = fn(readings, devices, s.thresholds, devices_small=small)
-            else:
-                df = fn(readings, devices, devices_small=small)
-            df = df.withColumn("day", GOLD_DAY[name]())
-            df, n = ops.with_counters(df, name)
-            path = f"{gold_root}/{name}"
-            if dates is None:
-                tables.replace_path(spark, df.hint("rebalance", "day"), path, ["day"])
-            else:
-                tables.replace_partitions(df, path, ["day"])
+
+    def write_days(df: DataFrame, path: str) -> None:
+        if dates is None:
+            tables.replace_path(spark, df.hint("rebalance", "day"), path, ["day"])
+        else:
+            tables.replace_partitions(df, path, ["day"])
+
+    sh_path = f"{gold_root}/{SENSOR_HOURLY}"
+    write_days(gold.sensor_hourly(readings).withColumn("day", F.to_date("hour")), sh_path)
+    sh = spark.read.parquet(sh_path)
+    if day_cond is not None:
+        sh = sh.where(day_cond("day"))
+    sh = sh.drop("day")
+
+    def product(name: str, make: Callable[[], DataFrame]):
+        def body():
+            df, n = ops.with_counters(make(), name)
+            write_days(df, f"{gold_root}/{name}")
             return None, n.get["rows"]
-        out[name] = _logged(spark, f"gold.{name}", run_log, body)[1]
+        return _logged(spark, f"gold.{name}", run_log, body)[1]
+
+    out = {
+        "air_quality_hourly": product("air_quality_hourly", lambda: gold.hourly_from_sensor_hourly(
+            sh, devices, small).withColumn("day", F.to_date("hour"))),
+        "air_quality_daily_by_country": product("air_quality_daily_by_country",
+                                                lambda: gold.daily_from_sensor_hourly(
+                                                    sh, devices, small)),
+        "anomalies": product("anomalies", lambda: gold.anomalies(
+            readings, devices, s.thresholds, devices_small=small)
+            .withColumn("day", F.to_date("event_ts_utc"))),
+    }
 
     def health():
         last_path = f"{gold_root}/{LAST_SEEN}"
-        fresh = gold.sensor_metric_last_seen(readings)
+        fresh = gold.last_seen_from_sensor_hourly(sh)
         if dates is not None and tables.path_exists(spark, last_path):
             fresh = gold.merge_last_seen(spark.read.parquet(last_path), fresh)
         tables.replace_path(spark, fresh, last_path)

@@ -84,6 +84,43 @@ def sensor_network_health(readings: DataFrame, devices: DataFrame,
     return health_from_last_seen(sensor_metric_last_seen(readings), devices, devices_small)
 
 
+def sensor_hourly(readings: DataFrame) -> DataFrame:
+    """Per (sensor, hour, metric) partial statistics: sum, count, min, max and latest time.
+
+    The one reduction of the fact that hourly, daily and network health can all be rolled up
+    from (sums and counts recombine exactly into averages); a job materializes it once instead
+    of scanning the readings for each product.
+    """
+    return (readings.groupBy("sensor_id", F.date_trunc("hour", "event_ts_utc").alias("hour"),
+                             "value_type")
+                    .agg(F.sum("value").alias("_sum"), F.count(F.lit(1)).alias("_n"),
+                         F.min("value").alias("_min"), F.max("value").alias("_max"),
+                         F.max("event_ts_utc").alias("_last")))
+
+
+def hourly_from_sensor_hourly(sh: DataFrame, devices: DataFrame,
+                              devices_small: bool | None = None) -> DataFrame:
+    return (sh.join(_outdoor_devices(devices, devices_small), "sensor_id")
+              .groupBy("country", "hour", "value_type")
+              .agg((F.sum("_sum") / F.sum("_n")).alias("avg_value"),
+                   F.min("_min").alias("min_value"),
+                   F.max("_max").alias("max_value"),
+                   F.sum("_n").alias("n_readings")))
+
+
+def daily_from_sensor_hourly(sh: DataFrame, devices: DataFrame,
+                             devices_small: bool | None = None) -> DataFrame:
+    return (sh.withColumn("day", F.to_date("hour"))
+              .join(_outdoor_devices(devices, devices_small), "sensor_id")
+              .groupBy("country", "day", "value_type")
+              .agg((F.sum("_sum") / F.sum("_n")).alias("avg_value"),
+                   F.sum("_n").alias("n_readings")))
+
+
+def last_seen_from_sensor_hourly(sh: DataFrame) -> DataFrame:
+    return sh.groupBy("sensor_id", "value_type").agg(F.max("_last").alias("last_seen"))
+
+
 def anomalies(readings: DataFrame, devices: DataFrame,
               thresholds: config.Thresholds | None = None,
               devices_small: bool | None = None) -> DataFrame:
