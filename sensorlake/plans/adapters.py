@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import config
+from sensorlake.operators.joins import dimension
 from sensorlake.sources import ensure_parallelism
 from sensorlake.plans.registry import build_registry
 from sensorlake.plans.silver import silver_devices, silver_readings
@@ -130,7 +131,7 @@ def api_records(customer: DataFrame, nation: DataFrame) -> DataFrame:
         stype = F.when(seg == name, t) if stype is None else stype.when(seg == name, t)
         ind_val = F.lit(ind).cast("string")
         indoor = F.when(seg == name, ind_val) if indoor is None else indoor.when(seg == name, ind_val)
-    nat = F.broadcast(nation.select("n_nationkey", "n_name"))  # 25 rows, fixed by TPC-H
+    nat = dimension(nation.select("n_nationkey", "n_name"))  # checked; 25 rows in TPC-H
     return (customer.join(nat, customer.c_nationkey == nat.n_nationkey, "left")
             .select(
                 F.col("c_custkey").alias("api_pos"),
@@ -201,7 +202,7 @@ def lineitem_readings(lineitem: DataFrame) -> DataFrame:
 def supplier_records(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """A second API response (one record per supplier) used as registry updates: sensor id
     ``s_suppkey * 10`` overlaps part of the customer-built registry and adds new sensors."""
-    nat = F.broadcast(nation.select("n_nationkey", "n_name"))  # 25 rows
+    nat = dimension(nation.select("n_nationkey", "n_name"))  # checked; 25 rows in TPC-H
     return (supplier.join(nat, supplier.s_nationkey == nat.n_nationkey, "left")
             .select(
                 F.col("s_suppkey").alias("api_pos"),
