@@ -235,3 +235,11 @@ def test_single_pass_archive_load(spark, scratch):
     whole = read_archive(spark, landing, cols)
     key = lambda df: sorted(tuple(r) for r in df.select(*cols, F.col("date").cast("string")).collect())
     assert key(t) == key(whole)
+
+
+def test_kafka_path_is_wired_but_connector_absent(spark):
+    import pytest
+    from sensorlake.sources.bus import read_bus
+    with pytest.raises(Exception) as err:
+        read_bus(spark, "kafka", {"kafka.bootstrap.servers": "localhost:1", "subscribe": "t"})
+    assert "kafka" in str(err.value).lower()
