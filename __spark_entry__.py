@@ -51,33 +51,35 @@ def _round(df: DataFrame, *cols: str, places: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c) + F.lit(1e-9), places) for c in cols})
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _silver(spark: SparkSession, sf_dir: str) -> dict:
     return adapters.silver(spark, sf_dir)
 
 
-def q_air_quality_daily(spark, sf_dir):
+def _gold(product, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A gold product over the adapter's silver tables, broadcasting the devices only when the
+    adapter proved their size bound."""
     s = _silver(spark, sf_dir)
-    return _round(gold.air_quality_daily(s["readings"], s["devices"]), "avg_value")
+    return product(s["readings"], s["devices"], devices_small=s["devices_small"])
+
+
+def q_air_quality_daily(spark, sf_dir):
+    return _round(_gold(gold.air_quality_daily, spark, sf_dir), "avg_value")
 
 
 def q_air_quality_hourly(spark, sf_dir):
-    s = _silver(spark, sf_dir)
-    return _round(gold.air_quality_hourly(s["readings"], s["devices"]), "avg_value")
+    return _round(_gold(gold.air_quality_hourly, spark, sf_dir), "avg_value")
 
 
 def q_sensor_network_health(spark, sf_dir):
-    s = _silver(spark, sf_dir)
-    return gold.sensor_network_health(s["readings"], s["devices"])
+    return _gold(gold.sensor_network_health, spark, sf_dir)
 
 
 def q_anomalies(spark, sf_dir):
-    s = _silver(spark, sf_dir)
-    return gold.anomalies(s["readings"], s["devices"])
+    return _gold(gold.anomalies, spark, sf_dir)
 
 
 def q_anomaly_breaches(spark, sf_dir):
-    s = _silver(spark, sf_dir)
-    return gold.anomaly_breaches(s["readings"], s["devices"])
+    return _gold(gold.anomaly_breaches, spark, sf_dir)
 
 
 def q_silver_readings(spark, sf_dir):
@@ -161,16 +163,13 @@ def q_top10_locations(spark, sf_dir):
 
 
 def q_active_by_region(spark, sf_dir):
-    s = _silver(spark, sf_dir)
-    health = gold.sensor_network_health(s["readings"], s["devices"])
+    health = _gold(gold.sensor_network_health, spark, sf_dir)
     return dashboard.active_by_region(health, adapters.load(spark, sf_dir, "nation"),
                                       adapters.load(spark, sf_dir, "region"))
 
 
 def q_pm_hourly(spark, sf_dir):
-    s = _silver(spark, sf_dir)
-    return _round(dashboard.pm_hourly(gold.air_quality_hourly(s["readings"], s["devices"])),
-                  "avg_value")
+    return _round(dashboard.pm_hourly(_gold(gold.air_quality_hourly, spark, sf_dir)), "avg_value")
 
 
 def q_metric_first_seen(spark, sf_dir):

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import config
-from sensorlake.operators.joins import dimension
+from sensorlake.operators.joins import dimension, fits_broadcast
 from sensorlake.sources import ensure_parallelism
 from sensorlake.plans.registry import build_registry
 from sensorlake.plans.silver import silver_devices, silver_readings
@@ -156,18 +156,24 @@ def registry_raw(customer: DataFrame, nation: DataFrame) -> DataFrame:
                           ingested_at=F.lit(REGISTRY_INGESTED_AT).cast("timestamp"))
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def bronze(spark: SparkSession, sf_dir: str) -> dict:
     events = load(spark, sf_dir, "events")
     customer = load(spark, sf_dir, "customer")
     nation = load(spark, sf_dir, "nation")
     return {"live_raw": live_raw(events), "archive_raw": archive_raw(events),
-            "registry_raw": registry_raw(customer, nation)}
+            "registry_raw": registry_raw(customer, nation), "api_source": customer}
 
 
-def silver(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def silver(spark: SparkSession, sf_dir: str) -> dict:
+    """Silver readings and devices, plus ``devices_small``: whether the device dimension may be
+    broadcast. Devices have exactly one row per registry row (a left join with one row per key
+    on the right), and the registry at most one per API record (an aggregate by key), so the
+    row count of the API records bounds the dimension; checking that table is a LIMIT scan
+    instead of running the whole devices plan."""
     b = bronze(spark, sf_dir)
     return {"readings": silver_readings(b["live_raw"], b["archive_raw"]),
-            "devices": silver_devices(b["registry_raw"], b["live_raw"]), **b}
+            "devices": silver_devices(b["registry_raw"], b["live_raw"]),
+            "devices_small": fits_broadcast(b["api_source"]), **b}
 
 
 def _ts_text(fmt: str = "yyyy-MM-dd HH:mm:ss.SSSSSS") -> Column:
