@@ -114,7 +114,8 @@ def q_unpivot_metrics(spark, sf_dir):
 
 
 def q_dedup_readings(spark, sf_dir):
-    return silver.dedup_readings(adapters.lineitem_readings(adapters.load(spark, sf_dir, "lineitem")))
+    lineitem = adapters.load(spark, sf_dir, "lineitem")
+    return silver.dedup_readings(adapters.lineitem_readings(lineitem))
 
 
 def q_upsert_devices(spark, sf_dir):
@@ -239,8 +240,8 @@ def q_readings_incremental(spark, sf_dir):
         incremental.full_readings(adapters.live_raw(early), adapters.archive_raw(early)),
         path, [incremental.DATE_COL])
     dates = incremental.touched_dates(adapters.live_raw(late), adapters.archive_raw(late))
-    rebuilt = incremental.readings_for_dates(adapters.live_raw(events), adapters.archive_raw(events),
-                                             dates)
+    rebuilt = incremental.readings_for_dates(adapters.live_raw(events),
+                                             adapters.archive_raw(events), dates)
     tables.replace_partitions(rebuilt, path, [incremental.DATE_COL])
     return spark.read.parquet(path)
 

@@ -67,7 +67,8 @@ def anomaly_flag(value_type: str | Column = "value_type", value: str | Column =
              .when((vt == config.PM25) & (v > F.lit(t.pm25)), F.lit(config.PM25_FLAG)))
 
 
-def pollution_level(value_type: str | Column = "value_type", value: str | Column = "value") -> Column:
+def pollution_level(value_type: str | Column = "value_type",
+                    value: str | Column = "value") -> Column:
     """Colour band of a PM reading for the live map; NULL for other metrics."""
     vt, v = _c(value_type), _c(value)
 

@@ -68,7 +68,8 @@ def silver_readings_job(spark: SparkSession, live_path: str, archive_path: str,
         if new_live is not None or new_archive is not None:
             nl = new_live if new_live is not None else live.limit(0)
             na = new_archive if new_archive is not None else arch.limit(0)
-            out = incremental.readings_for_dates(live, arch, incremental.touched_dates(nl, na, s), s)
+            dates = incremental.touched_dates(nl, na, s)
+            out = incremental.readings_for_dates(live, arch, dates, s)
         else:
             out = incremental.full_readings(live, arch, s)
         out, n = ops.with_counters(out, "readings")

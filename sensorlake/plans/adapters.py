@@ -110,7 +110,8 @@ def archive_raw(events: DataFrame) -> DataFrame:
     arch = events.where(F.col("event_type").isin(*ARCHIVE_EVENT_TYPES))
     return arch.select(
         F.col("user_id").cast("string").alias("sensor_id"),
-        F.when(F.col("event_type") == "purchase", "BME280").otherwise("SDS011").alias("sensor_type"),
+        F.when(F.col("event_type") == "purchase", "BME280").otherwise("SDS011")
+         .alias("sensor_type"),
         F.expr("user_id div 2").cast("string").alias("location"),
         _num_text(uid / 1000 + 50, 3).alias("lat"),
         F.when(k == 47, "NaN").otherwise(_num_text(uid / 500 + 10, 3)).alias("lon"),
@@ -130,7 +131,8 @@ def api_records(customer: DataFrame, nation: DataFrame) -> DataFrame:
     for name, t, ind in SEGMENT_TYPE:
         stype = F.when(seg == name, t) if stype is None else stype.when(seg == name, t)
         ind_val = F.lit(ind).cast("string")
-        indoor = F.when(seg == name, ind_val) if indoor is None else indoor.when(seg == name, ind_val)
+        indoor = (F.when(seg == name, ind_val) if indoor is None
+                  else indoor.when(seg == name, ind_val))
     nat = dimension(nation.select("n_nationkey", "n_name"))  # checked; 25 rows in TPC-H
     return (customer.join(nat, customer.c_nationkey == nat.n_nationkey, "left")
             .select(
@@ -215,7 +217,8 @@ def supplier_records(supplier: DataFrame, nation: DataFrame) -> DataFrame:
                 F.col("s_suppkey").cast("string").alias("id"),
                 F.lit(REGISTRY_INGESTED_AT).alias("timestamp"),
                 F.struct((F.col("s_suppkey") * 10).cast("string").alias("id"),
-                         F.struct(F.lit("SDS011").alias("name")).alias("sensor_type")).alias("sensor"),
+                         F.struct(F.lit("SDS011").alias("name")).alias("sensor_type"))
+                 .alias("sensor"),
                 F.struct(F.col("s_suppkey").cast("string").alias("id"),
                          _num_text(F.col("s_acctbal"), 2).alias("latitude"),
                          _num_text(F.col("s_acctbal") * 2, 2).alias("longitude"),

@@ -54,10 +54,12 @@ def readings_for_dates(live_raw: DataFrame, archive_raw: DataFrame, dates: DataF
         # Bronze written by the loads is partitioned by the same event date: prune it first.
         live_raw, archive_raw = (b.where(on(BRONZE_DATE)) if BRONZE_DATE in b.columns else b
                                  for b in (live_raw, archive_raw))
-        clean = _clean_long(live_raw, archive_raw, s).withColumn(DATE_COL, F.to_date("event_ts_utc"))
+        clean = (_clean_long(live_raw, archive_raw, s)
+                 .withColumn(DATE_COL, F.to_date("event_ts_utc")))
         scoped = clean.where(on(DATE_COL))
     else:
-        clean = _clean_long(live_raw, archive_raw, s).withColumn(DATE_COL, F.to_date("event_ts_utc"))
+        clean = (_clean_long(live_raw, archive_raw, s)
+                 .withColumn(DATE_COL, F.to_date("event_ts_utc")))
         d = dates.select(F.col(DATE_COL).alias("_d"))
         scoped = clean.join(d, clean[DATE_COL].eqNullSafe(d["_d"]), "left_semi")
     return dedup_readings(scoped.drop(DATE_COL)).withColumn(DATE_COL, F.to_date("event_ts_utc"))
