@@ -17,6 +17,13 @@ Mapping (all deterministic):
 * ``customer`` x ``nation`` -> nested API records, two per sensor (``c_custkey div 2``) in
   ``c_custkey`` order; the market segment decides sensor type and indoor flag, one segment maps
   to a type outside the allowed list.
+* ``supplier`` x ``nation`` -> a second API response (sensor ``s_suppkey * 10``) for upserts.
+* ``events`` -> nested live records (empty/NULL/repeated ``value_type``, a missing ``sensor``),
+  bus envelopes (JSON bodies with a numeric metric, an unknown field, some malformed bodies),
+  archive listing pages and landed files, and archive CSV files with two header sets.
+* ``lineitem`` -> a wide table for unpivoting and readings-shaped rows with real key copies.
+
+Scans go through ``load``, which spreads single-split inputs over the available cores.
 """
 
 from __future__ import annotations
