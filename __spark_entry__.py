@@ -216,9 +216,9 @@ def q_bronze_archive_stream(spark, sf_dir):
             .select(*cols, F.col("date").cast("string").alias("date"), "_source"))
 
 
-def q_bronze_live_stream(spark, sf_dir):
+def _two_phase_live_load(spark, sf_dir):
     """Bus file double: phase A events loaded with the base schema, then phase B events with the
-    wider schema on the same checkpoint. Returns the bronze table (run-time column dropped)."""
+    wider schema on the same checkpoint. Returns the bronze path."""
     root = scratch_path(spark, "bronze-live")
     bus, target, ckpt = f"{root}/bus", f"{root}/bronze", f"{root}/checkpoint"
     events = adapters.load(spark, sf_dir, "events")
@@ -226,7 +226,20 @@ def q_bronze_live_stream(spark, sf_dir):
         adapters.write_bus_files(events, bus, phase_b)
         bronze.load_live(spark, "json", {}, target, ckpt, path=bus,
                          settings=config.Settings(sensor_filter=flt), available_now=True)
-    return bronze.read_table(spark, target).drop("_ingested_at")
+    return target
+
+
+def q_bronze_live_stream(spark, sf_dir):
+    """The bronze table of the two-phase live load (run-time column dropped)."""
+    return bronze.read_table(spark, _two_phase_live_load(spark, sf_dir)).drop("_ingested_at")
+
+
+def q_schema_evolution_timeline(spark, sf_dir):
+    """DSH-9: when each metric first appeared in the live bronze table of the two-phase load;
+    the climate metrics appear only once the wider schema is in use."""
+    live = bronze.read_table(spark, _two_phase_live_load(spark, sf_dir))
+    first = dashboard.metric_first_seen(live_stream.live_readings(live))
+    return first.drop("first_ingested_at")
 
 
 def q_readings_incremental(spark, sf_dir):
@@ -351,6 +364,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_by_sensor_stream": q_latest_by_sensor_stream,
     "live_active_sensors_stream": q_live_active_sensors_stream,
     "air_quality_daily_incremental": q_air_quality_daily_incremental,
+    "schema_evolution_timeline": q_schema_evolution_timeline,
 }
 
 # Approximate by design (HyperLogLog): checked for rows only, and against the exact batch count

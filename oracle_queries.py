@@ -547,6 +547,7 @@ def all_sql() -> dict[str, str]:
         "live_pm_trend_stream": LIVE_PM_TREND_STREAM,
         "latest_by_sensor_stream": LATEST_BY_SENSOR_STREAM,
         "air_quality_daily_incremental": AIR_QUALITY_DAILY,
+        "schema_evolution_timeline": SCHEMA_EVOLUTION_TIMELINE,
     }
 
 BRONZE_ARCHIVE_STREAM = "WITH " + _EV.strip() + "," + _ARCHIVE_RAW + """
@@ -622,3 +623,16 @@ FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY sensor_id, value_type
       FROM live_clean WHERE value_type IN ('P1', 'P2') AND event_ts_utc IS NOT NULL)
 WHERE rn = 1
 """
+
+SCHEMA_EVOLUTION_TIMELINE = """
+SELECT value_type, min(ts) AS first_event_ts, count(*) AS n_readings
+FROM (
+  SELECT value_type, TRY_CAST("timestamp" AS TIMESTAMP) AS ts
+  FROM (SELECT "timestamp", 'P1' AS value_type, "P1" AS raw FROM (""" + BRONZE_LIVE_STREAM + """) b
+        UNION ALL SELECT "timestamp", 'P2', "P2" FROM (""" + BRONZE_LIVE_STREAM + """) b
+        UNION ALL SELECT "timestamp", 'temperature', temperature FROM (""" + BRONZE_LIVE_STREAM + """) b
+        UNION ALL SELECT "timestamp", 'humidity', humidity FROM (""" + BRONZE_LIVE_STREAM + """) b
+        UNION ALL SELECT "timestamp", 'pressure', pressure FROM (""" + BRONZE_LIVE_STREAM + """) b)
+  WHERE raw IS NOT NULL AND TRY_CAST(raw AS DOUBLE) IS NOT NULL)
+GROUP BY value_type
+"""
