@@ -330,6 +330,24 @@ def q_air_quality_daily_incremental(spark, sf_dir):
     return _round(spark.read.parquet(f"{p['gold']}/air_quality_daily_by_country"), "avg_value")
 
 
+def q_run_log(spark, sf_dir):
+    """OPS-1: the append-only run log written by two silver jobs (clock times and run ids
+    dropped; statuses and row counts kept)."""
+    root = scratch_path(spark, "run-log")
+    events = adapters.load(spark, sf_dir, "events")
+    b = {"live": adapters.live_raw(events), "archive": adapters.archive_raw(events),
+         "registry": adapters.registry_raw(adapters.load(spark, sf_dir, "customer"),
+                                           adapters.load(spark, sf_dir, "nation"))}
+    for name, df in b.items():
+        df.write.parquet(f"{root}/{name}")
+    log = f"{root}/log"
+    jobs.silver_readings_job(spark, f"{root}/live", f"{root}/archive", f"{root}/readings",
+                             run_log=log)
+    jobs.silver_devices_job(spark, f"{root}/registry", f"{root}/live", f"{root}/devices",
+                            run_log=log)
+    return spark.read.parquet(log).drop("run_id", "started_at", "ended_at")
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "air_quality_daily": q_air_quality_daily,
     "air_quality_hourly": q_air_quality_hourly,
@@ -365,6 +383,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "live_active_sensors_stream": q_live_active_sensors_stream,
     "air_quality_daily_incremental": q_air_quality_daily_incremental,
     "schema_evolution_timeline": q_schema_evolution_timeline,
+    "run_log": q_run_log,
 }
 
 # Approximate by design (HyperLogLog): checked for rows only, and against the exact batch count

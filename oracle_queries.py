@@ -548,6 +548,7 @@ def all_sql() -> dict[str, str]:
         "latest_by_sensor_stream": LATEST_BY_SENSOR_STREAM,
         "air_quality_daily_incremental": AIR_QUALITY_DAILY,
         "schema_evolution_timeline": SCHEMA_EVOLUTION_TIMELINE,
+        "run_log": RUN_LOG,
     }
 
 BRONZE_ARCHIVE_STREAM = "WITH " + _EV.strip() + "," + _ARCHIVE_RAW + """
@@ -636,3 +637,11 @@ FROM (
   WHERE raw IS NOT NULL AND TRY_CAST(raw AS DOUBLE) IS NOT NULL)
 GROUP BY value_type
 """
+
+RUN_LOG = SILVER + """
+SELECT 'silver_readings' AS job, 'succeeded' AS status, CAST(NULL AS BIGINT) AS rows_in,
+       (SELECT count(*) FROM readings) AS rows_out, CAST(NULL AS VARCHAR) AS message
+UNION ALL
+SELECT 'silver_devices', 'succeeded', (SELECT count(*) FROM registry_raw),
+       (SELECT count(*) FROM devices), CAST(NULL AS VARCHAR)
+"""
