@@ -15,6 +15,7 @@ from sensorlake import config
 from sensorlake.functions import pollution_level
 from sensorlake.operators.reshape import unpivot_metrics
 from sensorlake.plans.silver import clean_readings
+from sensorlake.streaming.sinks import start_append
 
 PM = (config.PM10, config.PM25)
 
@@ -62,3 +63,21 @@ def stream_latest_by_sensor(readings: DataFrame) -> DataFrame:
                                     "event_ts_utc").alias("r"))
                       .select("sensor_id", "value_type", "r.*"))
     return latest.withColumn("level", pollution_level("value_type", "value"))
+
+
+def start_silver_stream(spark, bronze_live_path: str, silver_path: str, checkpoint: str,
+                        watermark: str = "1 hour", settings: config.Settings | None = None,
+                        available_now: bool = False, trigger: str | None = None):
+    """Near-real-time silver: new live bronze files -> typed long readings, repeats within the
+    watermark dropped, appended to ``silver_path`` partitioned by event date.
+
+    Keys older than the watermark are forgotten, so late copies can pass; the batch rebuild
+    (``plans.incremental``) remains the exact table.
+    """
+    schema = spark.read.option("mergeSchema", True).parquet(bronze_live_path).schema
+    bronze = spark.readStream.schema(schema).parquet(bronze_live_path)
+    timed = live_readings(bronze, settings).where(F.col("event_ts_utc").isNotNull())
+    readings = dedup_stream(timed, watermark)
+    out = readings.withColumn("event_date", F.to_date("event_ts_utc"))
+    return start_append(out, silver_path, checkpoint, available_now=available_now,
+                        trigger=trigger, partition_by=["event_date"])

@@ -243,3 +243,18 @@ def test_kafka_path_is_wired_but_connector_absent(spark):
     with pytest.raises(Exception) as err:
         read_bus(spark, "kafka", {"kafka.bootstrap.servers": "localhost:1", "subscribe": "t"})
     assert "kafka" in str(err.value).lower()
+
+
+def test_silver_stream_from_live_bronze(spark, scratch):
+    from sensorlake.plans import adapters
+    ev = adapters.load(spark, "/root/testdata/sf0.001", "events")
+    src = os.path.join(scratch, "bronze")
+    adapters.live_raw(ev).write.parquet(src)
+    out = os.path.join(scratch, "silver")
+    q = live.start_silver_stream(spark, src, out, os.path.join(scratch, "ck"),
+                                 watermark="400 days", available_now=True)
+    q.awaitTermination()
+    got = spark.read.parquet(out)
+    batch = live.live_readings(spark.read.parquet(src)).where(F.col("event_ts_utc").isNotNull())
+    assert got.count() == batch.select("sensor_id", "event_ts_utc", "value_type").distinct().count()
+    assert "event_date" in got.columns
