@@ -2,6 +2,7 @@
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from sensorlake.operators.dedup import keep_greatest
 from sensorlake.operators.joins import upsert
@@ -59,3 +60,30 @@ def test_keep_greatest_matches_python(spark, rows):
         if k not in best or cand > best[k][0]:
             best[k] = (cand, (k, o, p))
     assert got == sorted(v[1] for v in best.values())
+
+
+VTYPE = st.sampled_from(["P1", "P2", "temperature", "", None, "noise"])
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.tuples(VTYPE, st.sampled_from(["1", "2", "3", None])), max_size=6),
+                min_size=1, max_size=6))
+def test_normalize_matches_python_model(spark, records):
+    from sensorlake import config
+    from sensorlake.operators.reshape import normalize_records
+    rows = [(str(i), {"id": "s", "sensor_type": {"name": "SDS011"}}, entries)
+            for i, entries in enumerate(records)]
+    df = spark.createDataFrame(
+        rows, "id string, sensor struct<id:string,sensor_type:struct<name:string>>, "
+              "sensordatavalues array<struct<value_type:string,value:string>>")
+    df = df.withColumn("timestamp", F.lit(None).cast("string")) \
+           .withColumn("location", F.lit(None).cast(
+               "struct<id:string,latitude:string,longitude:string,country:string>"))
+    got = {r["id"]: r.asDict() for r in normalize_records(df, config.METRICS).collect()}
+    for i, entries in enumerate(records):
+        model = {}
+        for vt, v in entries:
+            if vt:                        # empty or missing type: skipped; later entries win
+                model[vt] = v
+        for m in config.METRICS:
+            assert got[str(i)][m] == model.get(m)
