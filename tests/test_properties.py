@@ -87,3 +87,43 @@ def test_normalize_matches_python_model(spark, records):
                 model[vt] = v
         for m in config.METRICS:
             assert got[str(i)][m] == model.get(m)
+
+
+FNAME = st.sampled_from(["a_sds011_sensor_1.csv", "b_SDS011_sensor_2.csv", "c_bme280_sensor_3.csv",
+                         "d_dht22_sensor_1.csv", "e_sds011_index.csv", "f_sds011_sensor_9.csv",
+                         "g_bme280_sensor_2.txt"])
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from([1, 2]), st.lists(FNAME, min_size=1, max_size=3)),
+                min_size=1, max_size=8),
+       st.sets(st.sampled_from(["a_sds011_sensor_1.csv", "c_bme280_sensor_3.csv"])),
+       st.one_of(st.none(), st.integers(1, 3)))
+def test_manifest_matches_python_model(spark, pages, landed_names, cap):
+    import datetime as dt
+    import re
+    from sensorlake.plans import manifest
+    days = {1: dt.date(2024, 1, 1), 2: dt.date(2024, 1, 2)}
+    listings = spark.createDataFrame(
+        [(days[d], pos, "".join(f'<a href="{f}">x</a>' for f in files))
+         for pos, (d, files) in enumerate(pages)], "day date, pos long, html string")
+    registry = spark.createDataFrame([("1",), ("2",), ("3",)], "sensor_id string")
+    landed = spark.createDataFrame([(days[1], n, 10) for n in landed_names],
+                                   "day date, file_name string, length long")
+    got = sorted((r["day"], r["file_name"], r["status"]) for r in manifest.select_files(
+        listings, registry, landed, "2024-01-01", "2024-01-02", cap=cap).collect())
+    want, seen, per_day = [], set(), {}
+    for pos, (d, files) in enumerate(pages):
+        for f in files:
+            if not f.endswith(".csv") or not any(f"_{t}_" in f.lower() for t in ("sds011", "bme280")):
+                continue
+            m = re.search(r"_sensor_(\d+)\.csv", f)
+            if not m or m.group(1) not in {"1", "2", "3"} or (d, f) in seen:
+                continue
+            seen.add((d, f))
+            per_day[d] = per_day.get(d, 0) + 1
+            if cap is not None and per_day[d] > cap:
+                continue
+            status = "skip" if d == 1 and f in landed_names else "download"
+            want.append((days[d], f, status))
+    assert got == sorted(want)
