@@ -127,3 +127,26 @@ def test_manifest_matches_python_model(spark, pages, landed_names, cap):
             status = "skip" if d == 1 and f in landed_names else "download"
             want.append((days[d], f, status))
     assert got == sorted(want)
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["s1", "s2", None]),
+                          st.sampled_from(["2024-01-01 10:00", "2024-01-01 9:00", "'2024", None]),
+                          st.sampled_from(["0", "1"]), st.integers(0, 20),
+                          st.sampled_from(["de", "pl", None])), min_size=1, max_size=10,
+                unique_by=lambda r: (r[2], r[3])))
+def test_latest_live_matches_python_model(spark, rows):
+    from sensorlake.plans.silver import latest_live
+    df = spark.createDataFrame(
+        [(p, str(o), s, t, "1", "2", c) for s, t, p, o, c in rows],
+        "_source_partition string, _source_offset string, sensor_id string, timestamp string, "
+        "latitude string, longitude string, country string")
+    got = {r["live_sensor_id"]: r["live_country"] for r in latest_live(df).collect()}
+    want = {}
+    for s, t, p, o, c in rows:
+        if s is None:
+            continue
+        key = ((t is not None, t or ""), p, o)            # NULL text sorts lowest
+        if s not in want or key > want[s][0]:
+            want[s] = (key, c)
+    assert got == {s: v[1] for s, v in want.items()}
