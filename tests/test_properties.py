@@ -150,3 +150,32 @@ def test_latest_live_matches_python_model(spark, rows):
         if s not in want or key > want[s][0]:
             want[s] = (key, c)
     assert got == {s: v[1] for s, v in want.items()}
+
+
+KEY = st.sampled_from(["id", "sensor_id", "P1", "temperature", "extra", "k"])
+SCALAR = st.one_of(st.integers(-5, 5), st.sampled_from(["a", "b"]))
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.dictionaries(KEY, SCALAR, max_size=4),
+                          st.sampled_from(["{broken", "[1, 2]"])), min_size=1, max_size=8))
+def test_parse_events_matches_json_model(spark, bodies):
+    import json
+    from sensorlake import schemas
+    from sensorlake.operators.messages import parse_events
+    texts = [b if isinstance(b, str) else json.dumps(b) for b in bodies]
+    env = spark.createDataFrame([(0, i, t) for i, t in enumerate(texts)],
+                                "partition int, offset long, value string")
+    got = {int(r["_source_offset"]): r for r in parse_events(env, schemas.PHASE_A).collect()}
+    known = set(schemas.PHASE_A.fieldNames())
+    for i, b in enumerate(bodies):
+        r = got[i]
+        if not isinstance(b, dict):                      # not a JSON object
+            assert r["id"] is None and r["P1"] is None
+            assert r["_rescued_data"] is None
+            continue
+        assert r["_corrupt_record"] is None
+        for f in ("id", "sensor_id", "P1"):
+            assert r[f] == (None if f not in b else str(b[f]))
+        extra = {k: str(v) for k, v in b.items() if k not in known}
+        assert (json.loads(r["_rescued_data"]) if r["_rescued_data"] else {}) == extra
