@@ -179,3 +179,38 @@ def test_parse_events_matches_json_model(spark, bodies):
             assert r[f] == (None if f not in b else str(b[f]))
         extra = {k: str(v) for k, v in b.items() if k not in known}
         assert (json.loads(r["_rescued_data"]) if r["_rescued_data"] else {}) == extra
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["s1", "s2"]),
+                          st.sampled_from(["2024-01-01 10:00:00", "'2024-01-01 10:00:00'", "bad"]),
+                          st.sampled_from([1.0, 2.0, float("nan")]),
+                          st.sampled_from(["1.5", "NaN", None]),
+                          st.sampled_from(["live", "archive"]),
+                          st.integers(0, 3)), min_size=1, max_size=10))
+def test_clean_then_dedup_matches_python_model(spark, rows):
+    import datetime as dt
+    import math
+    from sensorlake.plans.silver import clean_readings, dedup_readings
+    base = dt.datetime(2024, 1, 1)
+    data = [(s, t, "P1", v, "L", lat, None, None, src, base + dt.timedelta(hours=h))
+            for s, t, v, lat, src, h in rows]
+    df = spark.createDataFrame(data, "sensor_id string, timestamp string, value_type string, "
+                                     "value double, location_id string, latitude string, "
+                                     "longitude string, country string, _source string, "
+                                     "_ingested_at timestamp")
+    safe = lambda x: (x[0], x[1] is not None, x[1] or base, x[2], x[3])
+    got = sorted(((r["sensor_id"], r["event_ts_utc"], r["value"], r["_source"])
+                  for r in dedup_readings(clean_readings(df)).collect()), key=safe)
+    best = {}
+    for s, t, v, lat, src, h in rows:
+        if math.isnan(v) or lat == "NaN":                 # invalid copies never compete
+            continue
+        ts = None if t == "bad" else dt.datetime(2024, 1, 1, 10)
+        lat_v = None if lat is None else float(lat)
+        # greatest (_ingested_at, _source, value, location_id, latitude, ...); NULL lowest
+        rank = (h, src, v, "L", (lat_v is not None, lat_v or 0.0))
+        k = (s, ts)
+        if k not in best or rank > best[k][0]:
+            best[k] = (rank, (s, ts, v, src))
+    assert got == sorted((v[1] for v in best.values()), key=safe)
