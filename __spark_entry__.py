@@ -391,15 +391,31 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 NO_ORACLE = {"live_active_sensors_stream"}
 
 
+# The text operators live in a subpackage of their own, which may be absent.
+try:
+    import corpus_pipeline
+    from sensorlake.llm import queries as _llm
+except ModuleNotFoundError as e:
+    if e.name not in ("corpus_pipeline", "sensorlake.llm"):
+        raise
+    _LLM_QUERIES, _LLM_SQL = {}, {}
+else:
+    _LLM_QUERIES = {**_llm.QUERIES, "pipeline": corpus_pipeline.run}
+    _LLM_SQL = dict(_llm.ORACLE_SQL)
+    if corpus_pipeline.ORACLE_SQL:
+        _LLM_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: daily air quality by country on sf0.001."""
     return q_air_quality_daily(spark, SMOKE_DIR)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_LLM_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
     sql = oracle_queries.all_sql()
-    return {k: v for k, v in sql.items() if k in _QUERIES and k not in NO_ORACLE}
+    own = {k: v for k, v in sql.items() if k in _QUERIES and k not in NO_ORACLE}
+    return {**own, **_LLM_SQL}
