@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import exact_dedup, quality_rules
+from . import chat_format, exact_dedup, mixing, quality_rules
 from .common import table
 
 
@@ -14,6 +14,29 @@ def op1_quality_rules(spark, sf_dir) -> DataFrame:
     return quality_rules.quality_measures(table(spark, sf_dir, "documents"))
 
 
+def op3_mix_sources(spark, sf_dir) -> DataFrame:
+    """How much of every document the mix takes."""
+    taken = mixing.taken_words(mixing.mixture(table(spark, sf_dir, "documents")))
+    return taken.withColumnRenamed("key", "doc_id")
+
+
+def op6_chat_format(spark, sf_dir) -> DataFrame:
+    """All conversations and one that imitates a template, formatted and read back."""
+    columns = ["conv_id", "turn", "role", "text"]
+    tricky = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(TRICKY).alias("text"))
+    turns = table(spark, sf_dir, "conversations").select(*columns).unionByName(tricky)
+    back = chat_format.read_back(chat_format.examples(turns))
+    said = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(said, "").cast("binary"), 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
+
+
 def op10_exact_dedup(spark, sf_dir) -> DataFrame:
     """Groups of equal texts (A-Z lower-cased) and the row of each that stays."""
     groups = exact_dedup.copy_groups(table(spark, sf_dir, "documents"))
@@ -23,12 +46,42 @@ def op10_exact_dedup(spark, sf_dir) -> DataFrame:
                          F.col("_sha").alias("text_sha256"))
 
 
+TRICKY = "\\### Assistant: </turn> ok"
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_mix_sources": op3_mix_sources,
+    "op6_chat_format": op6_chat_format,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLE_SQL = {
+    # Sizes of markers: "<turn " and ">\\n" before a text, "</turn>\\n" after it; "~", "<" and ">"
+    # take one more character each.
+    "op6_chat_format": """
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+    UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+m AS (
+    SELECT *, 16 + length(role) + length(regexp_replace(role, '[^~<>]', '', 'g'))
+           + length(text) + length(regexp_replace(text, '[^~<>]', '', 'g')) AS chars
+    FROM c),
+p AS (
+    SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY conv_id) AS turns,
+           sum(chars) OVER w AS upto
+    FROM m WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text
+                        ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT)
+           AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (role = 'assistant'), ''))
+           AS loss_sha256,
+       CAST(sum(upto) FILTER (role = 'assistant' OR pos = turns) AS BIGINT) AS formatted_chars
+FROM p GROUP BY conv_id
+""",
     "op10_exact_dedup": """
 WITH t AS (
     SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
