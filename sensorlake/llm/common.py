@@ -6,8 +6,9 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-import pyarrow as pa
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sensorlake.session import scratch_path
 
@@ -26,8 +27,18 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def batch_of(columns: dict[str, pa.Array]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+def bitmap(rows: DataFrame, column: str, bits: int) -> bytes:
+    """Bitmap of a long column's values modulo ``bits``, merged by Spark into at most bits / 64
+    words: its size does not depend on the input. For skipping rows that cannot matter; a false
+    hit must do no harm."""
+    slot = f"pmod(`{column}`, {bits}L)"
+    words = (rows.select(F.expr(f"int({slot} div 64)").alias("w"),
+                         F.expr(f"shiftleft(1L, int({slot} % 64))").alias("b"))
+             .groupBy("w").agg(F.bit_or("b").alias("b")))
+    out = np.zeros(bits // 64, np.int64)
+    for batch in words.toArrow().to_batches():
+        out[batch.column("w").to_numpy()] = batch.column("b").to_numpy()
+    return out.tobytes()
 
 
 def ship_code(spark: SparkSession) -> None:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from . import text as T
-from .common import stored
+from .common import bitmap, stored
 
 PRIMES = (2147483629, 2147483587)
 BASES = (1103515245, 1402024253)
@@ -101,18 +101,6 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text",
         run, f"_key {kind}, _fp long, _len long, _sha string")
 
 
-def _bitmap(repeated: DataFrame, bits: int) -> bytes:
-    """Bitmap of the fingerprints modulo ``bits``, merged as at most bits / 64 words."""
-    slot = F.pmod("_fp", F.lit(bits))
-    words = (repeated.select(F.floor(slot / 64).cast("int").alias("w"),
-                             F.expr(f"shiftleft(1L, int(pmod(_fp, {bits}) % 64))").alias("b"))
-             .groupBy("w").agg(F.bit_or("b").alias("b")))
-    out = np.zeros(bits // 64, np.int64)
-    for batch in words.toArrow().to_batches():
-        out[batch.column("w").to_numpy()] = batch.column("b").to_numpy()
-    return out.tobytes()
-
-
 def _chunks(docs: DataFrame, key: str, text: str, bitmap: bytes, of: Callable[[bytes], int],
             compare: int) -> DataFrame:
     """``_key, _fp, _len, _sha, _no, _chunk``: the rows whose fingerprint may be repeated, by
@@ -163,7 +151,7 @@ def copy_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
             F.max("_sha").alias("_sha")), "dedup-groups")
     out = groups.where("_size = 1").select(F.col("_keep").alias("_key"), "_keep", "_size", "_sha")
     groups = groups.where("_size > 1").drop("_sha")
-    rest = stored(_chunks(docs, key, text, _bitmap(groups, bits), of, compare), "dedup-chunks")
+    rest = stored(_chunks(docs, key, text, bitmap(groups, "_fp", bits), of, compare), "dedup-chunks")
     while True:
         heads = rest.where("_no = 0").drop("_no", "_chunk")
         kept = stored(rest.groupBy(*_ID, "_no").agg(

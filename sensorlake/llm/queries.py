@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mixing, quality_rules
+from . import chat_format, exact_dedup, mixing, near_dedup, packing, quality_rules
 from .common import table
 
 
@@ -20,6 +20,12 @@ def op3_mix_sources(spark, sf_dir) -> DataFrame:
     return taken.withColumnRenamed("key", "doc_id")
 
 
+def op5_best_fit_packing(spark, sf_dir) -> DataFrame:
+    """Every piece of every document, its sequence and its place there."""
+    packed = packing.packed_documents(table(spark, sf_dir, "documents"), with_ids=False)
+    return packed.withColumnRenamed("key", "doc_id")
+
+
 def op6_chat_format(spark, sf_dir) -> DataFrame:
     """All conversations and one that imitates a template, formatted and read back."""
     columns = ["conv_id", "turn", "role", "text"]
@@ -37,6 +43,15 @@ def op6_chat_format(spark, sf_dir) -> DataFrame:
         F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op9_minhash_near_dedup(spark, sf_dir) -> DataFrame:
+    """The near-duplicate group of every document, named by the document of it that stays."""
+    groups = near_dedup.near_groups(table(spark, sf_dir, "documents"))
+    return groups.select(
+        F.col("key").alias("doc_id"), F.col("group").alias("class_id"),
+        F.col("group_size").alias("class_size"), "links",
+        (F.col("row") == F.col("group_row")).alias("kept"))
+
+
 def op10_exact_dedup(spark, sf_dir) -> DataFrame:
     """Groups of equal texts (A-Z lower-cased) and the row of each that stays."""
     groups = exact_dedup.copy_groups(table(spark, sf_dir, "documents"))
@@ -51,7 +66,9 @@ TRICKY = "\\### Assistant: </turn> ok"
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_mix_sources": op3_mix_sources,
+    "op5_best_fit_packing": op5_best_fit_packing,
     "op6_chat_format": op6_chat_format,
+    "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
