@@ -5,7 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_dedup, mixing, near_dedup, packing, quality_rules
+from . import (
+    chat_format,
+    exact_dedup,
+    factorisation,
+    mixing,
+    near_dedup,
+    packing,
+    quality_rules,
+    toxicity,
+)
 from .common import table
 
 
@@ -43,6 +52,19 @@ def op6_chat_format(spark, sf_dir) -> DataFrame:
         F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"), "formatted_chars")
 
 
+def op7_toxicity(spark, sf_dir) -> DataFrame:
+    """Toxicity of every document by a model of the labelled ones that are not held out."""
+    docs, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
+    return toxicity.score_toxicity(docs, toxicity.toxicity_model(docs, labels))
+
+
+def op8_quality_classifier(spark, sf_dir) -> DataFrame:
+    """Quality of every document by a model of the labelled ones that are not held out."""
+    docs, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
+    model = factorisation.quality_model(docs, labels, metadata=("n_chars",))
+    return factorisation.score_quality(docs, model, metadata=("n_chars",))
+
+
 def op9_minhash_near_dedup(spark, sf_dir) -> DataFrame:
     """The near-duplicate group of every document, named by the document of it that stays."""
     groups = near_dedup.near_groups(table(spark, sf_dir, "documents"))
@@ -68,6 +90,8 @@ QUERIES = {
     "op3_mix_sources": op3_mix_sources,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_chat_format": op6_chat_format,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
