@@ -16,7 +16,7 @@ nodes of other components, until every slice has been used or the bucket is one
 pair that shares a bucket is either compared or already joined, without emitting all pairs of a
 group of copies. A pair counts if the exact Jaccard similarity of its shingle sets is at least
 ``SIMILARITY``; lengths and the signatures' agreement (more than six standard deviations below the
-threshold) only spare hopeless comparisons. Components of those links are the groups.
+threshold) only spare hopeless comparisons. Components of those links are the groups (linking.py).
 
 Scale: the signature pass is a map; what is shuffled is one row of 64-bit keys per band of each
 distinct shingle set, and shingle sets only of nodes in shared buckets, found in a second pass by a
@@ -39,9 +39,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import bitmap, stored
-from .components import components
-from .shingles import shingle_sets
+from .common import stored
+from .linking import linked, marked_sets, row_lists
+from .shingles import set_identities, shingle_sets
 
 BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
@@ -49,7 +49,6 @@ SIMILARITY = 0.8
 #: Agreeing coordinates of SIZE below which a pair is not compared.
 AGREE = 96
 FIRST_RANK = 1 / 64
-BITMAP_BITS = 1 << 23
 _U = np.uint64
 _ODD = np.random.default_rng(7).integers(0, 2**63, 16, dtype=np.uint64) * _U(2) + _U(1)
 
@@ -115,19 +114,6 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return T.mix(parts.sum(2, dtype=_U) + np.arange(1, BANDS + 1).astype(_U) * _ODD[9])
 
 
-def _nodes(hashes: np.ndarray, begins: np.ndarray) -> np.ndarray:
-    """A 64-bit identity of each set of shingles."""
-    sums = np.zeros(len(hashes) + 1, _U)
-    np.cumsum(T.mix(hashes * _ODD[10]), out=sums[1:])
-    n = np.diff(begins).astype(_U)
-    return T.mix(sums[begins[1:]] - sums[begins[:-1]] + n * _ODD[11])
-
-
-def _lists(values: np.ndarray, n: int, each: int) -> pa.Array:
-    return pa.ListArray.from_arrays(np.arange(0, n * each + 1, each, dtype=np.int32),
-                                    pa.array(values.ravel().view(np.int64)))
-
-
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``key, row, n`` (shingles), ``node, bands, sketch`` (a byte of each coordinate)."""
     kind = docs.schema[key].dataType.simpleString()
@@ -139,8 +125,8 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
                 sketch = (sig >> _U(1)).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, n), b.column(1).slice(i, n),
-                     pa.array(np.diff(begins)), pa.array(_nodes(hashes, begins).view(np.int64)),
-                     _lists(band_keys(sig), n, BANDS),
+                     pa.array(np.diff(begins)), pa.array(set_identities(hashes, begins).view(np.int64)),
+                     row_lists(band_keys(sig)),
                      pa.array([s.tobytes() for s in sketch], pa.binary())],
                     names=["key", "row", "n", "node", "bands", "sketch"])
 
@@ -149,67 +135,6 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
                                 "sketch binary")
 
 
-def _sets(docs: DataFrame, text: str, marks: bytes) -> DataFrame:
-    """``node, shingles`` (sorted 64-bit hashes) of the nodes that the bitmap may hold."""
-    held = docs.sparkSession.sparkContext.broadcast(marks)  # of fixed size
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        marks = np.frombuffer(held.value, np.uint8)
-        bits = 8 * len(marks)
-        for b in batches:
-            for _, _, hashes, begins in shingle_sets(b.column(0)):
-                nodes = _nodes(hashes, begins).view(np.int64)
-                slot = nodes % bits
-                own = np.flatnonzero((marks[slot >> 3] >> (slot & 7) & 1)
-                                     & (np.diff(begins) > 0))
-                if len(own):
-                    nodes, at = np.unique(nodes[own], return_index=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(nodes),
-                         pa.array([hashes[begins[i]:begins[i + 1]].tobytes() for i in own[at]],
-                                  pa.binary())], names=["node", "shingles"])
-
-    rows = docs.select(text).mapInArrow(run, "node long, shingles binary")
-    return rows.groupBy("node").agg(F.first("shingles").alias("shingles"))
-
-
-def _ends(pairs: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame:
-    """``pairs`` (a, b) with ``columns`` of both ends."""
-    for end in ("a", "b"):
-        pairs = pairs.join(nodes.select(F.col("node").alias(end),
-                                        *(F.col(c).alias(f"{c}_{end}") for c in columns)), end)
-    return pairs
-
-
-def _agreeing(batches: Iterator[pa.RecordBatch]):
-    for b in batches:
-        x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, SIZE)
-                for c in ("sketch_a", "sketch_b"))
-        yield b.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= AGREE))
-
-
-def _similar(similarity: float):
-    def run(batches: Iterator[pa.RecordBatch]):
-        for b in batches:
-            keep = []
-            for x, y in zip(b.column("shingles_a"), b.column("shingles_b"), strict=True):
-                x, y = (np.frombuffer(v.as_py(), _U) for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-    return run
-
-
-def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of ``pairs`` whose similarity is reached, compared exactly."""
-    sized = _ends(pairs, nodes, ["n", "sketch"]).where(
-        F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
-    near = stored(sized.select("a", "b", "sketch_a", "sketch_b")
-                  .mapInArrow(_agreeing, "a long, b long"), "near-candidates")
-    return _ends(near, sets, ["shingles"]).select("a", "b", "shingles_a", "shingles_b") \
-        .mapInArrow(_similar(similarity), "a long, b long")
-
-
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: ``key, row`` (hash of key and text), ``group`` (key of the document
@@ -219,44 +144,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "row")).alias("best"),
         F.first("n").alias("n"), F.first("bands").alias("bands"),
         F.first("sketch").alias("sketch")), "near-nodes")
-    exploded = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = stored(exploded.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("members"), F.min("node").alias("hub")).where("members > 1"),
-        "near-shared")
-    members = stored(exploded.join(shared, "bucket"), "near-members")
-    sets = stored(_sets(docs, text, bitmap(members.select("node"), "node", BITMAP_BITS)),
-                  "near-sets")
-    pair = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
-    tried = stored(members.where("node <> hub").withColumnRenamed("hub", "other").select(*pair)
-                   .distinct(), "near-pairs")
-    links = stored(_links(tried, nodes, sets, similarity), "near-links")
-    roots = stored(components(links), "near-roots")
-
-    done, upto = 0, 2
-    at = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 20)) / float(1 << 20) * F.col("members")
-    open_ = members
-    while True:
-        # Buckets that still hold several components, with the component of each node.
-        placed = open_.join(roots, "node", "left").withColumn(
-            "root", F.coalesce("root", "node"))
-        several = stored(placed.groupBy("bucket").agg(
-            F.min("root").alias("lo"), F.max("root").alias("hi"))
-            .where("lo <> hi").select("bucket"), "near-several")
-        open_ = stored(placed.join(several, "bucket").where(F.col("members") > done)
-                       .select("bucket", "node", "members", "hub", "root"), "near-open")
-        if open_.isEmpty():
-            break
-        reps = open_.where((at >= done) & (at < upto)).select(
-            "bucket", F.col("node").alias("other"), F.col("root").alias("other_root"))
-        pairs = (open_.join(reps, "bucket").where("root <> other_root").select(*pair).distinct()
-                 .join(tried, ["a", "b"], "left_anti"))
-        pairs = stored(pairs, "near-pairs")
-        fresh = stored(_links(pairs, nodes, sets, similarity), "near-links")
-        if not fresh.isEmpty():
-            links = links.unionByName(fresh)
-            roots = stored(components(links), "near-roots")
-        tried = tried.unionByName(pairs)
-        open_, done, upto = open_.drop("root"), upto, upto * 4
+    links, roots = linked(nodes, lambda marks: marked_sets(docs, text, marks, shingle_sets), SIZE, AGREE, similarity)
     degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
         F.count(F.lit(1)).alias("links"))
     rooted = nodes.select("node", "copies", "best").join(roots, "node", "left").withColumn(

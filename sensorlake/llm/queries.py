@@ -13,6 +13,7 @@ from . import (
     near_dedup,
     packing,
     quality_rules,
+    substring_dedup,
     toxicity,
 )
 from .common import table
@@ -23,6 +24,15 @@ def op1_quality_rules(spark, sf_dir) -> DataFrame:
     return quality_rules.quality_measures(table(spark, sf_dir, "documents"))
 
 
+def op2_substring_dedup(spark, sf_dir) -> DataFrame:
+    """Every paragraph that repeats, its class (named by the document whose copy stays) and
+    whether it is to be removed."""
+    found = substring_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("key").alias("doc_id"), "paragraph", "start", "length", "words",
+        F.col("class_key").alias("class_id"), "class_paragraph", "class_size", "removed")
+
+
 def op3_mix_sources(spark, sf_dir) -> DataFrame:
     """How much of every document the mix takes."""
     taken = mixing.taken_words(mixing.mixture(table(spark, sf_dir, "documents")))
@@ -87,6 +97,7 @@ TRICKY = "\\### Assistant: </turn> ok"
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_mix_sources": op3_mix_sources,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_chat_format": op6_chat_format,
