@@ -149,11 +149,11 @@ def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
         "words", F.least((F.col("block") + 1) * block, F.col("_to")) - begin).withColumn(
         "block", F.when(F.col("words") > 0, F.col("block"))).drop("_from", "_to")
 
-    step = 4096
+    step, tasks = 4096, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     drawn = (sources.where("slots > 0")
              .select("_no", "blocks", "slots", "first_slot", "all_slots", F.explode(
                  F.expr(f"sequence(0L, (slots - 1) div {step})")).alias("_part"))
-             .repartition("_no", "_part")
+             .repartition(tasks, "_no", "_part")
              .select("_no", "blocks", "first_slot", "all_slots", F.explode(F.expr(
                  f"sequence(_part * {step}, least(_part * {step} + {step}, slots) - 1)"))
                  .alias("j")))
@@ -164,8 +164,10 @@ def mixture(docs: DataFrame, key: str = "doc_id", text: str = "text", source: st
                  F.xxhash64(F.lit(seed), "_no", "pass")).alias("block"),
         permuted(F.col("first_slot") + F.col("j"), F.col("all_slots"), F.lit(seed))
         .alias("_place"))
-    drawn = drawn.select("_no", "block", "pass", F.expr(f"_place div {shard}").alias("shard"),
-                         F.pmod("_place", F.lit(shard)).alias("slot"))
+    # Written, so that the join below knows its size: the few rows it grows from say nothing.
+    drawn = stored(drawn.select(
+        "_no", "block", "pass", F.expr(f"_place div {shard}").alias("shard"),
+        F.pmod("_place", F.lit(shard)).alias("slot")), "mix-slots")
     return Mixture(sources, parts.join(drawn, ["_no", "block"], "left"), rows)
 
 
