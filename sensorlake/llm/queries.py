@@ -9,6 +9,7 @@ from . import (
     chat_format,
     exact_dedup,
     factorisation,
+    language_id,
     mixing,
     near_dedup,
     packing,
@@ -39,6 +40,12 @@ def op3_mix_sources(spark, sf_dir) -> DataFrame:
     return taken.withColumnRenamed("key", "doc_id")
 
 
+def op4_language_id(spark, sf_dir) -> DataFrame:
+    """The language of every page, by trigram models of all documents."""
+    model = language_id.train(table(spark, sf_dir, "documents"))
+    return language_id.identify(table(spark, sf_dir, "pages"), model)
+
+
 def op5_best_fit_packing(spark, sf_dir) -> DataFrame:
     """Every piece of every document, its sequence and its place there."""
     packed = packing.packed_documents(table(spark, sf_dir, "documents"), with_ids=False)
@@ -99,6 +106,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_mix_sources": op3_mix_sources,
+    "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_chat_format": op6_chat_format,
     "op7_toxicity": op7_toxicity,
