@@ -11,8 +11,11 @@ every count it is judged by. The logs of all factors are summed.
 Scale: trigram counts are summed per task before they are shuffled, and their table has at most
 languages x ``SLOTS`` rows; counts by host, declared language and suffix are grouped aggregations
 with map-side combine, joined back to narrow rows, so a host with a third of all pages is one row
-a task. Trigrams of one text are not independent: its likelihood counts as ``EFFECTIVE`` of them at
-most.
+a task.
+
+The text counts by blocks (lines; every tag ends one). A block may be foreign, an advertisement or
+a quotation, with probability ``FOREIGN``, which bounds what a single block can say; within a block
+trigrams are not independent and count as ``EFFECTIVE`` of them at most.
 
 Defined cases: null or empty html has no text evidence, a null address an empty host, and a missing
 declaration is a value of its own; training documents without a language are not used; without any
@@ -37,6 +40,8 @@ from .common import stored
 
 SLOTS = 1 << 14
 EFFECTIVE = 100
+#: Chance that a block is in any language, whatever the page's.
+FOREIGN = 0.05
 STRENGTH = 10.0
 ALPHA = 1.0
 #: Not text of the page itself: scripts, styles, navigation, comments, tags.
@@ -48,24 +53,16 @@ _LEVELS = ("two", "three", "host")
 
 
 def visible(page: str | None) -> str:
-    return entities.unescape(_HIDDEN.sub(" ", page or ""))
-
-
-def trigram_slots(column: pa.Array):
-    """Per group of documents: (first, last, slots, places): slots of all byte trigrams within a
-    text and where each text's begin."""
-    for i, j, buf, off in T.texts(column):
-        x = _LOWER[buf].astype(np.uint32)
-        if len(x) < 3:
-            yield i, j, np.zeros(0, np.int64), np.zeros(j - i + 1, np.int64)
-            continue
-        slots = ((x[:-2] << 16 | x[1:-1] << 8 | x[2:]) * np.uint32(2654435761)) >> np.uint32(18)
-        # The newline after each text ends it: trigrams over it would mix two texts.
-        whole = np.ones(len(slots), bool)
-        for back in (1, 2):
-            whole[np.clip(off[1:] - back, 0, len(slots))[off[1:] - back < len(slots)]] = False
-        at = np.r_[0, np.cumsum(whole)]
-        yield i, j, slots[whole].astype(np.int64), at[np.minimum(off, len(slots))]
+    return entities.unescape(_HIDDEN.sub("\n", page or ""))
+
+
+def trigram_slots(buf: np.ndarray) -> np.ndarray:
+    """Slot of the byte trigram at every place but the last two."""
+    x = _LOWER[buf].astype(np.uint32)
+    if len(x) < 3:
+        return np.zeros(0, np.int64)
+    return (((x[:-2] << 16 | x[1:-1] << 8 | x[2:]) * np.uint32(2654435761)) >> np.uint32(18)
+            ).astype(np.int64)
 
 
 @dataclass
@@ -74,14 +71,34 @@ class Model:
     logs: np.ndarray    # languages x SLOTS log-probabilities
     prior: np.ndarray   # log shares of the languages' documents
 
-    def scores(self, slots: np.ndarray, places: np.ndarray) -> np.ndarray:
-        """Log-likelihood of each text in each language, worth EFFECTIVE trigrams at most."""
-        n = np.diff(places)
-        sums = np.zeros((len(n), len(self.languages)))
-        for k in range(len(self.languages)):
-            total = np.r_[0.0, np.cumsum(self.logs[k][slots])]
-            sums[:, k] = total[places[1:]] - total[places[:-1]]
-        return sums * np.minimum(1.0, EFFECTIVE / np.maximum(n, 1))[:, None]
+    def scores(self, column: pa.Array) -> np.ndarray:
+        """Log-likelihood of each text in each language, from its lines as blocks."""
+        out, k = [np.zeros((0, len(self.languages)))], max(len(self.languages), 1)
+        for i, j, buf, off in T.texts(column):
+            slots = trigram_slots(buf)
+            starts, ends = T.line_spans(buf)
+            ends = np.minimum(np.maximum(ends - 2, starts), len(slots))
+            starts = np.minimum(starts, len(slots))
+            n = ends - starts
+            sums = np.zeros((len(n), len(self.languages)))
+            for lang in range(len(self.languages)):
+                total = np.r_[0.0, np.cumsum(self.logs[lang][slots])]
+                sums[:, lang] = total[ends] - total[starts]
+            sums *= np.minimum(1.0, EFFECTIVE / np.maximum(n, 1))[:, None]
+            block = np.log((1 - FOREIGN) * softmax(sums) + FOREIGN / k)
+            block -= block.mean(1, keepdims=True) if len(self.languages) else 0.0
+            block[n == 0] = 0.0
+            total = np.r_[np.zeros((1, block.shape[1])), np.cumsum(block, 0)]
+            lines = np.searchsorted(T.line_spans(buf)[0], off)
+            out.append(total[lines[1:]] - total[lines[:-1]])
+        return np.concatenate(out)
+
+
+def softmax(x: np.ndarray) -> np.ndarray:
+    if not x.size:
+        return x
+    x = np.exp(x - x.max(1, keepdims=True))
+    return x / x.sum(1, keepdims=True)
 
 
 def train(docs: DataFrame, text: str = "text", language: str = "lang") -> Model:
@@ -92,13 +109,16 @@ def train(docs: DataFrame, text: str = "text", language: str = "lang") -> Model:
         counts, texts = {}, {}
         for b in batches:
             names = np.array(b.column(0).to_pylist(), dtype=object)
-            for i, j, slots, places in trigram_slots(b.column(1)):
+            for i, j, buf, off in T.texts(b.column(1)):
+                slots = trigram_slots(buf)
+                whole = (buf != 0x0A)
+                whole = whole[:-2] & whole[1:-1] & whole[2:] if len(slots) else whole[:0]
+                doc = np.repeat(np.arange(j - i), np.diff(off))[:len(slots)]
                 for name in dict.fromkeys(names[i:j]):
-                    own = np.flatnonzero(names[i:j] == name)
-                    inside = np.repeat(np.isin(np.arange(j - i), own), np.diff(places))
+                    own = names[i:j] == name
                     counts.setdefault(name, np.zeros(SLOTS, np.int64))
-                    counts[name] += np.bincount(slots[inside], minlength=SLOTS)
-                    texts[name] = texts.get(name, 0) + len(own)
+                    counts[name] += np.bincount(slots[whole & own[doc]], minlength=SLOTS)
+                    texts[name] = texts.get(name, 0) + int(own.sum())
         for name, c in counts.items():
             used = np.flatnonzero(c)
             yield pa.RecordBatch.from_arrays(
@@ -118,11 +138,6 @@ def train(docs: DataFrame, text: str = "text", language: str = "lang") -> Model:
     return Model(languages, logs, np.log((share + 1) / (share.sum() + max(len(languages), 1))))
 
 
-def softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(1, keepdims=True)) if x.shape[1] else x
-    return x / x.sum(1, keepdims=True) if x.shape[1] else x
-
-
 def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(
         np.arange(len(values) + 1, dtype=np.int32) * values.shape[1],
@@ -144,8 +159,7 @@ def text_evidence(pages: DataFrame, model: Model, key: str, html: str) -> DataFr
         m = held.value
         for b in batches:
             seen = pa.array([visible(v.as_py()) for v in b.column(len(kept))], pa.large_string())
-            scores = [m.scores(slots, places) for _, _, slots, places in trigram_slots(seen)]
-            score = np.concatenate(scores) if scores else np.zeros((0, len(m.languages)))
+            score = m.scores(seen)
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:len(kept)], _lists(softmax(score + m.prior)), _lists(score)],
                 names=[*kept, "p", "score"])
