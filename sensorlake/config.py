@@ -26,8 +26,6 @@ READING_ID_COLUMNS = (
 )
 ALLOWED_SENSOR_TYPES = ("SDS011", "BME280")
 PHASE_B_SENSOR_TYPE = "BME280"
-REGISTRY_COUNTRIES = ("UA", "PL", "DE", "NL", "AT", "CH", "CZ", "FR", "BE")
-LIVE_COUNTRIES = ("UA", "PL", "DE")
 PM10 = "P1"
 PM25 = "P2"
 PM10_THRESHOLD = 50.0
@@ -40,23 +38,19 @@ MAX_OFFSETS_PER_TRIGGER = 5000
 LIVE_TRIGGER_INTERVAL = "30 seconds"
 ARCHIVE_FILE_PATTERN = r"_sensor_(\d+)\.csv"
 LISTING_LINK_PATTERN = r'href="([^"]+\.csv)"'
+ARCHIVE_SOURCE = "sensor_archive"
+REGISTRY_SOURCE_FILE = "api_response"
 # ---------------------------------------------------------------------------
 
 # Provenance labels written into `_source` (our own names).
 LIVE_SOURCE = "sensor_live"
-ARCHIVE_SOURCE = "sensor_archive"
 REGISTRY_SOURCE = "registry_api"
-REGISTRY_SOURCE_FILE = "api_response"
 
 # Pollution levels for the live map (our own bands; the upper edge of each band is inclusive).
 PM10_LEVELS = ((20.0, "good"), (50.0, "moderate"), (100.0, "poor"))
 PM25_LEVELS = ((10.0, "good"), (25.0, "moderate"), (50.0, "poor"))
 WORST_LEVEL = "very_poor"
 
-# Largest dimension (rows) we are willing to ship to every executor as a broadcast.
-# A device row is ~120 bytes, so this bounds a broadcast at roughly 120 MB.
-MAX_BROADCAST_ROWS = 1_000_000
-
 
 @dataclass(frozen=True)
 class Thresholds:
@@ -77,7 +71,6 @@ class Settings:
     live_trigger_interval: str = LIVE_TRIGGER_INTERVAL
     files_per_day_cap: int | None = None
     drop_infinite: bool = False
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS
 
 
 def settings_from_mapping(cfg: dict) -> Settings:
@@ -87,8 +80,7 @@ def settings_from_mapping(cfg: dict) -> Settings:
     ``streaming.max_offsets_per_trigger``, ``streaming.base_measurement_fields``,
     ``streaming.phase_b_extra_fields``, ``streaming.trigger_interval``, ``batch.csv_delimiter``,
     ``batch.file_limit``, ``batch.target_metrics``, ``batch.registry.allowed_sensors``,
-    ``gold.pm10_threshold``, ``gold.pm25_threshold``, ``gold.drop_infinite``,
-    ``max_broadcast_rows``.
+    ``gold.pm10_threshold``, ``gold.pm25_threshold``, ``gold.drop_infinite``.
     """
     def get(path: str, default=None):
         node = cfg
@@ -113,7 +105,6 @@ def settings_from_mapping(cfg: dict) -> Settings:
         live_trigger_interval=get("streaming.trigger_interval", d.live_trigger_interval),
         files_per_day_cap=get("batch.file_limit", d.files_per_day_cap),
         drop_infinite=bool(get("gold.drop_infinite", d.drop_infinite)),
-        max_broadcast_rows=int(get("max_broadcast_rows", d.max_broadcast_rows)),
     )
 
 

@@ -14,9 +14,7 @@ from sensorlake.sources.archive import (
     archive_file_stream,
     archive_lines,
     cells_to_columns,
-    evolve_columns,
     load_schema_columns,
-    read_archive,
     save_schema_columns,
 )
 from sensorlake.sources.bus import read_bus
@@ -28,25 +26,6 @@ from sensorlake.streaming.sinks import run_available_now, start_append
 EVENT_DATE = "_event_date"
 
 
-def load_archive(spark: SparkSession, landing: str, target: str, checkpoint: str,
-                 schema_location: str, settings: config.Settings | None = None,
-                 max_files_per_trigger: int | None = 1000,
-                 new_days: list[str] | None = None) -> StreamingQuery:
-    """Take every new archive file once into the bronze directory and stop.
-
-    The column list is the remembered one plus any header names new in ``new_days`` (the days
-    the fetch just landed; all days when None). A rerun with no new file appends nothing: the
-    checkpoint remembers the files taken.
-    """
-    s = settings or config.Settings()
-    columns = evolve_columns(spark, landing, schema_location, s.archive_separator, new_days)
-    stream = read_archive(spark, landing, columns, s.archive_separator, streaming=True,
-                          max_files_per_trigger=max_files_per_trigger)
-    stream = stream.withColumn(EVENT_DATE, event_date("timestamp") if "timestamp" in columns
-                               else F.lit(None).cast("date"))
-    return run_available_now(stream, target, checkpoint, partition_by=[EVENT_DATE])
-
-
 def live_stream(spark: SparkSession, fmt: str, options: dict[str, str], path: str | None = None,
                 settings: config.Settings | None = None) -> DataFrame:
     """Bus envelope -> parsed live bronze rows for the configured sensor filter's phase."""
@@ -77,16 +56,23 @@ def add_provenance(df: DataFrame, source: str) -> DataFrame:
     return df.withColumns({"_source": F.lit(source), "_ingested_at": F.current_timestamp()})
 
 
-def load_archive_single_pass(spark: SparkSession, landing: str, target: str, checkpoint: str,
-                             schema_location: str, settings: config.Settings | None = None,
-                             max_files_per_trigger: int | None = 1000) -> StreamingQuery:
-    """Drain-and-stop archive load that reads every new file once.
+def _load_id(spark: SparkSession, checkpoint: str) -> str:
+    """The stream's own id, which its checkpoint keeps over restarts."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
+def load_archive(spark: SparkSession, landing: str, target: str, checkpoint: str,
+                 schema_location: str, settings: config.Settings | None = None,
+                 max_files_per_trigger: int | None = 1000) -> StreamingQuery:
+    """Take every new archive file once into the bronze directory and stop; a rerun without new
+    files appends nothing.
 
     Each micro-batch is cached, its distinct header names (bounded by the schema width) extend
     the remembered column list, and the batch is written with every remembered column to
-    ``target/load_batch=<id>``. Rewriting that folder on a retried batch keeps the load
-    idempotent; the checkpoint keeps every file taken exactly once. New columns appear in the
-    same run that first sees them; readers merge schemas.
+    ``target/load_batch=<stream id>-<batch id>``. Rewriting that folder on a retried batch keeps
+    the load idempotent, the checkpoint keeps every file taken exactly once, and a load with
+    another checkpoint has folders of its own. Headers come from the very files of the batch, so
+    no column of a file can be missed; readers merge schemas.
     """
     s = settings or config.Settings()
     raw = archive_file_stream(spark, landing, max_files_per_trigger)
@@ -99,15 +85,15 @@ def load_archive_single_pass(spark: SparkSession, landing: str, target: str, che
             known = load_schema_columns(spark, schema_location)
             names = [r[0] for r in batch.select(F.explode(HEADER).alias("c"))
                                          .where(F.length("c") > 0).distinct().collect()]
-            new = sorted(set(names) - set(known))
-            cols = known + new
-            if new:
+            cols = known + sorted(set(names) - set(known))
+            if cols != known:
                 save_schema_columns(spark, schema_location, cols)
             out = add_provenance(cells_to_columns(batch, cols), config.ARCHIVE_SOURCE)
             out = out.withColumn(EVENT_DATE, event_date("timestamp") if "timestamp" in cols
                                  else F.lit(None).cast("date"))
-            dest = f"{target.rstrip('/')}/load_batch={batch_id}"
-            out.write.mode("overwrite").partitionBy(EVENT_DATE).parquet(dest)
+            load = f"{_load_id(spark, checkpoint)}-{batch_id}"
+            out.write.mode("overwrite").partitionBy(EVENT_DATE).parquet(
+                f"{target.rstrip('/')}/load_batch={load}")
         finally:
             batch.unpersist()
 

@@ -1,12 +1 @@
-"""sensorlake package."""
-
-
-def ensure_parallelism(df, min_partitions: int | None = None):
-    """Spread a scan that yields fewer partitions than the cluster can run at once.
-
-    A single-row-group file is one scan task however many cores there are. Large inputs have
-    many splits and are returned unchanged; a small one is round-robin repartitioned (a cheap
-    shuffle of little data) so the expensive per-row work after it runs on every core.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+"""Readers of the archive landing zone, the message bus and the API responses."""

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorlake import config
+from sensorlake.tables import path_exists
 
 HEADER = "_header"
 CELLS = "_cells"
@@ -41,12 +42,25 @@ def archive_file_stream(spark: SparkSession, path: str, max_files_per_trigger: i
 
 
 def _split(c: Column, sep: str) -> Column:
-    return F.split(c, re.escape(sep), -1)
+    """Cells of one CSV line. A cell may be quoted: it may then hold separators, and quotes that
+    are doubled or escaped by a backslash. The separator put in front makes every cell, an empty
+    first one too, a match of its own."""
+    s = re.escape(sep)
+    cell = rf'{s}("(?:[^"\\]|\\.|"")*"(?={s}|$)|[^{s}]*)'
+    cells = F.regexp_extract_all(F.concat(F.lit(sep), c), F.lit(cell), F.lit(1))
+    return F.transform(cells, lambda x: F.when(
+        x.rlike('(?s)^".*"$') & (F.length(x) > 1),
+        F.replace(F.replace(x.substr(F.lit(2), F.length(x) - 2), F.lit('\\"'), F.lit('"')),
+                  F.lit('""'), F.lit('"'))).otherwise(x))
+
+
+def _names(line: Column, sep: str) -> Column:
+    """Column names of a header line, without byte-order mark, quotes and outer blanks."""
+    return F.transform(_split(F.regexp_replace(line, "^\ufeff", ""), sep), lambda h: F.trim(h))
 
 
 def _header(sep: str) -> Column:
-    lines = F.split(F.col("value"), r"\r?\n", -1)
-    return F.transform(_split(F.element_at(lines, 1), sep), lambda h: F.trim(h))
+    return _names(F.element_at(F.split(F.col("value"), r"\r?\n", -1), 1), sep)
 
 
 def archive_lines(files: DataFrame, sep: str) -> DataFrame:
@@ -61,8 +75,7 @@ def archive_lines(files: DataFrame, sep: str) -> DataFrame:
     per_file = (files
                 .select(*extra, F.split(F.col("value"), r"\r?\n", -1).alias("_lines"))
                 .select(*extra,
-                        F.transform(_split(F.element_at("_lines", 1), sep),
-                                    lambda h: F.trim(h)).alias(HEADER),
+                        _names(F.element_at("_lines", 1), sep).alias(HEADER),
                         F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(1)))
                          .alias("_body")))
     return (per_file
@@ -103,51 +116,29 @@ def read_archive(spark: SparkSession, path: str, columns: Sequence[str],
 
 
 def discover_columns(spark: SparkSession, path: str, sep: str = config.ARCHIVE_SEPARATOR,
-                     glob: str = "*.csv", known: Sequence[str] = (),
-                     days: Sequence[str] | None = None) -> list[str]:
-    """Column names found in the header lines of the landing zone, after ``known`` ones.
-
-    ``days`` restricts the scan to those ``date=`` folders (partition pruning), so a load of
-    newly fetched days reads only their files instead of the whole landing zone. Only the
-    distinct header names travel to the driver; their number is the schema width, not the
-    data size.
-    """
-    raw = _reader(spark, False, glob, None).load(path)
-    if days is not None and "date" in raw.columns:
-        raw = raw.where(F.col("date").cast("string").isin(*[str(d) for d in days]))
-    names = (raw.select(F.explode(_header(sep)).alias("c"))
-                .where(F.length("c") > 0)
-                .distinct())
+                     glob: str = "*.csv", known: Sequence[str] = ()) -> list[str]:
+    """Column names found in the header lines of the landing zone, after ``known`` ones. Only the
+    distinct header names travel to the driver: the schema's width, not the data."""
+    names = (_reader(spark, False, glob, None).load(path)
+             .select(F.explode(_header(sep)).alias("c")).where(F.length("c") > 0).distinct())
     found = sorted(r["c"] for r in names.collect())
     return list(known) + [c for c in found if c not in set(known)]
 
 
 def load_schema_columns(spark: SparkSession, schema_location: str) -> list[str]:
-    try:
-        rows = spark.read.text(schema_location).collect()
-    except Exception:  # noqa: BLE001 -- first run: no remembered schema yet
+    """The remembered columns: the newest of the appended versions, none before the first."""
+    if not path_exists(spark, schema_location):
         return []
-    return json.loads(rows[0]["value"]) if rows else []
+    newest = (spark.read.schema("version long, columns string").json(schema_location)
+              .orderBy(F.desc("version")).first())
+    return json.loads(newest["columns"]) if newest else []
 
 
 def save_schema_columns(spark: SparkSession, schema_location: str, columns: Sequence[str]) -> None:
-    (spark.createDataFrame([(json.dumps(list(columns)),)], "value string")
-          .coalesce(1).write.mode("overwrite").text(schema_location))
-
-
-def evolve_columns(spark: SparkSession, landing: str, schema_location: str,
-                   sep: str = config.ARCHIVE_SEPARATOR,
-                   days: Sequence[str] | None = None) -> list[str]:
-    """Remembered columns plus any new header names, appended (``addNewColumns``).
-
-    With ``days`` only the files of those days are inspected (the days a fetch just landed);
-    without, the whole landing zone is (first load, or a backfill).
-    """
-    known = load_schema_columns(spark, schema_location)
-    cols = discover_columns(spark, landing, sep, known=known, days=days)
-    if cols != known:
-        save_schema_columns(spark, schema_location, cols)
-    return cols
+    """Append a version; columns are only ever added, so their number orders the versions."""
+    (spark.createDataFrame([(len(columns), json.dumps(list(columns)))],
+                           "version long, columns string")
+          .coalesce(1).write.mode("append").json(schema_location))
 
 
 def group_header(spark: SparkSession, path: str, glob: str,

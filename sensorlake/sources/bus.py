@@ -16,7 +16,7 @@ def read_bus(spark: SparkSession, fmt: str, options: dict[str, str], path: str |
     ``fmt="kafka"`` reads a Kafka-protocol bus (connection and security options are passed
     through; ``startingOffsets`` defaults to earliest and ``maxOffsetsPerTrigger`` bounds each
     micro-batch). Any other format is a file double with the same envelope, e.g. ``"json"``
-    files holding ``partition, offset, value``; it is bounded by ``maxFilesPerTrigger``.
+    files holding ``partition, offset, value``; there ``max_per_trigger`` bounds files.
     The Kafka connector is not bundled with plain PySpark and is not exercised here.
     """
     reader = spark.readStream if streaming else spark.read
@@ -28,8 +28,8 @@ def read_bus(spark: SparkSession, fmt: str, options: dict[str, str], path: str |
         return raw.select(F.col("partition").cast("int"), F.col("offset").cast("long"),
                           F.col("value").cast("string"))
     r = reader.format(fmt).schema(schemas.ENVELOPE).options(**options)
-    if streaming and "maxFilesPerTrigger" not in options:
-        r = r.option("maxFilesPerTrigger", 100)
+    if streaming and max_per_trigger and "maxFilesPerTrigger" not in options:
+        r = r.option("maxFilesPerTrigger", max_per_trigger)
     return r.load(path).select("partition", "offset", F.col("value").cast("string"))
 
 
