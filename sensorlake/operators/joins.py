@@ -1,49 +1,28 @@
-"""Join helpers: size-checked broadcast and keyed upsert (JN-1, JN-6, SNK-9)."""
+"""Keyed upsert (JN-6, SNK-9). Dimension joins carry no hints: the planner and adaptive execution
+choose between broadcast and a skew-splitting shuffle join from measured bytes."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorlake import config
 
-
-def fits_broadcast(df: DataFrame, max_rows: int = config.MAX_BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows (a LIMIT stops the scan early), so it stays
-    cheap however large the input is.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def dimension(df: DataFrame, small: bool | None = None,
-              max_rows: int = config.MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark a dimension for broadcast only when its size is known to be bounded.
-
-    ``small=None`` measures it; ``True``/``False`` lets a caller who already knows skip the
-    check. A dimension that is too large is returned unchanged: the join then shuffles both
-    sides on the key and AQE's skew-join handling splits hot keys.
-    """
-    if small is None:
-        small = fits_broadcast(df, max_rows)
-    return F.broadcast(df) if small else df
+def unique_by(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``updates``, failing the job if a key occurs twice, as a MERGE does."""
+    n, cols = "_rows_of_key", updates.columns
+    counted = updates.withColumn(n, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    twice = F.raise_error(F.concat(F.lit("duplicate key among the updates: "),
+                                   F.to_json(F.struct(*keys))))
+    return counted.where(F.when(F.col(n) > 1, twice.cast("boolean")).otherwise(True)).select(*cols)
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """MERGE semantics without a table format: matched keys take every column of the update,
     unmatched updates are inserted, target rows without an update are kept, nothing is deleted.
-
-    ``updates`` must hold one row per key (the pipeline's updates come out of a first-wins or
-    latest-wins selection). Columns are aligned by name.
+    Two updates of one key fail the job. Columns are aligned by name.
     """
     keys = list(keys)
     kept = target.join(updates.select(*keys), on=keys, how="left_anti")
-    return kept.unionByName(updates.select(*target.columns))
-
-
-def duplicate_keys(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys occurring more than once; a MERGE would refuse such a source."""
-    return updates.groupBy(*keys).count().where(F.col("count") > 1)
+    return kept.unionByName(unique_by(updates.select(*target.columns), keys))

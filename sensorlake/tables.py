@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorlake.operators.joins import upsert
@@ -37,12 +38,22 @@ def replace_path(spark: SparkSession, df: DataFrame, path: str,
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(staging)
+    swap_in(spark, staging, path, token)
+
+
+def swap_in(spark: SparkSession, staging: str, path: str, token: str) -> None:
+    """Put ``staging`` in the place of ``path``. The old table is set aside first and deleted only
+    once the new one is in place; a rename that fails puts it back and raises."""
     fs, target, jvm = _fs(spark, path)
     old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{token}")
-    if fs.exists(target):
-        fs.rename(target, old)
-    fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target)
-    if fs.exists(old):
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot set {path} aside; it is unchanged, the new table is in {staging}")
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
+        if had and not fs.rename(old, target):
+            raise OSError(f"cannot move {staging} to {path}; the old table is in {old}")
+        raise OSError(f"cannot move {staging} to {path}; the old table is back in place")
+    if had:
         fs.delete(old, True)
 
 
@@ -59,6 +70,21 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
        .partitionBy(*partition_by).parquet(path))
 
 
+def replace_days(spark: SparkSession, df: DataFrame, path: str, column: str,
+                 days: DataFrame) -> None:
+    """Overwrite the partitions of ``days`` (one column of dates, NULL is one); a day without rows
+    in ``df`` is left empty. Only folders of those days are touched."""
+    replace_partitions(df, path, [column])
+    written = spark.read.parquet(path).select(column).distinct()
+    gone = (days.toDF("_day").join(df.select(column).distinct(),
+                                   F.col("_day").eqNullSafe(F.col(column)), "left_anti")
+            .join(written, F.col("_day").eqNullSafe(F.col(column)), "left_semi"))
+    fs, _, jvm = _fs(spark, path)
+    for row in gone.toLocalIterator():  # a folder a day
+        name = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else str(row[0])
+        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={name}"), True)
+
+
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path``, or an empty frame of ``schema`` when it does not exist yet."""
     if path_exists(spark, path):
