@@ -10,8 +10,7 @@ Mapping (all deterministic):
   ``event_type`` picks the metric column, ``value`` is the metric text. The ``k`` field of
   ``props`` (0..99) injects dirty cases into chosen rows: unparsable and NaN/Infinity values,
   quoted and malformed timestamps, NaN/NULL coordinates and a lower-case live country.
-* ``events`` of types view/click/purchase -> archive bronze with the CSV column names
-  (``location``, ``lat``, ``lon``). The archive copy of a reading carries twice the value, an
+* ``events`` -> archive bronze with the CSV column names (``location``, ``lat``, ``lon``). The archive copy of a reading carries twice the value, an
   ISO timestamp and a later ingestion time, so it wins the dedup unless its own value is
   invalid -- then the live copy must survive.
 * ``customer`` x ``nation`` -> nested API records, two per sensor (``c_custkey div 2``) in
@@ -22,8 +21,6 @@ Mapping (all deterministic):
   bus envelopes (JSON bodies with a numeric metric, an unknown field, some malformed bodies),
   archive listing pages and landed files, and archive CSV files with two header sets.
 * ``lineitem`` -> a wide table for unpivoting and readings-shaped rows with real key copies.
-
-Scans go through ``load``, which spreads single-split inputs over the available cores.
 """
 
 from __future__ import annotations
@@ -32,15 +29,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import config
-from sensorlake.operators.joins import dimension, fits_broadcast
-from sensorlake.sources import ensure_parallelism
 from sensorlake.plans.registry import build_registry
 from sensorlake.plans.silver import silver_devices, silver_readings
 
 # Fixed test-data mapping (shared with the SQL oracle).
 EVENT_METRIC = (("view", "P1"), ("click", "P2"), ("purchase", "temperature"),
                 ("signup", "humidity"), ("error", "pressure"))
-ARCHIVE_EVENT_TYPES = ("view", "click", "purchase")
 SEGMENT_TYPE = (("AUTOMOBILE", "SDS011", "0"), ("BUILDING", "SDS011", "1"),
                 ("FURNITURE", "BME280", None), ("HOUSEHOLD", "BME280", "0"),
                 ("MACHINERY", "DHT22", "0"))
@@ -50,7 +44,7 @@ REGISTRY_INGESTED_AT = "2024-02-01 00:00:00"
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return ensure_parallelism(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _k() -> Column:
@@ -108,22 +102,21 @@ def live_raw(events: DataFrame) -> DataFrame:
 
 
 def archive_raw(events: DataFrame) -> DataFrame:
-    """Bronze archive rows, CSV column names, from the particle/temperature events."""
+    """Bronze archive rows, CSV column names, one per event."""
     k = _k()
     value_text = (F.when(k == 41, "unknown")
                    .when(k == 43, "NaN")
                    .otherwise(_num_text(F.col("value") * 2, 2)))
     uid = F.col("user_id").cast("double")
-    arch = events.where(F.col("event_type").isin(*ARCHIVE_EVENT_TYPES))
-    return arch.select(
+    return events.select(
         F.col("user_id").cast("string").alias("sensor_id"),
-        F.when(F.col("event_type") == "purchase", "BME280").otherwise("SDS011")
+        F.when(F.col("event_type").isin("view", "click"), "SDS011").otherwise("BME280")
          .alias("sensor_type"),
         F.expr("user_id div 2").cast("string").alias("location"),
         _num_text(uid / 1000 + 50, 3).alias("lat"),
         F.when(k == 47, "NaN").otherwise(_num_text(uid / 500 + 10, 3)).alias("lon"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        *_wide(_metric_of(F.col("event_type")), value_text, ("P1", "P2", "temperature")),
+        *_wide(_metric_of(F.col("event_type")), value_text),
         F.lit(config.ARCHIVE_SOURCE).alias("_source"),
         F.concat(F.lit("archive/date="), F.to_date("ts").cast("string"), F.lit("/"),
                  F.col("user_id").cast("string"), F.lit(".csv")).alias("_source_file_name"),
@@ -140,7 +133,7 @@ def api_records(customer: DataFrame, nation: DataFrame) -> DataFrame:
         ind_val = F.lit(ind).cast("string")
         indoor = (F.when(seg == name, ind_val) if indoor is None
                   else indoor.when(seg == name, ind_val))
-    nat = dimension(nation.select("n_nationkey", "n_name"))  # checked; 25 rows in TPC-H
+    nat = nation.select("n_nationkey", "n_name")
     return (customer.join(nat, customer.c_nationkey == nat.n_nationkey, "left")
             .select(
                 F.col("c_custkey").alias("api_pos"),
@@ -170,19 +163,15 @@ def bronze(spark: SparkSession, sf_dir: str) -> dict:
     customer = load(spark, sf_dir, "customer")
     nation = load(spark, sf_dir, "nation")
     return {"live_raw": live_raw(events), "archive_raw": archive_raw(events),
-            "registry_raw": registry_raw(customer, nation), "api_source": customer}
+            "registry_raw": registry_raw(customer, nation)}
 
 
 def silver(spark: SparkSession, sf_dir: str) -> dict:
-    """Silver readings and devices, plus ``devices_small``: whether the device dimension may be
-    broadcast. Devices have exactly one row per registry row (a left join with one row per key
-    on the right), and the registry at most one per API record (an aggregate by key), so the
-    row count of the API records bounds the dimension; checking that table is a LIMIT scan
-    instead of running the whole devices plan."""
+    """Silver readings and devices over the bronze inputs."""
     b = bronze(spark, sf_dir)
     return {"readings": silver_readings(b["live_raw"], b["archive_raw"]),
             "devices": silver_devices(b["registry_raw"], b["live_raw"]),
-            "devices_small": fits_broadcast(b["api_source"]), **b}
+            **b}
 
 
 def _ts_text(fmt: str = "yyyy-MM-dd HH:mm:ss.SSSSSS") -> Column:
@@ -217,7 +206,7 @@ def lineitem_readings(lineitem: DataFrame) -> DataFrame:
 def supplier_records(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     """A second API response (one record per supplier) used as registry updates: sensor id
     ``s_suppkey * 10`` overlaps part of the customer-built registry and adds new sensors."""
-    nat = dimension(nation.select("n_nationkey", "n_name"))  # checked; 25 rows in TPC-H
+    nat = nation.select("n_nationkey", "n_name")
     return (supplier.join(nat, supplier.s_nationkey == nat.n_nationkey, "left")
             .select(
                 F.col("s_suppkey").alias("api_pos"),
@@ -319,21 +308,30 @@ def landed_files(events: DataFrame) -> DataFrame:
 # Archive landing files: two sensor kinds with different header order and width.
 PARTICLE_COLUMNS = ("sensor_id", "sensor_type", "location", "lat", "lon", "timestamp", "P1", "P2")
 CLIMATE_COLUMNS = ("sensor_id", "sensor_type", "location", "timestamp", "lat", "lon",
-                   "temperature")
+                   "temperature", "humidity", "pressure", "note")
+# A column that particle files have from the second phase on.
+LATE_COLUMN = "durP1"
 LIVE_PHASE_B_FROM = "2024-01-15"
 
 
-def write_archive_landing(events: DataFrame, landing: str) -> None:
+def write_archive_landing(events: DataFrame, landing: str, late: bool) -> None:
     """Write the archive rows as ``;``-separated CSV files with a header, in ``date=`` folders;
-    particle and climate files have different headers and share the day folders."""
-    arch = archive_raw(events).withColumn("date", F.to_date(F.substring("timestamp", 1, 10)))
-    particle = arch.where(F.col("sensor_type") == "SDS011").select(*PARTICLE_COLUMNS, "date")
-    climate = arch.where(F.col("sensor_type") == "BME280").select(*CLIMATE_COLUMNS, "date")
-    for part in (particle, climate):
+    particle and climate files have different headers and share the day folders. Climate files
+    quote everything and hold separators and quotes inside a cell; particle files of the late
+    phase have a column more."""
+    arch = archive_raw(events).withColumn(
+        "date", F.to_date(F.substring("timestamp", 1, 10)))
+    noted = arch.withColumn("note", F.concat(F.lit('loc "'), "location", F.lit('"; sensor '),
+                                             "sensor_id"))
+    particle = [*PARTICLE_COLUMNS, *([LATE_COLUMN] if late else [])]
+    files = ((arch.where(F.col("sensor_type") == "SDS011")
+              .withColumn(LATE_COLUMN, F.length("timestamp").cast("string")), particle, False),
+             (noted.where(F.col("sensor_type") == "BME280"), CLIMATE_COLUMNS, True))
+    for part, columns, quoted in files:
         # Few files per day (AQE splits a large day over several writers), and each file stays
         # small, at most 50,000 lines: one whole file is one row when read back.
-        (part.hint("rebalance", "date").write.mode("append").partitionBy("date")
-             .option("maxRecordsPerFile", 50_000)
+        (part.select(*columns, "date").hint("rebalance", "date").write.mode("append")
+             .partitionBy("date").option("maxRecordsPerFile", 50_000).option("quoteAll", quoted)
              .option("header", True).option("sep", config.ARCHIVE_SEPARATOR).csv(landing))
 
 

@@ -1,10 +1,10 @@
 """Gold products over silver readings and devices (PIP-8 .. PIP-11).
 
-Plan shape. Readings are the fact (billions of rows), devices a bounded dimension. The three
-aggregates first reduce readings per (sensor, time bucket, metric) -- a partial + final aggregate
-that collapses a hot sensor map-side -- and only then join the much smaller result with the
-dimension and roll up by country. The dimension is filtered to outdoor sensors *before* the join
-and broadcast only after its row count was checked (`operators.joins.dimension`).
+Plan shape. Readings are the fact (billions of rows), devices a dimension filtered to outdoor
+sensors before the join. The products join first and then aggregate by country and time bucket:
+where the planner broadcasts the dimension, that is one exchange of partial aggregates, and a hot
+sensor is absorbed map-side. Jobs that need several products store per-sensor statistics once and
+roll them up.
 """
 
 from __future__ import annotations
@@ -14,41 +14,28 @@ from pyspark.sql import functions as F
 
 from sensorlake import config
 from sensorlake.functions import anomaly_flag, outdoor
-from sensorlake.operators.joins import dimension
 
 
-def _outdoor_devices(devices: DataFrame, small: bool | None) -> DataFrame:
-    return dimension(devices.where(outdoor("indoor")).select("sensor_id", "country"), small)
+def _outdoor_devices(devices: DataFrame) -> DataFrame:
+    return devices.where(outdoor("indoor")).select("sensor_id", "country")
 
 
-def _sensor_buckets(readings: DataFrame, bucket: F.Column, name: str) -> DataFrame:
-    return (readings.groupBy("sensor_id", bucket.alias(name), "value_type")
-                    .agg(F.sum("value").alias("_sum"),
-                         F.count(F.lit(1)).alias("_n"),
-                         F.min("value").alias("_min"),
-                         F.max("value").alias("_max")))
+def _by_country(readings: DataFrame, devices: DataFrame, name: str, bucket: F.Column):
+    return (readings.select("sensor_id", bucket.alias(name), "value_type", "value")
+            .join(_outdoor_devices(devices), "sensor_id").groupBy("country", name, "value_type"))
 
 
-def air_quality_hourly(readings: DataFrame, devices: DataFrame,
-                       devices_small: bool | None = None) -> DataFrame:
+def air_quality_hourly(readings: DataFrame, devices: DataFrame) -> DataFrame:
     """AVG/MIN/MAX/COUNT by device country, hour and metric, outdoor sensors only (AGG-1)."""
-    per_sensor = _sensor_buckets(readings, F.date_trunc("hour", "event_ts_utc"), "hour")
-    return (per_sensor.join(_outdoor_devices(devices, devices_small), "sensor_id")
-            .groupBy("country", "hour", "value_type")
-            .agg((F.sum("_sum") / F.sum("_n")).alias("avg_value"),
-                 F.min("_min").alias("min_value"),
-                 F.max("_max").alias("max_value"),
-                 F.sum("_n").alias("n_readings")))
+    return _by_country(readings, devices, "hour", F.date_trunc("hour", "event_ts_utc")).agg(
+        F.avg("value").alias("avg_value"), F.min("value").alias("min_value"),
+        F.max("value").alias("max_value"), F.count(F.lit(1)).alias("n_readings"))
 
 
-def air_quality_daily(readings: DataFrame, devices: DataFrame,
-                      devices_small: bool | None = None) -> DataFrame:
+def air_quality_daily(readings: DataFrame, devices: DataFrame) -> DataFrame:
     """AVG/COUNT by device country, day and metric, outdoor sensors only (AGG-2)."""
-    per_sensor = _sensor_buckets(readings, F.to_date("event_ts_utc"), "day")
-    return (per_sensor.join(_outdoor_devices(devices, devices_small), "sensor_id")
-            .groupBy("country", "day", "value_type")
-            .agg((F.sum("_sum") / F.sum("_n")).alias("avg_value"),
-                 F.sum("_n").alias("n_readings")))
+    return _by_country(readings, devices, "day", F.to_date("event_ts_utc")).agg(
+        F.avg("value").alias("avg_value"), F.count(F.lit(1)).alias("n_readings"))
 
 
 def sensor_metric_last_seen(readings: DataFrame) -> DataFrame:
@@ -64,9 +51,8 @@ def merge_last_seen(current: DataFrame, updates: DataFrame) -> DataFrame:
     return both.groupBy("sensor_id", "value_type").agg(F.max("last_seen").alias("last_seen"))
 
 
-def health_from_last_seen(last_seen: DataFrame, devices: DataFrame,
-                          devices_small: bool | None = None) -> DataFrame:
-    dev = dimension(devices.select("sensor_id", "country"), devices_small)
+def health_from_last_seen(last_seen: DataFrame, devices: DataFrame) -> DataFrame:
+    dev = devices.select("sensor_id", "country")
     return (last_seen.join(dev, "sensor_id")
             .groupBy("country")
             .agg(F.count_distinct("sensor_id").alias("active_sensors"),
@@ -74,14 +60,13 @@ def health_from_last_seen(last_seen: DataFrame, devices: DataFrame,
                  F.count_distinct("value_type").alias("distinct_metrics_seen")))
 
 
-def sensor_network_health(readings: DataFrame, devices: DataFrame,
-                          devices_small: bool | None = None) -> DataFrame:
+def sensor_network_health(readings: DataFrame, devices: DataFrame) -> DataFrame:
     """Distinct sensors, freshness and distinct metrics per device country (AGG-3).
 
     No indoor filter. Readings are first reduced to one row per (sensor, metric); the two
     distinct counts then run over that bounded set instead of expanding the fact twice.
     """
-    return health_from_last_seen(sensor_metric_last_seen(readings), devices, devices_small)
+    return health_from_last_seen(sensor_metric_last_seen(readings), devices)
 
 
 def sensor_hourly(readings: DataFrame) -> DataFrame:
@@ -98,9 +83,8 @@ def sensor_hourly(readings: DataFrame) -> DataFrame:
                          F.max("event_ts_utc").alias("_last")))
 
 
-def hourly_from_sensor_hourly(sh: DataFrame, devices: DataFrame,
-                              devices_small: bool | None = None) -> DataFrame:
-    return (sh.join(_outdoor_devices(devices, devices_small), "sensor_id")
+def hourly_from_sensor_hourly(sh: DataFrame, devices: DataFrame) -> DataFrame:
+    return (sh.join(_outdoor_devices(devices), "sensor_id")
               .groupBy("country", "hour", "value_type")
               .agg((F.sum("_sum") / F.sum("_n")).alias("avg_value"),
                    F.min("_min").alias("min_value"),
@@ -108,10 +92,9 @@ def hourly_from_sensor_hourly(sh: DataFrame, devices: DataFrame,
                    F.sum("_n").alias("n_readings")))
 
 
-def daily_from_sensor_hourly(sh: DataFrame, devices: DataFrame,
-                             devices_small: bool | None = None) -> DataFrame:
+def daily_from_sensor_hourly(sh: DataFrame, devices: DataFrame) -> DataFrame:
     return (sh.withColumn("day", F.to_date("hour"))
-              .join(_outdoor_devices(devices, devices_small), "sensor_id")
+              .join(_outdoor_devices(devices), "sensor_id")
               .groupBy("country", "day", "value_type")
               .agg((F.sum("_sum") / F.sum("_n")).alias("avg_value"),
                    F.sum("_n").alias("n_readings")))
@@ -122,8 +105,7 @@ def last_seen_from_sensor_hourly(sh: DataFrame) -> DataFrame:
 
 
 def anomalies(readings: DataFrame, devices: DataFrame,
-              thresholds: config.Thresholds | None = None,
-              devices_small: bool | None = None) -> DataFrame:
+              thresholds: config.Thresholds | None = None) -> DataFrame:
     """Every outdoor PM reading with its breach flag, NULL when within limits (PIP-11).
 
     Left join: an unregistered sensor keeps its event country. The indoor test sits above the
@@ -133,8 +115,7 @@ def anomalies(readings: DataFrame, devices: DataFrame,
                          & F.col("value").isNotNull())
                   .select("sensor_id", "event_ts_utc", "value_type", "value", "location_id",
                           F.col("country").alias("_event_country")))
-    dev = dimension(devices.select("sensor_id", F.col("country").alias("_device_country"),
-                                   "indoor"), devices_small)
+    dev = devices.select("sensor_id", F.col("country").alias("_device_country"), "indoor")
     return (pm.join(dev, "sensor_id", "left")
               .where(outdoor("indoor"))
               .select("sensor_id", "event_ts_utc", "value_type", "value", "location_id",
@@ -143,8 +124,7 @@ def anomalies(readings: DataFrame, devices: DataFrame,
 
 
 def anomaly_breaches(readings: DataFrame, devices: DataFrame,
-                     thresholds: config.Thresholds | None = None,
-                     devices_small: bool | None = None) -> DataFrame:
+                     thresholds: config.Thresholds | None = None) -> DataFrame:
     """Only the readings that breach a threshold (DSH-8)."""
-    return (anomalies(readings, devices, thresholds, devices_small)
+    return (anomalies(readings, devices, thresholds)
             .where(F.col("anomaly_flag").isNotNull()))
