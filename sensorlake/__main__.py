@@ -6,6 +6,10 @@
     python -m sensorlake readings --live PATH --archive PATH --readings PATH
     python -m sensorlake devices  --registry PATH --live PATH --devices PATH
     python -m sensorlake gold     --readings PATH --devices PATH --gold PATH
+    python -m sensorlake update   --live PATH --archive PATH --readings PATH --registry PATH
+                                  --devices PATH --gold PATH --new-live PATH --new-archive PATH
+    python -m sensorlake manifest --listings PATH --registry PATH --landed PATH --manifest PATH
+                                  --start DAY --end DAY
 
 Common options: ``--config FILE[#env]`` (YAML/JSON settings), ``--run-log PATH``,
 ``--option key=value`` (bus options, repeatable), ``--continuous`` (live: fixed-interval trigger
@@ -23,9 +27,11 @@ from sensorlake.session import build_session
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="sensorlake")
-    p.add_argument("job", choices=["registry", "archive", "live", "readings", "devices", "gold"])
+    p.add_argument("job", choices=["registry", "archive", "live", "readings", "devices",
+                                   "gold", "update", "manifest"])
     for name in ("api", "registry", "landing", "bronze", "checkpoint", "schema", "source",
-                 "live", "archive", "readings", "devices", "gold", "config", "run-log"):
+                 "live", "archive", "readings", "devices", "gold", "config", "run-log", "new-live",
+                 "new-archive", "positions", "listings", "landed", "manifest", "start", "end"):
         p.add_argument(f"--{name}")
     p.add_argument("--format", default="json")
     p.add_argument("--option", action="append", default=[])
@@ -43,7 +49,7 @@ def main(argv: list[str] | None = None, spark=None):
     if a.job == "registry":
         return jobs.registry_job(spark, a.api, a.registry, s, log)
     if a.job == "archive":
-        q = bronze.load_archive_single_pass(spark, a.landing, a.bronze, a.checkpoint, a.schema, s)
+        q = bronze.load_archive(spark, a.landing, a.bronze, a.checkpoint, a.schema, s)
         return q.lastProgress
     if a.job == "live":
         opts = dict(o.split("=", 1) for o in a.option)
@@ -55,12 +61,21 @@ def main(argv: list[str] | None = None, spark=None):
     if a.job == "readings":
         return jobs.silver_readings_job(spark, a.live, a.archive, a.readings, s, run_log=log)
     if a.job == "devices":
-        return jobs.silver_devices_job(spark, a.registry, a.live, a.devices, log)
+        return jobs.silver_devices_job(spark, a.registry, a.live, a.devices, log, a.positions)
+    if a.job == "update":
+        new = [bronze.read_table(spark, p) if p else None for p in (a.new_live, a.new_archive)]
+        return jobs.incremental_update(spark, a.live, a.archive, a.readings, a.devices, a.gold,
+                                       *new, s, log, a.registry, a.positions)
+    if a.job == "manifest":
+        listings, landed = (spark.read.parquet(p) for p in (a.listings, a.landed))
+        return jobs.manifest_job(spark, listings, a.registry, landed, a.start, a.end, a.manifest,
+                                 s, log)
     dates = None
     if a.dates:
         import datetime as dt
-        dates = [None if d.upper() == "NULL" else dt.date.fromisoformat(d)
-                 for d in a.dates.split(",")]
+        dates = spark.createDataFrame(
+            [(None if d.upper() == "NULL" else dt.date.fromisoformat(d),)
+             for d in dict.fromkeys(a.dates.split(","))], "event_date date")
     return jobs.gold_job(spark, a.readings, a.devices, a.gold, s, log, dates=dates)
 
 

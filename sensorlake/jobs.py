@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake import config, schemas, tables
-from sensorlake.operators.joins import fits_broadcast
-from sensorlake.plans import bronze, gold, incremental, ops, silver
+from sensorlake.plans import bronze, gold, incremental, manifest, ops, silver
 from sensorlake.plans.registry import build_registry
+from sensorlake.session import scratch_path
 from sensorlake.sources.bus import read_api_records
 
 
@@ -29,7 +29,7 @@ def _logged(spark: SparkSession, job: str, run_log: str | None, body: Callable[[
     except Exception as e:
         if run_log:
             ops.append_run_log(ops.run_log_row(spark, job, started, "failed", None, None,
-                                               str(e)[:1000]), run_log)
+                                               str(e)), run_log)
         raise
     if run_log:
         ops.append_run_log(ops.run_log_row(spark, job, started, "succeeded", rows_in, rows_out),
@@ -53,39 +53,53 @@ def registry_job(spark: SparkSession, api_path: str, registry_path: str,
 
 def silver_readings_job(spark: SparkSession, live_path: str, archive_path: str,
                         readings_path: str, settings: config.Settings | None = None,
-                        new_live: DataFrame | None = None, new_archive: DataFrame | None = None,
-                        run_log: str | None = None) -> tuple:
+                        dates: DataFrame | None = None, run_log: str | None = None) -> tuple:
     """Bronze live + archive -> silver readings, partitioned by event date.
 
-    With ``new_live``/``new_archive`` (the rows that arrived since the last run) only the event
-    dates they touch are rebuilt; otherwise every date is.
+    Without ``dates`` the whole table is replaced, so nothing of an older one remains. With the
+    distinct event dates that new rows touch (``incremental.touched_dates``), their partitions are
+    emptied of rows that no longer exist and rebuilt; the others stay as they are.
     """
     s = settings or config.Settings()
 
     def body():
         live = bronze.read_table(spark, live_path)
         arch = bronze.read_table(spark, archive_path)
-        if new_live is not None or new_archive is not None:
-            nl = new_live if new_live is not None else live.limit(0)
-            na = new_archive if new_archive is not None else arch.limit(0)
-            dates = incremental.touched_dates(nl, na, s)
-            out = incremental.readings_for_dates(live, arch, dates, s)
+        if dates is None:
+            out, n = ops.with_counters(incremental.full_readings(live, arch, s), "readings")
+            tables.replace_path(spark, out.hint("rebalance", incremental.DATE_COL), readings_path,
+                                [incremental.DATE_COL])
         else:
-            out = incremental.full_readings(live, arch, s)
-        out, n = ops.with_counters(out, "readings")
-        tables.replace_partitions(out, readings_path, [incremental.DATE_COL])
+            out, n = ops.with_counters(incremental.readings_for_dates(live, arch, dates, s),
+                                       "readings")
+            tables.replace_partitions(out, readings_path, [incremental.DATE_COL])
         return None, n.get["rows"]
 
     return _logged(spark, "silver_readings", run_log, body)
 
 
 def silver_devices_job(spark: SparkSession, registry_path: str, live_path: str,
-                       devices_path: str, run_log: str | None = None) -> tuple:
-    """Registry resolved with the latest live position -> upsert into the device dimension."""
+                       devices_path: str, run_log: str | None = None,
+                       positions_path: str | None = None,
+                       new_live: DataFrame | None = None) -> tuple:
+    """Registry resolved with the latest live position -> upsert into the device dimension.
+
+    ``positions_path`` keeps the newest live row per sensor between runs; with ``new_live`` (the
+    rows that arrived since) only those are read and merged into it instead of all live bronze.
+    """
 
     def body():
         reg = spark.read.parquet(registry_path)
-        updates = silver.resolve_devices(reg, bronze.read_table(spark, live_path))
+        if positions_path is None:
+            updates = silver.resolve_devices(reg, bronze.read_table(spark, live_path))
+        else:
+            if new_live is None or not tables.path_exists(spark, positions_path):
+                positions = silver.live_positions(bronze.read_table(spark, live_path))
+            else:
+                positions = silver.merge_positions(spark.read.parquet(positions_path),
+                                                   silver.live_positions(new_live))
+            tables.replace_path(spark, positions, positions_path)
+            updates = silver.devices_at(reg, spark.read.parquet(positions_path))
         tables.upsert_path(spark, updates, devices_path, ["sensor_id"], schemas.DEVICES)
         return reg.count(), spark.read.parquet(devices_path).count()
 
@@ -98,42 +112,38 @@ LAST_SEEN = "_sensor_metric_last_seen"
 
 def gold_job(spark: SparkSession, readings_path: str, devices_path: str, gold_root: str,
              settings: config.Settings | None = None, run_log: str | None = None,
-             dates: list | None = None) -> dict:
+             dates: DataFrame | None = None) -> dict:
     """Gold tables from silver (readings partitioned by ``event_date``).
 
     The readings are reduced once to per-(sensor, hour, metric) statistics, kept as a table
     partitioned by ``day``; hourly, daily and the per-(sensor, metric) last-seen state are rolled
     up from it, anomalies (row level) read the readings. Without ``dates`` everything is
-    recomputed and replaced (staged swap). With ``dates`` (the event dates a silver run touched;
-    None in the list stands for readings without a time) only those ``day`` partitions are
-    recomputed, reading only those silver partitions; this assumes the devices did not change
-    since the last full run (run without ``dates`` after a device update). Network health is
-    always exact: the last-seen state is merged with the new statistics and joined with the
-    current devices. The dimension's size is checked once.
+    recomputed and replaced (staged swap). With ``dates`` (a distributed column of event dates;
+    NULL stands for readings without a time) only those ``day`` partitions are recomputed, reading
+    only those silver partitions. Dates must include every day of the sensors whose device changed
+    (``device_dates``). Network health is always exact: the last-seen state is merged with the new
+    statistics and joined with the current devices.
     """
     s = settings or config.Settings()
     readings = spark.read.parquet(readings_path)
-    day_cond = None
     if dates is not None:
-        days = [d for d in dates if d is not None]
-        day_cond = lambda c: ((F.col(c).isin(*days) if days else F.lit(False))
-                              | (F.col(c).isNull() if len(days) < len(dates) else F.lit(False)))
-        readings = readings.where(day_cond(incremental.DATE_COL))
+        readings = incremental.on_dates(readings, incremental.DATE_COL, dates)
     readings = readings.drop(incremental.DATE_COL)
     devices = spark.read.parquet(devices_path)
-    small = fits_broadcast(devices, s.max_broadcast_rows)
 
     def write_days(df: DataFrame, path: str) -> None:
-        if dates is None:
+        if dates is None or not tables.path_exists(spark, path):
             tables.replace_path(spark, df.hint("rebalance", "day"), path, ["day"])
-        else:
-            tables.replace_partitions(df, path, ["day"])
+            return
+        # A day may lose all its rows (its sensors moved indoors): take the days out of the old
+        # table and put the new ones in, as one replacement of the folders concerned.
+        tables.replace_days(spark, df, path, "day", dates)
 
     sh_path = f"{gold_root}/{SENSOR_HOURLY}"
     write_days(gold.sensor_hourly(readings).withColumn("day", F.to_date("hour")), sh_path)
     sh = spark.read.parquet(sh_path)
-    if day_cond is not None:
-        sh = sh.where(day_cond("day"))
+    if dates is not None:
+        sh = incremental.on_dates(sh, "day", dates)
     sh = sh.drop("day")
 
     def product(name: str, make: Callable[[], DataFrame]):
@@ -145,13 +155,11 @@ def gold_job(spark: SparkSession, readings_path: str, devices_path: str, gold_ro
 
     out = {
         "air_quality_hourly": product("air_quality_hourly", lambda: gold.hourly_from_sensor_hourly(
-            sh, devices, small).withColumn("day", F.to_date("hour"))),
-        "air_quality_daily_by_country": product("air_quality_daily_by_country",
-                                                lambda: gold.daily_from_sensor_hourly(
-                                                    sh, devices, small)),
+            sh, devices).withColumn("day", F.to_date("hour"))),
+        "air_quality_daily_by_country": product(
+            "air_quality_daily_by_country", lambda: gold.daily_from_sensor_hourly(sh, devices)),
         "anomalies": product("anomalies", lambda: gold.anomalies(
-            readings, devices, s.thresholds, devices_small=small)
-            .withColumn("day", F.to_date("event_ts_utc"))),
+            readings, devices, s.thresholds).withColumn("day", F.to_date("event_ts_utc"))),
     }
 
     def health():
@@ -161,7 +169,7 @@ def gold_job(spark: SparkSession, readings_path: str, devices_path: str, gold_ro
             fresh = gold.merge_last_seen(spark.read.parquet(last_path), fresh)
         tables.replace_path(spark, fresh, last_path)
         df, n = ops.with_counters(
-            gold.health_from_last_seen(spark.read.parquet(last_path), devices, small),
+            gold.health_from_last_seen(spark.read.parquet(last_path), devices),
             "sensor_network_health")
         tables.replace_path(spark, df, f"{gold_root}/sensor_network_health")
         return None, n.get["rows"]
@@ -169,22 +177,61 @@ def gold_job(spark: SparkSession, readings_path: str, devices_path: str, gold_ro
     return out
 
 
+def device_dates(spark: SparkSession, before: DataFrame, after: DataFrame,
+                 gold_root: str) -> DataFrame:
+    """Days whose gold rows rest on a device that is new or whose country or indoor flag differs,
+    from the stored per-sensor statistics."""
+    a, b = (d.select("sensor_id", F.struct("country", "indoor").alias(n))
+            for d, n in ((before, "_before"), (after, "_after")))
+    changed = (a.join(b, "sensor_id", "full_outer")
+               .where(~F.col("_before").eqNullSafe(F.col("_after"))).select("sensor_id"))
+    return (spark.read.parquet(f"{gold_root}/{SENSOR_HOURLY}").join(changed, "sensor_id", "left_semi")
+            .select(F.col("day").alias(incremental.DATE_COL)).distinct())
+
+
 def incremental_update(spark: SparkSession, live_path: str, archive_path: str,
                        readings_path: str, devices_path: str, gold_root: str,
                        new_live: DataFrame | None, new_archive: DataFrame | None,
-                       settings: config.Settings | None = None,
-                       run_log: str | None = None) -> list:
-    """After new bronze rows landed: rebuild the silver dates they touch, then those gold days.
+                       settings: config.Settings | None = None, run_log: str | None = None,
+                       registry_path: str | None = None,
+                       positions_path: str | None = None) -> DataFrame:
+    """After new bronze rows landed: rebuild the silver dates they touch, refresh the devices (with
+    ``registry_path``) and rebuild the gold days that either concerns.
 
-    Returns the touched event dates (one per day; a small list).
+    Returns the rebuilt gold dates, a stored distributed column.
     """
     s = settings or config.Settings()
     live = bronze.read_table(spark, live_path)
     arch = bronze.read_table(spark, archive_path)
     nl = new_live if new_live is not None else live.limit(0)
     na = new_archive if new_archive is not None else arch.limit(0)
-    dates = [r[0] for r in incremental.touched_dates(nl, na, s).collect()]
-    silver_readings_job(spark, live_path, archive_path, readings_path, s,
-                        new_live=nl, new_archive=na, run_log=run_log)
-    gold_job(spark, readings_path, devices_path, gold_root, s, run_log, dates=dates)
+    scratch = scratch_path(spark, "touched")
+    incremental.touched_dates(nl, na).write.parquet(f"{scratch}/silver")
+    dates = spark.read.parquet(f"{scratch}/silver")
+    silver_readings_job(spark, live_path, archive_path, readings_path, s, dates, run_log)
+    if registry_path is not None:
+        spark.read.parquet(devices_path).write.parquet(f"{scratch}/devices")
+        silver_devices_job(spark, registry_path, live_path, devices_path, run_log,
+                           positions_path, nl if positions_path else None)
+        moved = device_dates(spark, spark.read.parquet(f"{scratch}/devices"),
+                             spark.read.parquet(devices_path), gold_root)
+        dates.unionByName(moved).distinct().write.parquet(f"{scratch}/gold")
+        dates = spark.read.parquet(f"{scratch}/gold")
+    gold_job(spark, readings_path, devices_path, gold_root, s, run_log, dates)
     return dates
+
+
+def manifest_job(spark: SparkSession, listings: DataFrame, registry_path: str, landed: DataFrame,
+                 start: str, end: str, out_path: str, settings: config.Settings | None = None,
+                 run_log: str | None = None) -> tuple:
+    """Archive files to fetch for a range of days (PIP-5), at most ``files_per_day_cap`` a day if
+    the settings name a limit."""
+    s = settings or config.Settings()
+
+    def body():
+        chosen = manifest.select_files(listings, spark.read.parquet(registry_path), landed, start,
+                                       end, cap=s.files_per_day_cap)
+        tables.replace_path(spark, chosen, out_path)
+        return None, spark.read.parquet(out_path).count()
+
+    return _logged(spark, "manifest", run_log, body)

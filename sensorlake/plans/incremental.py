@@ -8,10 +8,11 @@ rebuild. Rows without a parsable time form the NULL-date partition and are handl
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake import config
+from sensorlake.functions import event_date
 from sensorlake.plans.silver import clean_readings, dedup_readings, long_readings
 
 DATE_COL = "event_date"
@@ -22,47 +23,37 @@ def _clean_long(live_raw: DataFrame, archive_raw: DataFrame, s: config.Settings)
     return clean_readings(long_readings(live_raw, archive_raw, s.metrics), s.drop_infinite)
 
 
-def touched_dates(new_live: DataFrame, new_archive: DataFrame,
-                  settings: config.Settings | None = None) -> DataFrame:
-    """Distinct event dates (NULL included) of newly arrived bronze rows; at most one row per
-    day, so it is a small frame."""
-    s = settings or config.Settings()
-    return (_clean_long(new_live, new_archive, s)
-            .select(F.to_date("event_ts_utc").alias(DATE_COL)).distinct())
+def touched_dates(new_live: DataFrame, new_archive: DataFrame) -> DataFrame:
+    """Distinct event dates (NULL included) of newly arrived bronze rows, from the bronze date
+    column where there is one, else from the timestamp text."""
+    parts = [b.select((F.col(BRONZE_DATE) if BRONZE_DATE in b.columns else event_date("timestamp"))
+                      .alias(DATE_COL)) for b in (new_live, new_archive)]
+    return parts[0].unionByName(parts[1]).distinct()
 
 
-MAX_LISTED_DATES = 100_000  # ~270 years of days: beyond this the dates stay a distributed frame
+def on_dates(df: DataFrame, column: str, dates: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose date in ``column`` is among ``dates`` (one column, distinct; NULL is a
+    date). The dates stay distributed; where ``column`` is a partition column the planner prunes
+    partitions by them at run time."""
+    day = dates.toDF("_day")
+    dated = df.join(day.where("_day IS NOT NULL"), F.col(column) == F.col("_day"), "left_semi")
+    null = day.where("_day IS NULL").select(F.lit(True).alias("_null"))
+    undated = (df.where(F.col(column).isNull()).withColumn("_null", F.lit(True))
+               .join(null, "_null", "left_semi").drop("_null"))
+    return dated.unionByName(undated)
 
 
 def readings_for_dates(live_raw: DataFrame, archive_raw: DataFrame, dates: DataFrame,
                        settings: config.Settings | None = None) -> DataFrame:
     """Silver readings of the given event dates only, with the ``event_date`` partition column.
-
-    The touched dates are one row per day, so up to ``MAX_LISTED_DATES`` of them are taken as a
-    literal list (one small job, read at most that many rows) and become a plain ``IN`` filter;
-    more than that falls back to a semi-join against the distributed frame.
-    """
+    Bronze written by the loads is partitioned by the same date and pruned to it first."""
     s = settings or config.Settings()
-    listed = [r[0] for r in dates.select(DATE_COL).limit(MAX_LISTED_DATES + 1).collect()]
-    if len(listed) <= MAX_LISTED_DATES:
-        days = [d for d in listed if d is not None]
-
-        def on(c: str) -> Column:
-            cond = F.col(c).isin(*days) if days else F.lit(False)
-            return cond | F.col(c).isNull() if len(days) < len(listed) else cond
-
-        # Bronze written by the loads is partitioned by the same event date: prune it first.
-        live_raw, archive_raw = (b.where(on(BRONZE_DATE)) if BRONZE_DATE in b.columns else b
-                                 for b in (live_raw, archive_raw))
-        clean = (_clean_long(live_raw, archive_raw, s)
-                 .withColumn(DATE_COL, F.to_date("event_ts_utc")))
-        scoped = clean.where(on(DATE_COL))
-    else:
-        clean = (_clean_long(live_raw, archive_raw, s)
-                 .withColumn(DATE_COL, F.to_date("event_ts_utc")))
-        d = dates.select(F.col(DATE_COL).alias("_d"))
-        scoped = clean.join(d, clean[DATE_COL].eqNullSafe(d["_d"]), "left_semi")
-    return dedup_readings(scoped.drop(DATE_COL)).withColumn(DATE_COL, F.to_date("event_ts_utc"))
+    live_raw, archive_raw = (
+        on_dates(b if BRONZE_DATE in b.columns
+                 else b.withColumn(BRONZE_DATE, event_date("timestamp")), BRONZE_DATE, dates)
+        for b in (live_raw, archive_raw))
+    return (dedup_readings(_clean_long(live_raw, archive_raw, s))
+            .withColumn(DATE_COL, F.to_date("event_ts_utc")))
 
 
 def full_readings(live_raw: DataFrame, archive_raw: DataFrame,
