@@ -42,19 +42,19 @@ SCRATCH_KEY = "spark.sensorlake.scratchDir"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
-
-    A cluster sets this to a shared file system every executor can reach; the context's
-    checkpoint folder is then taken as is. Only when it is unset (local runs and tests) do we
-    pick a fresh scratch folder of our own, once per session, and remember it under
-    ``spark.sensorlake.scratchDir`` (``spark.checkpoint.dir`` itself cannot be changed at run
-    time).
+    """The shared folder for intermediate tables: the one the cluster names in
+    ``spark.checkpoint.dir``, else the context's checkpoint folder. Only a local master, whose
+    executors are this very machine, gets a fresh folder of its own when neither is set
+    (remembered under ``spark.sensorlake.scratchDir``); a cluster without one is an error.
     """
     sc = spark.sparkContext
-    path = (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.conf.get(SCRATCH_KEY, None))
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH_KEY, None)
     if not path:
-        path = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
+        path = sc.getCheckpointDir()  # a folder of the context below the one that was set
+        if path is None:
+            if sc.master.split("[")[0] != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            path = tempfile.mkdtemp(prefix="sensorlake-ckpt-")
         spark.conf.set(SCRATCH_KEY, path)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)

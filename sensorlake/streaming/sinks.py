@@ -56,9 +56,11 @@ def start_upsert(df: DataFrame, path: str, keys: list[str], checkpoint: str, *,
     spark = df.sparkSession
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        tables.upsert_path(spark, batch, path, keys, batch.schema)
+        batch = batch.dropDuplicates(keys).persist()  # read more than once by the upsert
+        try:
+            tables.upsert_path(spark, batch, path, keys, batch.schema)
+        finally:
+            batch.unpersist()
 
     w = (df.writeStream.outputMode("update").foreachBatch(write_batch)
            .option("checkpointLocation", checkpoint))
