@@ -10,6 +10,9 @@ from pyspark.sql import types as T
 
 from sensorlake.functions import try_double
 
+# Column of the measurements that have no column of their own.
+OTHER = "_other"
+
 
 def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Sequence[str],
                     variable: str = "value_type", value: str = "value") -> DataFrame:
@@ -47,8 +50,21 @@ def measurement(values: str | Column, metric: str) -> Column:
     return F.when(F.size(hits) > 0, F.element_at(hits, -1)["value"])
 
 
+def other_measurements(values: Column, metrics: Sequence[str]) -> Column:
+    """JSON object of the measurements not in ``metrics``, in order of first appearance; NULL if
+    there is none. Types without a name are skipped and the last of a repeated type wins."""
+    named = F.filter(values, lambda x: x["value_type"].isNotNull() & (x["value_type"] != "")
+                     & ~x["value_type"].isin(*metrics))
+    types = F.array_distinct(F.transform(named, lambda x: x["value_type"]))
+    last = F.transform(types, lambda t: F.element_at(
+        F.filter(named, lambda x: x["value_type"] == t), -1)["value"])
+    return F.when(F.size(types) > 0, F.to_json(F.map_from_arrays(types, last),
+                                                {"ignoreNullFields": "false"}))
+
+
 def normalize_records(records: DataFrame, metrics: Sequence[str]) -> DataFrame:
-    """Nested API record -> flat event with one text column per configured metric (RSH-2).
+    """Nested API record -> flat event with one text column per configured metric (RSH-2) and
+    ``_other``, a JSON object of all further measurements.
 
     Missing ``sensor``/``location`` structs give NULL fields instead of failing. Entries with
     an empty or NULL ``value_type`` are skipped and, for a repeated type, the last one wins.
@@ -69,4 +85,5 @@ def normalize_records(records: DataFrame, metrics: Sequence[str]) -> DataFrame:
                       F.array().cast(T.ArrayType(T.StructType([
                           T.StructField("value_type", T.StringType()),
                           T.StructField("value", T.StringType())]))))
-    return records.select(*fixed, *[measurement(vals, m).cast("string").alias(m) for m in metrics])
+    return records.select(*fixed, *[measurement(vals, m).cast("string").alias(m) for m in metrics],
+                          other_measurements(vals, metrics).alias(OTHER))
