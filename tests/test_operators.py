@@ -1,6 +1,7 @@
 """Operator semantics on tiny hand-written frames."""
 
 import datetime as dt
+import json
 
 import pytest
 from hypothesis import given, settings
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from sensorlake import config, schemas
 from sensorlake.functions import anomaly_flag, outdoor, parse_event_ts, pollution_level
 from sensorlake.operators.dedup import first_wins, keep_greatest
-from sensorlake.operators.joins import dimension, duplicate_keys, fits_broadcast, upsert
+from sensorlake.operators.joins import unique_by, upsert
 from sensorlake.operators.messages import parse_events, to_messages
 from sensorlake.operators.reshape import normalize_records, unpivot_metrics
 from sensorlake.plans import gold, silver
@@ -125,7 +126,7 @@ def test_latest_live_orders_raw_text_then_offset(spark):
         "_source_partition string, _source_offset string, sensor_id string, timestamp string, "
         "latitude string, longitude string, country string")
     out = silver.latest_live(live).collect()
-    assert [(r["live_sensor_id"], r["live_lat"], r["live_country"]) for r in out] == [("s", "3", "pl")]
+    assert [(r["sensor_id"], r["latitude"], r["country"]) for r in out] == [("s", "3", "pl")]
 
 
 def _registry(spark, rows):
@@ -154,7 +155,9 @@ def test_upsert_semantics_and_idempotence(spark):
         [("1", "a"), ("2", "B"), ("3", "C"), (None, "n")], key=str)
     twice = upsert(once, u, ["k"])
     assert sorted(map(tuple, twice.collect()), key=str) == sorted(map(tuple, once.collect()), key=str)
-    assert duplicate_keys(u.unionByName(u), ["k"]).count() == 2
+    with pytest.raises(Exception, match="duplicate key"):
+        unique_by(u.unionByName(u), ["k"]).collect()
+    assert unique_by(u, ["k"]).count() == 2
 
 
 def test_outdoor_three_valued(spark):
@@ -208,15 +211,12 @@ def test_gold_anomalies_left_join_and_breaches(spark):
     assert sorted(x["sensor_id"] for x in br) == ["1", "3"]
 
 
-def test_dimension_broadcast_only_when_small(spark):
-    d = spark.range(10)
-    assert fits_broadcast(d, 10) and not fits_broadcast(d, 9)
-
-    def hinted(df):
-        return "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
-    assert hinted(dimension(d, max_rows=10))
-    assert not hinted(dimension(d, max_rows=5))
-    assert hinted(dimension(d, small=True)) and not hinted(dimension(d, small=False))
+def test_joins_carry_no_hint(spark):
+    r, d = _gold_inputs(spark)
+    for product in (gold.air_quality_daily, gold.air_quality_hourly, gold.anomalies,
+                    gold.sensor_network_health):
+        plan = product(r, d)._jdf.queryExecution().analyzed().toString()
+        assert "ResolvedHint" not in plan
 
 
 def test_normalize_records_rules(spark):
@@ -237,7 +237,14 @@ def test_normalize_records_rules(spark):
     out = {r["id"]: r for r in normalize_records(recs, config.METRICS).collect()}
     assert (out["1"]["P1"], out["1"]["P2"], out["1"]["temperature"]) == ("9", "3", None)
     assert out["1"]["sensor_id"] == "7" and out["2"]["sensor_id"] is None
-    assert "extra" not in out["1"].asDict()
+    assert out["1"]["_other"] == '{"extra":"5"}' and out["2"]["_other"] is None
+    sent = {json.loads(r["value"])["id"]: json.loads(r["value"])
+            for r in to_messages(normalize_records(recs, config.METRICS)).collect()}
+    assert sent["1"]["extra"] == "5" and sent["1"]["P1"] == "9" and "_other" not in sent["2"]
+    envelope = to_messages(normalize_records(recs, config.METRICS)).selectExpr(
+        "0 AS partition", "0L AS offset", "value")
+    rescued = [r["_rescued_data"] for r in parse_events(envelope, schemas.PHASE_B).collect()]
+    assert '{"extra":"5"}' in rescued
 
 
 def test_registry_first_allowed_record_wins(spark):

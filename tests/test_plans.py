@@ -20,11 +20,11 @@ def test_dedup_aggregates_partially_before_its_shuffle(spark):
     assert "Window" not in p                                 # no row_number sort of a whole key
 
 
-def test_gold_broadcasts_checked_dimension_and_preaggregates(spark):
+def test_gold_joins_first_and_aggregates_map_side(spark):
+    """The planner broadcasts the small side by its size; the partial aggregate by country stands
+    above the join, so one exchange of partial aggregates follows it."""
     p = _plan(E.queries()["air_quality_daily"](spark, SF_SMALL))
-    assert "BroadcastHashJoin" in p
-    join_at = p.index("BroadcastHashJoin")
-    assert "partial_sum" in p[join_at:]                      # per-sensor reduction below the join
+    assert "BroadcastHashJoin" in p and p.index("partial_avg") < p.index("BroadcastHashJoin")
 
 
 def test_day_cap_limits_partially_before_shuffle(spark):
@@ -47,15 +47,19 @@ def test_hot_sensor_shuffle_join_matches_broadcast(spark):
     readings = silver.dedup_readings(rows)
     devices = spark.createDataFrame([("hot", "DE", False)] + [(str(i), "PL", None) for i in range(50)],
                                     "sensor_id string, country string, indoor boolean")
-    a = gold.air_quality_daily(readings, devices, devices_small=True)
-    b = gold.air_quality_daily(readings, devices, devices_small=False)
     key = lambda df: sorted((r["country"], r["day"], round(r["avg_value"], 9), r["n_readings"])
                             for r in df.collect())
-    assert key(a) == key(b)
-    assert sum(r["n_readings"] for r in a.collect()) == n
-    an_a = gold.anomalies(readings, devices, devices_small=True).count()
-    an_b = gold.anomalies(readings, devices, devices_small=False).count()
-    assert an_a == an_b == n
+    got = {}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for limit in (threshold, "-1"):     # broadcast join and shuffle join
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        try:
+            daily = gold.air_quality_daily(readings, devices)
+            got[limit] = (key(daily), gold.anomalies(readings, devices).count())
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert got[threshold] == got["-1"]
+    assert sum(r[3] for r in got["-1"][0]) == n == got["-1"][1]
 
 
 def test_incremental_rebuild_prunes_bronze_partitions(spark, tmp_path):
@@ -75,8 +79,10 @@ def test_incremental_rebuild_prunes_bronze_partitions(spark, tmp_path):
     empty_arch = spark.createDataFrame([], "sensor_id string, timestamp string, P1 string")
     dates = spark.createDataFrame([(dt.date(2024, 1, 2),)], "event_date date")
     out = incremental.readings_for_dates(live, empty_arch, dates)
-    p = _plan(out)
-    assert "PartitionFilters: [isnotnull(_event_date" in p and "2024-01-02" in p
+    assert "dynamicpruning" in _plan(out) or "PartitionFilters: [isnotnull(_event_date" in _plan(out)
     assert [r["value"] for r in out.collect()] == [2.0]
+    undated = spark.createDataFrame([(None,), (dt.date(2024, 1, 3),)], "event_date date")
+    assert [r["value"] for r in incremental.readings_for_dates(live, empty_arch, undated).collect()] \
+        == [3.0]
     unpruned = incremental.readings_for_dates(live.drop("_event_date"), empty_arch, dates)
     assert sorted(map(tuple, unpruned.collect())) == sorted(map(tuple, out.collect()))

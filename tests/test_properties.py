@@ -1,6 +1,7 @@
 """Property tests (Hypothesis) for reshaping, upsert and dedup."""
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import json
+import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -87,6 +88,8 @@ def test_normalize_matches_python_model(spark, records):
                 model[vt] = v
         for m in config.METRICS:
             assert got[str(i)][m] == model.get(m)
+        other = {k: v for k, v in model.items() if k not in config.METRICS}
+        assert json.loads(got[str(i)]["_other"] or "{}") == other
 
 
 FNAME = st.sampled_from(["a_sds011_sensor_1.csv", "b_SDS011_sensor_2.csv", "c_bme280_sensor_3.csv",
@@ -141,7 +144,7 @@ def test_latest_live_matches_python_model(spark, rows):
         [(p, str(o), s, t, "1", "2", c) for s, t, p, o, c in rows],
         "_source_partition string, _source_offset string, sensor_id string, timestamp string, "
         "latitude string, longitude string, country string")
-    got = {r["live_sensor_id"]: r["live_country"] for r in latest_live(df).collect()}
+    got = {r["sensor_id"]: r["country"] for r in latest_live(df).collect()}
     want = {}
     for s, t, p, o, c in rows:
         if s is None:

@@ -70,6 +70,46 @@ def test_upsert_path_creates_then_merges(spark, scratch):
     assert got == {"1": "L2", "2": "M"}
 
 
+def test_a_failing_rename_keeps_the_old_table(spark, scratch, monkeypatch):
+    path = os.path.join(scratch, "t")
+    spark.range(3).write.parquet(path)
+    real = tables._fs
+
+    class Stuck:
+        """A file system whose n-th rename fails."""
+        def __init__(self, fs, fail):
+            self.fs, self.fail, self.n = fs, fail, 0
+
+        def rename(self, a, b):
+            self.n += 1
+            return self.n != self.fail and self.fs.rename(a, b)
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    for fail in (1, 2):
+        def stuck(spark, p, fail=fail):
+            fs, target, jvm = real(spark, p)
+            return Stuck(fs, fail), target, jvm
+        monkeypatch.setattr(tables, "_fs", stuck)
+        with pytest.raises(OSError):
+            tables.replace_path(spark, spark.range(10), path)
+        monkeypatch.setattr(tables, "_fs", real)
+        assert spark.read.parquet(path).count() == 3
+    tables.replace_path(spark, spark.range(10), path)
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_upsert_refuses_two_updates_of_one_key(spark, scratch):
+    path = os.path.join(scratch, "u")
+    old = spark.createDataFrame([("1", 1), ("2", 2)], "k string, v int")
+    tables.upsert_path(spark, old, path, ["k"], old.schema)
+    twice = spark.createDataFrame([("1", 5), ("1", 6)], "k string, v int")
+    with pytest.raises(Exception, match="duplicate key"):
+        tables.upsert_path(spark, twice, path, ["k"], old.schema)
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("1", 1), ("2", 2)]
+
+
 def test_incremental_equals_full(spark, scratch):
     ev = adapters.load(spark, "/root/testdata/sf0.001", "events")
     live, arch = adapters.live_raw(ev), adapters.archive_raw(ev)
