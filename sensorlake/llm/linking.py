@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bitmap, stored
-from .components import components
+from .components import components, joined
 from .shingles import set_identities
 
 BITMAP_BITS = 1 << 23
@@ -67,6 +67,14 @@ def _agreeing(size: int, agree: int):
     return run
 
 
+def _exploded(batches: Iterator[pa.RecordBatch]):
+    for b in batches:
+        parts = [np.frombuffer(v.as_py(), np.int64) for v in b.column("shingles")]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(b.column("node").to_numpy(), [len(p) for p in parts])),
+             pa.array(np.concatenate(parts))], names=["node", "shingle"])
+
+
 def _similar(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
@@ -94,41 +102,61 @@ def linked(nodes: DataFrame, sets_of: Callable[[bytes], DataFrame], size: int, a
            similarity: float) -> tuple[DataFrame, DataFrame]:
     """``nodes`` (node, n, bands, sketch of ``size`` bytes) -> links (a, b) and roots (node, root).
     ``sets_of(bitmap)`` gives the shingle sets of the nodes in the bitmap."""
-    exploded = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = stored(exploded.groupBy("bucket").agg(
-        F.count(F.lit(1)).alias("members"), F.min("node").alias("hub")).where("members > 1"),
-        "near-shared")
+    exploded = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    shared = stored(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
+                    .where("members > 1"), "near-shared")
     members = stored(exploded.join(shared, "bucket"), "near-members")
     sets = stored(sets_of(bitmap(members.select("node"), "node", BITMAP_BITS)), "near-sets")
+    # Shingles that no other node here has bound what a node can share: with s of n shared, its
+    # similarity to a node of m shingles is at most s / (n + m - s). Pairs, and nodes, that cannot
+    # reach the threshold are left out, exactly.
+    alone = (sets.mapInArrow(_exploded, "node long, shingle long").groupBy("shingle")
+             .agg(F.count(F.lit(1)).alias("nodes"), F.min("node").alias("node"))
+             .where("nodes = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own")))
+    company = members.groupBy("node").agg(F.sum("members").alias("company"))
+    info = (company.join(nodes.select("node", "n"), "node").join(alone, "node", "left")
+            .withColumn("s", F.col("n") - F.coalesce("own", F.lit(0))).drop("own")
+            .where(F.col("s") >= similarity * F.col("n")))
+    members = stored(members.join(stored(info, "near-info"), "node"), "near-able")
+    # The hub of a bucket is its node with the most company over all bands: of a text and its
+    # variants that is the text itself, as each variant leaves some of the common buckets.
+    hubs = stored(members.groupBy("bucket").agg(
+        F.max(F.struct("company", "node", "n", "s")).alias("h"))
+        .selectExpr("bucket", "h.node AS other", "h.n AS other_n", "h.s AS other_s"), "near-hubs")
     pair = [F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")]
-    tried = stored(members.where("node <> hub").withColumnRenamed("hub", "other").select(*pair)
-                   .distinct(), "near-pairs")
+    most = F.least("s", "other_s")
+    able = most >= similarity * (F.col("n") + F.col("other_n") - most)
+    tried = stored(members.join(hubs, "bucket").where((F.col("node") != F.col("other")) & able)
+                   .select(*pair).distinct(), "near-pairs")
     links = stored(_links(tried, nodes, sets, size, agree, similarity), "near-links")
     roots = stored(components(links), "near-roots")
 
-    done, upto = 0, 2
-    at = F.pmod(F.xxhash64("bucket", "node"), F.lit(1 << 20)) / float(1 << 20) * F.col("members")
-    open_ = members
+    # Two nodes have met as hub and other; larger buckets go on while they hold several components.
+    done, upto, open_ = 0, 8, members.where("members > 2")
+    short = nodes.select("node", F.transform("bands", lambda x: F.hash(x)).alias("keys"))
+    at = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / float(1 << 20) * F.col("members")
     while True:
-        # Buckets that still hold several components, with the component of each node.
-        placed = open_.join(roots, "node", "left").withColumn(
-            "root", F.coalesce("root", "node"))
-        several = stored(placed.groupBy("bucket").agg(
-            F.min("root").alias("lo"), F.max("root").alias("hi"))
-            .where("lo <> hi").select("bucket"), "near-several")
-        open_ = stored(placed.join(several, "bucket").where(F.col("members") > done)
-                       .select("bucket", "node", "members", "hub", "root"), "near-open")
+        placed = open_.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        several = placed.groupBy("bucket").agg(
+            F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
+        open_ = stored(placed.join(stored(several.select("bucket"), "near-several"), "bucket")
+                       .where(F.col("members") > done), "near-open")
         if open_.isEmpty():
-            break
-        reps = open_.where((at >= done) & (at < upto)).select(
-            "bucket", F.col("node").alias("other"), F.col("root").alias("other_root"))
-        pairs = (open_.join(reps, "bucket").where("root <> other_root").select(*pair).distinct()
-                 .join(tried, ["a", "b"], "left_anti"))
-        pairs = stored(pairs, "near-pairs")
+            return links, roots
+        keyed = open_.join(short, "node")
+        reps = keyed.where((at >= done) & (at < upto)).select(
+            "bucket", F.col("node").alias("other"), F.col("root").alias("other_root"),
+            F.col("n").alias("other_n"), F.col("s").alias("other_s"),
+            F.col("keys").alias("other_keys"))
+        # A pair that shares several buckets is taken in the first of them.
+        met = F.array_position(F.zip_with("keys", "other_keys", lambda x, y: x == y), True)
+        pairs = stored(keyed.join(reps, "bucket")
+                       .where((F.col("root") != F.col("other_root")) & able
+                              & (met == F.col("band") + 1)).select(*pair)
+                       .distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
         fresh = stored(_links(pairs, nodes, sets, size, agree, similarity), "near-links")
         if not fresh.isEmpty():
             links = links.unionByName(fresh)
-            roots = stored(components(links), "near-roots")
+            roots = stored(joined(roots, fresh), "near-roots")
         tried = tried.unionByName(pairs)
-        open_, done, upto = open_.drop("root"), upto, upto * 4
-    return links, roots
+        open_, done, upto = open_.drop("root"), upto, upto * 8

@@ -10,13 +10,14 @@ Jaccard similarity.
 
 Documents with the same set of word shingles are one node. ``BANDS`` bands of ``ROWS`` coordinates
 give buckets; at similarity 0.8 a pair misses all of them with probability 4e-6. In the first round
-every node of a bucket is compared with the bucket's least node. Buckets whose nodes still belong
-to several components go on: in each round a larger slice of their nodes, chosen by hash, meets all
-nodes of other components, until every slice has been used or the bucket is one component. So each
-pair that shares a bucket is either compared or already joined, without emitting all pairs of a
-group of copies. A pair counts if the exact Jaccard similarity of its shingle sets is at least
-``SIMILARITY``; lengths and the signatures' agreement (more than six standard deviations below the
-threshold) only spare hopeless comparisons. Components of those links are the groups (linking.py).
+every node of a bucket is compared with the bucket's hub, the node that shares most buckets with
+others. Buckets whose nodes still belong to several components go on: in each round a larger slice
+of their nodes, chosen by hash, meets all nodes of other components, until every slice has been
+used or the bucket is one component. So each pair that shares a bucket is either compared or
+already joined, without emitting all pairs of a group of copies. A pair counts if the exact Jaccard
+similarity of its shingle sets is at least ``SIMILARITY``; lengths and the signatures' agreement
+(more than six standard deviations below the threshold) only spare hopeless comparisons.
+Components of those links are the groups (linking.py).
 
 Scale: the signature pass is a map; what is shuffled is one row of 64-bit keys per band of each
 distinct shingle set, and shingle sets only of nodes in shared buckets, found in a second pass by a
