@@ -6,8 +6,9 @@ histogram of at most ``size`` entries. A configuration is a multiset of lengths
 sequence; the linear program covers every length's count with as few configurations as it can.
 Multiplicative weights solve it: a length's weight falls exponentially as it gets covered, a
 knapsack dynamic program finds the configuration of largest weight, which is then used for a
-fraction of what its rarest length still needs. Fractions are rounded down and what rounding leaves
-goes best-fit, longest first, into the fullest sequence that takes it.
+fraction of what its rarest length still needs. Fractions are rounded down, of several shares of the
+solution, and what rounding leaves goes best-fit, longest first, into the fullest sequence that
+takes it.
 
 Scale: only the histogram reaches the driver, and the plan that comes back is a table of rank
 ranges whose size depends on ``size`` and not on the number of documents. Pieces get a rank within
@@ -38,10 +39,12 @@ from .common import stored
 
 SIZE = 1024
 END = 2
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 1_000
 #: Share of what the rarest length of a configuration needs that one step covers, and how fast
 #: weights fall with coverage.
 STEP, RATE = 0.25, 4.0
+#: Shares of the fractional solution that roundings keep.
+KEPT = (1.0, 0.9, 0.75, 0.5)
 _PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
@@ -197,10 +200,18 @@ def _best_fit(left: np.ndarray) -> list[tuple]:
 
 
 def plan(counts: np.ndarray, step: float = STEP, rate: float = RATE) -> list[tuple]:
-    """Whole configurations and how often each is used; together they hold exactly ``counts``."""
+    """Whole configurations and how often each is used; together they hold exactly ``counts``. Of
+    several roundings, which leave more or less of the solution to best fit, the one with the
+    fewest sequences."""
+    solution = solve(counts, step, rate)
+    return min((_rounded(counts, solution, share) for share in KEPT),
+               key=lambda made: sum(times for _, times in made))
+
+
+def _rounded(counts: np.ndarray, solution: list[tuple], share: float) -> list[tuple]:
     left, out = counts.astype(np.int64).copy(), []
-    for made, x in solve(counts, step, rate):
-        if (times := int(x + 1e-6)) > 0:
+    for made, x in solution:
+        if (times := int(share * x + 1e-6)) > 0:
             times = min(times, int(np.min(left[made > 0] // made[made > 0])))
         if times > 0:
             out.append((made, times))
