@@ -177,13 +177,16 @@ def identify(pages: DataFrame, model: Model, key: str = "page_id", url: str = "u
                                     r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/:?#]*)", 1))
     declared = F.lower(F.regexp_extract(F.coalesce(html, F.lit("")),
                                         r"(?i)<html[^>]*\slang\s*=\s*[\"']?([a-z]{2,3})", 1))
+    nothing = F.lit(None).cast("string")
+    if not k:
+        return pages.select(key, nothing.alias("lang"), F.lit(0.0).alias("confidence"),
+                            nothing.alias("text_lang"), declared.alias("declared"))
     rows = pages.select(F.col(key), F.col(html), host.alias("host"), declared.alias("declared"))
     rows = rows.withColumn("suffix", F.substring_index("host", ".", -1))
     rows = stored(text_evidence(rows, model, key, html), "lang-evidence")
     rows = rows.withColumns({"two": F.substring_index("host", ".", -2),
                              "three": F.substring_index("host", ".", -3)})
-    sums = F.array(*(F.sum(F.col("p")[i]) for i in range(k))) if k else F.array().cast(
-        "array<double>")
+    sums = F.array(*(F.sum(F.col("p")[i]) for i in range(k)))
     total = rows.agg(sums.alias("s")).first()["s"]
     total = np.array(total if total and total[0] is not None else [0.0] * k, float)
     joined, values = rows, {}
@@ -209,14 +212,10 @@ def identify(pages: DataFrame, model: Model, key: str = "page_id", url: str = "u
                 own = n[f"n_{c}"]
                 prior = (own + STRENGTH * prior) / (own.sum(1, keepdims=True) + STRENGTH)
             post = softmax(log + np.log(prior))
-            best = post.argmax(1) if k else np.zeros(len(post), int)
-            name = pa.array([languages[i] for i in best] if k else [None] * b.num_rows,
-                            pa.string())
-            told = pa.array([languages[i] for i in p.argmax(1)] if k else [None] * b.num_rows,
-                            pa.string())
-            sure = post.max(1) if k else np.zeros(b.num_rows)
+            name = pa.array([languages[i] for i in post.argmax(1)], pa.string())
+            told = pa.array([languages[i] for i in p.argmax(1)], pa.string())
             yield pa.RecordBatch.from_arrays(
-                [b.column(key), name, pa.array(sure), told, b.column("declared")],
+                [b.column(key), name, pa.array(post.max(1)), told, b.column("declared")],
                 names=[key, "lang", "confidence", "text_lang", "declared"])
 
     return joined.select(key, "declared", "p", "score", *names).mapInArrow(
