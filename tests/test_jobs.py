@@ -138,7 +138,7 @@ def test_incremental_gold_equals_full_with_devices_of_arrived_rows(spark, scratc
                             positions_path=p["positions"])
     jobs.gold_job(spark, p["readings"], p["devices"], p["gold"])
     daily = spark.read.parquet(os.path.join(p["gold"], "air_quality_daily_by_country"))
-    assert daily.where("day = '2023-05-05'").count() == 1
+    assert daily.where("day = '2023-05-05'").count() > 0
     tables.replace_path(spark, spark.read.parquet(p["registry"]).withColumn(
         "indoor", F.when(F.col("sensor_id") == "only", "1").otherwise(F.col("indoor"))),
         p["registry"])
