@@ -41,9 +41,16 @@ def bitmap(rows: DataFrame, column: str, bits: int) -> bytes:
     return out.tobytes()
 
 
+#: Rows of an Arrow batch, in place of Spark's default of 10,000: whole texts are wide rows.
+BATCH_ROWS = "2000"
+
+
 def ship_code(spark: SparkSession) -> None:
     """Give this package to the Python workers of the session (once), so that they find it
-    whatever their own path is."""
+    whatever their own path is, and keep their batches small unless the session says otherwise."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, BATCH_ROWS)
     sc = spark.sparkContext
     if getattr(sc, "_sensorlake_shipped", False):
         return

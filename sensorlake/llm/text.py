@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 20
 SPAN_BYTES = 1 << 20
 _U = np.uint64
 
