@@ -19,10 +19,11 @@ _U = np.uint64
 
 
 def row_lists(values: np.ndarray) -> pa.Array:
-    """The rows of a matrix of unsigned 64-bit numbers as lists of longs."""
+    """The rows of a matrix of unsigned numbers as lists of signed ones of the same width."""
     n, each = values.shape
+    signed = np.ascontiguousarray(values).ravel().view(f"i{values.itemsize}")
     return pa.ListArray.from_arrays(np.arange(0, n * each + 1, each, dtype=np.int32),
-                                    pa.array(np.ascontiguousarray(values).ravel().view(np.int64)))
+                                    pa.array(signed))
 
 
 def marked_sets(docs: DataFrame, text: str, marks: bytes, sets_of: Callable) -> DataFrame:
@@ -61,7 +62,7 @@ def _ends(pairs: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame:
 def _agreeing(size: int, agree: int):
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
-            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, size)
+            x, y = (b.column(c).flatten().to_numpy().reshape(-1, size)
                     for c in ("sketch_a", "sketch_b"))
             yield b.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= agree))
     return run
@@ -94,13 +95,17 @@ def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, size: int, agree
         F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b"))
     near = stored(sized.select("a", "b", "sketch_a", "sketch_b")
                   .mapInArrow(_agreeing(size, agree), "a long, b long"), "near-candidates")
+    return _verified(near, sets, similarity)
+
+
+def _verified(near: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return _ends(near, sets, ["shingles"]).select("a", "b", "shingles_a", "shingles_b") \
         .mapInArrow(_similar(similarity), "a long, b long")
 
 
 def linked(nodes: DataFrame, sets_of: Callable[[bytes], DataFrame], size: int, agree: int,
            similarity: float) -> tuple[DataFrame, DataFrame]:
-    """``nodes`` (node, n, bands, sketch of ``size`` bytes) -> links (a, b) and roots (node, root).
+    """``nodes`` (node, n, bands, sketch of ``size`` small numbers) -> links (a, b) and roots (node, root).
     ``sets_of(bitmap)`` gives the shingle sets of the nodes in the bitmap."""
     exploded = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = stored(exploded.groupBy("bucket").agg(F.count(F.lit(1)).alias("members"))
@@ -133,7 +138,8 @@ def linked(nodes: DataFrame, sets_of: Callable[[bytes], DataFrame], size: int, a
 
     # Two nodes have met as hub and other; larger buckets go on while they hold several components.
     done, upto, open_ = 0, 8, members.where("members > 2")
-    short = nodes.select("node", F.transform("bands", lambda x: F.hash(x)).alias("keys"))
+    short = nodes.select("node", "sketch",
+                         F.transform("bands", lambda x: F.hash(x)).alias("keys"))
     at = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / float(1 << 20) * F.col("members")
     while True:
         placed = open_.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -147,14 +153,16 @@ def linked(nodes: DataFrame, sets_of: Callable[[bytes], DataFrame], size: int, a
         reps = keyed.where((at >= done) & (at < upto)).select(
             "bucket", F.col("node").alias("other"), F.col("root").alias("other_root"),
             F.col("n").alias("other_n"), F.col("s").alias("other_s"),
-            F.col("keys").alias("other_keys"))
-        # A pair that shares several buckets is taken in the first of them.
+            F.col("keys").alias("other_keys"), F.col("sketch").alias("other_sketch"))
+        # A pair that shares several buckets is taken in the first of them, if its sketches agree.
         met = F.array_position(F.zip_with("keys", "other_keys", lambda x, y: x == y), True)
+        agreeing = F.size(F.filter(F.zip_with("sketch", "other_sketch", lambda x, y: x == y),
+                                   lambda same: same))
         pairs = stored(keyed.join(reps, "bucket")
                        .where((F.col("root") != F.col("other_root")) & able
-                              & (met == F.col("band") + 1)).select(*pair)
+                              & (met == F.col("band") + 1) & (agreeing >= agree)).select(*pair)
                        .distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        fresh = stored(_links(pairs, nodes, sets, size, agree, similarity), "near-links")
+        fresh = stored(_verified(pairs, sets, similarity), "near-links")
         if not fresh.isEmpty():
             links = links.unionByName(fresh)
             roots = stored(joined(roots, fresh), "near-roots")

@@ -16,7 +16,7 @@ of their nodes, chosen by hash, meets all nodes of other components, until every
 used or the bucket is one component. So each pair that shares a bucket is either compared or
 already joined, without emitting all pairs of a group of copies. A pair counts if the exact Jaccard
 similarity of its shingle sets is at least ``SIMILARITY``; lengths and the signatures' agreement
-(more than six standard deviations below the threshold) only spare hopeless comparisons.
+(over five standard deviations below the threshold) only spare hopeless comparisons.
 Components of those links are the groups (linking.py).
 
 Scale: the signature pass is a map; what is shuffled is one row of 64-bit keys per band of each
@@ -48,7 +48,7 @@ BANDS, ROWS = 32, 5
 SIZE = BANDS * ROWS
 SIMILARITY = 0.8
 #: Agreeing coordinates of SIZE below which a pair is not compared.
-AGREE = 96
+AGREE = 100
 FIRST_RANK = 1 / 64
 _U = np.uint64
 _ODD = np.random.default_rng(7).integers(0, 2**63, 16, dtype=np.uint64) * _U(2) + _U(1)
@@ -127,13 +127,12 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(i, n), b.column(1).slice(i, n),
                      pa.array(np.diff(begins)), pa.array(set_identities(hashes, begins).view(np.int64)),
-                     row_lists(band_keys(sig)),
-                     pa.array([s.tobytes() for s in sketch], pa.binary())],
+                     row_lists(band_keys(sig)), row_lists(sketch)],
                     names=["key", "row", "n", "node", "bands", "sketch"])
 
     rows = docs.select(key, F.xxhash64(key, text), text)
     return rows.mapInArrow(run, f"key {kind}, row long, n long, node long, bands array<long>, "
-                                "sketch binary")
+                                "sketch array<tinyint>")
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",

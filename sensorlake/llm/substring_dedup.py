@@ -82,12 +82,12 @@ def paragraphs(docs: DataFrame, key: str, text: str, least: int) -> DataFrame:
                     "n": pa.array(np.diff(begins)),
                     "node": pa.array(set_identities(hashes, begins).view(np.int64)),
                     "bands": row_lists(keys),
-                    "sketch": pa.array([s.tobytes() for s in sketch], pa.binary())}
+                    "sketch": row_lists(sketch)}
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return docs.select(key, F.xxhash64(key, text), text).mapInArrow(
         run, f"key {kind}, row long, paragraph long, start long, length long, words long, n long, "
-             "node long, bands array<long>, sketch binary")
+             "node long, bands array<long>, sketch array<tinyint>")
 
 
 def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text",
