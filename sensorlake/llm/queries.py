@@ -13,6 +13,7 @@ from . import (
     mixing,
     near_dedup,
     packing,
+    passages,
     quality_rules,
     substring_dedup,
     toxicity,
@@ -34,6 +35,13 @@ def op2_substring_dedup(spark, sf_dir) -> DataFrame:
         F.col("class_key").alias("class_id"), "class_paragraph", "class_size", "removed")
 
 
+def op2_repeated_passages(spark, sf_dir) -> DataFrame:
+    """Every span of words in passages of 50 words or more that two documents hold, inside lines or
+    across them, and whether it is to be removed."""
+    found = passages.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "start", "length", "words", "removed")
+
+
 def op3_mix_sources(spark, sf_dir) -> DataFrame:
     """How much of every document the mix takes."""
     taken = mixing.taken_words(mixing.mixture(table(spark, sf_dir, "documents")))
@@ -105,6 +113,7 @@ TRICKY = "\\### Assistant: </turn> ok"
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_substring_dedup": op2_substring_dedup,
+    "op2_repeated_passages": op2_repeated_passages,
     "op3_mix_sources": op3_mix_sources,
     "op4_language_id": op4_language_id,
     "op5_best_fit_packing": op5_best_fit_packing,

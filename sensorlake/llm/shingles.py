@@ -8,8 +8,8 @@ import pyarrow as pa
 from . import text as T
 
 WIDTH = 5
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
 _ODD = 2 * np.random.default_rng(11).integers(0, 2**63, 2, dtype=np.uint64) + np.uint64(1)
 
 
@@ -39,7 +39,7 @@ def shingle_sets(column: pa.Array, width: int = WIDTH):
     of document i are ``hashes[begins[i]:begins[i + 1]]``, sorted. Words are separated by white
     space, A-Z count as a-z; fewer than ``width`` words are one shingle, no words none."""
     for first, last, buf, off in T.texts(column):
-        buf = _LOWER[buf]
+        buf = LOWER[buf]
         starts, ends, ptr = T.word_spans(buf, off)
         owner = np.repeat(np.arange(last - first), np.diff(ptr))
         yield first, last, *_window_sets(T.span_hashes(buf, starts, ends), owner, last - first,
@@ -56,7 +56,7 @@ def paragraph_sets(column: pa.Array, least: int, width: int = WIDTH):
         line_start, line_end = T.line_spans(buf)
         doc = np.searchsorted(off, line_start, "right") - 1
         number = np.arange(len(doc)) - np.searchsorted(line_start, off[:-1])[doc]
-        buf = _LOWER[buf]
+        buf = LOWER[buf]
         starts, ends, _ = T.word_spans(buf, off)
         line = np.searchsorted(line_start, starts, "right") - 1
         counts = np.bincount(line, minlength=len(line_start))

@@ -11,6 +11,9 @@ Scale: signatures are a map; identical paragraphs become one node by map-side co
 anything is joined, so a line that a third of all documents share is one row per task; candidates
 come from shared buckets in rounds (linking.py), never as all pairs of a group.
 
+Passages that repeat inside longer lines or across short ones are no paragraphs: passages.py
+finds them, and ``drop_repeats`` cuts both.
+
 Defined cases: null and empty texts and texts of short lines have no paragraphs and no rows;
 repeats inside one document count like those across documents; equal keys and repeated rows are
 separate documents, told apart by the hash of their text where that differs; an empty table gives
@@ -29,6 +32,7 @@ from pyspark.sql import functions as F
 from . import text as T
 from .common import stored
 from .linking import linked, marked_sets, row_lists
+from .passages import drop_passages
 from .shingles import paragraph_sets, set_identities
 
 LEAST = 25
@@ -123,6 +127,17 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
 
 def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST,
                  similarity: float = SIMILARITY) -> DataFrame:
+    """``docs`` with all columns, the removed paragraphs cut out of the texts, then what is left
+    of passages that documents share inside lines or across them (passages.py)."""
+    names = docs.columns
+    lines = stored(drop_lines(docs, key, text, least, similarity).toDF(
+        *(f"c{i}" for i in range(len(names)))), "sub-lines")
+    k, t = (f"c{names.index(c)}" for c in (key, text))
+    return drop_passages(lines, k, t).toDF(*names)
+
+
+def drop_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST,
+               similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with all columns, the removed paragraphs cut out of the texts."""
     names = docs.columns
     k, t = (f"c{names.index(c)}" for c in (key, text))
