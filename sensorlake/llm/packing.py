@@ -6,9 +6,11 @@ histogram of at most ``size`` entries. A configuration is a multiset of lengths
 sequence; the linear program covers every length's count with as few configurations as it can.
 Multiplicative weights solve it: a length's weight falls exponentially as it gets covered, a
 knapsack dynamic program finds the configuration of largest weight, which is then used for a
-fraction of what its rarest length still needs. Fractions are rounded down, of several shares of the
-solution, and what rounding leaves goes best-fit, longest first, into the fullest sequence that
-takes it.
+fraction of what its rarest length still needs, as long as full configurations are found. Where that
+leaves more than one sequence above what the tokens fill (few lengths, none that fill a sequence, no
+short pieces), the program is solved by column generation with configurations of any fill. Fractions
+are rounded down, of several shares of the solution, and what rounding leaves goes best-fit, longest
+first, into the fullest sequence that takes it.
 
 Scale: only the histogram reaches the driver, and the plan that comes back is a table of rank
 ranges whose size depends on ``size`` and not on the number of documents. Pieces get a rank within
@@ -45,6 +47,8 @@ BUCKET_ROWS = 1_000
 STEP, RATE = 0.25, 4.0
 #: Shares of the fractional solution that roundings keep.
 KEPT = (1.0, 0.9, 0.75, 0.5)
+#: Share of the sequences that ``generated`` may be off the optimum, and its pivots per length.
+NEAR, PIVOTS = 1e-4, 50
 _PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
@@ -155,7 +159,7 @@ def solve(counts: np.ndarray, step: float = STEP, rate: float = RATE) -> list[tu
         value = np.where(open_, lengths * np.exp(-behind), -1.0)
         made = _best_configuration(value)
         if (made * lengths).sum() < size:
-            break  # what is left fills no configuration; rounding takes it with the fractions
+            break  # what is left fills no configuration; generated() or best fit takes it
         used = made > 0
         amount = float(np.min(np.minimum(np.maximum(step * need[used], 1.0),
                                          (1 - cover[used]) * need[used]) / made[used]))
@@ -164,6 +168,32 @@ def solve(counts: np.ndarray, step: float = STEP, rate: float = RATE) -> list[tu
     return [(np.frombuffer(c, np.int64), x) for c, x in found.items()]
 
 
+def generated(counts: np.ndarray, near: float = NEAR) -> list[tuple]:
+    """The linear program's own solution as (configuration, amount), for any histogram: a simplex
+    basis of configurations, full or not; the knapsack over its prices finds the configuration
+    that enters, until no solution can be better by ``near`` or by a whole sequence."""
+    size = len(counts) - 1
+    own = np.flatnonzero(counts)
+    basis = np.zeros((len(own), size + 1), np.int64)
+    basis[np.arange(len(own)), own] = size // own
+    inverse, amount = np.diag(1.0 / (size // own)), counts[own] / (size // own)
+    for _ in range(PIVOTS * len(own)):
+        price = np.full(size + 1, -1.0)
+        price[own] = inverse.sum(0)
+        made = _best_configuration(price)
+        used, worth = amount.sum(), float((made[own] * price[own]).sum())
+        if used - used / max(worth, 1.0) < max(1.0, near * used):
+            break
+        move = inverse @ made[own]
+        ratio = np.where(move > 1e-9, amount / np.maximum(move, 1e-9), np.inf)
+        out = int(ratio.argmin())
+        row, by = inverse[out] / move[out], ratio[out]
+        inverse -= np.outer(move, row)
+        amount = np.maximum(amount - by * move, 0.0)
+        inverse[out], amount[out], basis[out] = row, by, made
+    return [(made, x) for made, x in zip(basis, amount, strict=True) if x > 0]
+
+
 def _best_fit(left: np.ndarray) -> list[tuple]:
     """The pieces counted in ``left``, longest first, each into the fullest sequence it fits.
     Sequences that hold the same are kept as one entry with their number."""
@@ -202,10 +232,20 @@ def _best_fit(left: np.ndarray) -> list[tuple]:
 def plan(counts: np.ndarray, step: float = STEP, rate: float = RATE) -> list[tuple]:
     """Whole configurations and how often each is used; together they hold exactly ``counts``. Of
     several roundings, which leave more or less of the solution to best fit, the one with the
-    fewest sequences."""
-    solution = solve(counts, step, rate)
-    return min((_rounded(counts, solution, share) for share in KEPT),
-               key=lambda made: sum(times for _, times in made))
+    fewest sequences. Where those of ``solve`` need over one sequence more than the tokens and the
+    pieces beyond half a sequence do, roundings of ``generated`` are tried too."""
+    def rounded(solution):
+        return min((_rounded(counts, solution, share) for share in KEPT), key=sequences)
+
+    def sequences(made):
+        return sum(times for _, times in made)
+
+    size = len(counts) - 1
+    best = rounded(solve(counts, step, rate))
+    tokens = int((counts * np.arange(size + 1)).sum())
+    if sequences(best) > max(-(-tokens // size), int(counts[size // 2 + 1:].sum())) + 1:
+        best = min(best, rounded(generated(counts)), key=sequences)
+    return best
 
 
 def _rounded(counts: np.ndarray, solution: list[tuple], share: float) -> list[tuple]:

@@ -175,6 +175,18 @@ def test_plan_holds_every_piece_and_is_close_to_the_bound():
                 assert used <= 1.05 * bound + 2
 
 
+def test_plan_where_no_lengths_fill_a_sequence():
+    """Lengths of which no combination sums to the size (1,023 at most): 9n sequences hold them."""
+    lengths = np.arange(packing.SIZE + 1)
+    for n in (1, 10, 1000):
+        counts = np.zeros(packing.SIZE + 1, int)
+        counts[[515, 262, 258, 249]] = 6 * n, 6 * n, 6 * n, 12 * n
+        made = packing.plan(counts)
+        assert (sum((m * x for m, x in made), 0 * lengths) == counts).all()
+        assert all((m * lengths).sum() <= packing.SIZE for m, _ in made)
+        assert sum(x for _, x in made) <= 9 * n + 1
+
+
 def check_packed(rows, ids_of, size):
     by_doc, by_seq = defaultdict(list), defaultdict(list)
     for r in rows:
