@@ -138,29 +138,27 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 similarity: float = SIMILARITY) -> DataFrame:
     """One row per document: ``key, row`` (hash of key and text), ``group`` (key of the document
-    that stays), ``group_row``, ``group_size``, ``links`` (links of its node to others)."""
+    that stays), ``group_row``, ``group_size``. How many others a document is like is not told: pairs
+    whose nodes are joined already are not compared."""
     rows = stored(sketches(docs, key, text), "near-sketches")
     nodes = stored(rows.where("n > 0").groupBy("node").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "row")).alias("best"),
         F.first("n").alias("n"), F.first("bands").alias("bands"),
         F.first("sketch").alias("sketch")), "near-nodes")
-    links, roots = linked(nodes, lambda marks: marked_sets(docs, text, marks, shingle_sets), SIZE, AGREE, similarity)
-    degrees = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(
-        F.count(F.lit(1)).alias("links"))
+    _, roots = linked(nodes, lambda marks: marked_sets(docs, text, marks, shingle_sets), SIZE, AGREE, similarity)
     rooted = nodes.select("node", "copies", "best").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
     whole = stored(rooted.groupBy("root").agg(F.min("best").alias("best"),
                                               F.sum("copies").alias("group_size")), "near-whole")
     of_node = stored(
-        rooted.select("node", "root").join(whole, "root").join(degrees, "node", "left")
-        .select("node", "best", "group_size", F.coalesce("links", F.lit(0)).alias("links")),
+        rooted.select("node", "root").join(whole, "root").select("node", "best", "group_size"),
         "near-of-node")
     found = rows.where("n > 0").select("key", "row", "node").join(of_node, "node").select(
         "key", "row", F.col("best.key").alias("group"), F.col("best.row").alias("group_row"),
-        "group_size", "links")
+        "group_size")
     alone = rows.where("n = 0").select(
         "key", "row", F.col("key").alias("group"), F.col("row").alias("group_row"),
-        F.lit(1).cast("long").alias("group_size"), F.lit(0).cast("long").alias("links"))
+        F.lit(1).cast("long").alias("group_size"))
     return found.unionByName(alone)
 
 

@@ -252,6 +252,14 @@ def test_near_groups_match_brute_force(spark):
     assert any(len(v) > 1 for v in got.values())
 
 
+def test_near_groups_tell_no_partial_link_counts(spark):
+    """Pairs already joined are not compared, so counts of links would depend on the hubs."""
+    docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    ship_code(spark)
+    assert near_dedup.near_groups(docs).columns == ["key", "row", "group", "group_row",
+                                                    "group_size"]
+
+
 def test_near_groups_find_chains_and_many_variants(spark):
     """Variants of a text that are close to it but not to each other, and chains of them."""
     ship_code(spark)
