@@ -15,6 +15,8 @@ from . import (
     packing,
     passages,
     quality_rules,
+    sharding,
+    spelling,
     substring_dedup,
     toxicity,
 )
@@ -108,6 +110,17 @@ def op10_exact_dedup(spark, sf_dir) -> DataFrame:
                          F.col("_sha").alias("text_sha256"))
 
 
+def op11_jump_sharding(spark, sf_dir) -> DataFrame:
+    """Every document's shard of 24 and its slot there, and its shard of 25."""
+    placed = sharding.placed_rows(table(spark, sf_dir, "documents"))
+    return placed.withColumnRenamed("key", "doc_id").withColumn("law", F.lit("key"))
+
+
+def op12_spelling_variants(spark, sf_dir) -> DataFrame:
+    """The words of all documents, their near words and the forms that they are variants of."""
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 TRICKY = "\\### Assistant: </turn> ok"
 
 QUERIES = {
@@ -122,8 +135,24 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_minhash_near_dedup": op9_minhash_near_dedup,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_jump_sharding": op11_jump_sharding,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 
+#: CRC-32 of a string's UTF-8 bytes, for SQL: its table of 256 remainders, and the bytes folded.
+_CRC_TABLE = """crc_table AS (
+    SELECT list(list_reduce(range(8), lambda c, k:
+        CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS rest
+    FROM range(256) r(i))"""
+
+
+def _crc(column: str) -> str:
+    octets = (f"list_transform(regexp_extract_all(hex(encode({column})), '..'), "
+              "lambda h: CAST('0x' || h AS BIGINT))")
+    return (f"xor(list_reduce({octets}, lambda c, x: xor(c >> 8, "
+            "rest[CAST((xor(c, x) & 255) + 1 AS INT)]), 4294967295), 4294967295)")
+
+
 ORACLE_SQL = {
     # Sizes of markers: "<turn " and ">\\n" before a text, "</turn>\\n" after it; "~", "<" and ">"
     # take one more character each.
@@ -161,5 +190,73 @@ g AS (
     FROM t GROUP BY body)
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
 FROM t JOIN g USING (body)
+""",
+    # Jumps of a key: its generator's state, and the shard count at which it jumps next.
+    "op11_jump_sharding": f"""
+WITH RECURSIVE {_CRC_TABLE},
+t AS (
+    SELECT doc_id, coalesce(text, '') AS body,
+           CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 16) AS UBIGINT) AS h
+    FROM documents),
+r AS (
+    SELECT doc_id, h, octet_length(encode(body)) + 8 AS size, {_crc("body")} AS text_crc32
+    FROM t, crc_table),
+jumps AS (
+    SELECT h, CAST(h AS HUGEINT) AS state, CAST(0 AS BIGINT) AS place FROM (SELECT DISTINCT h FROM t)
+    UNION ALL
+    SELECT h, state, place FROM (
+        SELECT h, next AS state, CAST(floor(CAST(place + 1 AS DOUBLE) * (CAST(2147483648 AS DOUBLE)
+               / CAST((next >> 33) + 1 AS DOUBLE))) AS BIGINT) AS place
+        FROM (SELECT h, place, (state * 2862933555777941757 + 1) % 18446744073709551616 AS next
+              FROM jumps))
+    WHERE place < 25),
+s AS (
+    SELECT h, max(place) FILTER (place < 24) AS shard, max(place) AS grown_shard FROM jumps GROUP BY h)
+SELECT doc_id, size, text_crc32, 'key' AS law, CAST(shard AS INT) AS shard,
+       row_number() OVER (PARTITION BY shard
+           ORDER BY xor(h, 9223372036854775808), doc_id NULLS FIRST, size,
+                    text_crc32) - 1 AS slot,
+       CAST(grown_shard AS INT) AS grown_shard
+FROM r JOIN s USING (h)
+""",
+    "op12_spelling_variants": f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+    SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run
+          FROM documents)
+    WHERE length(run) >= 7),
+hashed AS (
+    SELECT *, {_crc("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h
+    FROM runs, crc_table),
+words AS (
+    SELECT word, count(*) AS n FROM (
+        SELECT CASE WHEN h % 31 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:]
+                    ELSE run END AS word
+        FROM hashed)
+    WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+cuts AS (SELECT DISTINCT word, n, word[:i - 1] || word[i + 1:] AS cut FROM places),
+masks AS (SELECT word, n, i, word[:i - 1] || '*' || word[i + 1:] AS mask FROM places),
+near AS (
+    SELECT c.word AS a, w.word AS b, w.n AS n_b FROM cuts c JOIN words w ON c.cut = w.word
+    UNION ALL
+    SELECT w.word, c.word, c.n FROM cuts c JOIN words w ON c.cut = w.word
+    UNION ALL
+    SELECT x.word, y.word, y.n FROM masks x JOIN masks y ON x.mask = y.mask AND x.word <> y.word),
+best AS (
+    SELECT a, count(*) AS n_near, max(n_b) AS n_b, arg_min(b, (-n_b, b)) AS b
+    FROM near GROUP BY a),
+formed AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN n_b >= 10 * n THEN b END AS form,
+           CASE WHEN n_b >= 10 * n THEN n_b END AS form_n
+    FROM words LEFT JOIN best ON a = word),
+chain AS (
+    SELECT word, word AS root, 0 AS steps FROM formed
+    UNION ALL
+    SELECT c.word, f.form, c.steps + 1 FROM chain c JOIN formed f ON f.word = c.root
+    WHERE f.form IS NOT NULL)
+SELECT word, form, arg_max(chain.root, steps) AS root, n, n_near, form_n
+FROM formed JOIN chain USING (word) GROUP BY word, form, n, n_near, form_n
 """,
 }
