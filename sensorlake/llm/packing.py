@@ -5,12 +5,12 @@ pieces of ``size`` tokens of which the first may be shorter. The lengths of all
 histogram of at most ``size`` entries. A configuration is a multiset of lengths that fits one
 sequence; the linear program covers every length's count with as few configurations as it can.
 Multiplicative weights solve it: a length's weight falls exponentially as it gets covered, a
-knapsack dynamic program finds the configuration of largest weight, which is then used for a
-fraction of what its rarest length still needs, as long as full configurations are found. Where that
-leaves more than one sequence above what the tokens fill (few lengths, none that fill a sequence, no
-short pieces), the program is solved by column generation with configurations of any fill. Fractions
-are rounded down, of several shares of the solution, and what rounding leaves goes best-fit, longest
-first, into the fullest sequence that takes it.
+knapsack dynamic program finds the configuration of largest weight, full or not, which is then used
+for a fraction of what its rarest length still needs, until every length is covered. Fractions are
+rounded down, of several shares of the solution, and what rounding leaves goes best-fit, longest
+first, into the fullest sequence that takes it. Where the best of these is more than ``EXCESS`` of
+the sequences above what the tokens fill (few lengths, none that fill a sequence), as many steps of
+column generation as ``PIVOTS`` says try to better the solution.
 
 Scale: only the histogram reaches the driver, and the plan that comes back is a table of rank
 ranges whose size depends on ``size`` and not on the number of documents. Pieces get a rank within
@@ -47,8 +47,9 @@ BUCKET_ROWS = 1_000
 STEP, RATE = 0.25, 4.0
 #: Shares of the fractional solution that roundings keep.
 KEPT = (1.0, 0.9, 0.75, 0.5)
-#: Share of the sequences that ``generated`` may be off the optimum, and its pivots per length.
-NEAR, PIVOTS = 1e-4, 50
+#: Share of the sequences above the bound from which ``generated`` is tried, the share that it may be
+#: off the optimum, and its steps: bounded, so that the driver's time is, whatever the lengths.
+EXCESS, NEAR, PIVOTS = 0.005, 1e-4, 300
 _PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
@@ -158,8 +159,6 @@ def solve(counts: np.ndarray, step: float = STEP, rate: float = RATE) -> list[tu
         behind = rate * (cover - cover[open_].min())
         value = np.where(open_, lengths * np.exp(-behind), -1.0)
         made = _best_configuration(value)
-        if (made * lengths).sum() < size:
-            break  # what is left fills no configuration; generated() or best fit takes it
         used = made > 0
         amount = float(np.min(np.minimum(np.maximum(step * need[used], 1.0),
                                          (1 - cover[used]) * need[used]) / made[used]))
@@ -171,13 +170,14 @@ def solve(counts: np.ndarray, step: float = STEP, rate: float = RATE) -> list[tu
 def generated(counts: np.ndarray, near: float = NEAR) -> list[tuple]:
     """The linear program's own solution as (configuration, amount), for any histogram: a simplex
     basis of configurations, full or not; the knapsack over its prices finds the configuration
-    that enters, until no solution can be better by ``near`` or by a whole sequence."""
+    that enters, until no solution can be better by ``near`` or by a whole sequence, or for
+    ``PIVOTS`` steps; every step's basis is a solution."""
     size = len(counts) - 1
     own = np.flatnonzero(counts)
     basis = np.zeros((len(own), size + 1), np.int64)
     basis[np.arange(len(own)), own] = size // own
     inverse, amount = np.diag(1.0 / (size // own)), counts[own] / (size // own)
-    for _ in range(PIVOTS * len(own)):
+    for _ in range(PIVOTS):
         price = np.full(size + 1, -1.0)
         price[own] = inverse.sum(0)
         made = _best_configuration(price)
@@ -232,8 +232,8 @@ def _best_fit(left: np.ndarray) -> list[tuple]:
 def plan(counts: np.ndarray, step: float = STEP, rate: float = RATE) -> list[tuple]:
     """Whole configurations and how often each is used; together they hold exactly ``counts``. Of
     several roundings, which leave more or less of the solution to best fit, the one with the
-    fewest sequences. Where those of ``solve`` need over one sequence more than the tokens and the
-    pieces beyond half a sequence do, roundings of ``generated`` are tried too."""
+    fewest sequences. Where those of ``solve`` need ``EXCESS`` more than the tokens and the pieces
+    beyond half a sequence do, roundings of ``generated`` are tried too."""
     def rounded(solution):
         return min((_rounded(counts, solution, share) for share in KEPT), key=sequences)
 
@@ -243,7 +243,8 @@ def plan(counts: np.ndarray, step: float = STEP, rate: float = RATE) -> list[tup
     size = len(counts) - 1
     best = rounded(solve(counts, step, rate))
     tokens = int((counts * np.arange(size + 1)).sum())
-    if sequences(best) > max(-(-tokens // size), int(counts[size // 2 + 1:].sum())) + 1:
+    least = max(-(-tokens // size), int(counts[size // 2 + 1:].sum()))
+    if sequences(best) > least + max(1, EXCESS * least):
         best = min(best, rounded(generated(counts)), key=sequences)
     return best
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from . import (
     chat_format,
+    conversation_trie,
     exact_dedup,
     factorisation,
     language_id,
@@ -121,6 +122,11 @@ def op12_spelling_variants(spark, sf_dir) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_trie(spark, sf_dir) -> DataFrame:
+    """The nodes of the prefix trie of all rebuilt conversations."""
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 TRICKY = "\\### Assistant: </turn> ok"
 
 QUERIES = {
@@ -137,6 +143,7 @@ QUERIES = {
     "op10_exact_dedup": op10_exact_dedup,
     "op11_jump_sharding": op11_jump_sharding,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 #: CRC-32 of a string's UTF-8 bytes, for SQL: its table of 256 remainders, and the bytes folded.
@@ -258,5 +265,51 @@ chain AS (
     WHERE f.form IS NOT NULL)
 SELECT word, form, arg_max(chain.root, steps) AS root, n, n_near, form_n
 FROM formed JOIN chain USING (word) GROUP BY word, form, n, n_near, form_n
+""",
+    "op13_conversation_trie": f"""
+WITH {_CRC_TABLE},
+t AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+               coalesce(role, ''), coalesce(text, '')) - 1 AS pos,
+           md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id,
+           length(coalesce(text, '')) AS chars
+    FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+    SELECT conv_id, conv_id - conv_id % 100 AS head,
+           {_crc("CAST(conv_id AS VARCHAR)")} % 6 AS share
+    FROM (SELECT DISTINCT conv_id FROM t), crc_table),
+r AS (
+    SELECT c.conv_id, 0 AS part, pos, id, chars FROM c JOIN t ON t.conv_id = head AND pos < share
+    UNION ALL
+    SELECT conv_id, 1, pos, id, chars FROM c JOIN t USING (conv_id) WHERE pos >= share),
+d AS (
+    SELECT conv_id, chars, row_number() OVER w AS depth, string_agg(id, '') OVER w AS path
+    FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS UNBOUNDED PRECEDING)),
+m AS (
+    SELECT conv_id, 0 AS depth, '' AS path, 0 AS chars FROM c
+    UNION ALL SELECT conv_id, depth, path, chars FROM d),
+longest AS (SELECT conv_id, max(depth) AS len FROM m GROUP BY conv_id),
+nodes AS (
+    SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+           sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                           FILTER (len = depth), '')) AS ends_sha256
+    FROM m JOIN longest USING (conv_id) GROUP BY depth, path),
+linked AS (
+    SELECT n.*, p.conv_id AS parent_conv_id
+    FROM nodes n LEFT JOIN nodes p ON n.depth > 0 AND p.depth = n.depth - 1
+                                  AND p.path = left(n.path, length(n.path) - 32)),
+counted AS (
+    SELECT n.*, coalesce(k.n, 0) AS n_children
+    FROM linked n LEFT JOIN (SELECT parent_conv_id, depth - 1 AS at_depth, count(*) AS n FROM linked
+                             GROUP BY ALL) k
+      ON k.parent_conv_id = n.conv_id AND k.at_depth = n.depth),
+sums AS (
+    SELECT m.depth, m.path, sum((n_convs - 1) * n.chars) AS saved_tokens,
+           count(*) FILTER (n_children = 0) AS n_leaves
+    FROM counted n JOIN m ON m.conv_id = n.conv_id AND m.depth <= n.depth
+    GROUP BY m.depth, m.path)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves,
+       CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM counted JOIN sums USING (depth, path)
 """,
 }
