@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +40,22 @@ def build_session(master: str | None = None, app: str = "sensorlake",
     return spark
 
 
+@contextmanager
+def with_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Session settings for the time of a block; what was set before is set again after it."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 SCRATCH_KEY = "spark.sensorlake.scratchDir"
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorlake import tables
+from sensorlake.session import with_conf
 
 
 def start_append(df: DataFrame, path: str, checkpoint: str, *, trigger: str | None = None,
@@ -40,13 +41,15 @@ def run_available_now(df: DataFrame, path: str, checkpoint: str, **kw) -> Stream
 
 def start_upsert(df: DataFrame, path: str, keys: list[str], checkpoint: str, *,
                  trigger: str | None = None, available_now: bool = False,
-                 name: str | None = None, state_partitions: int | None = None) -> StreamingQuery:
-    """Keep a small result table current from an ``update``-mode aggregation stream.
+                 name: str | None = None, state_partitions: int | None = None,
+                 by: Column | None = None) -> StreamingQuery:
+    """Keep a result table current from an ``update``-mode aggregation stream.
 
     Each micro-batch carries the new values of the keys it changed; they are upserted into the
-    parquet table at ``path`` by ``keys`` (staged swap). Replaying a batch after a failure
-    upserts the same values again, so the table stays exact. Meant for dashboard-sized results
-    (windows x metrics, sensors x metrics), not for fact tables.
+    parquet table at ``path`` by ``keys``, which rewrites the partitions they fall into: those of
+    ``by``, an expression over key columns such as the day of a window, or else of key buckets.
+    Replaying a batch after a failure upserts the same values again, so the table stays exact.
+    ``tables.read_upserted`` reads it.
 
     ``state_partitions`` sizes the aggregation state (one state store per shuffle partition) to
     the state instead of the session-wide shuffle setting. A query copies the session settings
@@ -58,7 +61,7 @@ def start_upsert(df: DataFrame, path: str, keys: list[str], checkpoint: str, *,
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.dropDuplicates(keys).persist()  # read more than once by the upsert
         try:
-            tables.upsert_path(spark, batch, path, keys, batch.schema)
+            tables.upsert_path(spark, batch, path, keys, batch.schema, by)
         finally:
             batch.unpersist()
 
@@ -70,12 +73,6 @@ def start_upsert(df: DataFrame, path: str, keys: list[str], checkpoint: str, *,
         w = w.trigger(availableNow=True)
     elif trigger:
         w = w.trigger(processingTime=trigger)
-    if not state_partitions:
+    conf = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}
+    with with_conf(spark, conf):
         return w.start()
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return w.start()
-    finally:
-        spark.conf.set(key, previous)

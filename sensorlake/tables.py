@@ -2,21 +2,31 @@
 
 No table format is assumed. A full replacement is staged next to the target and swapped in by
 directory renames, so readers never see a half-written table and a job can replace a table it
-reads from (a direct overwrite of a path being read fails). Partition replacement uses dynamic
-partition overwrite. Upsert = keyed anti-join + union, written through the staged replacement.
+reads from (a direct overwrite of a path being read fails). Replacing days and upserting touch only
+the partitions concerned: their new rows are written once, next to the table, and each staged
+folder takes the place of the old one by the same checked swap; all other files stay as they are.
+
+Upserted tables are partitioned by ``PART``, a function of the key: a bucket of the key's hash, or
+what the caller names (the day of a window). A key never changes its partition, so an upsert reads and
+rewrites the partitions that its updates fall into and nothing else.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorlake.operators.joins import upsert
 
+#: Partition column of upserted tables, and the number of key buckets where the caller names none.
+PART, BUCKETS = "_part", 16
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -41,22 +51,53 @@ def replace_path(spark: SparkSession, df: DataFrame, path: str,
     swap_in(spark, staging, path, token)
 
 
-def swap_in(spark: SparkSession, staging: str, path: str, token: str) -> None:
-    """Put ``staging`` in the place of ``path``. The old table is set aside first and deleted only
-    once the new one is in place; a rename that fails puts it back and raises."""
+def swap_in(spark: SparkSession, staging: str, path: str, token: str,
+            aside: str | None = None) -> None:
+    """Put ``staging`` in the place of ``path``. The old table is set ``aside`` first and deleted
+    only once the new one is in place; a rename that fails puts it back and raises."""
     fs, target, jvm = _fs(spark, path)
-    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.old-{token}")
+    new = jvm.org.apache.hadoop.fs.Path(staging)
+    old = jvm.org.apache.hadoop.fs.Path(aside or f"{path.rstrip('/')}.old-{token}")
     had = fs.exists(target)
-    if had and not fs.rename(target, old):
+    if had and not _renamed(fs, target, old):
         raise OSError(f"cannot set {path} aside; it is unchanged, the new table is in {staging}")
-    if not fs.rename(jvm.org.apache.hadoop.fs.Path(staging), target):
-        if had and not fs.rename(old, target):
+    if not _renamed(fs, new, target):
+        if had and not _renamed(fs, old, target):
             raise OSError(f"cannot move {staging} to {path}; the old table is in {old}")
         raise OSError(f"cannot move {staging} to {path}; the old table is back in place")
     if had:
         fs.delete(old, True)
 
 
+def _renamed(fs, source, target) -> bool:
+    """File systems tell of a failed rename by False or by an error."""
+    try:
+        return bool(fs.rename(source, target))
+    except Py4JJavaError:
+        return False
+
+
+def replace_parts(spark: SparkSession, df: DataFrame, path: str, column: str,
+                  touched: Iterable[str]) -> None:
+    """Replace the partitions ``touched`` (values of ``column`` as folders name them) by the rows
+    of ``df``; one without rows there is removed. ``df`` is computed once, into a staging folder
+    next to the table; then its folders are swapped in one by one."""
+    token, root = uuid.uuid4().hex[:12], path.rstrip("/")
+    staging = f"{root}.staging-{token}"
+    df.hint("rebalance", column).write.partitionBy(column).parquet(staging)
+    fs, _, jvm = _fs(spark, root)
+    fs.mkdirs(jvm.org.apache.hadoop.fs.Path(root))
+    for value in touched:
+        name = f"{column}={value}"
+        if path_exists(spark, f"{staging}/{name}"):
+            # Readers skip names that begin with a dot.
+            swap_in(spark, f"{staging}/{name}", f"{root}/{name}", token,
+                    f"{root}/.old-{token}-{name}")
+        else:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{root}/{name}"), True)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str],
                        rebalance: bool = True) -> None:
     """Overwrite only the partitions present in ``df`` (others stay untouched).
@@ -74,15 +115,8 @@ def replace_days(spark: SparkSession, df: DataFrame, path: str, column: str,
                  days: DataFrame) -> None:
     """Overwrite the partitions of ``days`` (one column of dates, NULL is one); a day without rows
     in ``df`` is left empty. Only folders of those days are touched."""
-    replace_partitions(df, path, [column])
-    written = spark.read.parquet(path).select(column).distinct()
-    gone = (days.toDF("_day").join(df.select(column).distinct(),
-                                   F.col("_day").eqNullSafe(F.col(column)), "left_anti")
-            .join(written, F.col("_day").eqNullSafe(F.col(column)), "left_semi"))
-    fs, _, jvm = _fs(spark, path)
-    for row in gone.toLocalIterator():  # a folder a day
-        name = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else str(row[0])
-        fs.delete(jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={name}"), True)
+    names = (NULL_FOLDER if r[0] is None else str(r[0]) for r in days.toLocalIterator())
+    replace_parts(spark, df, path, column, names)
 
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -92,19 +126,68 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
     return spark.createDataFrame([], schema)
 
 
-def upsert_path(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str],
-                schema: T.StructType) -> None:
-    """MERGE-like upsert into the parquet table at ``path`` (created when absent).
+def read_upserted(spark: SparkSession, path: str) -> DataFrame:
+    """The upserted table at ``path`` without its partition column."""
+    return spark.read.option("mergeSchema", True).parquet(path).drop(PART)
 
-    The result is materialized to a staging directory before the swap, so reading the current
-    table while replacing it is safe.
-    """
-    current = read_or_empty(spark, path, schema)
-    replace_path(spark, upsert(current, updates.select(*current.columns), keys), path)
+
+def key_bucket(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
+    """The bucket of a key, named with the number of buckets: a table keeps to one number."""
+    return F.format_string(f"%d-of-{buckets}", F.pmod(F.xxhash64(*keys), F.lit(buckets)))
 
 
-def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def upsert_path(spark: SparkSession, updates: DataFrame, path: str, keys: Sequence[str],
+                schema: T.StructType, by: Column | None = None, buckets: int = BUCKETS) -> None:
+    """MERGE-like upsert into the parquet table at ``path`` (created when absent), which keeps its
+    schema. Only the partitions that hold a key of ``updates`` are read and written.
+
+    ``by`` (an expression over key columns) names the partition of a key, in place of a hash
+    bucket. A table of another layout, or of another number of buckets, is rewritten once.
+    ``updates`` is read twice, for the partitions it touches and for its rows.
+    """
+    part = (key_bucket(keys, buckets) if by is None else by.cast("string"))
+    found = path_exists(spark, path)
+    current = spark.read.option("mergeSchema", True).parquet(path) if found \
+        else spark.createDataFrame([], schema).withColumn(PART, F.lit(""))
+    columns = [c for c in current.columns if c != PART]
+    parted = updates.select(*columns, part.alias(PART))
+    # As many names as updates have buckets, or days.
+    touched = [r[0] for r in parted.select(PART).distinct().collect()]
+    if not touched:
+        if not found:
+            replace_path(spark, current.select(*columns), path)  # empty, with its schema
+        return
+    if found and (PART not in current.columns or (by is None and not current.where(
+            ~F.col(PART).endswith(f"-of-{buckets}")).isEmpty())):
+        merged = upsert(current.select(*columns), updates.select(*columns), keys)
+        replace_path(spark, merged.withColumn(PART, part), path, [PART])
+        return
+    null = F.col(PART).isNull() if None in touched else F.lit(False)
+    held = current.where(F.col(PART).isin([t for t in touched if t is not None]) | null)
+    merged = upsert(held.select(*columns, F.col(PART).cast("string").alias(PART)), parted, keys)
+    replace_parts(spark, merged, path, PART,
+                  [NULL_FOLDER if t is None else t for t in touched])
+
+
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create the database unless it exists (SNK-8), at ``location`` or in the warehouse."""
+    at = "" if location is None else " LOCATION '{}'".format(location.replace("'", "\\'"))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{at}")
+
+
+def sql_over(spark: SparkSession, statement: str, **views: DataFrame) -> DataFrame:
+    """The result of ``statement`` over frames as temporary views (SRC-11). The views last until the
+    statement is resolved; a view of the session that has one of the names is refused."""
+    for name in views:
+        if spark.catalog.tableExists(name):
+            raise ValueError(f"there is a table or view {name} already")
+    try:
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(statement)
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

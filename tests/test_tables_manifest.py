@@ -66,7 +66,7 @@ def test_upsert_path_creates_then_merges(spark, scratch):
                                schemas.DEVICES)
     tables.upsert_path(spark, u2, path, ["sensor_id"], schemas.DEVICES)
     tables.upsert_path(spark, u2, path, ["sensor_id"], schemas.DEVICES)   # idempotent
-    got = {r["sensor_id"]: r["location_id"] for r in spark.read.parquet(path).collect()}
+    got = {r["sensor_id"]: r["location_id"] for r in tables.read_upserted(spark, path).collect()}
     assert got == {"1": "L2", "2": "M"}
 
 
@@ -107,7 +107,7 @@ def test_upsert_refuses_two_updates_of_one_key(spark, scratch):
     twice = spark.createDataFrame([("1", 5), ("1", 6)], "k string, v int")
     with pytest.raises(Exception, match="duplicate key"):
         tables.upsert_path(spark, twice, path, ["k"], old.schema)
-    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [("1", 1), ("2", 2)]
+    assert sorted(map(tuple, tables.read_upserted(spark, path).collect())) == [("1", 1), ("2", 2)]
 
 
 def test_incremental_equals_full(spark, scratch):
@@ -181,3 +181,108 @@ def test_session_without_checkpoint_dir_gets_scratch_folder(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True,
                          timeout=300)
     assert "OK" in out.stdout, out.stderr[-2000:]
+
+
+def _files(path):
+    return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names
+            if f.endswith(".parquet")}
+
+
+def test_an_upsert_of_one_key_leaves_other_files_as_they_are(spark, scratch):
+    path = os.path.join(scratch, "t")
+    old = spark.range(500).select(F.col("id").alias("k"), F.lit("old").alias("v"))
+    tables.upsert_path(spark, old, path, ["k"], old.schema)
+    before = _files(path)
+    assert len(before) == tables.BUCKETS
+    new = spark.createDataFrame([(7, "new"), (1000, "new")], old.schema)
+    one = new.where("k = 7")
+    tables.upsert_path(spark, one, path, ["k"], old.schema)
+    after = _files(path)
+    assert len(before - after) == 1 and len(after - before) == 1
+    tables.upsert_path(spark, new, path, ["k"], old.schema)
+    got = dict(map(tuple, tables.read_upserted(spark, path).collect()))
+    assert len(got) == 501 and got.pop(7) == got.pop(1000) == "new" and set(got.values()) == {"old"}
+    assert not [n for n in os.listdir(scratch) if "staging" in n]
+    assert not [n for n in os.listdir(path) if n.startswith(".old")]
+
+
+def test_an_upsert_by_day_rewrites_the_days_it_touches(spark, scratch):
+    path = os.path.join(scratch, "t")
+    day = F.to_date("w")
+
+    def rows(*data):
+        return spark.createDataFrame(data, "w timestamp, s string, n int")
+
+    t = [dt.datetime(2024, 1, d, h) for d in (1, 2, 3) for h in (0, 5)]
+    first = rows(*((x, s, 1) for x in t for s in "ab"), (None, "a", 1))
+    tables.upsert_path(spark, first, path, ["w", "s"], first.schema, by=day)
+    before = _files(path)
+    update = rows((t[0], "a", 2), (t[1], "c", 2), (None, "b", 2))
+    tables.upsert_path(spark, update, path, ["w", "s"], first.schema, by=day)
+    kept = before & _files(path)
+    assert {os.path.basename(os.path.dirname(f)) for f in kept} == {
+        f"{tables.PART}=2024-01-02", f"{tables.PART}=2024-01-03"}
+    got = {(r["w"], r["s"]): r["n"] for r in tables.read_upserted(spark, path).collect()}
+    assert len(got) == 15 and got[t[0], "a"] == got[t[1], "c"] == got[None, "b"] == 2
+    assert sum(got.values()) == 18
+
+
+def test_a_table_of_another_layout_is_rewritten_once(spark, scratch):
+    path = os.path.join(scratch, "t")
+    old = spark.range(50).select(F.col("id").alias("k"), F.lit(0).alias("v"))
+    old.write.parquet(path)
+    one = spark.createDataFrame([(3, 9)], old.schema)
+    for buckets in (4, 4, 8):
+        tables.upsert_path(spark, one, path, ["k"], old.schema, buckets=buckets)
+        assert len([n for n in os.listdir(path) if n.startswith(tables.PART)]) == buckets
+        got = dict(map(tuple, tables.read_upserted(spark, path).collect()))
+        assert len(got) == 50 and got[3] == 9
+
+
+def test_an_upsert_of_nothing_makes_an_empty_table(spark, scratch):
+    path = os.path.join(scratch, "t")
+    none = spark.createDataFrame([], "k long, v string")
+    for _ in range(2):
+        tables.upsert_path(spark, none, path, ["k"], none.schema)
+        assert tables.read_upserted(spark, path).columns == ["k", "v"]
+    tables.upsert_path(spark, spark.createDataFrame([(1, "a")], none.schema), path, ["k"], none.schema)
+    assert tables.read_upserted(spark, path).count() == 1
+
+
+def test_replaced_days_are_computed_once(spark, scratch):
+    path = os.path.join(scratch, "t")
+    data = [(1, dt.date(2024, 1, 1)), (2, dt.date(2024, 1, 2)), (3, None), (4, dt.date(2024, 1, 4))]
+    spark.createDataFrame(data, "v int, day date").write.partitionBy("day").parquet(path)
+    kept = {f for f in _files(path) if "2024-01-04" in f}
+    times = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            times.add(b.num_rows)
+            yield b
+
+    new = spark.createDataFrame([(20, dt.date(2024, 1, 2)), (30, None)], "v int, day date") \
+        .mapInArrow(seen, "v int, day date")
+    days = spark.createDataFrame([(d,) for d in (dt.date(2024, 1, 1), dt.date(2024, 1, 2), None,
+                                                 dt.date(2030, 1, 1))], "day date")
+    tables.replace_days(spark, new, path, "day", days)
+    assert times.value == 2
+    assert sorted(r["v"] for r in spark.read.parquet(path).collect()) == [4, 20, 30]
+    assert kept <= _files(path)
+
+
+def test_a_failing_rename_of_a_partition_keeps_the_old_one(spark, scratch, monkeypatch):
+    path = os.path.join(scratch, "t")
+    old = spark.range(20).select(F.col("id").alias("k"), F.lit(0).alias("v"))
+    tables.upsert_path(spark, old, path, ["k"], old.schema, buckets=2)
+    real = tables.swap_in
+
+    def failing(spark, staging, target, *more):
+        return real(spark, staging + "-gone", target, *more)
+
+    monkeypatch.setattr(tables, "swap_in", failing)
+    with pytest.raises(Exception):
+        tables.upsert_path(spark, spark.createDataFrame([(1, 5)], old.schema), path, ["k"],
+                           old.schema, buckets=2)
+    got = dict(map(tuple, tables.read_upserted(spark, path).collect()))
+    assert len(got) == 20 and set(got.values()) == {0}
