@@ -245,7 +245,15 @@ ANOMALY_BREACHES = "SELECT * FROM (" + ANOMALIES + ") a WHERE anomaly_flag IS NO
 SILVER_READINGS = SILVER + "SELECT * FROM readings"
 SILVER_DEVICES = SILVER + "SELECT * FROM devices"
 LATEST_LIVE = SILVER + "SELECT * FROM latest_live"
-REGISTRY = SILVER + "SELECT * FROM registry_raw"
+# The response with the odd records arrived first.
+REGISTRY = "WITH " + _API_RECORDS + """
+SELECT sensor_id, sensor_type, location_id, lat, lon, country, indoor,
+       'registry_api' AS _source, 'api_response' AS _source_file_name,
+       TIMESTAMP '2024-02-01 00:00:00' AS _ingested_at
+FROM api_records
+WHERE sensor_id IS NOT NULL AND sensor_type IN ('SDS011', 'BME280')
+QUALIFY row_number() OVER (PARTITION BY sensor_id ORDER BY 1 - api_pos % 2, api_pos) = 1
+"""
 UNION_LIVE_ARCHIVE = SILVER + "SELECT * FROM long_readings"
 
 
@@ -536,6 +544,7 @@ def all_sql() -> dict[str, str]:
         "silver_devices": SILVER_DEVICES,
         "latest_live_per_sensor": LATEST_LIVE,
         "registry_first_wins": REGISTRY,
+        "devices_by_type": DEVICES_BY_TYPE,
         "union_live_archive": UNION_LIVE_ARCHIVE,
         "unpivot_metrics": UNPIVOT_METRICS,
         "dedup_readings": DEDUP_READINGS,
@@ -669,10 +678,23 @@ FROM (
 GROUP BY value_type
 """
 
+DEVICES_BY_TYPE = SILVER + """
+SELECT sensor_type, country, count(*) AS devices,
+       sum(CASE WHEN coalesce(indoor, FALSE) THEN 0 ELSE 1 END)::BIGINT AS outdoors,
+       max(lat) AS northmost
+FROM devices GROUP BY ALL
+"""
+
 RUN_LOG = SILVER + """
 SELECT 'silver_readings' AS job, 'succeeded' AS status, CAST(NULL AS BIGINT) AS rows_in,
        (SELECT count(*) FROM readings) AS rows_out, CAST(NULL AS VARCHAR) AS message
 UNION ALL
 SELECT 'silver_devices', 'succeeded', (SELECT count(*) FROM registry_raw),
        (SELECT count(*) FROM devices), CAST(NULL AS VARCHAR)
+UNION ALL
+SELECT 'sensor_archive_raw', 'succeeded', (SELECT count(*) FROM archive_raw),
+       (SELECT count(*) FROM archive_raw), CAST(NULL AS VARCHAR)
+UNION ALL
+SELECT 'sensor_live_raw', 'succeeded', n, n, CAST(NULL AS VARCHAR)
+FROM (SELECT count(*) AS n FROM ev WHERE ts >= TIMESTAMP '2024-01-15 00:00:00')
 """

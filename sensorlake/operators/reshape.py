@@ -16,31 +16,22 @@ OTHER = "_other"
 
 def unpivot_metrics(df: DataFrame, ids: Sequence[str], metrics: Sequence[str],
                     variable: str = "value_type", value: str = "value") -> DataFrame:
-    """One row per (id columns, metric) for every metric column present in ``df``.
+    """One row per (id columns, metric) that holds a number, from one column per metric.
 
-    Only the id and metric columns that exist are used, matched case-sensitively (PRJ-7).
-    NULL cells are dropped, the text is converted with ``try_cast`` and cells that do not
-    parse as a number are dropped too, so "unknown" never becomes a reading.
+    Of both lists only the columns that exist are used, matched case-sensitively (PRJ-7). Cells
+    become numbers where they stand, so that metric columns of different types (inferred CSV, JSON)
+    agree before they share a column; a cell that is empty or no number gives no row, so "unknown"
+    never becomes a reading.
 
     ``unpivot`` is a narrow Expand: no shuffle, and the pruned scan reads only the listed
     columns.
     """
-    present_ids = [c for c in ids if c in df.columns]
-    present = [m for m in metrics if m in df.columns]
-    if not present:
-        # `unpivot` refuses an empty value list; return the right, empty shape instead.
-        return (df.select(*present_ids)
-                  .withColumn(variable, F.lit(None).cast("string"))
-                  .withColumn(value, F.lit(None).cast("double"))
-                  .where(F.lit(False)))
-    # Metric columns may arrive with different types (inferred CSV, JSON); text is the common type.
-    wide = df.select(*present_ids, *[F.col(m).cast("string").alias(m) for m in present])
-    raw = f"_raw_{value}"
-    return (wide.unpivot(present_ids, present, variable, raw)
-                .where(F.col(raw).isNotNull())
-                .withColumn(value, try_double(raw))
-                .drop(raw)
-                .where(F.col(value).isNotNull()))
+    kept, held = ([c for c in names if c in df.columns] for names in (ids, metrics))
+    numbers = df.select(*kept, *(try_double(F.col(m).cast("string")).alias(m) for m in held))
+    if not held:  # ``unpivot`` takes no empty list
+        none = {variable: F.lit(None).cast("string"), value: F.lit(None).cast("double")}
+        return numbers.withColumns(none).limit(0)
+    return numbers.unpivot(kept, held, variable, value).where(F.col(value).isNotNull())
 
 
 def measurement(values: str | Column, metric: str) -> Column:

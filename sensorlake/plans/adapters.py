@@ -25,7 +25,7 @@ Mapping (all deterministic):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sensorlake import config
@@ -151,6 +151,18 @@ def api_records(customer: DataFrame, nation: DataFrame) -> DataFrame:
                         ).alias("sensordatavalues")))
 
 
+def write_api_files(records: DataFrame, path: str, size: int = 1_000) -> None:
+    """API records as response files: JSON arrays of at most ``size`` records, a file each."""
+    columns = [c for c in records.columns if c != "api_pos"]
+    ranked = F.row_number().over(Window.partitionBy("_file").orderBy("api_pos"))
+    files = records.withColumn("_file", F.expr(f"api_pos div {size}")).withColumn("_at", ranked)
+    arrays = files.groupBy("_file").agg(F.sort_array(F.collect_list(
+        F.struct("_at", F.struct(*columns).alias("r")))).alias("rows"))
+    (arrays.select(F.to_json(F.transform("rows", lambda x: x["r"]),
+                             {"ignoreNullFields": "false"}).alias("value"))
+     .write.mode("append").option("maxRecordsPerFile", 1).text(path))
+
+
 def registry_raw(customer: DataFrame, nation: DataFrame) -> DataFrame:
     """Bronze device registry built from the API records (PIP-3)."""
     recs = api_records(customer, nation)

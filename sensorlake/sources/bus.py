@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorlake import config, schemas
 
@@ -34,19 +35,29 @@ def read_bus(spark: SparkSession, fmt: str, options: dict[str, str], path: str |
 
 
 def read_api_records(spark: SparkSession, path: str) -> DataFrame:
-    """API response files (JSON arrays of nested records) -> records in response order.
+    """API response files (JSON arrays of nested records) -> records with their place of arrival
+    ``api_pos``: time of the file, its path, place in the array.
 
-    ``location`` is read as a map so an absent ``indoor`` key can default to "0" while an
-    explicit null stays NULL. A multi-line JSON file is never split, so
-    ``monotonically_increasing_id`` follows the order of records within a file.
+    A file is one response and is read whole by one task; files are as many tasks as they are. One
+    that holds no JSON array (or object, one record) fails the job, rather than losing a response;
+    an empty file has no records. ``location`` is read as a map so an absent ``indoor`` key can
+    default to "0" while an explicit null stays NULL.
     """
-    raw = spark.read.schema(schemas.API_RECORD).option("multiLine", True).json(path)
-    loc = F.col("location")
-    return raw.select(
-        F.monotonically_increasing_id().alias("api_pos"),
-        "id", "timestamp", "sensor",
+    files = spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_modification_time").alias("time"),
+        F.col("_metadata.file_path").alias("file"), "value")
+    records = F.from_json("value", T.ArrayType(schemas.API_RECORD))
+    broken = F.raise_error(F.concat(F.lit("no JSON records in "), F.col("file")))
+    whole = files.where(F.col("value").rlike(r"\S")).withColumn("records", records)
+    rows = whole.select("time", "file", F.posexplode(
+        F.when(F.col("records").isNull(), broken).otherwise(F.col("records")))
+        .alias("place", "record"))
+    loc = F.col("record.location")
+    return rows.select(
+        F.struct("time", "file", "place").alias("api_pos"),
+        "record.id", "record.timestamp", "record.sensor",
         F.struct(loc["id"].alias("id"), loc["latitude"].alias("latitude"),
                  loc["longitude"].alias("longitude"), loc["country"].alias("country"),
                  F.when(F.map_contains_key(loc, "indoor"), loc["indoor"])
                   .when(loc.isNotNull(), F.lit("0")).alias("indoor")).alias("location"),
-        "sensordatavalues")
+        "record.sensordatavalues")

@@ -1,7 +1,8 @@
 """Property tests (Hypothesis) for reshaping, upsert and dedup."""
 
-from hypothesis import json
-import HealthCheck, given, settings
+import json
+
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
