@@ -22,9 +22,8 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import oracle_queries  # noqa: E402
-from sensorlake import config, jobs, schemas  # noqa: E402
+from sensorlake import config, jobs, schemas, tables  # noqa: E402
 from sensorlake.functions import event_date  # noqa: E402
-from sensorlake.operators.joins import upsert  # noqa: E402
 from sensorlake.operators.messages import parse_events, publish, to_messages  # noqa: E402
 from sensorlake.operators.reshape import unpivot_metrics  # noqa: E402
 from sensorlake.plans import (  # noqa: E402
@@ -39,6 +38,7 @@ from sensorlake.plans import (  # noqa: E402
 )
 from sensorlake.plans.registry import build_registry, live_events  # noqa: E402
 from sensorlake.session import scratch_path  # noqa: E402
+from sensorlake.sources.bus import read_api_records  # noqa: E402
 from sensorlake.streaming import live as live_stream  # noqa: E402
 from sensorlake.streaming.sinks import start_upsert  # noqa: E402
 
@@ -94,9 +94,14 @@ def q_latest_live_per_sensor(spark, sf_dir):
 
 
 def q_registry_first_wins(spark, sf_dir):
+    """SRC-10: two API responses as JSON files, read in the order of their arrival. The one written
+    first has the odd records, under the path that sorts last; both know most sensors."""
     recs = adapters.api_records(adapters.load(spark, sf_dir, "customer"),
                                 adapters.load(spark, sf_dir, "nation"))
-    return build_registry(recs, position="api_pos",
+    path = scratch_path(spark, "api")
+    for poll, odd in (("poll-b", 1), ("poll-a", 0)):
+        adapters.write_api_files(recs.where(F.col("api_pos") % 2 == odd), f"{path}/{poll}")
+    return build_registry(read_api_records(spark, f"{path}/*"),
                           ingested_at=F.lit(adapters.REGISTRY_INGESTED_AT).cast("timestamp"))
 
 
@@ -118,13 +123,31 @@ def q_dedup_readings(spark, sf_dir):
 
 
 def q_upsert_devices(spark, sf_dir):
+    """The device table upserted in place: only the key buckets of the updates are rewritten."""
+    path = f"{scratch_path(spark, 'upsert')}/devices"
     s = _silver(spark, sf_dir)
     recs = adapters.supplier_records(adapters.load(spark, sf_dir, "supplier"),
                                      adapters.load(spark, sf_dir, "nation"))
     reg = build_registry(recs, position="api_pos",
                          ingested_at=F.lit(adapters.REGISTRY_INGESTED_AT).cast("timestamp"))
     updates = silver.resolve_devices(reg, s["live_raw"])
-    return upsert(s["devices"], updates, ["sensor_id"])
+    for rows in (s["devices"], updates):
+        tables.upsert_path(spark, rows, path, ["sensor_id"], s["devices"].schema)
+    return tables.read_upserted(spark, path)
+
+
+def q_devices_by_type(spark, sf_dir):
+    """SQL over a temporary view (SRC-11), kept as a table of a database that is made for it
+    (SNK-8) and read by its name."""
+    root = scratch_path(spark, "database")
+    name = f"sensorlake_{os.path.basename(root).rsplit('-', 1)[-1]}"
+    tables.ensure_database(spark, name, root)
+    found = tables.sql_over(spark, """
+        SELECT sensor_type, country, count(*) AS devices,
+               count(*) FILTER (WHERE indoor IS NOT TRUE) AS outdoors, max(lat) AS northmost
+        FROM devices GROUP BY sensor_type, country""", devices=_silver(spark, sf_dir)["devices"])
+    found.write.option("path", f"{root}/devices_by_type").saveAsTable(f"{name}.devices_by_type")
+    return spark.table(f"{name}.devices_by_type")
 
 
 def q_normalize_records(spark, sf_dir):
@@ -197,14 +220,16 @@ def q_latest_by_sensor(spark, sf_dir):
 
 
 def q_stage_counts(spark, sf_dir):
-    events = adapters.load(spark, sf_dir, "events")
-    b = adapters.bronze(spark, sf_dir)
-    long = silver.long_readings(b["live_raw"], b["archive_raw"])
-    clean = silver.clean_readings(long)
-    return ops.stage_counts({
-        "live_raw": b["live_raw"], "archive_raw": b["archive_raw"], "long_readings": long,
-        "clean_readings": clean, "readings": silver.dedup_readings(clean),
-        "devices": silver.silver_devices(b["registry_raw"], adapters.live_raw(events))})
+    """Counts of every stage, observed by the two jobs that write readings and devices."""
+    out = scratch_path(spark, "stages")
+    b, at = adapters.bronze(spark, sf_dir), (counters := ops.Counters()).at
+    long = at("long_readings", silver.long_readings(at("live_raw", b["live_raw"]),
+                                                    at("archive_raw", b["archive_raw"])))
+    clean = at("clean_readings", silver.clean_readings(long))
+    at("readings", silver.dedup_readings(clean)).write.parquet(f"{out}/readings")
+    devices = silver.silver_devices(b["registry_raw"], b["live_raw"])
+    at("devices", devices).write.parquet(f"{out}/devices")
+    return counters.table(spark)
 
 
 def _phases(spark, sf_dir):
@@ -216,13 +241,14 @@ def _phases(spark, sf_dir):
 def q_bronze_archive_stream(spark, sf_dir):
     """Archive files (two header sets, one of them quoted, one with a column more in the second
     phase) -> two loads with checkpoints of their own into one bronze table, each rerun once, which
-    must add nothing. Run-time columns are dropped."""
+    must add nothing. Splits are small, so that files are read by several tasks. Run-time columns
+    are dropped."""
     root = scratch_path(spark, "bronze-archive")
     for i, part in enumerate(_phases(spark, sf_dir)[1:]):
         adapters.write_archive_landing(part, f"{root}/landing-{i}", late=bool(i))
         for _ in range(2):
             bronze.load_archive(spark, f"{root}/landing-{i}", f"{root}/bronze",
-                                f"{root}/checkpoint-{i}", f"{root}/schema")
+                                f"{root}/checkpoint-{i}", f"{root}/schema", split_bytes=16 << 10)
     cols = dict.fromkeys([*adapters.PARTICLE_COLUMNS, *adapters.CLIMATE_COLUMNS,
                           adapters.LATE_COLUMN])
     return (bronze.read_table(spark, f"{root}/bronze")
@@ -309,9 +335,10 @@ def q_live_pm_trend_stream(spark, sf_dir):
     trend = live_stream.stream_pm_trend(readings, "1 hour")
     q = start_upsert(trend, f"{root}/result", ["window_start", "value_type"],
                      f"{root}/checkpoint", available_now=True,
-                     state_partitions=spark.sparkContext.defaultParallelism)
+                     state_partitions=spark.sparkContext.defaultParallelism,
+                     by=F.to_date("window_start"))
     q.awaitTermination()
-    return _round(spark.read.parquet(f"{root}/result"), "avg_value")
+    return _round(tables.read_upserted(spark, f"{root}/result"), "avg_value")
 
 
 def q_latest_by_sensor_stream(spark, sf_dir):
@@ -323,7 +350,7 @@ def q_latest_by_sensor_stream(spark, sf_dir):
                      f"{root}/checkpoint", available_now=True,
                      state_partitions=spark.sparkContext.defaultParallelism)
     q.awaitTermination()
-    return spark.read.parquet(f"{root}/result")
+    return tables.read_upserted(spark, f"{root}/result")
 
 
 def q_live_active_sensors_stream(spark, sf_dir):
@@ -333,9 +360,9 @@ def q_live_active_sensors_stream(spark, sf_dir):
     readings = live_stream.live_readings(_live_bronze_stream(spark, sf_dir, root))
     pairs = live_stream.stream_active_sensors(readings, "1 hour")
     q = start_upsert(pairs, f"{root}/result", ["window_start", "sensor_id"],
-                     f"{root}/checkpoint", available_now=True)
+                     f"{root}/checkpoint", available_now=True, by=F.to_date("window_start"))
     q.awaitTermination()
-    return live_stream.count_active_sensors(spark.read.parquet(f"{root}/result"))
+    return live_stream.count_active_sensors(tables.read_upserted(spark, f"{root}/result"))
 
 
 def _gold_in_two_phases(spark, sf_dir) -> str:
@@ -370,16 +397,22 @@ def q_anomalies_incremental(spark, sf_dir):
 
 
 def q_run_log(spark, sf_dir):
-    """OPS-1: the append-only run log written by two silver jobs (clock times and run ids
-    dropped; statuses and row counts kept)."""
+    """OPS-1: the append-only run log of an archive load, a live load and two silver jobs (clock
+    times and run ids dropped; statuses and row counts kept)."""
     root = scratch_path(spark, "run-log")
+    log = f"{root}/log"
     events = adapters.load(spark, sf_dir, "events")
+    adapters.write_archive_landing(events, f"{root}/landing", late=False)
+    jobs.archive_job(spark, f"{root}/landing", f"{root}/archive-bronze", f"{root}/archive-checkpoint",
+                     f"{root}/schema", run_log=log)
+    adapters.write_bus_files(events, f"{root}/bus", phase_b=True)
+    jobs.live_job(spark, "json", {}, f"{root}/live-bronze", f"{root}/live-checkpoint",
+                  path=f"{root}/bus", run_log=log, available_now=True)
     b = {"live": adapters.live_raw(events), "archive": adapters.archive_raw(events),
          "registry": adapters.registry_raw(adapters.load(spark, sf_dir, "customer"),
                                            adapters.load(spark, sf_dir, "nation"))}
     for name, df in b.items():
         df.write.parquet(f"{root}/{name}")
-    log = f"{root}/log"
     jobs.silver_readings_job(spark, f"{root}/live", f"{root}/archive", f"{root}/readings",
                              run_log=log)
     jobs.silver_devices_job(spark, f"{root}/registry", f"{root}/live", f"{root}/devices",
@@ -401,6 +434,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unpivot_metrics": q_unpivot_metrics,
     "dedup_readings": q_dedup_readings,
     "upsert_devices": q_upsert_devices,
+    "devices_by_type": q_devices_by_type,
     "normalize_records": q_normalize_records,
     "publish_events": q_publish_events,
     "parse_events": q_parse_events,

@@ -49,15 +49,11 @@ def main(argv: list[str] | None = None, spark=None):
     if a.job == "registry":
         return jobs.registry_job(spark, a.api, a.registry, s, log)
     if a.job == "archive":
-        q = bronze.load_archive(spark, a.landing, a.bronze, a.checkpoint, a.schema, s)
-        return q.lastProgress
+        return jobs.archive_job(spark, a.landing, a.bronze, a.checkpoint, a.schema, s, log)
     if a.job == "live":
         opts = dict(o.split("=", 1) for o in a.option)
-        q = bronze.load_live(spark, a.format, opts, a.bronze, a.checkpoint, path=a.source,
-                             settings=s, available_now=not a.continuous)
-        if a.continuous:
-            q.awaitTermination()
-        return q.lastProgress
+        return jobs.live_job(spark, a.format, opts, a.bronze, a.checkpoint, a.source, s, log,
+                             available_now=not a.continuous)
     if a.job == "readings":
         return jobs.silver_readings_job(spark, a.live, a.archive, a.readings, s, run_log=log)
     if a.job == "devices":

@@ -46,11 +46,45 @@ def registry_job(spark: SparkSession, api_path: str, registry_path: str,
         recs, seen = ops.with_counters(read_api_records(spark, api_path), "records")
         updates = build_registry(recs, s.allowed_sensor_types)
         tables.upsert_path(spark, updates, registry_path, ["sensor_id"], schemas.REGISTRY_RAW)
-        return seen.get["rows"], spark.read.parquet(registry_path).count()
+        return seen.get["rows"], tables.read_upserted(spark, registry_path).count()
 
     return _logged(spark, "device_registry", run_log, body)
 
 
+def archive_job(spark: SparkSession, landing: str, target: str, checkpoint: str,
+                schema_location: str, settings: config.Settings | None = None,
+                run_log: str | None = None, **options) -> tuple:
+    """New archive files -> bronze (``bronze.load_archive``); logs data lines read and rows
+    written over all micro-batches."""
+    def body():
+        counts = {"in": 0, "out": 0}
+        bronze.load_archive(spark, landing, target, checkpoint, schema_location, settings,
+                            counts=counts, **options)
+        return counts["in"], counts["out"]
+
+    return _logged(spark, bronze.ARCHIVE, run_log, body)
+
+
+def live_job(spark: SparkSession, fmt: str, options: dict[str, str], target: str, checkpoint: str,
+             path: str | None = None, settings: config.Settings | None = None,
+             run_log: str | None = None, available_now: bool = False) -> None:
+    """The live load until it ends: drained with ``available_now``, else when it is stopped or
+    fails. Its run-log row is written at its end either way."""
+    log = ops.StreamLog(spark, run_log, {bronze.LIVE}) if run_log else None
+    if log:
+        spark.streams.addListener(log)
+    try:
+        q = bronze.load_live(spark, fmt, options, target, checkpoint, path, settings, available_now)
+        try:
+            q.awaitTermination()
+        finally:
+            if log:
+                log.wait(q)
+    finally:
+        if log:
+            spark.streams.removeListener(log)
+
+
 def silver_readings_job(spark: SparkSession, live_path: str, archive_path: str,
                         readings_path: str, settings: config.Settings | None = None,
                         dates: DataFrame | None = None, run_log: str | None = None) -> tuple:
@@ -72,7 +106,7 @@ def silver_readings_job(spark: SparkSession, live_path: str, archive_path: str,
         else:
             out, n = ops.with_counters(incremental.readings_for_dates(live, arch, dates, s),
                                        "readings")
-            tables.replace_partitions(out, readings_path, [incremental.DATE_COL])
+            tables.replace_days(spark, out, readings_path, incremental.DATE_COL, dates)
         return None, n.get["rows"]
 
     return _logged(spark, "silver_readings", run_log, body)
@@ -89,7 +123,7 @@ def silver_devices_job(spark: SparkSession, registry_path: str, live_path: str,
     """
 
     def body():
-        reg = spark.read.parquet(registry_path)
+        reg = tables.read_upserted(spark, registry_path)
         if positions_path is None:
             updates = silver.resolve_devices(reg, bronze.read_table(spark, live_path))
         else:
@@ -101,7 +135,7 @@ def silver_devices_job(spark: SparkSession, registry_path: str, live_path: str,
             tables.replace_path(spark, positions, positions_path)
             updates = silver.devices_at(reg, spark.read.parquet(positions_path))
         tables.upsert_path(spark, updates, devices_path, ["sensor_id"], schemas.DEVICES)
-        return reg.count(), spark.read.parquet(devices_path).count()
+        return reg.count(), tables.read_upserted(spark, devices_path).count()
 
     return _logged(spark, "silver_devices", run_log, body)
 
@@ -129,7 +163,7 @@ def gold_job(spark: SparkSession, readings_path: str, devices_path: str, gold_ro
     if dates is not None:
         readings = incremental.on_dates(readings, incremental.DATE_COL, dates)
     readings = readings.drop(incremental.DATE_COL)
-    devices = spark.read.parquet(devices_path)
+    devices = tables.read_upserted(spark, devices_path)
 
     def write_days(df: DataFrame, path: str) -> None:
         if dates is None or not tables.path_exists(spark, path):
@@ -210,11 +244,11 @@ def incremental_update(spark: SparkSession, live_path: str, archive_path: str,
     dates = spark.read.parquet(f"{scratch}/silver")
     silver_readings_job(spark, live_path, archive_path, readings_path, s, dates, run_log)
     if registry_path is not None:
-        spark.read.parquet(devices_path).write.parquet(f"{scratch}/devices")
+        tables.read_upserted(spark, devices_path).write.parquet(f"{scratch}/devices")
         silver_devices_job(spark, registry_path, live_path, devices_path, run_log,
                            positions_path, nl if positions_path else None)
         moved = device_dates(spark, spark.read.parquet(f"{scratch}/devices"),
-                             spark.read.parquet(devices_path), gold_root)
+                             tables.read_upserted(spark, devices_path), gold_root)
         dates.unionByName(moved).distinct().write.parquet(f"{scratch}/gold")
         dates = spark.read.parquet(f"{scratch}/gold")
     gold_job(spark, readings_path, devices_path, gold_root, s, run_log, dates)
@@ -229,7 +263,7 @@ def manifest_job(spark: SparkSession, listings: DataFrame, registry_path: str, l
     s = settings or config.Settings()
 
     def body():
-        chosen = manifest.select_files(listings, spark.read.parquet(registry_path), landed, start,
+        chosen = manifest.select_files(listings, tables.read_upserted(spark, registry_path), landed, start,
                                        end, cap=s.files_per_day_cap)
         tables.replace_path(spark, chosen, out_path)
         return None, spark.read.parquet(out_path).count()

@@ -9,11 +9,15 @@ from pyspark.sql.streaming import StreamingQuery
 from sensorlake import config, schemas
 from sensorlake.functions import event_date
 from sensorlake.operators.messages import parse_events
+from sensorlake.plans import ops
+from sensorlake.session import with_conf
 from sensorlake.sources.archive import (
-    HEADER,
-    archive_file_stream,
-    archive_lines,
+    archive_text,
     cells_to_columns,
+    data_lines,
+    header_names,
+    headers,
+    in_order,
     load_schema_columns,
     save_schema_columns,
 )
@@ -24,6 +28,8 @@ from sensorlake.streaming.sinks import run_available_now, start_append
 # Bronze partition column: the event date parsed from the raw timestamp text (NULL when it
 # does not parse), so that rebuilding some event dates prunes bronze to their partitions.
 EVENT_DATE = "_event_date"
+# Names of the loads in the run log.
+LIVE, ARCHIVE = "sensor_live_raw", "sensor_archive_raw"
 
 
 def live_stream(spark: SparkSession, fmt: str, options: dict[str, str], path: str | None = None,
@@ -38,13 +44,15 @@ def live_stream(spark: SparkSession, fmt: str, options: dict[str, str], path: st
 def load_live(spark: SparkSession, fmt: str, options: dict[str, str], target: str,
               checkpoint: str, path: str | None = None, settings: config.Settings | None = None,
               available_now: bool = False) -> StreamingQuery:
-    """Continuous (every ``live_trigger_interval``) or drain-and-stop append of live bronze."""
+    """Continuous (every ``live_trigger_interval``) or drain-and-stop append of live bronze. An
+    ``ops.StreamLog`` on the session logs its run."""
     s = settings or config.Settings()
     df = live_stream(spark, fmt, options, path, s).withColumn(EVENT_DATE, event_date("timestamp"))
+    df = ops.count_written(df)
     if available_now:
-        return run_available_now(df, target, checkpoint, partition_by=[EVENT_DATE])
+        return run_available_now(df, target, checkpoint, name=LIVE, partition_by=[EVENT_DATE])
     return start_append(df, target, checkpoint, trigger=s.live_trigger_interval,
-                        name="sensor_live_raw", partition_by=[EVENT_DATE])
+                        name=LIVE, partition_by=[EVENT_DATE])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -63,41 +71,51 @@ def _load_id(spark: SparkSession, checkpoint: str) -> str:
 
 def load_archive(spark: SparkSession, landing: str, target: str, checkpoint: str,
                  schema_location: str, settings: config.Settings | None = None,
-                 max_files_per_trigger: int | None = 1000) -> StreamingQuery:
+                 max_files_per_trigger: int | None = 1000,
+                 split_bytes: int | None = None,
+                 counts: dict[str, int] | None = None) -> StreamingQuery:
     """Take every new archive file once into the bronze directory and stop; a rerun without new
     files appends nothing.
 
-    Each micro-batch is cached, its distinct header names (bounded by the schema width) extend
-    the remembered column list, and the batch is written with every remembered column to
+    Files are read by line in splits (of ``split_bytes``, else the session's setting), so the size of
+    a file does not matter. Each micro-batch of lines is cached; its headers, a row a file, extend
+    the remembered column list by their distinct names (bounded by the schema width), join the
+    lines by path, and the batch is written with every remembered column to
     ``target/load_batch=<stream id>-<batch id>``. Rewriting that folder on a retried batch keeps
     the load idempotent, the checkpoint keeps every file taken exactly once, and a load with
     another checkpoint has folders of its own. Headers come from the very files of the batch, so
-    no column of a file can be missed; readers merge schemas.
+    no column of a file can be missed; readers merge schemas. ``counts`` gets the lines read (without
+    headers and empty ones) and the rows written, as the writing jobs count them.
     """
     s = settings or config.Settings()
-    raw = archive_file_stream(spark, landing, max_files_per_trigger)
-    files = raw.select("*", F.col("_metadata.file_path").alias("_source_file_name"))
-    lines = archive_lines(files, s.archive_separator)
+    sep = s.archive_separator
+    text = archive_text(spark, landing, streaming=True, max_files_per_trigger=max_files_per_trigger)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        lines = in_order(batch).persist()
         try:
+            heads = headers(lines, sep)
             known = load_schema_columns(spark, schema_location)
-            names = [r[0] for r in batch.select(F.explode(HEADER).alias("c"))
-                                         .where(F.length("c") > 0).distinct().collect()]
-            cols = known + sorted(set(names) - set(known))
+            cols = known + [c for c in header_names(heads) if c not in set(known)]
             if cols != known:
                 save_schema_columns(spark, schema_location, cols)
-            out = add_provenance(cells_to_columns(batch, cols), config.ARCHIVE_SOURCE)
+            data, read = ops.with_counters(data_lines(lines, heads, cols), "read")
+            out = add_provenance(cells_to_columns(data, cols, sep), config.ARCHIVE_SOURCE)
             out = out.withColumn(EVENT_DATE, event_date("timestamp") if "timestamp" in cols
                                  else F.lit(None).cast("date"))
             load = f"{_load_id(spark, checkpoint)}-{batch_id}"
+            out, written = ops.with_counters(out, "written")
             out.write.mode("overwrite").partitionBy(EVENT_DATE).parquet(
                 f"{target.rstrip('/')}/load_batch={load}")
+            if counts is not None:
+                for name, seen in (("in", read), ("out", written)):
+                    counts[name] = counts.get(name, 0) + seen.get["rows"]
         finally:
-            batch.unpersist()
+            lines.unpersist()
 
-    q = (lines.writeStream.foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    conf = {"spark.sql.files.maxPartitionBytes": str(split_bytes)} if split_bytes else {}
+    with with_conf(spark, conf):  # a stream keeps the settings that it starts with
+        q = (text.writeStream.foreachBatch(write_batch)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return q

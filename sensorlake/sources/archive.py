@@ -2,12 +2,16 @@
 
 Files of different sensor types share one ``date=YYYY-MM-DD`` directory but carry different
 header lines (different order and width). A CSV reader with one schema maps every file by
-position and silently misplaces columns, so each file is read whole and every data line is
-matched to *its own* header: the value of column ``c`` is the cell at the position of ``c`` in
-that file's first line. A file is one sensor-day, so a whole file per row stays small.
+position and silently misplaces columns, so every data line is matched to *its own* file's header:
+the value of column ``c`` is the cell at the position of ``c`` in that file's first line.
 
-For large files (a whole file must not become one row) ``read_archive_by_type`` uses Spark's
-splittable CSV reader once per header group (file-name glob), each with its own header.
+Files are read by line in Spark's splits, so a file of any size is shared by many tasks. A split
+knows its file and where in it it begins; the first line of the split at place 0 is the header of
+the file, and joins the file's lines by path: a row a file on one side, so a file that holds a
+third of all lines is split by adaptive execution or, headers being small, not shuffled at all.
+
+``read_archive_by_type`` uses Spark's CSV reader once per header group (file-name glob) instead,
+for landing zones whose groups are known, and refuses files with another header.
 """
 
 from __future__ import annotations
@@ -24,21 +28,26 @@ from sensorlake import config
 from sensorlake.tables import path_exists
 
 HEADER = "_header"
-CELLS = "_cells"
+FILE = "_source_file_name"
+BLOCK, ROW, TITLE = "_block", "_row", "_title_row"
 
 
-def _reader(spark: SparkSession, streaming: bool, glob: str, max_files: int | None):
-    r = (spark.readStream if streaming else spark.read).format("text").option("wholetext", True)
-    r = r.option("pathGlobFilter", glob)
-    if streaming and max_files:
-        r = r.option("maxFilesPerTrigger", max_files)
-    return r
+def archive_text(spark: SparkSession, path: str, glob: str = "*.csv", streaming: bool = False,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """Lines of the landing files (``value`` and partition columns) with their file and the place
+    where their split begins; as a stream, each file is taken once per checkpoint."""
+    r = (spark.readStream if streaming else spark.read).format("text")
+    r = r.option("lineSep", "\n").option("pathGlobFilter", glob)
+    if streaming and max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    return r.load(path).select("*", F.col("_metadata.file_path").alias(FILE),
+                               F.col("_metadata.file_block_start").alias(BLOCK))
 
 
-def archive_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                        glob: str = "*.csv") -> DataFrame:
-    """New landing files as a stream of whole-file rows (each file taken once per checkpoint)."""
-    return _reader(spark, True, glob, max_files_per_trigger).load(path)
+def in_order(lines: DataFrame) -> DataFrame:
+    """Lines without their carriage return, with a number that grows along each split."""
+    return lines.withColumns({"value": F.regexp_replace("value", "\r$", ""),
+                              ROW: F.monotonically_increasing_id()})
 
 
 def _split(c: Column, sep: str) -> Column:
@@ -59,69 +68,58 @@ def _names(line: Column, sep: str) -> Column:
     return F.transform(_split(F.regexp_replace(line, "^\ufeff", ""), sep), lambda h: F.trim(h))
 
 
-def _header(sep: str) -> Column:
-    return _names(F.element_at(F.split(F.col("value"), r"\r?\n", -1), 1), sep)
+def headers(lines: DataFrame, sep: str) -> DataFrame:
+    """File, number of its header line and the names in it, from lines ``in_order``. Only lines of
+    first splits are looked at; the number is found by a hash aggregate, its text by a join."""
+    first = lines.where(F.col(BLOCK) == 0)
+    titles = first.groupBy(FILE).agg(F.min(ROW).alias(TITLE))
+    at = [F.col(f"t.{FILE}") == F.col(f"l.{FILE}"), F.col(f"t.{TITLE}") == F.col(f"l.{ROW}")]
+    return titles.alias("t").join(first.alias("l"), at).select(
+        f"t.{FILE}", TITLE, _names(F.col("value"), sep).alias(HEADER))
 
 
-def archive_lines(files: DataFrame, sep: str) -> DataFrame:
-    """(value = whole file text, ...) -> one row per non-empty data line with that file's header
-    (``_header``) and the line's cells (``_cells``).
+def header_names(heads: DataFrame) -> list[str]:
+    """The distinct names in headers: the schema's width reaches the driver, not the data."""
+    names = heads.select(F.explode(HEADER).alias("c")).where(F.length("c") > 0).distinct()
+    return sorted(r["c"] for r in names.collect())
 
-    Header and body are computed per file in projections *below* the explode; an expression in
-    the same select as a generator is evaluated after it, i.e. once per line, which would re-split
-    the whole file for every line.
-    """
-    extra = [c for c in files.columns if c != "value"]
-    per_file = (files
-                .select(*extra, F.split(F.col("value"), r"\r?\n", -1).alias("_lines"))
-                .select(*extra,
-                        _names(F.element_at("_lines", 1), sep).alias(HEADER),
-                        F.slice("_lines", 2, F.greatest(F.size("_lines") - 1, F.lit(1)))
-                         .alias("_body")))
-    return (per_file
-            .select(*extra, HEADER, F.explode("_body").alias("_line"))
-            .where(F.length("_line") > 0)
-            .select(*extra, HEADER, _split(F.col("_line"), sep).alias(CELLS)))
-
-
-def cells_to_columns(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Header-keyed cells -> one string column per requested name (NULL if absent or empty)."""
-    extra = [c for c in lines.columns if c not in (HEADER, CELLS)]
-    cells = []
-    for c in columns:
-        pos = F.array_position(HEADER, F.lit(c)).cast("int")
-        cell = F.when(pos > 0, F.try_element_at(CELLS, pos))
-        cells.append(F.nullif(cell, F.lit("")).alias(c))
-    return lines.select(*cells, *extra)
-
-
-def parse_archive_files(files: DataFrame, columns: Sequence[str], sep: str) -> DataFrame:
-    """(value = whole file text, ...) -> one row per data line, one column per requested name."""
-    return cells_to_columns(archive_lines(files, sep), columns)
+
+def data_lines(lines: DataFrame, heads: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Lines that are neither headers nor empty, with the places (``_places``) of ``columns`` in
+    their file, which are looked up once per file."""
+    places = F.array(*(F.array_position(HEADER, F.lit(c)).cast("int") for c in columns))
+    return (lines.join(heads.select(FILE, TITLE, places.alias("_places")), FILE)
+            .where((F.col(ROW) != F.col(TITLE)) & (F.length("value") > 0))
+            .drop(BLOCK, ROW, TITLE))
+
+
+def cells_to_columns(data: DataFrame, columns: Sequence[str], sep: str) -> DataFrame:
+    """``data_lines`` -> one string column per requested name (NULL if absent or empty), then the
+    lines' own further columns."""
+    extra = [c for c in data.columns if c not in ("value", "_places")]
+    cells = data.select(*extra, "_places", _split(F.col("value"), sep).alias("_cells"))
+
+    def cell(i: int) -> Column:
+        place = F.col("_places")[i]
+        return F.nullif(F.when(place > 0, F.try_element_at("_cells", place)), F.lit(""))
+
+    return cells.select(*(cell(i).alias(c) for i, c in enumerate(columns)), *extra)
 
 
 def read_archive(spark: SparkSession, path: str, columns: Sequence[str],
-                 sep: str = config.ARCHIVE_SEPARATOR, *, streaming: bool = False,
-                 glob: str = "*.csv", max_files_per_trigger: int | None = None,
+                 sep: str = config.ARCHIVE_SEPARATOR, *, glob: str = "*.csv",
                  source: str = config.ARCHIVE_SOURCE) -> DataFrame:
-    """Landing zone -> bronze archive rows (+ ``date`` partition, provenance columns).
-
-    ``streaming=True`` returns a file-stream DataFrame: with a checkpoint each file is taken
-    exactly once, however often the job reruns.
-    """
-    raw = _reader(spark, streaming, glob, max_files_per_trigger).load(path)
-    files = raw.select("*", F.col("_metadata.file_path").alias("_source_file_name"))
-    parsed = parse_archive_files(files, columns, sep)
+    """Landing zone -> bronze archive rows (+ ``date`` partition, provenance columns), as a batch;
+    ``plans.bronze.load_archive`` is the incremental load."""
+    lines = in_order(archive_text(spark, path, glob))
+    parsed = cells_to_columns(data_lines(lines, headers(lines, sep), columns), columns, sep)
     return parsed.withColumns({"_source": F.lit(source), "_ingested_at": F.current_timestamp()})
 
 
 def discover_columns(spark: SparkSession, path: str, sep: str = config.ARCHIVE_SEPARATOR,
                      glob: str = "*.csv", known: Sequence[str] = ()) -> list[str]:
-    """Column names found in the header lines of the landing zone, after ``known`` ones. Only the
-    distinct header names travel to the driver: the schema's width, not the data."""
-    names = (_reader(spark, False, glob, None).load(path)
-             .select(F.explode(_header(sep)).alias("c")).where(F.length("c") > 0).distinct())
-    found = sorted(r["c"] for r in names.collect())
+    """Column names found in the header lines of the landing zone, after ``known`` ones."""
+    found = header_names(headers(in_order(archive_text(spark, path, glob)), sep))
     return list(known) + [c for c in found if c not in set(known)]
 
 
@@ -159,7 +157,7 @@ def read_archive_by_type(spark: SparkSession, path: str, groups: dict[str, Seque
                          sep: str = config.ARCHIVE_SEPARATOR, *, streaming: bool = False,
                          max_files_per_trigger: int | None = None,
                          source: str = config.ARCHIVE_SOURCE) -> DataFrame:
-    """Large-file route: Spark's splittable CSV reader, one read per header group.
+    """Spark's CSV reader, one read per header group.
 
     ``groups`` maps a file-name glob (e.g. ``"*_sds011_*.csv"``) to its header columns, or to
     None to take them from the group's first file. ``enforceSchema=false`` checks every file's
