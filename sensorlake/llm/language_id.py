@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,16 +45,29 @@ EFFECTIVE = 100
 FOREIGN = 0.05
 STRENGTH = 10.0
 ALPHA = 1.0
-#: Not text of the page itself: scripts, styles, navigation, comments, tags.
-_HIDDEN = re.compile(r"(?is)<(script|style|nav|header|footer|aside)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-                     r"|<!--.*?(?:-->|\Z)|<[^>]*>")
+#: Not text of the page itself: comments, tags, and what stands inside these tags.
+_TAG = re.compile(r"(?is)<!--.*?(?:-->|\Z)|<(script|style|nav|header|footer|aside)\b[^>]*>|<[^>]*>")
+_CLOSING = re.compile(r"(?i)</(script|style|nav|header|footer|aside)\s*>")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LEVELS = ("two", "three", "host")
 
 
 def visible(page: str | None) -> str:
-    return entities.unescape(_HIDDEN.sub("\n", page or ""))
+    """The text of a page. A hidden element ends with its next closing tag; of one that is never
+    closed only the tag itself is left out."""
+    page, out, at = page or "", [], 0
+    closings: dict[str, list[tuple[int, int]]] = {}
+    for m in _CLOSING.finditer(page):
+        closings.setdefault(m[1].lower(), []).append(m.span())
+    while m := _TAG.search(page, at):
+        out.append(page[at:m.start()])
+        at = m.end()
+        if m[1]:
+            ends = closings.get(m[1].lower(), [])
+            if (i := bisect_left(ends, (at, at))) < len(ends):
+                at = ends[i][1]
+    return entities.unescape("\n".join([*out, page[at:]]))
 
 
 def trigram_slots(buf: np.ndarray) -> np.ndarray:

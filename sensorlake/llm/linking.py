@@ -15,6 +15,8 @@ from .components import components, joined
 from .shingles import set_identities
 
 BITMAP_BITS = 1 << 23
+#: Members of a bucket up to which all its pairs of different components are compared.
+SMALL = 8
 _U = np.uint64
 
 
@@ -137,34 +139,105 @@ def linked(nodes: DataFrame, sets_of: Callable[[bytes], DataFrame], size: int, a
     roots = stored(components(links), "near-roots")
 
     # Two nodes have met as hub and other; larger buckets go on while they hold several components.
-    done, upto, open_ = 0, 8, members.where("members > 2")
-    short = nodes.select("node", "sketch",
-                         F.transform("bands", lambda x: F.hash(x)).alias("keys"))
-    at = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / float(1 << 20) * F.col("members")
+    open_ = _several(members.where("members > 2").select("bucket", "node"), roots)
+    hubs = hubs.select("bucket", "other")
     while True:
-        placed = open_.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        several = placed.groupBy("bucket").agg(
-            F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi")
-        open_ = stored(placed.join(stored(several.select("bucket"), "near-several"), "bucket")
-                       .where(F.col("members") > done), "near-open")
-        if open_.isEmpty():
+        left, most = open_.agg(F.count(F.lit(1)), F.max("members")).first()
+        if not left:
             return links, roots
-        keyed = open_.join(short, "node")
-        reps = keyed.where((at >= done) & (at < upto)).select(
-            "bucket", F.col("node").alias("other"), F.col("root").alias("other_root"),
-            F.col("n").alias("other_n"), F.col("s").alias("other_s"),
-            F.col("keys").alias("other_keys"), F.col("sketch").alias("other_sketch"))
-        # A pair that shares several buckets is taken in the first of them, if its sketches agree.
-        met = F.array_position(F.zip_with("keys", "other_keys", lambda x, y: x == y), True)
-        agreeing = F.size(F.filter(F.zip_with("sketch", "other_sketch", lambda x, y: x == y),
-                                   lambda same: same))
-        pairs = stored(keyed.join(reps, "bucket")
-                       .where((F.col("root") != F.col("other_root")) & able
-                              & (met == F.col("band") + 1) & (agreeing >= agree)).select(*pair)
-                       .distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
-        fresh = stored(_verified(pairs, sets, similarity), "near-links")
-        if not fresh.isEmpty():
-            links = links.unionByName(fresh)
-            roots = stored(joined(roots, fresh), "near-roots")
+        pairs, spokes = _untried(_small_pairs(open_), tried), None
+        fresh = _links(pairs, nodes, sets, size, agree, similarity)
+        if most > SMALL:
+            spokes = _spokes(open_, hubs)
+            parted = stored(_ends(spokes, sets, ["shingles"]).select(
+                "a", "b", "shingles_a", "shingles_b").mapInArrow(
+                _differences(similarity), "a long, b long, similar boolean, parts array<long>"),
+                "near-differences")
+            fresh = fresh.unionByName(parted.where("similar").select("a", "b"))
+            tried = tried.unionByName(parted.select(*_ordered("a", "b")))
+        links, roots = _with_links(links, roots, stored(fresh, "near-links"))
+        if spokes is None:
+            return links, roots  # every pair of what was open has been compared
         tried = tried.unionByName(pairs)
-        open_, done, upto = open_.drop("root"), upto, upto * 8
+        open_ = _several(parted.select(F.col("a").alias("node"), "b", F.explode("parts").alias("part"))
+                         .select(F.xxhash64("b", "part").alias("bucket"), "node"), roots)
+        company = open_.groupBy("node").agg(F.sum("members").alias("company"))
+        large = open_.where(F.col("members") > SMALL)
+        hubs = stored(large.join(company, "node").groupBy("bucket").agg(
+            F.max(F.struct("company", "node")).alias("h"))
+            .selectExpr("bucket", "h.node AS other"), "near-hubs")
+
+
+def _ordered(a: str, b: str) -> list:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _several(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` (bucket, node) of buckets that hold nodes of several components, with the node's
+    ``root`` and the bucket's ``members``."""
+    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = stored(placed.groupBy("bucket").agg(
+        F.count(F.lit(1)).alias("members"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+        .where("lo <> hi").select("bucket", "members"), "near-several")
+    return stored(placed.join(kept, "bucket"), "near-open")
+
+
+def _small_pairs(open_: DataFrame) -> DataFrame:
+    """Pairs of different components in buckets of at most SMALL members: fewer than SMALL / 2 a
+    member."""
+    small = open_.where(F.col("members") <= SMALL)
+    other = small.select("bucket", F.col("node").alias("b"), F.col("root").alias("root_b"))
+    return small.join(other, "bucket").where("node < b AND root <> root_b").select(
+        F.col("node").alias("a"), "b").distinct()
+
+
+def _spokes(open_: DataFrame, hubs: DataFrame) -> DataFrame:
+    """The members of large buckets (a) with their hubs (b)."""
+    return open_.where(F.col("members") > SMALL).join(hubs, "bucket").where("node <> other").select(
+        F.col("node").alias("a"), F.col("other").alias("b")).distinct()
+
+
+def _untried(pairs: DataFrame, tried: DataFrame) -> DataFrame:
+    return stored(pairs.join(tried, ["a", "b"], "left_anti"), "near-pairs")
+
+
+def _with_links(links: DataFrame, roots: DataFrame, fresh: DataFrame):
+    if fresh.isEmpty():
+        return links, roots
+    return links.unionByName(fresh), stored(joined(roots, fresh), "near-roots")
+
+
+def _differences(similarity: float):
+    """For a node x (a) and a hub h (b): are they similar, and the shingles in which they differ,
+    D(x), as far as two members of h's bucket that are similar must share one.
+
+    x and y are similar if |D(x) ^ D(y)| <= c (|x| + |y|) with c = (1 - s) / (1 + s), so D(x) and D(y)
+    share at least (|D(x)| + |D(y)| - c (|x| + |y|)) / 2. As |D(y)| >= ||y| - |h||, that is
+    (|D(x)| - c (|x| + |h|)) / 2 or more, and as y is not like h if x is (else both are joined
+    already), more than (|D(x)| + c (|h| - |x|)) / 2 where x is like h. Two sets that share o of their
+    elements meet in their first |D| - o + 1 by any common order: shingles that h lacks first,
+    which few share, then those that only h has."""
+    c = (1 - similarity) / (1 + similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            alike, parts = [], []
+            for x, h in zip(b.column("shingles_a"), b.column("shingles_b"), strict=True):
+                x, h = (np.frombuffer(v.as_py(), _U) for v in (x, h))
+                new = np.setdiff1d(x, h, assume_unique=True)
+                lost = np.setdiff1d(h, x, assume_unique=True)
+                n, m, both, apart = len(x), len(h), len(x) - len(new), len(new) + len(lost)
+                alike.append(both >= similarity * (n + m - both) - 1e-9)
+                if alike[-1]:
+                    shared = int(np.floor((apart + c * (m - n)) / 2 - 1e-6)) + 1
+                else:
+                    shared = int(np.ceil((apart - c * (n + m)) / 2 - 1e-6))
+                parts.append(np.concatenate([new, lost])[:apart - max(1, shared) + 1].view(np.int64))
+            ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
+            flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("a"), b.column("b"), pa.array(alike, pa.bool_()),
+                 pa.ListArray.from_arrays(ends, pa.array(flat))],
+                names=["a", "b", "similar", "parts"])
+
+    return run

@@ -11,10 +11,12 @@ Jaccard similarity.
 Documents with the same set of word shingles are one node. ``BANDS`` bands of ``ROWS`` coordinates
 give buckets; at similarity 0.8 a pair misses all of them with probability 4e-6. In the first round
 every node of a bucket is compared with the bucket's hub, the node that shares most buckets with
-others. Buckets whose nodes still belong to several components go on: in each round a larger slice
-of their nodes, chosen by hash, meets all nodes of other components, until every slice has been
-used or the bucket is one component. So each pair that shares a bucket is either compared or
-already joined, without emitting all pairs of a group of copies. A pair counts if the exact Jaccard
+others. Buckets whose nodes still belong to several components go on: in small ones all pairs of
+different components are compared; a large one is dealt anew by the shingles in which its nodes
+differ from its hub, of which two similar nodes must share one (linking.py has the bound), so texts
+that are all alike but not similar enough part at once. Each new bucket has a hub again, until all
+are small or one component. So each pair that shares a bucket is compared, already joined or shown
+not to be similar, without emitting all pairs of a group. A pair counts if the exact Jaccard
 similarity of its shingle sets is at least ``SIMILARITY``; lengths and the signatures' agreement
 (over five standard deviations below the threshold) only spare hopeless comparisons.
 Components of those links are the groups (linking.py).
@@ -25,8 +27,8 @@ bitmap of fixed size.
 
 Defined cases: null and empty texts have no shingles and stay alone; texts of fewer than five words
 are one shingle; equal keys and repeated rows are separate documents with the same group; the row
-that stays is the least by (key, hash of the row), nulls first; an empty table gives an empty
-result; extra columns are not read, or pass through ``drop_near_copies``, whatever their names.
+that stays is the least by (key, hash of the row), nulls first, and one of rows that repeat it; an
+empty table gives an empty result; extra columns are not read, or pass through ``drop_near_copies``, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
@@ -115,8 +117,14 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return T.mix(parts.sum(2, dtype=_U) + np.arange(1, BANDS + 1).astype(_U) * _ODD[9])
 
 
+def identity(key: str, text: str) -> Column:
+    """128 bits that name a document by key and text."""
+    return F.struct(F.xxhash64(key, text).alias("a"), F.xxhash64(F.lit("b"), text, key).alias("b"))
+
+
 def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``key, row, n`` (shingles), ``node, bands, sketch`` (a byte of each coordinate)."""
+    """``key, row`` (identity), ``n`` (shingles), ``node, bands, sketch`` (a byte of each
+    coordinate)."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -130,19 +138,21 @@ def sketches(docs: DataFrame, key: str, text: str) -> DataFrame:
                      row_lists(band_keys(sig)), row_lists(sketch)],
                     names=["key", "row", "n", "node", "bands", "sketch"])
 
-    rows = docs.select(key, F.xxhash64(key, text), text)
-    return rows.mapInArrow(run, f"key {kind}, row long, n long, node long, bands array<long>, "
-                                "sketch array<tinyint>")
+    rows = docs.select(key, identity(key, text), text)
+    return rows.mapInArrow(run, f"key {kind}, row struct<a:long,b:long>, n long, node long, "
+                                "bands array<long>, sketch array<tinyint>")
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
                 similarity: float = SIMILARITY) -> DataFrame:
-    """One row per document: ``key, row`` (hash of key and text), ``group`` (key of the document
-    that stays), ``group_row``, ``group_size``. How many others a document is like is not told: pairs
+    """One row per document: ``key, row`` (identity), ``group`` (key of the document that stays),
+    ``group_row``, ``group_size``, ``kept``. How many others a document is like is not told: pairs
     whose nodes are joined already are not compared."""
-    rows = stored(sketches(docs, key, text), "near-sketches")
+    # Numbered as stored, so that one of several equal rows can stay.
+    rows = stored(sketches(docs, key, text).withColumn("at", F.monotonically_increasing_id()),
+                  "near-sketches")
     nodes = stored(rows.where("n > 0").groupBy("node").agg(
-        F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "row")).alias("best"),
+        F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "row", "at")).alias("best"),
         F.first("n").alias("n"), F.first("bands").alias("bands"),
         F.first("sketch").alias("sketch")), "near-nodes")
     _, roots = linked(nodes, lambda marks: marked_sets(docs, text, marks, shingle_sets), SIZE, AGREE, similarity)
@@ -153,12 +163,12 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text",
     of_node = stored(
         rooted.select("node", "root").join(whole, "root").select("node", "best", "group_size"),
         "near-of-node")
-    found = rows.where("n > 0").select("key", "row", "node").join(of_node, "node").select(
+    found = rows.where("n > 0").select("key", "row", "at", "node").join(of_node, "node").select(
         "key", "row", F.col("best.key").alias("group"), F.col("best.row").alias("group_row"),
-        "group_size")
+        "group_size", (F.col("at") == F.col("best.at")).alias("kept"))
     alone = rows.where("n = 0").select(
         "key", "row", F.col("key").alias("group"), F.col("row").alias("group_row"),
-        F.lit(1).cast("long").alias("group_size"))
+        F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     return found.unionByName(alone)
 
 
@@ -171,7 +181,7 @@ def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text",
     plain = docs.toDF(*(f"c{i}" for i in range(len(names))))
     groups = near_groups(docs, key, text, similarity)
     empty = F.col(t).isNull() | ~F.col(t).rlike(r"[^\x20\x09-\x0D]")
-    kept = groups.where("row = group_row").select(F.col("row").alias("_row")).distinct()
-    rows = plain.withColumn("_row", F.xxhash64(k, t))
+    kept = groups.where("kept").select(F.col("row").alias("_row"))
+    rows = plain.withColumn("_row", identity(k, t))
     return (rows.where(~empty).join(kept, "_row").dropDuplicates(["_row"])
             .unionByName(rows.where(empty)).drop("_row").toDF(*names))

@@ -98,8 +98,7 @@ def op9_minhash_near_dedup(spark, sf_dir) -> DataFrame:
     groups = near_dedup.near_groups(table(spark, sf_dir, "documents"))
     return groups.select(
         F.col("key").alias("doc_id"), F.col("group").alias("class_id"),
-        F.col("group_size").alias("class_size"),
-        (F.col("row") == F.col("group_row")).alias("kept"))
+        F.col("group_size").alias("class_size"), "kept")
 
 
 def op10_exact_dedup(spark, sf_dir) -> DataFrame:

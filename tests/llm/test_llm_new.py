@@ -198,3 +198,20 @@ def test_filters_hold_every_key_and_few_others():
 @pytest.mark.parametrize("name", ["op11_jump_sharding", "op12_spelling_variants"])
 def test_queries_have_sql(name):
     assert name in queries.QUERIES and name in queries.ORACLE_SQL
+
+
+# ---------------------------------------------------------------- pages
+
+def test_an_unclosed_element_hides_its_tag_alone():
+    from sensorlake.llm.language_id import visible
+
+    def words(page):
+        return visible(page).split()
+
+    assert words("a <nav class='x'> b <p>c</p>") == ["a", "b", "c"]
+    assert words("a <nav> b </NAV > c <footer>d</footer>e<aside> f") == ["a", "c", "e", "f"]
+    assert words("<script>var x = 1 < 2;</script>t &amp; u<!-- no --><style>s") == ["t", "&", "u", "s"]
+    assert words("<header>a<nav>b</nav>c</header>d") == ["d"]
+    assert words("a <!-- never closed <p>b") == ["a"]
+    assert words(None) == [] and words("< 3 <") == ["<", "3", "<"]
+    assert len(words("<nav> x " * 20_000)) == 20_000
