@@ -5,7 +5,6 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
-import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -358,70 +357,6 @@ def test_bitmap_has_no_false_miss(spark):
         assert marks[slot >> 3] >> (slot & 7) & 1
 
 
-def test_variants_that_are_not_similar_enough_part_by_their_differences(spark, monkeypatch):
-    """A large group around one text of pairs below the threshold, with groups of its own inside."""
-    from sensorlake.llm import linking
-
-    monkeypatch.setattr(linking, "SMALL", 6)
-    ship_code(spark)
-    rng = np.random.default_rng(16)
-    base = sentence(rng, 120, 5000).split()
-
-    def changed(words, n, mark):
-        out = list(words)
-        for at in rng.choice(len(out), n, replace=False):
-            out[at] = f"{mark}x{at}"
-        return out
-
-    docs, heads = [(0, " ".join(base))], []
-    for i in range(1, 25):
-        words = changed(base, 5, f"v{i}")
-        docs.append((i, " ".join(words)))
-        if i % 8 == 0:
-            heads.append(words)
-    for j, words in enumerate(heads):  # near those variants, not near the text itself
-        docs += [(100 + 10 * j + i, " ".join(changed(words, 2, f"w{j}-{i}"))) for i in range(3)]
-    same = changed(base, 6, "same")  # one edit that many share, and another each
-    docs += [(200 + i, " ".join(changed(same, 5, f"s{i}"))) for i in range(12)]
-    got = defaultdict(set)
-    frame = spark.createDataFrame(docs, "doc_id long, text string")
-    for r in near_dedup.near_groups(frame).collect():
-        got[r.group].add(r.key)
-    want = brute_classes(docs)
-    assert {frozenset(v) for v in got.values()} == want
-    assert 10 < len(want) < len(docs)
-
-
-def test_similar_sets_share_a_part_of_their_differences():
-    """The bound of the prefixes, on random sets around a hub: no similar pair is lost unless both
-    are like the hub."""
-    from sensorlake.llm import linking
-
-    rng = np.random.default_rng(17)
-    pool = np.sort(rng.integers(0, 2**63, 400, dtype=np.uint64))
-    hub, sets = pool[:100], []
-    for _ in range(300):
-        near = sets[rng.integers(0, len(sets))] if sets and rng.random() < 0.6 else hub
-        keep = near[rng.random(len(near)) > rng.uniform(0, 0.3)]
-        sets.append(np.union1d(keep, rng.choice(pool, rng.integers(0, 25))))
-    batch = pa.RecordBatch.from_pydict({
-        "a": list(range(300)), "b": [0] * 300, "shingles_a": [x.tobytes() for x in sets],
-        "shingles_b": [hub.tobytes()] * 300})
-    out = next(linking._differences(0.8)([batch])).to_pydict()
-    pairs = lost = shared = 0
-    for i in range(300):
-        for j in range(i):
-            both = len(np.intersect1d(sets[i], sets[j]))
-            meet = bool(set(out["parts"][i]) & set(out["parts"][j]))
-            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both) - 1e-9 and len(
-                    np.setxor1d(sets[i], sets[j])) and not (out["similar"][i] and out["similar"][j]):
-                pairs += 1
-                lost += not meet
-            shared += meet
-    assert pairs > 50 and lost == 0
-    assert shared < 300 * 299 / 4
-
-
 def test_one_of_repeated_rows_stays(spark):
     ship_code(spark)
     docs = spark.createDataFrame([(1, "a b c d e f g")] * 3 + [(2, "a b c d e f g"), (3, "")],
