@@ -305,7 +305,7 @@ def q_readings_incremental(spark, sf_dir):
     incremental.touched_dates(_dated(adapters.live_raw(late)), _dated(adapters.archive_raw(late))) \
         .write.parquet(f"{root}/dates")
     jobs.silver_readings_job(spark, live, archive, path, dates=spark.read.parquet(f"{root}/dates"))
-    return spark.read.parquet(path)
+    return tables.read_published(spark, path)
 
 
 def q_readings_full_rerun(spark, sf_dir):
@@ -316,7 +316,7 @@ def q_readings_full_rerun(spark, sf_dir):
         _write_bronze(part, f"{root}/live-{name}", f"{root}/archive-{name}")
         jobs.silver_readings_job(spark, f"{root}/live-{name}", f"{root}/archive-{name}",
                                  f"{root}/readings")
-    return spark.read.parquet(f"{root}/readings")
+    return tables.read_published(spark, f"{root}/readings")
 
 
 def _live_bronze_stream(spark, sf_dir, root):
@@ -389,11 +389,13 @@ def _gold_in_two_phases(spark, sf_dir) -> str:
 
 def q_air_quality_daily_incremental(spark, sf_dir):
     gold_dir = _gold_in_two_phases(spark, sf_dir)
-    return _round(spark.read.parquet(f"{gold_dir}/air_quality_daily_by_country"), "avg_value")
+    daily = tables.read_published(spark, f"{gold_dir}/air_quality_daily_by_country")
+    return _round(daily, "avg_value")
 
 
 def q_anomalies_incremental(spark, sf_dir):
-    return spark.read.parquet(f"{_gold_in_two_phases(spark, sf_dir)}/anomalies").drop("day")
+    gold_dir = _gold_in_two_phases(spark, sf_dir)
+    return tables.read_published(spark, f"{gold_dir}/anomalies").drop("day")
 
 
 def q_run_log(spark, sf_dir):

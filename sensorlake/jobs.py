@@ -4,7 +4,8 @@ The run order follows the pipeline this library reproduces: device registry -> a
 bronze loads -> silver readings -> silver devices -> gold. Every job appends one row to the run
 log when a ``run_log`` path is given; row counts come from observed metrics of the writing job
 or from a count of the written parquet table (metadata only).
-Paths may be any Hadoop-compatible location shared by the cluster.
+Paths may be any Hadoop-compatible location shared by the cluster. Readings and gold tables are
+published: ``tables.read_published`` reads them.
 """
 
 from __future__ import annotations
@@ -90,7 +91,7 @@ def silver_readings_job(spark: SparkSession, live_path: str, archive_path: str,
                         dates: DataFrame | None = None, run_log: str | None = None) -> tuple:
     """Bronze live + archive -> silver readings, partitioned by event date.
 
-    Without ``dates`` the whole table is replaced, so nothing of an older one remains. With the
+    Without ``dates`` a new version of the whole table is published, so nothing of an older one remains. With the
     distinct event dates that new rows touch (``incremental.touched_dates``), their partitions are
     emptied of rows that no longer exist and rebuilt; the others stay as they are.
     """
@@ -101,12 +102,13 @@ def silver_readings_job(spark: SparkSession, live_path: str, archive_path: str,
         arch = bronze.read_table(spark, archive_path)
         if dates is None:
             out, n = ops.with_counters(incremental.full_readings(live, arch, s), "readings")
-            tables.replace_path(spark, out.hint("rebalance", incremental.DATE_COL), readings_path,
-                                [incremental.DATE_COL])
+            tables.publish(spark, out.hint("rebalance", incremental.DATE_COL), readings_path,
+                           [incremental.DATE_COL])
         else:
             out, n = ops.with_counters(incremental.readings_for_dates(live, arch, dates, s),
                                        "readings")
-            tables.replace_days(spark, out, readings_path, incremental.DATE_COL, dates)
+            tables.replace_days(spark, out, tables.published_at(spark, readings_path),
+                                incremental.DATE_COL, dates)
         return None, n.get["rows"]
 
     return _logged(spark, "silver_readings", run_log, body)
@@ -130,10 +132,10 @@ def silver_devices_job(spark: SparkSession, registry_path: str, live_path: str,
             if new_live is None or not tables.path_exists(spark, positions_path):
                 positions = silver.live_positions(bronze.read_table(spark, live_path))
             else:
-                positions = silver.merge_positions(spark.read.parquet(positions_path),
+                positions = silver.merge_positions(tables.read_published(spark, positions_path),
                                                    silver.live_positions(new_live))
-            tables.replace_path(spark, positions, positions_path)
-            updates = silver.devices_at(reg, spark.read.parquet(positions_path))
+            tables.publish(spark, positions, positions_path)
+            updates = silver.devices_at(reg, tables.read_published(spark, positions_path))
         tables.upsert_path(spark, updates, devices_path, ["sensor_id"], schemas.DEVICES)
         return reg.count(), tables.read_upserted(spark, devices_path).count()
 
@@ -159,7 +161,7 @@ def gold_job(spark: SparkSession, readings_path: str, devices_path: str, gold_ro
     statistics and joined with the current devices.
     """
     s = settings or config.Settings()
-    readings = spark.read.parquet(readings_path)
+    readings = tables.read_published(spark, readings_path)
     if dates is not None:
         readings = incremental.on_dates(readings, incremental.DATE_COL, dates)
     readings = readings.drop(incremental.DATE_COL)
@@ -167,15 +169,15 @@ def gold_job(spark: SparkSession, readings_path: str, devices_path: str, gold_ro
 
     def write_days(df: DataFrame, path: str) -> None:
         if dates is None or not tables.path_exists(spark, path):
-            tables.replace_path(spark, df.hint("rebalance", "day"), path, ["day"])
+            tables.publish(spark, df.hint("rebalance", "day"), path, ["day"])
             return
         # A day may lose all its rows (its sensors moved indoors): take the days out of the old
         # table and put the new ones in, as one replacement of the folders concerned.
-        tables.replace_days(spark, df, path, "day", dates)
+        tables.replace_days(spark, df, tables.published_at(spark, path), "day", dates)
 
     sh_path = f"{gold_root}/{SENSOR_HOURLY}"
     write_days(gold.sensor_hourly(readings).withColumn("day", F.to_date("hour")), sh_path)
-    sh = spark.read.parquet(sh_path)
+    sh = tables.read_published(spark, sh_path)
     if dates is not None:
         sh = incremental.on_dates(sh, "day", dates)
     sh = sh.drop("day")
@@ -200,12 +202,12 @@ def gold_job(spark: SparkSession, readings_path: str, devices_path: str, gold_ro
         last_path = f"{gold_root}/{LAST_SEEN}"
         fresh = gold.last_seen_from_sensor_hourly(sh)
         if dates is not None and tables.path_exists(spark, last_path):
-            fresh = gold.merge_last_seen(spark.read.parquet(last_path), fresh)
-        tables.replace_path(spark, fresh, last_path)
+            fresh = gold.merge_last_seen(tables.read_published(spark, last_path), fresh)
+        tables.publish(spark, fresh, last_path)
         df, n = ops.with_counters(
-            gold.health_from_last_seen(spark.read.parquet(last_path), devices),
+            gold.health_from_last_seen(tables.read_published(spark, last_path), devices),
             "sensor_network_health")
-        tables.replace_path(spark, df, f"{gold_root}/sensor_network_health")
+        tables.publish(spark, df, f"{gold_root}/sensor_network_health")
         return None, n.get["rows"]
     out["sensor_network_health"] = _logged(spark, "gold.sensor_network_health", run_log, health)[1]
     return out
@@ -219,7 +221,8 @@ def device_dates(spark: SparkSession, before: DataFrame, after: DataFrame,
             for d, n in ((before, "_before"), (after, "_after")))
     changed = (a.join(b, "sensor_id", "full_outer")
                .where(~F.col("_before").eqNullSafe(F.col("_after"))).select("sensor_id"))
-    return (spark.read.parquet(f"{gold_root}/{SENSOR_HOURLY}").join(changed, "sensor_id", "left_semi")
+    hourly = tables.read_published(spark, f"{gold_root}/{SENSOR_HOURLY}")
+    return (hourly.join(changed, "sensor_id", "left_semi")
             .select(F.col("day").alias(incremental.DATE_COL)).distinct())
 
 

@@ -1,8 +1,9 @@
 """Table writes on plain parquet directories (SNK-5 .. SNK-9).
 
-No table format is assumed. A full replacement is staged next to the target and swapped in by
-directory renames, so readers never see a half-written table and a job can replace a table it
-reads from (a direct overwrite of a path being read fails). Replacing days and upserting touch only
+No table format is assumed. Products that are replaced whole are published: versions in folders of
+their own, and a pointer created last, so readers see one version or the next. Other tables are
+staged next to the target and swapped in by directory renames, so a job can replace a table it reads
+from (a direct overwrite of a path being read fails). Replacing days and upserting touch only
 the partitions concerned: their new rows are written once, next to the table, and each staged
 folder takes the place of the old one by the same checked swap; all other files stay as they are.
 
@@ -25,6 +26,8 @@ from sensorlake.operators.joins import upsert
 
 #: Partition column of upserted tables, and the number of key buckets where the caller names none.
 PART, BUCKETS = "_part", 16
+#: Folder of a published table that holds a file per version.
+POINTERS = "_current"
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -77,6 +80,56 @@ def _renamed(fs, source, target) -> bool:
         return False
 
 
+def _numbers(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the versions of a published table that its pointer files name."""
+    fs, _, jvm = _fs(spark, path)
+    pointers = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{POINTERS}")
+    if not fs.exists(pointers):
+        return []
+    return sorted(int(f.getPath().getName()) for f in fs.listStatus(pointers)
+                  if f.getPath().getName().isdigit())
+
+
+def _version(path: str, number: int) -> str:
+    return f"{path.rstrip('/')}.v{number:06d}"
+
+
+def published_at(spark: SparkSession, path: str) -> str:
+    """The folder that holds the table ``path`` now: its newest version, or ``path`` itself where
+    it was never published."""
+    numbers = _numbers(spark, path)
+    return _version(path, numbers[-1]) if numbers else path
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(published_at(spark, path))
+
+
+def publish(spark: SparkSession, df: DataFrame, path: str,
+            partition_by: Sequence[str] = ()) -> None:
+    """Replace the whole table ``path`` with no moment without one. ``df`` is written to a folder of
+    its own next to ``path``; the table becomes that version when its pointer, an empty file
+    ``path/_current/<number>``, is created, which happens once or not at all. Readers take the
+    greatest number (``read_published``). The version before stays for those who read it; older
+    ones, and the files of a table that was not published so far, are deleted. Of two jobs that
+    publish at once the later one fails."""
+    fs, root, jvm = _fs(spark, path.rstrip("/"))
+    numbers = _numbers(spark, path)
+    number = numbers[-1] + 1 if numbers else 1
+    w = df.write.mode("overwrite")  # what a failed job left there has no pointer
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(_version(path, number))
+    here = jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(here(f"{root}/{POINTERS}"))
+    if not fs.createNewFile(here(f"{root}/{POINTERS}/{number:06d}")):
+        raise OSError(f"another job has published version {number} of {path}")
+    for old in numbers[:-1]:
+        fs.delete(here(f"{root}/{POINTERS}/{old:06d}"), False)
+        fs.delete(here(_version(path, old)), True)
+    for left in fs.listStatus(root):
+        if left.getPath().getName() != POINTERS:
+            fs.delete(left.getPath(), True)
+
+
 def replace_parts(spark: SparkSession, df: DataFrame, path: str, column: str,
                   touched: Iterable[str]) -> None:
     """Replace the partitions ``touched`` (values of ``column`` as folders name them) by the rows

@@ -41,11 +41,11 @@ def test_jobs_end_to_end_match_queries(spark, scratch):
     counts = jobs.gold_job(spark, p["readings"], p["devices"], p["gold"], run_log=p["log"])
 
     want = E.queries()["air_quality_daily"](spark, SF_SMALL)
-    got = spark.read.parquet(os.path.join(p["gold"], "air_quality_daily_by_country")) \
+    got = tables.read_published(spark, os.path.join(p["gold"], "air_quality_daily_by_country")) \
         .withColumn("avg_value", F.round("avg_value", 6))
     assert got.count() == want.count() == counts["air_quality_daily_by_country"]
     assert got.exceptAll(want.select(*got.columns)).count() == 0
-    an = spark.read.parquet(os.path.join(p["gold"], "anomalies"))
+    an = tables.read_published(spark, os.path.join(p["gold"], "anomalies"))
     assert an.count() == E.queries()["anomalies"](spark, SF_SMALL).count()
 
     log = spark.read.parquet(p["log"])
@@ -65,7 +65,7 @@ def test_silver_readings_job_incremental_equals_full(spark, scratch):
     new_arch.write.mode("append").parquet(arch)
     dates = incremental.touched_dates(new_live, new_arch)
     jobs.silver_readings_job(spark, live, arch, out, dates=dates)
-    got = spark.read.parquet(out)
+    got = tables.read_published(spark, out)
     want = E.queries()["silver_readings"](spark, SF_SMALL)
     assert got.count() == want.count()
     assert got.drop("event_date").exceptAll(want).count() == 0
@@ -89,7 +89,7 @@ def test_cli_and_settings_file(spark, scratch):
     adapters.archive_raw(events).write.parquet(arch)
     main(["readings", "--live", live, "--archive", arch, "--readings", out,
           "--config", cfg + "#dev"], spark=spark)
-    assert spark.read.parquet(out).count() == E.queries()["silver_readings"](spark, SF_SMALL).count()
+    assert tables.read_published(spark, out).count() == E.queries()["silver_readings"](spark, SF_SMALL).count()
 
 
 def test_full_silver_run_leaves_nothing_of_an_older_table(spark, scratch):
@@ -101,13 +101,13 @@ def test_full_silver_run_leaves_nothing_of_an_older_table(spark, scratch):
         adapters.live_raw(part).write.parquet(live)
         adapters.archive_raw(part).write.parquet(arch)
         _, n = jobs.silver_readings_job(spark, live, arch, out)
-    assert spark.read.parquet(out).count() == n < events.count()
+    assert tables.read_published(spark, out).count() == n < events.count()
 
 
 def _equal_gold(spark, one, other):
     for name in ("air_quality_hourly", "air_quality_daily_by_country", "anomalies",
                  "sensor_network_health"):
-        a, b = (spark.read.parquet(os.path.join(p, name)) for p in (one, other))
+        a, b = (tables.read_published(spark, os.path.join(p, name)) for p in (one, other))
         rnd = [c for c, t in a.dtypes if t == "double"]
         a, b = (x.select(*[F.round(c, 6).alias(c) if c in rnd else F.col(c) for c in a.columns])
                 for x in (a, b))
@@ -137,7 +137,7 @@ def test_incremental_gold_equals_full_with_devices_of_arrived_rows(spark, scratc
     jobs.silver_devices_job(spark, p["registry"], p["live"], p["devices"],
                             positions_path=p["positions"])
     jobs.gold_job(spark, p["readings"], p["devices"], p["gold"])
-    daily = spark.read.parquet(os.path.join(p["gold"], "air_quality_daily_by_country"))
+    daily = tables.read_published(spark, os.path.join(p["gold"], "air_quality_daily_by_country"))
     assert daily.where("day = '2023-05-05'").count() > 0
     tables.replace_path(spark, spark.read.parquet(p["registry"]).withColumn(
         "indoor", F.when(F.col("sensor_id") == "only", "1").otherwise(F.col("indoor"))),
@@ -153,7 +153,7 @@ def test_incremental_gold_equals_full_with_devices_of_arrived_rows(spark, scratc
     a, b = (spark.read.parquet(p[k]) for k in ("devices", "devices_full"))
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
     _equal_gold(spark, p["gold"], p["gold_full"])
-    daily = spark.read.parquet(os.path.join(p["gold"], "air_quality_daily_by_country"))
+    daily = tables.read_published(spark, os.path.join(p["gold"], "air_quality_daily_by_country"))
     assert daily.where("day = '2023-05-05'").count() == 0
 
 

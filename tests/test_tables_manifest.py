@@ -286,3 +286,50 @@ def test_a_failing_rename_of_a_partition_keeps_the_old_one(spark, scratch, monke
                            old.schema, buckets=2)
     got = dict(map(tuple, tables.read_upserted(spark, path).collect()))
     assert len(got) == 20 and set(got.values()) == {0}
+
+
+def test_readers_of_a_published_table_see_one_version_or_the_next(spark, scratch, monkeypatch):
+    path = os.path.join(scratch, "t")
+    spark.range(3).write.parquet(path)  # a table that was never published
+    assert tables.published_at(spark, path) == path
+    real, seen = tables._fs, []
+
+    def count():
+        return tables.read_published(spark, path).count()
+
+    class Watched:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def createNewFile(self, p):
+            monkeypatch.setattr(tables, "_fs", real)
+            seen.append(count())
+            made = self.fs.createNewFile(p)
+            seen.append(count())
+            return made
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+    def watched(spark, p):
+        fs, target, jvm = real(spark, p)
+        return Watched(fs), target, jvm
+
+    for n in (5, 7, 9):
+        monkeypatch.setattr(tables, "_fs", watched)
+        tables.publish(spark, spark.range(n), path)
+    assert seen == [3, 5, 5, 7, 7, 9]
+    assert [d for d in sorted(os.listdir(scratch)) if ".v" in d] == ["t.v000002", "t.v000003"]
+    assert sorted(f for f in os.listdir(f"{path}/_current") if f[0] != ".") == ["000002", "000003"]
+    reader = tables.read_published(spark, path)
+    tables.publish(spark, reader.where("id < 4"), path)  # a table may replace what it reads
+    assert (count(), reader.count()) == (4, 9)
+
+
+def test_a_version_without_a_pointer_does_not_count(spark, scratch):
+    path = os.path.join(scratch, "t")
+    tables.publish(spark, spark.range(3), path)
+    spark.range(100).write.parquet(tables._version(path, 2))  # left by a job that failed
+    assert tables.read_published(spark, path).count() == 3
+    tables.publish(spark, spark.range(4), path)
+    assert tables.read_published(spark, path).count() == 4
