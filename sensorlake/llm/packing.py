@@ -5,12 +5,13 @@ pieces of ``size`` tokens of which the first may be shorter. The lengths of all
 histogram of at most ``size`` entries. A configuration is a multiset of lengths that fits one
 sequence; the linear program covers every length's count with as few configurations as it can.
 Multiplicative weights solve it: a length's weight falls exponentially as it gets covered, a
-knapsack dynamic program finds the configuration of largest weight, full or not, which is then used
-for a fraction of what its rarest length still needs, until every length is covered. Fractions are
-rounded down, of several shares of the solution, and what rounding leaves goes best-fit, longest
-first, into the fullest sequence that takes it. Where the best of these is more than ``EXCESS`` of
-the sequences above what the tokens fill (few lengths, none that fill a sequence), as many steps of
-column generation as ``PIVOTS`` says try to better the solution.
+knapsack dynamic program finds the configuration of largest weight, which is then used for a fraction
+of what its rarest length still needs, as long as full configurations are found. Fractions are rounded
+down, of several shares of the solution, and what rounding leaves goes best-fit, longest first, into
+the fullest sequence that takes it. Where the best of these is more than ``EXCESS`` of the sequences
+above what the tokens fill (few lengths, none that fill a sequence), configurations of any fill go on
+until every length is covered, and as many steps of column generation as ``PIVOTS`` says try to
+better that; the fewest sequences count.
 
 Scale: only the histogram reaches the driver, and the plan that comes back is a table of rank
 ranges whose size depends on ``size`` and not on the number of documents. Pieces get a rank within
@@ -47,7 +48,7 @@ BUCKET_ROWS = 1_000
 STEP, RATE = 0.25, 4.0
 #: Shares of the fractional solution that roundings keep.
 KEPT = (1.0, 0.9, 0.75, 0.5)
-#: Share of the sequences above the bound from which ``generated`` is tried, the share that it may be
+#: Share of the sequences above the bound from which more is tried, the share that ``generated`` may be
 #: off the optimum, and its steps: bounded, so that the driver's time is, whatever the lengths.
 EXCESS, NEAR, PIVOTS = 0.005, 1e-4, 300
 _PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -142,8 +143,10 @@ def _best_configuration(value: np.ndarray) -> np.ndarray:
     return out
 
 
-def solve(counts: np.ndarray, step: float = STEP, rate: float = RATE) -> list[tuple]:
-    """Fractional cover of ``counts`` (index = length) as (configuration, amount)."""
+def solve(counts: np.ndarray, step: float = STEP, rate: float = RATE,
+          full: bool = False) -> list[tuple]:
+    """Fractional cover of ``counts`` (index = length) as (configuration, amount); with ``full`` as
+    far as full configurations go."""
     size = len(counts) - 1
     lengths = np.arange(size + 1)
     need = counts.astype(float)
@@ -159,6 +162,8 @@ def solve(counts: np.ndarray, step: float = STEP, rate: float = RATE) -> list[tu
         behind = rate * (cover - cover[open_].min())
         value = np.where(open_, lengths * np.exp(-behind), -1.0)
         made = _best_configuration(value)
+        if full and (made * lengths).sum() < size:
+            break
         used = made > 0
         amount = float(np.min(np.minimum(np.maximum(step * need[used], 1.0),
                                          (1 - cover[used]) * need[used]) / made[used]))
@@ -232,8 +237,9 @@ def _best_fit(left: np.ndarray) -> list[tuple]:
 def plan(counts: np.ndarray, step: float = STEP, rate: float = RATE) -> list[tuple]:
     """Whole configurations and how often each is used; together they hold exactly ``counts``. Of
     several roundings, which leave more or less of the solution to best fit, the one with the
-    fewest sequences. Where those of ``solve`` need ``EXCESS`` more than the tokens and the pieces
-    beyond half a sequence do, roundings of ``generated`` are tried too."""
+    fewest sequences. Where those of full configurations need ``EXCESS`` more than the tokens and
+    the pieces beyond half a sequence do, roundings of configurations of any fill and then of
+    ``generated`` are tried too."""
     def rounded(solution):
         return min((_rounded(counts, solution, share) for share in KEPT), key=sequences)
 
@@ -241,11 +247,13 @@ def plan(counts: np.ndarray, step: float = STEP, rate: float = RATE) -> list[tup
         return sum(times for _, times in made)
 
     size = len(counts) - 1
-    best = rounded(solve(counts, step, rate))
     tokens = int((counts * np.arange(size + 1)).sum())
     least = max(-(-tokens // size), int(counts[size // 2 + 1:].sum()))
-    if sequences(best) > least + max(1, EXCESS * least):
-        best = min(best, rounded(generated(counts)), key=sequences)
+    best = rounded(solve(counts, step, rate, full=True))
+    for more in (lambda: solve(counts, step, rate), lambda: generated(counts)):
+        if sequences(best) <= least + max(1, EXCESS * least):
+            break
+        best = min(best, rounded(more()), key=sequences)
     return best
 
 
