@@ -4,18 +4,23 @@ components. Shared by the near-duplicate operators; near_dedup.py describes the
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import text as T
 from .common import bitmap, stored
 from .components import components, joined
 from .shingles import set_identities
 
 BITMAP_BITS = 1 << 23
+#: Bits of a set's parities.
+PARITY_BITS = 1 << 10
 _U = np.uint64
+_ODD = 2 * np.random.default_rng(23).integers(0, 2**63, dtype=np.uint64) + _U(1)
 
 
 def row_lists(values: np.ndarray) -> pa.Array:
@@ -76,6 +81,26 @@ def _exploded(batches: Iterator[pa.RecordBatch]):
              pa.array(np.concatenate(parts))], names=["node", "shingle"])
 
 
+def _parities(batches: Iterator[pa.RecordBatch]):
+    """The shingles of a set dealt to PARITY_BITS cells: a bit tells whether a cell has an odd number.
+    Where two sets' bits differ, a shingle is in one of them alone, and each such shingle changes
+    one bit: sets differ in at least as many shingles as in bits."""
+    for b in batches:
+        bits = np.zeros((len(b), PARITY_BITS), np.uint8)
+        for i, v in enumerate(b.column("shingles")):
+            cells = T.mix(np.frombuffer(v.as_py(), _U) * _ODD) % _U(PARITY_BITS)
+            bits[i] = np.bincount(cells.astype(np.int64), minlength=PARITY_BITS) & 1
+        yield pa.RecordBatch.from_arrays(
+            [b.column("node"), row_lists(np.packbits(bits, axis=1).view(_U))],
+            names=["node", "parity"])
+
+
+def _differing(x: str, y: str) -> Column:
+    """Bits in which two parities differ."""
+    return reduce(Column.__add__, (F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i]))
+                                   for i in range(PARITY_BITS // 64)))
+
+
 def _similar(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
@@ -140,6 +165,12 @@ def linked(nodes: DataFrame, sets_of: Callable[[bytes], DataFrame], size: int, a
     done, upto, open_ = 0, 8, members.where("members > 2")
     short = nodes.select("node", "sketch",
                          F.transform("bands", lambda x: F.hash(x)).alias("keys"))
+    # Sets of similarity t differ in at most (1 - t) / (1 + t) of their sizes' sum, so their parities
+    # in no more bits: what is like the others of a large bucket but not similar enough meets them
+    # in the join without a row for each pair.
+    parities = None
+    near = _differing("parity", "other_parity") <= (1 - similarity) / (1 + similarity) * (
+        F.col("n") + F.col("other_n")) + 1e-6
     at = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / float(1 << 20) * F.col("members")
     while True:
         placed = open_.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -149,17 +180,22 @@ def linked(nodes: DataFrame, sets_of: Callable[[bytes], DataFrame], size: int, a
                        .where(F.col("members") > done), "near-open")
         if open_.isEmpty():
             return links, roots
-        keyed = open_.join(short, "node")
+        if parities is None:  # later rounds have no other nodes
+            parities = stored(sets.join(open_.select("node").distinct(), "node", "left_semi")
+                              .mapInArrow(_parities, "node long, parity array<long>"),
+                              "near-parities")
+        keyed = open_.join(short, "node").join(parities, "node")
         reps = keyed.where((at >= done) & (at < upto)).select(
             "bucket", F.col("node").alias("other"), F.col("root").alias("other_root"),
             F.col("n").alias("other_n"), F.col("s").alias("other_s"),
-            F.col("keys").alias("other_keys"), F.col("sketch").alias("other_sketch"))
+            F.col("keys").alias("other_keys"), F.col("sketch").alias("other_sketch"),
+            F.col("parity").alias("other_parity"))
         # A pair that shares several buckets is taken in the first of them, if its sketches agree.
         met = F.array_position(F.zip_with("keys", "other_keys", lambda x, y: x == y), True)
         agreeing = F.size(F.filter(F.zip_with("sketch", "other_sketch", lambda x, y: x == y),
                                    lambda same: same))
         pairs = stored(keyed.join(reps, "bucket")
-                       .where((F.col("root") != F.col("other_root")) & able
+                       .where((F.col("root") != F.col("other_root")) & able & near
                               & (met == F.col("band") + 1) & (agreeing >= agree)).select(*pair)
                        .distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
         fresh = stored(_verified(pairs, sets, similarity), "near-links")

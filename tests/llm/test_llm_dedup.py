@@ -5,10 +5,18 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from sensorlake.llm import exact_dedup, near_dedup, quality_rules, queries, substring_dedup
+from sensorlake.llm import (
+    exact_dedup,
+    linking,
+    near_dedup,
+    quality_rules,
+    queries,
+    substring_dedup,
+)
 from sensorlake.llm import text as T
 from sensorlake.llm.common import ship_code
 from sensorlake.llm.components import components
@@ -284,6 +292,51 @@ def test_near_groups_find_chains_and_many_variants(spark):
     assert {frozenset(v) for v in got.values()} == brute_classes(docs)
 
 
+def test_pairs_that_are_only_alike_make_no_rows(spark, monkeypatch):
+    """Of many variants that share buckets but are not similar enough, pairs go to verification
+    by the hundred, not by the square; the similar ones among them are still found."""
+    ship_code(spark)
+    rng = np.random.default_rng(9)
+    base = sentence(rng, 200, 5000).split()
+    docs = []
+    for i in range(120):
+        w = list(base)
+        for at in rng.choice(len(w), 4, replace=False):
+            w[at] = f"v{i}x{at}"
+        docs.append((i, " ".join(w)))
+    docs += [(200 + i, f"{docs[i][1]} more") for i in range(0, 120, 10)]
+    pairs, verified = [], linking._verified
+
+    def counted(near, sets, similarity):
+        pairs.append(near.count())
+        return verified(near, sets, similarity)
+
+    monkeypatch.setattr(linking, "_verified", counted)
+    got = defaultdict(set)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    for r in near_dedup.near_groups(frame).collect():
+        got[r.group].add(r.key)
+    assert {frozenset(v) for v in got.values()} == brute_classes(docs)
+    assert sum(len(v) > 1 for v in got.values()) >= 12
+    assert sum(pairs) < len(docs) * 10
+
+
+def test_parities_differ_in_no_more_bits_than_sets_in_elements():
+    rng = np.random.default_rng(10)
+    whole = rng.integers(0, 2**63, 700, dtype=np.uint64)
+    sets = [np.unique(rng.choice(whole, n)) for n in (3, 40, 300, 600, 650)] + [whole[:1]]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sets))),
+                                        pa.array([x.tobytes() for x in sets], pa.binary())],
+                                       names=["node", "shingles"])
+    (found,) = linking._parities([batch])
+    bits = [np.unpackbits(np.array(x, np.int64).view(np.uint8))
+            for x in found.column("parity").to_pylist()]
+    for x, p in zip(sets, bits, strict=True):
+        for y, q in zip(sets, bits, strict=True):
+            differ = len(np.setxor1d(x, y))
+            assert (p != q).sum() <= differ and (p != q).sum() % 2 == differ % 2
+
+
 def test_near_dedup_defined_cases(odd_docs, no_docs):
     rows = near_dedup.near_groups(odd_docs).collect()
     assert len(rows) == odd_docs.count()
