@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as T
@@ -38,6 +38,8 @@ WIDTH, SEED = 50, 25
 #: Seeds to choose from in a window, and windows of a block at most.
 REACH = WIDTH - SEED + 1
 BITMAP_BITS = 1 << 25
+#: Distinct blocks of a seed beyond which its windows are dealt one by one.
+MANY = 1_000
 _U = np.uint64
 _ODD = 2 * np.random.default_rng(17).integers(0, 2**63, 3, dtype=np.uint64) + _U(1)
 
@@ -160,6 +162,38 @@ def _spans(batches: Iterator[pa.RecordBatch]):
             names=["key", "row", "start", "length", "words", "removed"])
 
 
+def _held(distinct: DataFrame) -> DataFrame:
+    """Distinct blocks -> ``seed, block, best, held, stays``: bits of their windows that two
+    documents hold, and of those whose least place is the block's best. Equal windows have equal
+    seeds, so blocks are dealt by seed and windows meet without a shuffle of their own; those of the
+    few seeds of many blocks are dealt one by one."""
+    many = stored(distinct.groupBy("seed").agg(F.count(F.lit(1)).alias("blocks"))
+                  .where(F.col("blocks") > MANY).select("seed"), "pass-many")
+    bit = F.expr("shiftleft(1L, pos)")
+    place = F.struct("best.key", "best.row", (F.col("best.place") + F.col("pos")).alias("place"))
+    documents = F.sum(F.when(F.col("first").bitwiseAND(bit) != 0, F.col("copies")))
+
+    def windows(blocks: DataFrame) -> DataFrame:
+        return blocks.select("seed", "block", "copies", "best", "first",
+                             F.posexplode("hashes").alias("pos", "hash"))
+
+    def marked(found: DataFrame) -> DataFrame:
+        return found.groupBy("seed", "block").agg(
+            F.bit_or(bit).alias("held"), F.first("best").alias("best"),
+            F.bit_or(F.when(place.eqNullSafe(F.col("least")), bit).otherwise(F.lit(0)))
+            .alias("stays"))
+
+    equal = Window.partitionBy("seed", "hash")
+    few = windows(distinct.join(many, "seed", "left_anti").repartition("seed")).select(
+        "seed", "block", "best", "pos", documents.over(equal).alias("documents"),
+        F.min(place).over(equal).alias("least")).where("documents > 1")
+    hot = windows(distinct.join(many, "seed", "left_semi"))
+    repeated = stored(hot.groupBy("seed", "hash").agg(
+        documents.alias("documents"), F.min(place).alias("least"))
+        .where("documents > 1").drop("documents"), "pass-repeated")
+    return marked(few).unionByName(marked(hot.join(repeated, ["seed", "hash"])))
+
+
 def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per span of a document that repeated windows cover: ``key, row`` (hash of key and
     text), ``start, length`` (code points), ``words, removed``."""
@@ -174,17 +208,7 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text")
     distinct = stored(blocks.groupBy("seed", "block").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "row", "place")).alias("best"),
         F.first("first").alias("first"), F.first("hashes").alias("hashes")), "pass-distinct")
-    windows = distinct.select("seed", "block", "copies", "best", "first",
-                              F.posexplode("hashes").alias("pos", "hash"))
-    bit = F.expr("shiftleft(1L, pos)")
-    place = F.struct("best.key", "best.row", (F.col("best.place") + F.col("pos")).alias("place"))
-    repeated = stored(windows.groupBy("seed", "hash").agg(
-        F.sum(F.when(F.col("first").bitwiseAND(bit) != 0, F.col("copies"))).alias("documents"),
-        F.min(place).alias("least")).where("documents > 1").drop("documents"), "pass-repeated")
-    held = stored(windows.join(repeated, ["seed", "hash"]).groupBy("seed", "block").agg(
-        F.bit_or(bit).alias("held"), F.first("best").alias("best"),
-        F.bit_or(F.when(place.eqNullSafe(F.col("least")), bit).otherwise(F.lit(0)))
-        .alias("stays")), "pass-held")
+    held = stored(_held(distinct), "pass-held")
     mine = F.struct("key", "row", "place").eqNullSafe(F.col("best"))
     parts = (blocks.select("key", "row", "place", "seed", "block", "starts", "stops")
              .join(held, ["seed", "block"]).groupBy("key", "row", "place")

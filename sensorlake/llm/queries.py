@@ -31,8 +31,9 @@ def op1_quality_rules(spark, sf_dir) -> DataFrame:
 
 def op2_substring_dedup(spark, sf_dir) -> DataFrame:
     """Every paragraph that repeats, its class (named by the document whose copy stays) and
-    whether it is to be removed."""
-    found = substring_dedup.repeated_paragraphs(table(spark, sf_dir, "documents"))
+    whether it is to be removed; and, without paragraph and class, every span of passages that
+    repeat inside longer lines or across lines."""
+    found = substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
     return found.select(
         F.col("key").alias("doc_id"), "paragraph", "start", "length", "words",
         F.col("class_key").alias("class_id"), "class_paragraph", "class_size", "removed")

@@ -12,7 +12,7 @@ anything is joined, so a line that a third of all documents share is one row per
 come from shared buckets in rounds (linking.py), never as all pairs of a group.
 
 Passages that repeat inside longer lines or across short ones are no paragraphs: passages.py
-finds them, and ``drop_repeats`` cuts both.
+finds them, ``repeated_spans`` tells both, and ``drop_repeats`` cuts both.
 
 Defined cases: null and empty texts and texts of short lines have no paragraphs and no rows;
 repeats inside one document count like those across documents; equal keys and repeated rows are
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from . import text as T
 from .common import stored
 from .linking import linked, marked_sets, row_lists
-from .passages import drop_passages
+from .passages import drop_passages, repeated_passages
 from .shingles import paragraph_sets, set_identities
 
 LEAST = 25
@@ -125,6 +125,17 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
                       (~(same[0] & same[1] & same[2])).alias("removed"))
 
 
+def repeated_spans(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST,
+                   similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``repeated_paragraphs``, and one per span of passages that repeat wherever they
+    stand (``repeated_passages``): it has no ``paragraph`` and no class. Both are found in whole
+    texts, so they may overlap, and ``removed`` goes by the row's own kind: what one kind keeps the
+    other may remove. ``drop_repeats`` cuts lines first and looks for passages in what is left."""
+    lines = repeated_paragraphs(docs, key, text, least, similarity)
+    spans = repeated_passages(docs, key, text)
+    return lines.unionByName(spans, allowMissingColumns=True)
+
+
 def drop_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = LEAST,
                  similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with all columns, the removed paragraphs cut out of the texts, then what is left

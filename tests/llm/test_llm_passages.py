@@ -74,6 +74,26 @@ def test_passages_match_brute_force(spark):
     assert covered(docs, rows) == brute_words(docs)
 
 
+def test_substring_dedup_finds_passages_inside_and_across_lines(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    rows = (queries.op2_substring_dedup(spark, SF).where("paragraph IS NULL")
+            .withColumnRenamed("doc_id", "key").collect())
+    want = brute_words(docs)
+    assert want and covered(docs, rows) == want
+    assert {r.class_id for r in rows} == {None} and {r.removed for r in rows} == {True, False}
+
+
+def test_passages_of_seeds_with_many_blocks(spark, monkeypatch):
+    """Windows dealt one by one give the rows of windows dealt by seed."""
+    ship_code(spark)
+    frame = spark.createDataFrame(tricky(), "doc_id long, text string")
+    found = []
+    for many in (0, 1, 1_000):
+        monkeypatch.setattr(passages, "MANY", many)
+        found.append(sorted(map(tuple, passages.repeated_passages(frame).collect())))
+    assert found[0] and found[0] == found[1] == found[2]
+
+
 def test_dropped_passages_stay_once(spark):
     """No window is left in two documents but where a staying one needs it, and none is lost."""
     ship_code(spark)
