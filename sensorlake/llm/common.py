@@ -21,10 +21,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the cluster's shared checkpoint folder and read it back: it is computed
     once, and losing executors later loses nothing."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    return stored_at(df, scratch_path(df.sparkSession, name))
+
+
+def stored_at(df: DataFrame, path: str) -> DataFrame:
+    """As ``stored``, in a folder that the caller deletes when nothing reads it any more."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bitmap(rows: DataFrame, column: str, bits: int) -> bytes:

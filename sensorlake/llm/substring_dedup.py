@@ -29,8 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sensorlake.session import scratch_path
+from sensorlake.tables import delete_path
+
 from . import text as T
-from .common import stored
+from .common import stored, stored_at
 from .linking import linked, marked_sets, row_lists
 from .passages import drop_passages, repeated_passages
 from .shingles import paragraph_sets, set_identities
@@ -98,11 +101,17 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
                         least: int = LEAST, similarity: float = SIMILARITY) -> DataFrame:
     """One row per paragraph that has a like: ``key, row, paragraph, start, length, words``,
     ``class_key, class_row, class_paragraph`` (the one that stays), ``class_size``, ``removed``."""
-    found = stored(paragraphs(docs, key, text, least), "sub-paragraphs")
-    nodes = stored(found.groupBy("node").agg(
+    spark = docs.sparkSession
+    # Signatures are most of the disk: each folder of them goes when what rests on it is stored.
+    wide_at, nodes_at = (scratch_path(spark, n) for n in ("sub-paragraphs", "sub-nodes"))
+    wide = stored_at(paragraphs(docs, key, text, least), wide_at)
+    nodes = stored_at(wide.groupBy("node").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "row", "paragraph")).alias("best"),
         F.first("n").alias("n"), F.first("bands").alias("bands"),
-        F.first("sketch").alias("sketch")), "sub-nodes")
+        F.first("sketch").alias("sketch")), nodes_at)
+    found = stored(wide.select("key", "row", "paragraph", "start", "length", "words", "node"),
+                   "sub-found")
+    delete_path(spark, wide_at)
 
     def sets_of(column):
         return paragraph_sets(column, least)
@@ -116,8 +125,8 @@ def repeated_paragraphs(docs: DataFrame, key: str = "doc_id", text: str = "text"
         .where("class_size > 1"), "sub-classes")
     of_node = stored(rooted.select("node", "root").join(classes, "root")
                      .select("node", "best", "class_size"), "sub-of-node")
-    out = found.select("key", "row", "paragraph", "start", "length", "words", "node").join(
-        of_node, "node")
+    delete_path(spark, nodes_at)
+    out = found.join(of_node, "node")
     same = [F.col(c).eqNullSafe(F.col(f"best.{c}")) for c in ("key", "row", "paragraph")]
     return out.select("key", "row", "paragraph", "start", "length", "words",
                       F.col("best.key").alias("class_key"), F.col("best.row").alias("class_row"),

@@ -42,6 +42,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def replace_path(spark: SparkSession, df: DataFrame, path: str,
                  partition_by: Sequence[str] | None = None) -> None:
     """Write ``df`` to a staging directory, then swap it in for ``path``."""
