@@ -19,7 +19,7 @@ def _c(col: str | Column) -> Column:
 
 def strip_quotes(col: str | Column) -> Column:
     """Remove every single and double quote character (STR-1)."""
-    return F.regexp_replace(_c(col), "['\"]", "")
+    return F.translate(_c(col), "'\"", "")
 
 
 def parse_event_ts(col: str | Column) -> Column:

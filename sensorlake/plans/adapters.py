@@ -51,6 +51,12 @@ def _k() -> Column:
     return F.get_json_object("props", "$.k").try_cast("int")
 
 
+def _with_k(events: DataFrame) -> tuple[DataFrame, Column]:
+    """``events`` with ``k`` in a column of its own: the JSON is parsed once a row, however many
+    expressions test it."""
+    return events.withColumn("_k", _k()), F.col("_k")
+
+
 def _num_text(c: Column, scale: int) -> Column:
     """Number as text with a fixed scale, the same in every engine."""
     return c.cast(f"decimal(18,{scale})").cast("string")
@@ -69,12 +75,9 @@ def _wide(metric: Column, text: Column, metrics=config.METRICS) -> list[Column]:
 
 def live_raw(events: DataFrame) -> DataFrame:
     """Bronze live rows (phase B schema) from ``events``."""
-    k = _k()
+    events, k = _with_k(events)
     ts_text = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    value_text = (F.when(k == 13, "unknown")
-                   .when(k == 29, "NaN")
-                   .when((k == 31) & (F.col("event_type") == "error"), "Infinity")
-                   .otherwise(_num_text(F.col("value"), 2)))
+    value_text = _value_text(k)
     timestamp = (F.when(k == 3, F.concat(F.lit('"'), ts_text, F.lit('"')))
                   .when(k == 5, F.concat(F.lit("'"), ts_text, F.lit("'")))
                   .when(k == 7, F.lit("n/a"))
@@ -103,7 +106,7 @@ def live_raw(events: DataFrame) -> DataFrame:
 
 def archive_raw(events: DataFrame) -> DataFrame:
     """Bronze archive rows, CSV column names, one per event."""
-    k = _k()
+    events, k = _with_k(events)
     value_text = (F.when(k == 41, "unknown")
                    .when(k == 43, "NaN")
                    .otherwise(_num_text(F.col("value") * 2, 2)))
@@ -190,8 +193,7 @@ def _ts_text(fmt: str = "yyyy-MM-dd HH:mm:ss.SSSSSS") -> Column:
     return F.date_format("ts", fmt)
 
 
-def _value_text() -> Column:
-    k = _k()
+def _value_text(k: Column) -> Column:
     return (F.when(k == 13, "unknown")
              .when(k == 29, "NaN")
              .when((k == 31) & (F.col("event_type") == "error"), "Infinity")
@@ -241,12 +243,12 @@ def event_records(events: DataFrame) -> DataFrame:
     """Nested API records, one per event, with the awkward cases of a live feed: an empty and a
     NULL ``value_type``, a repeated metric (the later entry wins), a metric outside the
     configured list and a record without its ``sensor`` object."""
-    k = _k()
+    events, k = _with_k(events)
     metric = _metric_of(F.col("event_type"))
     uid = F.col("user_id").cast("double")
     entry = lambda t, v: F.struct(t.alias("value_type"), v.alias("value"))
     values = F.array(
-        entry(metric, _value_text()),
+        entry(metric, _value_text(k)),
         entry(F.lit(""), F.lit("junk")),
         entry(F.lit(None).cast("string"), F.lit("x")),
         F.when(k == 37, entry(metric, _num_text(F.col("value") * 3, 2))),
@@ -271,7 +273,7 @@ def event_records(events: DataFrame) -> DataFrame:
 def bus_envelope(events: DataFrame) -> DataFrame:
     """Message-bus records (partition, offset, value): the JSON body of each event with the
     metric as a JSON number (in hundredths), an extra field ``k`` and some malformed bodies."""
-    k = _k()
+    events, k = _with_k(events)
     metric = _metric_of(F.col("event_type"))
     cents = F.round(F.col("value") * 100).cast("bigint").cast("string")
     body = F.concat(
