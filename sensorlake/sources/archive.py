@@ -53,14 +53,17 @@ def in_order(lines: DataFrame) -> DataFrame:
 def _split(c: Column, sep: str) -> Column:
     """Cells of one CSV line. A cell may be quoted: it may then hold separators, and quotes that
     are doubled or escaped by a backslash. The separator put in front makes every cell, an empty
-    first one too, a match of its own."""
+    first one too, a match of its own. No step back into a quoted cell could end it elsewhere, so
+    its repeats are possessive; a line without quotes is cut at its separators."""
     s = re.escape(sep)
-    cell = rf'{s}("(?:[^"\\]|\\.|"")*"(?={s}|$)|[^{s}]*)'
+    cell = rf'{s}("(?:[^"\\]++|\\.|"")*+"(?={s}|$)|[^{s}]*)'
     cells = F.regexp_extract_all(F.concat(F.lit(sep), c), F.lit(cell), F.lit(1))
-    return F.transform(cells, lambda x: F.when(
+    quoted = F.transform(cells, lambda x: F.when(
         x.rlike('(?s)^".*"$') & (F.length(x) > 1),
         F.replace(F.replace(x.substr(F.lit(2), F.length(x) - 2), F.lit('\\"'), F.lit('"')),
                   F.lit('""'), F.lit('"'))).otherwise(x))
+    plain = ~F.contains(c, F.lit('"')) if len(sep) == 1 else F.lit(False)
+    return F.when(plain, F.split(c, s, -1)).otherwise(quoted)
 
 
 def _names(line: Column, sep: str) -> Column:

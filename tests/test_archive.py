@@ -6,8 +6,9 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from sensorlake.plans import bronze
+from sensorlake.plans import adapters, bronze
 from sensorlake.session import with_conf
 from sensorlake.sources import archive
 
@@ -96,3 +97,23 @@ def test_the_plan_reads_lines_in_splits_and_looks_names_up_once_per_file(spark,
     assert "wholetext" not in plan.lower()
     join = plan.index("Join")
     assert "array_position" not in plan[:join] and "array_position" in plan[join:]
+
+
+def test_a_long_quoted_cell_and_plain_lines_are_cut_alike(spark):
+    long = "x" * 20_000 + '\\"y' * 2_000 + ";" + '""' * 2_000
+    lines = [f'"{long}";b', "", "a;;b", ";", None, 'a;"";"b;c"', '"a"b";c']
+    rows = spark.createDataFrame(list(enumerate(lines)), "i int, value string").select(
+        "i", archive._split(F.col("value"), ";").alias("c")).orderBy("i").collect()
+    assert [r["c"] for r in rows] == [
+        ["x" * 20_000 + '"y' * 2_000 + ";" + '"' * 2_000, "b"], [""], ["a", "", "b"], ["", ""], None,
+        ["a", "", "b;c"], ['a"b', "c"]]
+
+
+def test_the_json_of_an_event_is_parsed_once_a_row(spark):
+    events = spark.createDataFrame(
+        [], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+            "props string")
+    for shaped in (adapters.live_raw, adapters.archive_raw, adapters.bus_envelope,
+                   adapters.event_records):
+        plan = shaped(events)._jdf.queryExecution().analyzed().toString()
+        assert plan.count("get_json_object") == 1, shaped.__name__
