@@ -101,6 +101,30 @@ def _differing(x: str, y: str) -> Column:
                                    for i in range(PARITY_BITS // 64)))
 
 
+def _low_bits(size: int):
+    """The two lowest bits of each of ``size`` coordinates, in longs: coordinates that agree have them
+    in common, so those that differ in them are no more than those that differ."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            sketch = b.column("sketch").flatten().to_numpy().view(np.uint8)
+            low = sketch.reshape(-1, size, 1) >> np.array([1, 0], np.uint8) & np.uint8(1)
+            bits = np.zeros((len(b), -(-size // 32) * 64), np.uint8)
+            bits[:, :2 * size] = low.reshape(len(b), -1)
+            yield pa.RecordBatch.from_arrays(
+                [b.column("node"), row_lists(np.packbits(bits, axis=1).view(_U))],
+                names=["node", "low"])
+    return run
+
+
+def _coordinates_differing(x: str, y: str, size: int) -> Column:
+    """Coordinates whose low bits differ."""
+    pairs = F.lit(0x5555555555555555)
+    def differing(i: int) -> Column:
+        d = F.col(x)[i].bitwiseXOR(F.col(y)[i])
+        return F.bit_count(d.bitwiseOR(F.shiftrightunsigned(d, 1)).bitwiseAND(pairs))
+    return reduce(Column.__add__, map(differing, range(-(-size // 32))))
+
+
 def _similar(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
@@ -163,12 +187,11 @@ def linked(nodes: DataFrame, sets_of: Callable[[bytes], DataFrame], size: int, a
 
     # Two nodes have met as hub and other; larger buckets go on while they hold several components.
     done, upto, open_ = 0, 8, members.where("members > 2")
-    short = nodes.select("node", "sketch",
-                         F.transform("bands", lambda x: F.hash(x)).alias("keys"))
     # Sets of similarity t differ in at most (1 - t) / (1 + t) of their sizes' sum, so their parities
     # in no more bits: what is like the others of a large bucket but not similar enough meets them
     # in the join without a row for each pair.
-    parities = None
+    # Rows of the join are kept narrow: these parities and the low bits of the sketches.
+    held = None
     near = _differing("parity", "other_parity") <= (1 - similarity) / (1 + similarity) * (
         F.col("n") + F.col("other_n")) + 1e-6
     at = F.pmod(F.xxhash64("node"), F.lit(1 << 20)) / float(1 << 20) * F.col("members")
@@ -180,23 +203,27 @@ def linked(nodes: DataFrame, sets_of: Callable[[bytes], DataFrame], size: int, a
                        .where(F.col("members") > done), "near-open")
         if open_.isEmpty():
             return links, roots
-        if parities is None:  # later rounds have no other nodes
-            parities = stored(sets.join(open_.select("node").distinct(), "node", "left_semi")
-                              .mapInArrow(_parities, "node long, parity array<long>"),
-                              "near-parities")
-        keyed = open_.join(short, "node").join(parities, "node")
-        reps = keyed.where((at >= done) & (at < upto)).select(
-            "bucket", F.col("node").alias("other"), F.col("root").alias("other_root"),
-            F.col("n").alias("other_n"), F.col("s").alias("other_s"),
-            F.col("keys").alias("other_keys"), F.col("sketch").alias("other_sketch"),
-            F.col("parity").alias("other_parity"))
-        # A pair that shares several buckets is taken in the first of them, if its sketches agree.
-        met = F.array_position(F.zip_with("keys", "other_keys", lambda x, y: x == y), True)
-        agreeing = F.size(F.filter(F.zip_with("sketch", "other_sketch", lambda x, y: x == y),
-                                   lambda same: same))
+        if held is None:  # later rounds have no other nodes
+            late = open_.select("node").distinct()
+            parities = sets.join(late, "node", "left_semi").mapInArrow(
+                _parities, "node long, parity array<long>")
+            low = nodes.select("node", "sketch").join(late, "node", "left_semi").mapInArrow(
+                _low_bits(size), "node long, low array<long>")
+            held = stored(parities.join(low, "node"), "near-parities")
+        # A pair is compared once, in the round of the one that comes first; those of slices done
+        # have met all others.
+        keyed = open_.select("bucket", "node", "root", "n", "s", at.alias("at")).where(
+            F.col("at") >= done).join(held, "node")
+        reps = keyed.where(F.col("at") < upto).select(
+            "bucket", *(F.col(c).alias(f"other_{c}") for c in ("root", "n", "s", "at", "parity",
+                                                               "low")),
+            F.col("node").alias("other"))
+        after = (F.col("at") > F.col("other_at")) | (
+            (F.col("at") == F.col("other_at")) & (F.col("node") > F.col("other")))
         pairs = stored(keyed.join(reps, "bucket")
-                       .where((F.col("root") != F.col("other_root")) & able & near
-                              & (met == F.col("band") + 1) & (agreeing >= agree)).select(*pair)
+                       .where((F.col("root") != F.col("other_root")) & after & able
+                              & (_coordinates_differing("low", "other_low", size) <= size - agree)
+                              & near).select(*pair)
                        .distinct().join(tried, ["a", "b"], "left_anti"), "near-pairs")
         fresh = stored(_verified(pairs, sets, similarity), "near-links")
         if not fresh.isEmpty():

@@ -20,7 +20,7 @@ from sensorlake.llm import (
 from sensorlake.llm import text as T
 from sensorlake.llm.common import ship_code
 from sensorlake.llm.components import components
-from sensorlake.llm.shingles import shingle_sets
+from sensorlake.llm.shingles import set_identities, shingle_sets
 
 SF = "/root/testdata/sf0.001"
 # Extra columns that clash with names the operators use inside.
@@ -418,3 +418,38 @@ def test_one_of_repeated_rows_stays(spark):
     assert sorted((r.key, r.kept) for r in rows) == [
         (1, False), (1, False), (1, True), (2, False), (3, True)]
     assert sorted(r.doc_id for r in near_dedup.drop_near_copies(docs).collect()) == [1, 3]
+
+
+def test_low_bits_differ_in_no_more_coordinates_than_sketches(spark):
+    rng = np.random.default_rng(3)
+    for size in (70, 160):
+        x = rng.integers(-128, 128, size).astype(np.int8)
+        y = np.where(rng.random(size) < 0.3, rng.integers(-128, 128, size), x).astype(np.int8)
+        b = pa.RecordBatch.from_arrays([pa.array([1, 2]), linking.row_lists(np.stack([x, y]))],
+                                       names=["node", "sketch"])
+        low = next(linking._low_bits(size)([b])).column("low").to_pylist()
+        found = spark.createDataFrame([tuple(low)], "x array<long>, y array<long>").select(
+            linking._coordinates_differing("x", "y", size)).first()[0]
+        assert found == ((x & 3) != (y & 3)).sum() <= (x != y).sum()
+
+
+def test_a_bucket_of_variants_is_linked_by_slices(spark):
+    """More nodes than the first slices hold, in pairs of likes: each pair is linked in the round of
+    the one that comes first."""
+    rng = np.random.default_rng(5)
+    common = rng.integers(1, 2**62, 60, dtype=np.uint64)
+    sets = []
+    for _ in range(60):
+        own = rng.integers(1, 2**62, 40, dtype=np.uint64)
+        sets += [np.sort(np.r_[common, own]), np.sort(np.r_[common, own[:-1], own[:1] + np.uint64(1)])]
+    begins = np.r_[0, np.cumsum([len(s) for s in sets])]
+    ids = set_identities(np.concatenate(sets), begins).view(np.int64).tolist()
+    nodes = spark.createDataFrame(
+        [(i, len(s), [7], [1] * 8) for i, s in zip(ids, sets, strict=True)],
+        "node long, n long, bands array<long>, sketch array<tinyint>")
+    held = spark.createDataFrame([(i, bytearray(s.tobytes())) for i, s in zip(ids, sets, strict=True)],
+                                 "node long, shingles binary")
+    links, roots = linking.linked(nodes, lambda marks: held, 8, 4, 0.8)
+    want = {tuple(sorted(ids[i:i + 2])) for i in range(0, len(ids), 2)}
+    assert {tuple(r) for r in links.collect()} == want
+    assert links.count() == roots.count() == len(want)
